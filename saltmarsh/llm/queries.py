@@ -6,7 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saltmarsh.llm import op6_url_rules, op10_quality_ledger
+from saltmarsh.llm import (
+    op1_warc,
+    op4_tiff,
+    op6_url_rules,
+    op10_quality_ledger,
+)
 from saltmarsh.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,6 +19,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_warc": op1_warc.query,
+        "op4_tiff": op4_tiff.query,
         "op6_url_rules": op6_url_rules.query,
         "op10_quality_ledger": lambda spark, d: op10_quality_ledger.digest(table(spark, d, "documents")),
     }
