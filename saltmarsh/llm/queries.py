@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from saltmarsh.llm import (
     op1_warc,
+    op2_token_counts,
     op4_tiff,
     op6_url_rules,
     op10_quality_ledger,
@@ -20,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_warc": op1_warc.query,
+        "op2_token_counts": op2_token_counts.query,
         "op4_tiff": op4_tiff.query,
         "op6_url_rules": op6_url_rules.query,
         "op10_quality_ledger": lambda spark, d: op10_quality_ledger.digest(table(spark, d, "documents")),
