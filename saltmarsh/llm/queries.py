@@ -11,6 +11,7 @@ from saltmarsh.llm import (
     op2_token_counts,
     op4_tiff,
     op6_url_rules,
+    op9_packing,
     op10_quality_ledger,
 )
 from saltmarsh.llm.common import table
@@ -24,6 +25,7 @@ def queries() -> dict[str, Query]:
         "op2_token_counts": op2_token_counts.query,
         "op4_tiff": op4_tiff.query,
         "op6_url_rules": op6_url_rules.query,
+        "op9_packing": op9_packing.query,
         "op10_quality_ledger": lambda spark, d: op10_quality_ledger.digest(table(spark, d, "documents")),
     }
 
