@@ -11,6 +11,7 @@ from saltmarsh.llm import (
     op2_token_counts,
     op4_tiff,
     op6_url_rules,
+    op7_quality_classifier,
     op9_packing,
     op10_quality_ledger,
 )
@@ -25,6 +26,7 @@ def queries() -> dict[str, Query]:
         "op2_token_counts": op2_token_counts.query,
         "op4_tiff": op4_tiff.query,
         "op6_url_rules": op6_url_rules.query,
+        "op7_quality_classifier": op7_quality_classifier.query,
         "op9_packing": op9_packing.query,
         "op10_quality_ledger": lambda spark, d: op10_quality_ledger.digest(table(spark, d, "documents")),
     }
