@@ -8,7 +8,7 @@ has a size fixed by its shape, whatever the corpus, and only that reaches the dr
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +35,10 @@ def _sum(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "part": pa.array([key[1].as_py()], pa.int32()), "sums": pa.array([total.tobytes()], pa.binary())})
 
 
-def gather(source: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], rows: int, width: int, blocks: int) -> np.ndarray:
-    """Run `count` (which emits blocks) over source and return the summed rows x width table."""
-    fan = math.isqrt(max(1, source.rdd.getNumPartitions() - 1)) + 1
-    partial = source.mapInArrow(count, PARTIAL)
+def gather(partial: DataFrame, rows: int, width: int, blocks: int) -> np.ndarray:
+    """The summed rows x width table of what tasks emitted (columns of PARTIAL)."""
+    fan = math.isqrt(max(1, partial.rdd.getNumPartitions() - 1)) + 1
+    partial = partial.select("block", "part", "sums")
     once = partial.withColumn("part", F.pmod("part", F.lit(fan))).groupBy("block", "part").applyInArrow(_sum, PARTIAL)
     twice = once.withColumn("part", F.lit(0)).groupBy("block", "part").applyInArrow(_sum, PARTIAL)
     shape = [len(x) for x in np.array_split(np.empty(rows), blocks)]

@@ -96,7 +96,8 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
                 total[sorted_buckets[head]] += np.add.reduceat(around[order], head, axis=0, dtype=np.int64)
         yield from blocks.emit(total, BLOCKS)
 
-    sums = blocks.gather(docs.select(F.col(text).alias("_text")), count, BUCKETS, DIMS, BLOCKS).astype(np.float64)
+    partial = docs.select(F.col(text).alias("_text")).mapInArrow(count, blocks.PARTIAL)
+    sums = blocks.gather(partial, BUCKETS, DIMS, BLOCKS).astype(np.float64)
     norm = np.linalg.norm(sums, axis=1, keepdims=True)
     return (sums / np.where(norm == 0, 1, norm)).astype(np.float32)
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from saltmarsh.llm import (
     op1_warc,
     op2_token_counts,
+    op3_ngram_jaccard,
     op4_tiff,
     op6_url_rules,
     op7_quality_classifier,
@@ -24,6 +25,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_warc": op1_warc.query,
         "op2_token_counts": op2_token_counts.query,
+        "op3_ngram_jaccard": op3_ngram_jaccard.query,
         "op4_tiff": op4_tiff.query,
         "op6_url_rules": op6_url_rules.query,
         "op7_quality_classifier": op7_quality_classifier.query,
