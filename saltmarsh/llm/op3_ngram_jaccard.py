@@ -20,17 +20,13 @@ from pyspark.sql import functions as F
 from saltmarsh.llm import setjoin
 from saltmarsh.llm.common import durable, table
 from saltmarsh.llm.components import components
+from saltmarsh.llm.setjoin import fitting
 
 SPEC = setjoin.Spec()
 
 
-def _candidates(x: DataFrame, y: DataFrame, different: str, spec: setjoin.Spec) -> DataFrame:
-    """Pairs of keys that share a shingle, are different as `different` says, and pass the filters."""
-    x, y = x.select([F.col(c).alias(f"x_{c}") for c in x.columns]), y.select([F.col(c).alias(f"y_{c}") for c in y.columns])
-    n, i, m, j = (F.col(c) for c in ("x_n", "x_place", "y_n", "y_place"))
-    fits = setjoin.lengths_fit(n, m, spec) & setjoin.positions_fit(n, i, m, j, spec)
-    joined = x.join(y, (F.col("x_gram") == F.col("y_gram")) & F.expr(different) & fits)
-    return joined.select(F.least("x_key", "y_key").alias("ka"), F.greatest("x_key", "y_key").alias("kb")).distinct()
+def _unordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("ka", "kb").alias("ka"), F.greatest("ka", "kb").alias("kb")).distinct()
 
 
 def _checked(keys: DataFrame, classes: DataFrame, docs: DataFrame, spec: setjoin.Spec) -> DataFrame:
@@ -53,7 +49,7 @@ def link_components(docs: DataFrame, spec: setjoin.Spec = SPEC) -> DataFrame:
     entries = setjoin.shared_entries(docs.where("doc_id is not null"), units, counts, spec)
 
     pivots = durable(entries.groupBy("gram").agg(F.min(F.struct("place", "key", "n")).alias("p")).select("gram", "p.place", "p.key", "p.n"))
-    tried = durable(_candidates(entries, pivots, "x_key <> y_key", spec))
+    tried = durable(_unordered(fitting(entries, pivots, "x_key <> y_key", spec)))
     links = _checked(tried, classes, docs, spec)
     # Rows that share a doc_id but not a text make one node of several classes.
     same_id = units.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).where("lo <> hi").select("doc_id")
@@ -65,7 +61,7 @@ def link_components(docs: DataFrame, spec: setjoin.Spec = SPEC) -> DataFrame:
     labelled = entries.join(durable(label), "key")
     mixed = durable(labelled.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("gram"))
     rest = durable(labelled.join(mixed, "gram", "left_semi"))
-    left = _candidates(rest, rest, "x_c < y_c", spec)
+    left = _unordered(fitting(rest, rest, "x_c < y_c", spec))
     more = _checked(durable(left.join(tried, ["ka", "kb"], "left_anti")), classes, docs, spec)
     if not more.isEmpty():
         found = durable(components(links.union(more)))

@@ -11,6 +11,7 @@ from saltmarsh.llm import (
     op2_token_counts,
     op3_ngram_jaccard,
     op4_tiff,
+    op5_line_dedup,
     op6_url_rules,
     op7_quality_classifier,
     op9_packing,
@@ -27,6 +28,7 @@ def queries() -> dict[str, Query]:
         "op2_token_counts": op2_token_counts.query,
         "op3_ngram_jaccard": op3_ngram_jaccard.query,
         "op4_tiff": op4_tiff.query,
+        "op5_line_dedup": op5_line_dedup.query,
         "op6_url_rules": op6_url_rules.query,
         "op7_quality_classifier": op7_quality_classifier.query,
         "op9_packing": op9_packing.query,

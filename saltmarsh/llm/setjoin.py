@@ -247,6 +247,16 @@ def shared_entries(docs: DataFrame, units: DataFrame, counts: np.ndarray, spec:
     return durable(packed.repartition(partitions, "slot").mapInArrow(meet, ENTRY))
 
 
+def fitting(x: DataFrame, y: DataFrame, different: str, spec: Spec) -> DataFrame:
+    """Distinct pairs of keys (ka from x, kb from y; columns of ENTRY and more) that share a prefix
+    shingle, are different as `different` says (columns prefixed x_ and y_), and pass the filters."""
+    x, y = x.select([F.col(c).alias(f"x_{c}") for c in x.columns]), y.select([F.col(c).alias(f"y_{c}") for c in y.columns])
+    n, i, m, j = (F.col(c) for c in ("x_n", "x_place", "y_n", "y_place"))
+    fits = lengths_fit(n, m, spec) & positions_fit(n, i, m, j, spec)
+    joined = x.join(y, (F.col("x_gram") == F.col("y_gram")) & F.expr(different) & fits)
+    return joined.select(F.col("x_key").alias("ka"), F.col("y_key").alias("kb")).distinct()
+
+
 def overlaps(a: pa.Array, b: pa.Array, spec: Spec) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For rows of two texts: the sizes of both sets and of their intersection."""
     rows = len(a)
