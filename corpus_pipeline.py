@@ -1,14 +1,78 @@
-"""From raw documents to packed training sequences, in five stages."""
+"""From raw documents to packed training sequences, in five stages.
+
+Each stage takes what the one before kept, as a table with the columns of `documents`; the last one
+returns pieces of packed sequences. Training data and corpus statistics of the classifier come from
+the raw tables, so that it has seen the documents that earlier stages reject.
+
+Nulls, repeats and empty tables are handled as each operator's module says. Documents whose lines
+all go stay as empty texts. Of a group of near duplicates the smallest doc_id stays, once, even if
+the table repeats it; documents without words or without a doc_id all stay.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from saltmarsh.llm import (
+    op3_ngram_jaccard,
+    op5_line_dedup,
+    op7_quality_classifier,
+    op9_packing,
+    op10_quality_ledger,
+)
 from saltmarsh.llm.common import durable, table
+from saltmarsh.llm.setjoin import ids_side
+
+#: The policy of the quality rules that is in force.
+POLICY = 2
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail no rule of the policy."""
+    measured = op10_quality_ledger.measure(docs, keep=tuple(docs.columns))
+    return op10_quality_ledger.ledger(measured).where(~op10_quality_ledger.rejected(POLICY)).select(*docs.columns)
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a score of at least the operator's threshold."""
+    raw = table(spark, sf_dir, "documents")
+    vectors = op7_quality_classifier.word_vectors(raw)
+    net = op7_quality_classifier.train(raw, table(spark, sf_dir, "labels"), vectors)
+    scored = op7_quality_classifier.score(docs, vectors, net, name="_score")
+    return scored.where(F.col("_score") >= op7_quality_classifier.THRESHOLD).select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines that an earlier line repeats."""
+    return op5_line_dedup.dedup(docs).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    linked = durable(op3_ngram_jaccard.link_components(docs))
+    later = linked.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(ids_side(later), "doc_id", "left_anti").select(*docs.columns)
+    twice = linked.where("doc_id = component_id and n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    repeated = ids_side(twice)
+    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of at most 2048 tokens."""
+    return op9_packing.pack_documents(docs)
+
 
-STAGES: list = []
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("quality_classifier", quality_classifier),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("packing", packing),
+]
 
-#: Two stages (the network, the packing) can't be put in SQL; tests/llm holds each to brute force.
+#: The network and the tokeniser can't be put in SQL; tests/llm holds the stages to brute force.
 ORACLE_SQL = None
 
 
