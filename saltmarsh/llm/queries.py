@@ -14,6 +14,7 @@ from saltmarsh.llm import (
     op5_line_dedup,
     op6_url_rules,
     op7_quality_classifier,
+    op8_sentencepiece,
     op9_packing,
     op10_quality_ledger,
 )
@@ -31,6 +32,7 @@ def queries() -> dict[str, Query]:
         "op5_line_dedup": op5_line_dedup.query,
         "op6_url_rules": op6_url_rules.query,
         "op7_quality_classifier": op7_quality_classifier.query,
+        "op8_sentencepiece": op8_sentencepiece.query,
         "op9_packing": op9_packing.query,
         "op10_quality_ledger": lambda spark, d: op10_quality_ledger.digest(table(spark, d, "documents")),
     }
