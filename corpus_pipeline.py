@@ -24,8 +24,8 @@ from saltmarsh.llm import (
 from saltmarsh.llm.common import durable, table
 from saltmarsh.llm.setjoin import ids_side
 
-#: The policy of the quality rules that is in force.
-POLICY = 2
+#: The policy of the quality rules that is applied.
+POLICY = op10_quality_ledger.IN_FORCE
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from saltmarsh.llm import textarrays as ta
 from saltmarsh.llm.common import slices
 
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper_words")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper_words", "n_stutters")
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 _UPPER = np.zeros(256, dtype=bool)
@@ -52,9 +52,13 @@ RULES = (
     Rule(3, "shouting", "10 * n_upper_words > 3 * n_words"),
     Rule(4, "duplicate_lines", "10 * n_dup_lines > 3 * n_lines"),
     Rule(5, "word_length", "word_chars < 2 * n_words or word_chars > 15 * n_words"),
+    Rule(6, "many_duplicate_lines", "n_dup_lines >= 3 and 10 * n_dup_lines > 3 * n_lines"),
+    Rule(7, "stutters", "10 * n_stutters > 3 * n_words"),
 )
-#: Version -> bits that count. 1 is the base; the latest is in force.
-POLICIES = {1: (0, 1), 2: (0, 1, 2, 3, 4, 5)}
+#: Version -> bits that count. 1 is the base; the latest is in force. 3 leaves short texts alone in
+#: which one line stands twice, and rejects words said over and over.
+POLICIES = {1: (0, 1), 2: (0, 1, 2, 3, 4, 5), 3: (0, 1, 2, 3, 5, 6, 7)}
+IN_FORCE = max(POLICIES)
 
 
 def mask(bits: tuple[int, ...]) -> int:
@@ -88,6 +92,8 @@ def measure_texts(column: pa.Array) -> dict[str, np.ndarray]:
     a, b = line_row[order], line_hash[order]
     same = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
     out["n_lines"], out["n_dup_lines"] = count(line_row), count(a[1:][same])
+    again = (w.row[1:] == w.row[:-1]) & (w.hash[1:] == w.hash[:-1])
+    out["n_stutters"] = count(w.row[1:][again])
     # Words inside five-word windows that occur twice or more in their text.
     first, h = ta.windows(w.hash, w.row, 5)
     owner = w.row[first]
@@ -158,7 +164,7 @@ def digest(docs: DataFrame) -> DataFrame:
     rows = ledger(measure(docs))
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        rejected(1).alias("base_failed"), (~rejected(2)).alias("kept"), "n_lines", "n_upper_words", "failures",
+        rejected(1).alias("base_failed"), (~rejected(IN_FORCE)).alias("kept"), "n_lines", "n_upper_words", "n_stutters", "failures",
     )
 
 
@@ -186,7 +192,8 @@ m AS (
          CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines,
          coalesce(n_repeat_words, 0) AS n_repeat_words,
-         CAST(len(list_filter(w, lambda x: regexp_matches(x, '[A-Z].*[A-Z]') AND NOT regexp_matches(x, '[a-z]'))) AS BIGINT) AS n_upper_words
+         CAST(len(list_filter(w, lambda x: regexp_matches(x, '[A-Z].*[A-Z]') AND NOT regexp_matches(x, '[a-z]'))) AS BIGINT) AS n_upper_words,
+         CAST(len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS BIGINT) AS n_stutters
   FROM d LEFT JOIN line_counts USING (r) LEFT JOIN repeats USING (r)),
 f AS (
   SELECT *, CAST(CASE WHEN n_words < 10 THEN 1 ELSE 0 END
@@ -194,9 +201,11 @@ f AS (
     + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END
     + CASE WHEN 10 * n_upper_words > 3 * n_words THEN 8 ELSE 0 END
     + CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 16 ELSE 0 END
-    + CASE WHEN word_chars < 2 * n_words OR word_chars > 15 * n_words THEN 32 ELSE 0 END AS BIGINT) AS failures
+    + CASE WHEN word_chars < 2 * n_words OR word_chars > 15 * n_words THEN 32 ELSE 0 END
+    + CASE WHEN n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines THEN 64 ELSE 0 END
+    + CASE WHEN 10 * n_stutters > 3 * n_words THEN 128 ELSE 0 END AS BIGINT) AS failures
   FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       (failures & 3) <> 0 AS base_failed, failures = 0 AS kept, n_lines, n_upper_words, failures
+       (failures & 3) <> 0 AS base_failed, (failures & 239) = 0 AS kept, n_lines, n_upper_words, n_stutters, failures
 FROM f
 """
