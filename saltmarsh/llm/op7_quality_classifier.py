@@ -4,8 +4,9 @@ Tokens are runs of letters, digits and non-ASCII bytes, or runs of one ASCII pun
 token has a fixed sparse index vector (a few +1 and -1, from its hash). A token's word vector is the
 sum, over every occurrence in the whole corpus, of its own index vector and those of its neighbours
 two to each side. Tokens share `BUCKETS` rows by hash, so the table of vectors has a fixed size (and
-is broadcast), however many words a corpus has. A document is pooled to the mean and the spread of
-its tokens' vectors, and scored by a two-layer network in numpy, whose probabilities are calibrated
+is broadcast), however many words a corpus has. A document is pooled to the mean of its tokens'
+vectors, the mean cosine of neighbouring ones, and the share of neighbours that are equal; it is
+scored by a two-layer network in numpy, whose probabilities are calibrated
 by a temperature fitted on rows kept from its training.
 
 The network is fitted on at most `max_rows` labelled rows (those with the smallest hash of doc_id);
@@ -33,6 +34,7 @@ from saltmarsh.llm import textarrays as ta
 from saltmarsh.llm.common import slices, table
 
 BUCKETS, DIMS, BLOCKS = 1 << 15, 32, 64
+FEATURES = DIMS + 2
 NEIGHBOURS, SELF_WEIGHT = 2, 2
 MAX_ROWS = 8_000
 HIDDEN, EPOCHS, RATE, DECAY = 24, 60, 3e-3, 1e-4
@@ -103,18 +105,17 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
 
 
 def pool(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
-    """Rows x features: mean and spread of the tokens' vectors, and the log of their number."""
+    """Rows x features: the mean of the tokens' vectors, the mean cosine of neighbours, the share of equal ones."""
     bucket, row, rows = tokens(column)
-    out = np.zeros((rows, 2 * DIMS + 1), dtype=np.float64)
+    out = np.zeros((rows, FEATURES), dtype=np.float64)
     if len(bucket):
         head = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-        n = np.diff(np.append(head, len(row)))[:, None]
         v = vectors[bucket]
-        mean = np.add.reduceat(v, head, axis=0, dtype=np.float64) / n
-        square = np.add.reduceat(v * v, head, axis=0, dtype=np.float64) / n
-        out[row[head], :DIMS] = mean
-        out[row[head], DIMS : 2 * DIMS] = np.sqrt(np.maximum(square - mean * mean, 0))
-        out[row[head], -1] = np.log1p(n[:, 0])
+        out[row[head], :DIMS] = np.add.reduceat(v, head, axis=0, dtype=np.float64) / np.diff(np.append(head, len(row)))[:, None]
+        inside = row[1:] == row[:-1]
+        owner, pairs = row[1:][inside], np.maximum(np.bincount(row[1:][inside], minlength=rows), 1)
+        out[:, DIMS] = np.bincount(owner, np.einsum("ij,ij->i", v[1:], v[:-1])[inside], rows) / pairs
+        out[:, DIMS + 1] = np.bincount(owner, (bucket[1:] == bucket[:-1])[inside], rows) / pairs
     return out
 
 
@@ -139,7 +140,7 @@ class Network:
 
 def constant(share: float) -> Network:
     share = min(max(share, 1e-6), 1 - 1e-6)
-    n = 2 * DIMS + 1
+    n = FEATURES
     return Network(np.zeros(n), np.ones(n), np.zeros((n, 1)), np.zeros(1), np.zeros(1), float(np.log(share / (1 - share))))
 
 
@@ -203,7 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, max_rows: int
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_quality"), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "quality", "x"])
 
     got = sorted({(r.doc_id, bytes(r.x), r.quality) for r in rows.mapInArrow(run, "doc_id long, quality int, x binary").toLocalIterator()})
-    x = np.array([np.frombuffer(r[1], dtype="<f4") for r in got], dtype=np.float64).reshape(len(got), 2 * DIMS + 1)
+    x = np.array([np.frombuffer(r[1], dtype="<f4") for r in got], dtype=np.float64).reshape(len(got), FEATURES)
     return fit(x, np.array([r[2] for r in got], dtype=np.int64))
 
 

@@ -59,7 +59,7 @@ def test_classifier_on_held_out_rows(spark):
     got = queries()["op7_quality_classifier"](spark, DATA).toPandas()
     labels = pd.read_parquet(f"{DATA}/labels.parquet").merge(got, on="doc_id")
     held = labels[labels.held_out]
-    assert len(held) > 50 and (held.predicted == held.quality).mean() >= 0.95
+    assert len(held) > 50 and (held.predicted == held.quality).mean() > 0.98
     assert got.score.between(0, 1).all() and len(got) == 1000
 
 
@@ -87,7 +87,7 @@ def test_word_vectors_by_hand(spark):
 
 def test_temperature_and_gradient():
     rng = np.random.default_rng(0)
-    x = rng.normal(size=(2000, 2 * op7.DIMS + 1))
+    x = rng.normal(size=(2000, op7.FEATURES))
     y = (x[:, 0] + x[:, 1] * x[:, 2] > 0).astype(int)
     net = op7.fit(x, y)
     assert ((net.score(x) > 0.5) == y).mean() > 0.9
