@@ -28,7 +28,7 @@ from saltmarsh.llm.common import durable, slices
 BUCKETS, BLOCKS = 1 << 20, 64
 #: Entries (24 bytes) held by a task before it passes them on; entries aimed at per slot task.
 HELD, PER_TASK = 1_500_000, 2_000_000
-#: Occurrences from which a shingle's entries are spread over several slots.
+#: Occurrences, beyond twice the mean of all buckets, from which a shingle's entries are spread over several slots.
 HOT = 1_000_000
 #: Rows of ids (16 bytes each) up to which a list of ids is broadcast; beyond, a shuffled join is used.
 BROADCAST_IDS = 2_000_000
@@ -158,6 +158,13 @@ def rarity(counts: np.ndarray) -> np.ndarray:
     return np.minimum(8 * np.log2(1 + counts.astype(np.float64)), 255).astype(np.uint8)
 
 
+def salts(counts: np.ndarray) -> np.ndarray:
+    """Over how many slots the entries of a bucket's shingles go. Nearly all are 1, however large the
+    corpus, as a bucket's count is set against what it would hold by chance."""
+    excess = counts - 2 * counts.mean() if len(counts) else counts
+    return np.maximum(1, np.ceil(excess / HOT)).astype(np.uint32)
+
+
 def prefixes(owner: np.ndarray, shingle: np.ndarray, units: int, rare: np.ndarray, spec: Spec) -> tuple[np.ndarray, ...]:
     """Of each prefix shingle: itself, its unit, its place from 0; shingles of a unit in global order."""
     order = np.lexsort((shingle, rare[bucket(shingle)], owner))
@@ -169,16 +176,15 @@ def prefixes(owner: np.ndarray, shingle: np.ndarray, units: int, rare: np.ndarra
     return shingle[inside], owner[inside], place[inside]
 
 
-def _pack(gram: np.ndarray, key: np.ndarray, n: np.ndarray, place: np.ndarray, rare: np.ndarray, slots: int) -> Iterator[pa.RecordBatch]:
+def _pack(gram: np.ndarray, key: np.ndarray, n: np.ndarray, place: np.ndarray, spread: np.ndarray, slots: int) -> Iterator[pa.RecordBatch]:
     """Distinct (gram, key) entries, one row of packed arrays per slot."""
     order = np.lexsort((key, gram))
     gram, key, n, place = gram[order], key[order], n[order], place[order]
     new = np.r_[True, (gram[1:] != gram[:-1]) | (key[1:] != key[:-1])]
     gram, key, n, place = gram[new], key[new], n[new], place[new]
-    often = 2.0 ** (rare[bucket(gram)] / 8.0)
-    salts = np.maximum(1, np.ceil(often / HOT)).astype(U)
-    slot = ((ta.mix(gram, 9) + ta.mix(key.view(U), 9) % salts) % U(slots)).astype(np.int64)
-    place = place.astype(np.int64) | ((salts > U(1)).astype(np.int64) << 31)
+    ways = spread[bucket(gram)].astype(U)
+    slot = ((ta.mix(gram, 9) + ta.mix(key.view(U), 9) % ways) % U(slots)).astype(np.int64)
+    place = place.astype(np.int64) | ((ways > U(1)).astype(np.int64) << 31)
     order = np.argsort(slot, kind="stable")
     gram, key, n, place, slot = gram[order], key[order], n[order], place[order], slot[order]
     cut = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]])
@@ -197,10 +203,10 @@ def shared_entries(docs: DataFrame, units: DataFrame, counts: np.ndarray, spec:
     entries = units.agg(F.coalesce(F.sum(F.col("n") * (spec.den - spec.num) / spec.den + 1), F.lit(0.0))).first()[0]
     partitions = int(max(int(spark.conf.get("spark.sql.shuffle.partitions")), entries / PER_TASK + 1))
     slots = partitions * 8
-    rare_shared = spark.sparkContext.broadcast(rarity(counts))
+    tables = spark.sparkContext.broadcast((rarity(counts), salts(counts)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rare = rare_shared.value
+        rare, spread = tables.value
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
         for whole in batches:
@@ -214,10 +220,10 @@ def shared_entries(docs: DataFrame, units: DataFrame, counts: np.ndarray, spec:
                 held.append((gram, k1[owner], n[owner], place))
                 size += len(gram)
                 if size >= HELD:
-                    yield from _pack(*(np.concatenate(x) for x in zip(*held, strict=True)), rare, slots)
+                    yield from _pack(*(np.concatenate(x) for x in zip(*held, strict=True)), spread, slots)
                     held, size = [], 0
         if held:
-            yield from _pack(*(np.concatenate(x) for x in zip(*held, strict=True)), rare, slots)
+            yield from _pack(*(np.concatenate(x) for x in zip(*held, strict=True)), spread, slots)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[list[np.ndarray]] = [[], [], [], []]

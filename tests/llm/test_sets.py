@@ -74,6 +74,14 @@ def test_join_against_brute_force(spark):
     assert len(set(where.values())) < len(rows)
 
 
+def test_frequent_shingles_are_spread_over_slots(spark, monkeypatch):
+    monkeypatch.setattr(setjoin, "HOT", 5)
+    counts = np.zeros(setjoin.BUCKETS, dtype=np.int64)
+    counts[3] = 12
+    assert setjoin.salts(counts)[3] == 3 and setjoin.salts(counts)[4] == 1
+    test_join_of_one_large_group(spark)
+
+
 def test_join_of_one_large_group(spark):
     """Near copies of one text, most of which are similar to the original but not to each other."""
     r = random.Random(9)
