@@ -56,9 +56,11 @@ def later_lines(docs: DataFrame, spec: setjoin.Spec = SPEC) -> DataFrame:
     classes = durable(grouped.withColumn("id", F.xxhash64("at.doc_id", "at.doc_key", "at.line")))
     entries = durable(setjoin.shared_entries(docs, units, counts, spec).join(classes.select(F.col("k1").alias("key"), "at"), "key"))
 
-    earliest = durable(entries.groupBy("gram").agg(F.min(F.struct("at", "key", "n", "place")).alias("p")).select("gram", "p.*"))
-    central = durable(entries.groupBy("gram").agg(F.min(F.struct("place", "at", "key", "n")).alias("p")).select("gram", "p.*"))
-    tried = durable(fitting(entries, earliest.union(central.select(earliest.columns)), "y_at < x_at and x_key <> y_key", spec))
+    first = [F.min(F.struct("at", "key", "n", "place")).alias("e"), F.min(F.struct("place", "at", "key", "n")).alias("c")]
+    pivots = durable(entries.groupBy("gram").agg(*first))
+    fields = ("at", "key", "n", "place")
+    either = pivots.select("gram", F.explode(F.array_distinct(F.array(*[F.struct(*[F.col(f"{p}.{f}").alias(f) for f in fields]) for p in "ec"]))).alias("p")).select("gram", "p.*")
+    tried = durable(fitting(entries, either, "y_at < x_at and x_key <> y_key", spec))
     gone = _checked(tried, classes, docs, spec)
 
     decided = durable(classes.join(gone, "id", "left_semi").select(F.col("k1").alias("key")))
