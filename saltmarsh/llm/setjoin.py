@@ -167,7 +167,7 @@ def salts(counts: np.ndarray) -> np.ndarray:
 
 def prefixes(owner: np.ndarray, shingle: np.ndarray, units: int, rare: np.ndarray, spec: Spec) -> tuple[np.ndarray, ...]:
     """Of each prefix shingle: itself, its unit, its place from 0; shingles of a unit in global order."""
-    order = np.lexsort((shingle, rare[bucket(shingle)], owner))
+    order = ta.grouped_order(owner, shingle, rare[bucket(shingle)])
     owner, shingle = owner[order], shingle[order]
     n = np.bincount(owner, minlength=units)
     first = np.cumsum(n) - n

@@ -32,6 +32,19 @@ def test_words_and_sets(values):
     assert np.bincount(owner, minlength=len(values)).tolist() == [len(shingles(t)) for t in values]
 
 
+def test_grouped_order_is_lexsort():
+    rng = np.random.default_rng(1)
+    for spread in (2**63, 2**30, 4):
+        for _ in range(50):
+            n = int(rng.integers(0, 60))
+            group = np.sort(rng.integers(5, 12, n))
+            value = rng.integers(0, spread, n, dtype=np.int64).astype(np.uint64)
+            rank = rng.integers(0, 3, n).astype(np.uint8)
+            for r, keys in ((None, (value, group)), (rank, (value, rank, group))):
+                want, got = np.lexsort(keys), ta.grouped_order(group, value, r)
+                assert all((k[want] == k[got]).all() for k in keys)
+
+
 def near_corpus(n=160, seed=4):
     r = random.Random(seed)
     vocabulary = [f"w{i}" for i in range(400)]
