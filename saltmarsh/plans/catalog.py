@@ -271,6 +271,13 @@ def _early(stage: DataFrame) -> DataFrame:
     return value.early_active(stage, EARLY_FROM, EARLY_TO, EARLY_ORDERS, EARLY_DAYS)
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder, for plans that read it several times."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _joined(spark: SparkSession, d: str) -> DataFrame:
     return value.metrics_joined(value.minmax_scaled(value.demand_metrics(_stage(spark, d))), value.plan_stage(view(spark, d, "plan_info")))
 
@@ -296,7 +303,7 @@ register("prediction_accounts", _chain_sql("prediction_accounts"))(lambda spark,
 
 @register("metrics_opt", _rounded_sql("metrics_opt"))
 def metrics_opt(spark: SparkSession, d: str) -> DataFrame:
-    joined = _joined(spark, d)
+    joined = _stored(_joined(spark, d))  # read three times
     return _rounded(value.metrics_opt(joined, value.cohort(joined, until=TRAIN_UNTIL), value.cohort(joined, at=PREDICT_AT), _early(_stage(spark, d))))
 
 
