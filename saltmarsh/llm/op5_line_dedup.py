@@ -1,7 +1,8 @@
 """Line deduplication by an exact set-similarity join.
 
 A line is the set of its five-word shingles (lower-cased; a line of fewer words is one shingle).
-Lines of at least `min_words` words take part. Their shingles are ordered by rarity; prefix,
+All lines with a word take part in the query and the pipeline (`WHOLE`); a caller may leave out lines
+of under `min_words` words, as `SPEC` does with those of under five. Shingles are ordered by rarity; prefix,
 positional and length filters (`setjoin`) leave the pairs whose Jaccard similarity is then verified.
 A line is removed if an earlier line, by (doc_id, line number), is similar enough (3/4 or more);
 whether that line was itself removed doesn't matter, so the result has no order of work in it.
@@ -28,6 +29,7 @@ from saltmarsh.llm.common import durable, table
 from saltmarsh.llm.setjoin import fitting
 
 SPEC = setjoin.Spec(lines=True, min_words=5)
+WHOLE = setjoin.Spec(lines=True)
 AT = ["doc_id", "doc_key", "line"]
 
 
@@ -92,5 +94,5 @@ def dedup(docs: DataFrame, spec: setjoin.Spec = SPEC) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup(table(spark, sf_dir, "documents"))
+    out = dedup(table(spark, sf_dir, "documents"), WHOLE)
     return out.select("doc_id", "n_removed", "n_chars", F.size(F.split("text", "\n", -1)).alias("n_lines"), F.sha2(F.encode("text", "utf-8"), 256).alias("text_sha256"))

@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from saltmarsh.llm import op3_ngram_jaccard as op3
 from saltmarsh.llm import op5_line_dedup as op5
 from saltmarsh.llm import setjoin
@@ -176,6 +177,16 @@ def test_lines_of_odd_rows(spark):
     assert by_id[9][0].text == dict(ODD)[9]
 
 
+def test_query_and_pipeline_drop_repeats_of_short_lines(spark, tmp_path):
+    rows = [(1, "Les.\none two\n\nONE two"), (2, "les.\n\nfour words stand here\none three"), (3, "Les."), (4, "two one\na longer line of six words\na longer line of six words")]
+    docs = table(spark, rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = {1: "Les.\none two\n", 2: "\nfour words stand here\none three", 3: "", 4: "two one\na longer line of six words"}
+    assert {x.doc_id: x.text for x in corpus_pipeline.line_dedup(spark, docs, str(tmp_path)).collect()} == want
+    got = {x.doc_id: (x.n_removed, x.n_chars) for x in op5.query(spark, str(tmp_path)).collect()}
+    assert got == {1: (1, len(want[1])), 2: (1, len(want[2])), 3: (1, 0), 4: (1, len(want[4]))}
+
+
 @pytest.mark.parametrize("spec", [setjoin.Spec(), setjoin.Spec(num=1, den=2), setjoin.Spec(num=9, den=10)])
 def test_prefixes_meet_where_sets_are_similar(spec):
     rng = np.random.default_rng(5)
