@@ -506,6 +506,40 @@ def replace_table(spark: SparkSession, d: str) -> DataFrame:
     return t.read()
 
 
+# The three above take a part of orders, as their SQL does; these take all of it.
+
+
+@register("write_day_partition_all", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, year(o_orderdate) AS year, month(o_orderdate) AS month, day(o_orderdate) AS day FROM orders")
+def write_day_partition_all(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark)
+    rows = _as_date(_source(spark, d))
+    tables.write_day_partition(rows, path, F.col("o_orderdate"))
+    tables.write_day_partition(rows.where(F.dayofmonth("o_orderdate") == 5), path, F.col("o_orderdate"))  # a second run replaces its days
+    schema = rows.schema.add("year", "integer").add("month", "integer").add("day", "integer")
+    return spark.read.schema(schema).parquet(path)
+
+
+@register("publish_partition_all", f"SELECT {_SOURCE}, day(o_orderdate) AS day FROM orders")
+def publish_partition_all(spark: SparkSession, d: str) -> DataFrame:
+    """All orders, in a partition for each day of the month, published one by one."""
+    path = scratch(spark)
+    rows = _as_date(_source(spark, d)).withColumn("day", F.dayofmonth("o_orderdate"))
+    rows.write.partitionBy("day").parquet(f"{path}/incoming")
+    rows.select("o_orderstatus", "day").write.partitionBy("day").mode("append").text(f"{path}/incoming")  # other files stay behind
+    for r in rows.select("day").distinct().collect():  # 31 at most
+        tables.publish_partition(spark, f"{path}/incoming", f"{path}/final", "parquet", f"day={'__HIVE_DEFAULT_PARTITION__' if r.day is None else r.day}")
+    return spark.read.schema(rows.schema).parquet(f"{path}/final")
+
+
+@register("replace_table_all", f"SELECT * REPLACE (o_totalprice * 2 AS o_totalprice) FROM (SELECT {_SOURCE} FROM orders)")
+def replace_table_all(spark: SparkSession, d: str) -> DataFrame:
+    """The second version has all rows of the first, with other prices."""
+    t = tables.VersionedTable(spark, scratch(spark))
+    t.replace(_as_date(_source(spark, d)))
+    t.replace(t.read().withColumn("o_totalprice", F.col("o_totalprice") * 2))
+    return t.read()
+
+
 @register("conform_schema", "SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders")
 def conform_schema(spark: SparkSession, d: str) -> DataFrame:
     stored = T.StructType.fromDDL("o_orderkey long, o_custkey string, o_orderstatus string, o_totalprice double, o_orderdate date")
