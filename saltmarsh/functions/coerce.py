@@ -45,12 +45,12 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return coerce_to(lower_names(df), schema)
 
 
-def infer_schema(df: DataFrame, rows: int = 100_000) -> T.StructType:
-    """The stored types of a source: lower-case names, and dates for timestamps without a time in the sample."""
-    sample = lower_names(df).limit(rows)
-    stamps = [f.name for f in sample.schema.fields if isinstance(f.dataType, T.TimestampType | T.TimestampNTZType)]
+def infer_schema(df: DataFrame) -> T.StructType:
+    """The stored types of a source: lower-case names, and dates for timestamps without a time in any row."""
+    source = lower_names(df)
+    stamps = [f.name for f in source.schema.fields if isinstance(f.dataType, T.TimestampType | T.TimestampNTZType)]
     dates = set()
     if stamps:
-        found = sample.agg(*[F.bool_and(F.col(s) == F.date_trunc("day", s)).alias(s) for s in stamps]).first()
+        found = source.agg(*[F.bool_and(F.col(f"`{s}`") == F.date_trunc("day", f"`{s}`")).alias(s) for s in stamps]).first()
         dates = {s for s in stamps if found[s]}
-    return T.StructType([T.StructField(f.name, T.DateType() if f.name in dates else f.dataType) for f in sample.schema.fields])
+    return T.StructType([T.StructField(f.name, T.DateType() if f.name in dates else f.dataType) for f in source.schema.fields])

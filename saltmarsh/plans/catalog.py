@@ -548,8 +548,8 @@ def conform_schema(spark: SparkSession, d: str) -> DataFrame:
 
 @register("infer_schema_sample", f"SELECT {_SOURCE} FROM orders")
 def infer_schema_sample(spark: SparkSession, d: str) -> DataFrame:
-    """All rows, conformed to what a bounded sample shows (the sample is the operator's own limit)."""
-    source = _source(spark, d).withColumn("o_orderdate", F.date_trunc("day", "o_orderdate"))
+    """All rows, conformed to what all of them show: no time of day, so a date."""
+    source = _source(spark, d)
     return conform(source, infer_schema(source))
 
 

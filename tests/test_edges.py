@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from saltmarsh.functions import calendar as cal
 from saltmarsh.functions import names, typemap
-from saltmarsh.functions.coerce import coerce_col, coerce_to, infer_schema
+from saltmarsh.functions.coerce import coerce_col, coerce_to, conform, infer_schema
 from saltmarsh.operators import gates, merge, metadata, orders, reconcile, value
 from saltmarsh.plans import dims
 from saltmarsh.plans.shared import scratch
@@ -149,6 +149,12 @@ def test_inferred_schema(spark):
     assert infer_schema(df).simpleString() == "struct<d:date,t:timestamp_ntz,n:int>"
 
 
+def test_inferred_schema_keeps_times_of_late_rows(spark):
+    df = spark.range(100_101, numPartitions=1).selectExpr("IF(id < 100100, timestamp_ntz'2024-01-01 00:00:00', timestamp_ntz'2024-01-01 01:00:00') AS at")
+    assert infer_schema(df).simpleString() == "struct<at:timestamp_ntz>"
+    assert conform(df, infer_schema(df)).where("hour(at) = 1").count() == 1
+
+
 def test_snapshot_skips_working_datasets(spark):
     df = spark.createDataFrame([("temp_x", "t", "description", "a"), ("sales", "t", "description", "b"), ("sales", "t", "labels", "c")], "table_schema string, table_name string, option_name string, option_value string")
     assert [r.option_value for r in metadata.table_snapshot(df, "2024-01-01").collect()] == ["b"]
