@@ -294,6 +294,7 @@ register("latest_in_month", _chain_sql("gaps60", "global_vol_account_id, ord_mo_
 register("running_max", _chain_sql("daily", "global_vol_account_id, ord_mo_yr_id, ord_dt, max(ord_dt) OVER (PARTITION BY global_vol_account_id ORDER BY ord_mo_yr_id) AS month_lst_date_acc"))(
     lambda spark, d: value.daily(_stage(spark, d)).selectExpr("global_vol_account_id", "ord_mo_yr_id", "ord_dt", "max(ord_dt) OVER (PARTITION BY global_vol_account_id ORDER BY ord_mo_yr_id) AS month_lst_date_acc")
 )
+register("demand_daily", _rounded_sql("daily"))(lambda spark, d: _rounded(value.daily(_stage(spark, d))))
 register("demand_metrics", _rounded_sql("demand_metrics"))(lambda spark, d: _rounded(value.demand_metrics(_stage(spark, d))))
 register("minmax_scaled", _rounded_sql("minmax_scaled"))(lambda spark, d: _rounded(value.minmax_scaled(value.demand_metrics(_stage(spark, d)))))
 register("metrics_joined", _rounded_sql("metrics_joined"))(lambda spark, d: _rounded(_joined(spark, d)))
