@@ -8,8 +8,9 @@ is closed by cutting the shortest piece left. So every window of a group is full
 tokens are laid into windows of power-of-two lengths. Windows of one tier are then dealt to step
 groups of equal token counts, in snake order of their attention cost, so that steps cost about the same.
 
-Packing is done in groups of documents chosen by a hash of doc_id, of about `group_bytes` text
-bytes each; groups are independent, so work spreads over any number of tasks and a lost task is
+Packing is done in groups of documents chosen by a hash of doc_id and text, of about `group_bytes` text
+bytes each; repeats of a row are spread by their place in their task, so that no key fills a group (docs
+must come in the same order if a task is redone, as from files). Groups are independent, so work spreads over any number of tasks and a lost task is
 redone with the same result (a group is sorted before it is packed).
 
 Token ids equal the library's. Texts of common characters are cut with an equal pattern and their
@@ -31,6 +32,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,9 +84,12 @@ _encoders: dict[str, Encoder] = {}
 
 
 def tokenise(docs: DataFrame, path_of: Callable[[], str], closing_id: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, ids (packed little-endian, closing id included), width (bytes of an id)."""
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("_text"))
-    schema = source.drop("_text").schema.add("ids", "binary").add("width", "integer")
+    """doc_id, ids (packed little-endian, closing id included), width (bytes of an id), and the row's hash and salt.
+
+    The salt is 0, but for rows that an Arrow batch has had before: these have one each.
+    """
+    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("_text"), F.xxhash64(id_col, text).alias("row_hash"))
+    schema = source.drop("_text", "row_hash").schema.add("ids", "binary").add("width", "integer").add("row_hash", "long").add("salt", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = path_of()
@@ -92,13 +97,18 @@ def tokenise(docs: DataFrame, path_of: Callable[[], str], closing_id: int, id_co
             _encoders[path] = Encoder(path)
         encoder = _encoders[path]
         close = np.array([closing_id], dtype=encoder.unit).tobytes()
+        seen = (TaskContext.get().partitionId() << 40) + 1
         for whole in batches:
+            salt = np.arange(seen, seen + whole.num_rows)
+            salt[np.unique(whole.column("row_hash").to_numpy(), return_index=True)[1]] = 0
+            seen += whole.num_rows
+            whole = pa.RecordBatch.from_arrays([*whole.columns, pa.array(salt, pa.int64())], names=[*whole.schema.names, "salt"])
             for batch in slices(whole, "_text"):
                 if len(encoder) > REMEMBERED:
                     encoder.clear()
                 ids = [encoder.encode(t or "") + close for t in batch.column("_text").to_pylist()]
                 width = pa.array(np.full(len(ids), encoder.unit.itemsize, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary()), width], names=["doc_id", "ids", "width"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary()), width, batch.column("row_hash"), batch.column("salt")], names=["doc_id", "ids", "width", "row_hash", "salt"])
 
     return source.mapInArrow(run, schema)
 
@@ -174,7 +184,7 @@ def pack_documents(docs: DataFrame, path_of: Callable[[], str] = byte_bpe_path,
     """One row per piece: where it comes from, and where it lies."""
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0))).first()[0]
     groups = max(1, -(-total // group_bytes))
-    number = F.pmod(F.xxhash64("doc_id"), F.lit(groups)).alias("g")
+    number = F.pmod(F.xxhash64("row_hash", "salt"), F.lit(groups)).alias("g")
     tokens = tokenise(docs, path_of, closing_id).select(number, "doc_id", "ids", "width")
     first_step = 1 << 20
 

@@ -88,3 +88,11 @@ def test_packing_of_odd_rows(spark):
             at += p.length
         assert at <= 2048 and at & (at - 1) == 0
     assert op9.pack_documents(table(spark, [])).count() == 0
+
+
+def test_no_key_fills_a_group(spark):
+    rows = [(None, f"word{i} " * 50) for i in range(400)] + [(7, "the same text " * 25)] * 400
+    got = op9.pack_documents(table(spark, rows), group_bytes=30_000).groupBy("doc_id", (F.col("sequence_id") / 2**32).cast("int").alias("g")).agg(F.sum((F.col("start") == 0).cast("int")).alias("n")).collect()
+    for key in (None, 7):
+        sizes = [r.n for r in got if r.doc_id == key]
+        assert sum(sizes) == 400 and max(sizes) < 120
