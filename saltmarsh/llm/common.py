@@ -19,10 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """A new folder under spark.checkpoint.dir, which driver and executors share.
 
-    Only where that setting is missing (tests on one machine) is a temporary folder set up.
+    Only where that setting is missing on one machine (local master, as in tests) is a temporary folder set up.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("saltmarsh.shared.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="spark-saltmarsh-")
         spark.conf.set("saltmarsh.shared.dir", base)
     return f"{base.rstrip('/')}/saltmarsh-{uuid.uuid4().hex}"
@@ -39,6 +41,14 @@ def durable(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(taken: Iterable[str], name: str) -> str:
+    """A column name that none of those taken has, in whatever case."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name = f"_{name}"
+    return name
+
+
 def rows_to_batches(columns: dict[str, Iterable], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
 

@@ -1,75 +1,99 @@
 """N-gram Jaccard join of documents: every link between different texts, and its components.
 
-Documents are sets of five-word shingles (`setjoin`). Equal sets are one class from the start. Of
-each prefix shingle the class where it stands first is the pivot: all others that pass the filters
-are verified against it, once per pair, and what links is one component. Then only pairs of
-different components that share a prefix shingle are left; each passes the length, positional and
-suffix filters and is verified once. So a group of near copies costs its size, not its square, and
-no link between components is lost.
+Documents are sets of five-word shingles, joined on the rarest of them (`setjoin`): prefix, length,
+positional and suffix filters leave the pairs that are verified, each once. Equal sets are one class
+from the start. Of a crowded key the class in which it stands first is the pivot: all others that pass
+the filters are verified against it, and what links is one component. Then only pairs of different
+components that share such a key are left, and are verified too. So a group of near copies costs its
+size, not its square, and no link between components is lost.
 
 Defined results: texts that are null, empty or of white space have no shingles and are alone; so are
 rows without a doc_id, whose component is null. Rows sharing a doc_id are one document: what either
-links to, both do. Extra columns don't pass. An empty table gives no rows.
+links to, both do. doc_id is a long. Extra columns don't pass. An empty table gives no rows. A text takes
+time in proportion to its length; one text has to fit a task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saltmarsh.llm import setjoin
-from saltmarsh.llm.common import durable, table
+from saltmarsh.llm.common import durable, slices, table
 from saltmarsh.llm.components import components
 from saltmarsh.llm.setjoin import fitting
 
 SPEC = setjoin.Spec()
+_PAIR = ["k1", "k2", "j1", "j2"]
 
 
 def _unordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("ka", "kb").alias("ka"), F.greatest("ka", "kb").alias("kb")).distinct()
+    swap = F.struct("k1", "k2") > F.struct(F.col("j1").alias("k1"), F.col("j2").alias("k2"))
+    return pairs.select(*[F.when(swap, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in zip(_PAIR, ("j1", "j2", "k1", "k2"), strict=True)]).distinct()
+
+
+def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, spec: setjoin.Spec) -> DataFrame:
+    """Links (a, b) of the documents that stand for the classes of pairs, where they are similar enough."""
+    return durable(setjoin.checked(pairs, classes, docs, spec).select(F.col("at.doc_id").alias("a"), F.col("other.doc_id").alias("b")).where("a <> b"))
+
+
+def _crowded(found: DataFrame, classes: DataFrame, docs: DataFrame, links: DataFrame, spec: setjoin.Spec) -> DataFrame:
+    """links and those that crowded keys add."""
+    entries = durable(setjoin.crowd_entries(found))
+    pivots = entries.groupBy("gram").agg(F.min(F.struct("place", "k1", "k2", "n", "sig")).alias("p")).select("gram", "p.*")
+    tried = durable(_unordered(fitting(entries, durable(pivots), "true", spec)))
+    links = durable(links.union(_links(tried, classes, docs, spec)))
+    place = components(links)
+    label = durable(classes.join(place, F.col("at.doc_id") == F.col("id"), "left").select("k1", "k2", F.coalesce("component", "at.doc_id").alias("c")))
+    labelled = durable(entries.join(label, ["k1", "k2"]))
+    mixed = labelled.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("gram")
+    rest = durable(labelled.join(setjoin.ids_side(mixed), "gram", "left_semi"))
+    left = _unordered(fitting(rest, rest, "x_c < y_c", spec)).join(tried, _PAIR, "left_anti")
+    return links.union(_links(durable(left), classes, docs, spec))
+
+
+def _alone(docs: DataFrame, spec: setjoin.Spec) -> DataFrame:
+    """Rows without a doc_id: their number of shingles."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rare = np.zeros(setjoin.BUCKETS, dtype=np.uint8)
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                sets = setjoin.sets_of(batch.column("text"), spec, rare)
+                n = np.zeros(batch.num_rows, dtype=np.int64)
+                n[sets.row] = sets.n
+                yield pa.RecordBatch.from_arrays([pa.array(n)], names=["n_shingles"])
 
-def _checked(keys: DataFrame, classes: DataFrame, docs: DataFrame, spec: setjoin.Spec) -> DataFrame:
-    """Links (a, b) of representatives among pairs of keys, after the suffix filter."""
-    side = lambda k: classes.select(F.col("k1").alias(f"k{k}"), F.col("rep").alias(k), F.col("n").alias(f"n{k}"), F.col("sig").alias(f"s{k}"))
-    pairs = keys.join(side("a"), "ka").join(side("b"), "kb").where(setjoin.suffixes_fit(F.col("na"), F.col("sa"), F.col("nb"), F.col("sb"), spec))
-    pairs = durable(pairs.where("a <> b").select("a", "b"))
-    ids = setjoin.ids_side(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-    texts = durable(docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi"))
-    return durable(setjoin.verify(pairs, texts, spec))
+    n = docs.where("doc_id is null").select("text").mapInArrow(run, "n_shingles long")
+    return n.select(F.lit(None).cast("long").alias("doc_id"), "n_shingles", F.lit(None).cast("long").alias("component_id"))
 
 
 def link_components(docs: DataFrame, spec: setjoin.Spec = SPEC) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per row of docs."""
-    docs = docs.select("doc_id", "text")
-    units, counts = setjoin.scan(docs, spec)
-    classes = durable(
-        units.where("n > 0 and doc_id is not null").groupBy("k1", "k2", "n", "sig").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    )
-    entries = setjoin.shared_entries(docs.where("doc_id is not null"), units, counts, spec)
-
-    pivots = durable(entries.groupBy("gram").agg(F.min(F.struct("place", "key", "n")).alias("p")).select("gram", "p.place", "p.key", "p.n"))
-    tried = durable(_unordered(fitting(entries, pivots, "x_key <> y_key", spec)))
-    links = _checked(tried, classes, docs, spec)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = setjoin.join_sets(docs.where("doc_id is not null"), spec)
+    classes = setjoin.classes_of(found)
+    links = _links(found.where("kind = 'pair'").select(*_PAIR).distinct(), classes, docs, spec)
     # Rows that share a doc_id but not a text make one node of several classes.
-    same_id = units.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).where("lo <> hi").select("doc_id")
-    twice = units.where("n > 0").join(setjoin.ids_side(same_id), "doc_id").join(classes.select("k1", "k2", "rep"), ["k1", "k2"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    members = found.where("kind in ('first', 'same') and n > 0").select("doc_id", "k1", "k2")
+    same_id = members.groupBy("doc_id").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).where("lo <> hi").select("doc_id")
+    twice = members.join(setjoin.ids_side(same_id), "doc_id").join(classes, ["k1", "k2"]).select(F.col("doc_id").alias("a"), F.col("at.doc_id").alias("b")).where("a <> b")
     links = durable(links.union(twice))
-    found = durable(components(links))
-
-    label = classes.select("k1", "rep").join(found, classes["rep"] == found["id"], "left").select(F.col("k1").alias("key"), F.coalesce("component", "rep").alias("c"))
-    labelled = entries.join(durable(label), "key")
-    mixed = durable(labelled.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("gram"))
-    rest = durable(labelled.join(mixed, "gram", "left_semi"))
-    left = _unordered(fitting(rest, rest, "x_c < y_c", spec))
-    more = _checked(durable(left.join(tried, ["ka", "kb"], "left_anti")), classes, docs, spec)
-    if not more.isEmpty():
-        found = durable(components(links.union(more)))
-
-    whole = classes.join(found, classes["rep"] == found["id"], "left").where("copies > 1 or id is not null").select("k1", "k2", F.coalesce("component", "rep").alias("c"))
-    out = units.select("doc_id", "n", "k1", "k2").join(durable(whole), ["k1", "k2"], "left")
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("c")), F.col("doc_id")))
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
+    if not found.where("kind = 'crowd'").isEmpty():
+        links = durable(_crowded(found, classes, docs, links, spec))
+    place = durable(components(links).select("id", "component"))
+
+    first = found.where("kind = 'first'").select("doc_id", "n").join(place, F.col("doc_id") == F.col("id"), "left").select("doc_id", "n", F.coalesce("component", "doc_id").alias("c"))
+    same = found.where("kind = 'same' and n > 0").select("doc_id", "n", "k1", "k2")
+    label = same.select("k1", "k2").distinct().join(classes, ["k1", "k2"]).join(place, F.col("at.doc_id") == F.col("id"), "left").select("k1", "k2", F.coalesce("component", "at.doc_id").alias("c"))
+    same = same.join(setjoin.ids_side(label), ["k1", "k2"]).select("doc_id", "n", "c")
+    wordless = found.where("kind = 'same' and n = 0").select("doc_id", "n", F.col("doc_id").alias("c"))
+    out = first.union(same).union(wordless).select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("c").alias("component_id"))
+    return out.union(_alone(docs, spec))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,98 +1,110 @@
-"""Line deduplication by an exact set-similarity join.
+"""Line deduplication by an exact set-similarity join on line tokens.
 
-A line is the set of its five-word shingles (lower-cased; a line of fewer words is one shingle).
-All lines with a word take part in the query and the pipeline (`WHOLE`); a caller may leave out lines
-of under `min_words` words, as `SPEC` does with those of under five. Shingles are ordered by rarity; prefix,
-positional and length filters (`setjoin`) leave the pairs whose Jaccard similarity is then verified.
-A line is removed if an earlier line, by (doc_id, line number), is similar enough (3/4 or more);
-whether that line was itself removed doesn't matter, so the result has no order of work in it.
+A line is the set of its distinct words (lower-cased A-Z). Two lines are similar when the Jaccard
+similarity of their sets is 3/4 or more. A line is removed if an earlier line, by (doc_id, line
+number), is similar; whether that line was itself removed doesn't matter, so the result has no order
+of work in it. Lines with a word all take part, however short.
 
-Lines with equal sets are one class, whose first line stands for it. A class is first tried against
-two classes for each of its prefix shingles: the earliest there, and the one in which the shingle
-stands first (near copies of one line agree with that one most often). Only classes that neither
-removes are joined with all earlier classes, so a group of near copies costs about its size.
+Tokens are ordered by rarity; prefix, length, positional and suffix filters (`setjoin`) leave the pairs
+whose Jaccard similarity is verified, once per pair. Lines of equal sets are one class, whose first line
+stands for it; the others go at once. Classes of a crowded key are first tried against the earliest
+class there and the one in which the key stands first, and only those that neither removes are joined
+with all earlier ones. So a large group of near copies costs its size, not its square, and no link is lost.
 
 Defined results: null and empty texts have no lines that take part and come back unchanged; so do
 rows without a doc_id. Rows sharing doc_id and text lose the same lines; rows sharing a doc_id but
 not a text are ordered by a hash of the text. A text keeps its other lines and the breaks between
-them; one that loses all lines comes back empty. Other columns pass unchanged. An empty table comes
-back empty.
+them; one that loses all lines comes back empty. Other columns pass unchanged, whatever their names,
+but `n_chars` (if there) is counted anew and a column of the name given for the number of removed lines
+is replaced. doc_id is a long. An empty table comes back empty. A text takes time in proportion to its
+length; one text has to fit a task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from saltmarsh.llm import setjoin
-from saltmarsh.llm.common import durable, table
-from saltmarsh.llm.setjoin import fitting
+from saltmarsh.llm.common import durable, fresh, slices, table
+from saltmarsh.llm.setjoin import AT, fitting
 
-SPEC = setjoin.Spec(lines=True, min_words=5)
-WHOLE = setjoin.Spec(lines=True)
-AT = ["doc_id", "doc_key", "line"]
+SPEC = setjoin.Spec(lines=True, words=1)
 
 
-def _lines_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, text) for wanted (id, doc_id, doc_key, line): those lines' texts, stored."""
-    keyed = docs.select("doc_id", "text", setjoin.text_key().alias("doc_key")).where("doc_id is not null")
-    found = keyed.join(setjoin.ids_side(wanted), ["doc_id", "doc_key"])
-    return durable(found.select("id", F.element_at(F.split("text", "\n", -1), F.col("line") + 1).alias("text")).dropDuplicates(["id"]))
+def _later(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(k1, k2, doc_id, doc_key, line): the later class of each pair that is similar enough, and its first line."""
+    similar = setjoin.checked(pairs, classes, docs, SPEC)
+    later = F.col("at") > F.col("other")
+    rows = similar.select(F.when(later, F.col("k1")).otherwise(F.col("j1")).alias("k1"), F.when(later, F.col("k2")).otherwise(F.col("j2")).alias("k2"), F.greatest("at", "other").alias("at"))
+    return durable(rows.dropDuplicates(["k1", "k2"]).select("k1", "k2", "at.*"))
 
 
-def _checked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, spec: setjoin.Spec) -> DataFrame:
-    """Of pairs of keys (later, earlier) the later ones (k1, k2) that are similar enough, after the suffix filter."""
-    side = lambda k: classes.select(F.col("k1").alias(f"k{k}"), F.col("id").alias(k), F.col("n").alias(f"n{k}"), F.col("sig").alias(f"s{k}"), F.col("at").alias(f"at_{k}"))
-    both = pairs.join(side("a"), "ka").join(side("b"), "kb").where("at_b < at_a")
-    both = durable(both.where(setjoin.suffixes_fit(F.col("na"), F.col("sa"), F.col("nb"), F.col("sb"), spec)).select("a", "b"))
-    ids = both.select(F.col("a").alias("id")).union(both.select("b")).distinct()
-    wanted = classes.select("id", "at").join(ids, "id", "left_semi").select("id", "at.doc_id", "at.doc_key", "at.line")
-    return durable(setjoin.verify(both, _lines_of(docs, wanted), spec).select(F.col("a").alias("id")).distinct())
+def _crowded(found: DataFrame, classes: DataFrame, docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Classes that crowded keys remove, beside those gone already."""
+    fields = ("at", "k1", "k2", "n", "place", "sig")
+    entries = durable(setjoin.crowd_entries(found).join(classes, ["k1", "k2"]))
+    pivots = durable(entries.groupBy("gram").agg(F.min(F.struct(*fields)).alias("e"), F.min(F.struct("place", *(f for f in fields if f != "place"))).alias("c")))
+    either = pivots.select("gram", F.explode(F.array_distinct(F.array(*[F.struct(*[F.col(f"{p}.{f}").alias(f) for f in fields]) for p in "ec"]))).alias("p")).select("gram", "p.*")
+    tried = durable(fitting(entries, either, "y_at < x_at", SPEC))
+    more = _later(tried, classes, docs)
+    left = entries.join(gone.select("k1", "k2").union(more.select("k1", "k2")), ["k1", "k2"], "left_anti")
+    rest = fitting(durable(left), entries, "y_at < x_at", SPEC).join(tried, ["k1", "k2", "j1", "j2"], "left_anti")
+    return more.union(_later(durable(rest), classes, docs))
 
 
-def later_lines(docs: DataFrame, spec: setjoin.Spec = SPEC) -> DataFrame:
+def later_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, doc_key, line) of the lines to remove."""
     docs = docs.select("doc_id", "text").where("doc_id is not null")
-    units, counts = setjoin.scan(docs, spec)
-    grouped = units.where("n > 0").groupBy("k1", "k2", "n", "sig").agg(F.min(F.struct(*AT)).alias("at"), F.count(F.lit(1)).alias("copies"))
-    classes = durable(grouped.withColumn("id", F.xxhash64("at.doc_id", "at.doc_key", "at.line")))
-    entries = durable(setjoin.shared_entries(docs, units, counts, spec).join(classes.select(F.col("k1").alias("key"), "at"), "key"))
-
-    first = [F.min(F.struct("at", "key", "n", "place")).alias("e"), F.min(F.struct("place", "at", "key", "n")).alias("c")]
-    pivots = durable(entries.groupBy("gram").agg(*first))
-    fields = ("at", "key", "n", "place")
-    either = pivots.select("gram", F.explode(F.array_distinct(F.array(*[F.struct(*[F.col(f"{p}.{f}").alias(f) for f in fields]) for p in "ec"]))).alias("p")).select("gram", "p.*")
-    tried = durable(fitting(entries, either, "y_at < x_at and x_key <> y_key", spec))
-    gone = _checked(tried, classes, docs, spec)
-
-    decided = durable(classes.join(gone, "id", "left_semi").select(F.col("k1").alias("key")))
-    open_side = durable(entries.join(decided, "key", "left_anti"))
-    rest = fitting(open_side, entries, "y_at < x_at and x_key <> y_key", spec)
-    more = _checked(durable(rest.join(tried, ["ka", "kb"], "left_anti")), classes, docs, spec)
-    gone = gone.union(more)
-
-    removed = classes.join(gone.withColumn("whole", F.lit(True)), "id", "left").where("copies > 1 or whole").select("k1", "k2", "at", F.coalesce("whole", F.lit(False)).alias("whole"))
-    hit = units.join(durable(removed), ["k1", "k2"])
-    return hit.where(F.col("whole") | (F.struct(*AT) != F.col("at"))).select(*AT).distinct()
-
-
-def remove_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """docs with the given lines cut out of their texts, and n_chars (if there) counted anew."""
-    columns = docs.columns
-    cut = lines.groupBy(F.col("doc_id").alias("_doc"), F.col("doc_key").alias("_key")).agg(F.collect_set("line").alias("_cut"))
-    joined = docs.withColumn("_own", setjoin.text_key()).join(cut, (F.col("doc_id") == F.col("_doc")) & (F.col("_own") == F.col("_key")), "left")
-    kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("_cut", i)), "\n")
-    out = joined.withColumn("text", F.when(F.col("_cut").isNull(), F.col("text")).otherwise(kept)).withColumn("n_removed", F.coalesce(F.size("_cut"), F.lit(0)))
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.when(F.col("_cut").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.select(*columns, "n_removed")
-
-
-def dedup(docs: DataFrame, spec: setjoin.Spec = SPEC) -> DataFrame:
-    """docs without later similar lines, and n_removed."""
-    return remove_lines(docs, durable(later_lines(docs, spec)))
+    found = setjoin.join_sets(docs, SPEC)
+    classes = setjoin.classes_of(found)
+    gone = _later(found.where("kind = 'pair'").select("k1", "k2", "j1", "j2").distinct(), classes, docs)
+    if not found.where("kind = 'crowd'").isEmpty():
+        gone = gone.union(_crowded(found, classes, docs, gone))
+    return found.where("kind = 'same'").select(*AT).union(gone.select(*AT))
+
+
+def remove_lines(docs: DataFrame, lines: DataFrame, counted: str | None = "n_removed") -> DataFrame:
+    """docs with the given lines cut out of their texts, n_chars (if there) counted anew, and their number as `counted`."""
+    docs = docs.drop(counted) if counted else docs
+    own, cut = fresh(docs.columns, "own"), fresh(docs.columns, "cut")
+    lists = lines.groupBy(F.col("doc_id").alias("_doc"), F.col("doc_key").alias("_key")).agg(F.collect_set("line").alias(cut))
+    keyed = docs.withColumn(own, setjoin.text_key())
+    joined = keyed.join(lists, (keyed["doc_id"] == lists["_doc"]) & (keyed[own] == lists["_key"]), "left").select(*[keyed[f"`{c}`"] for c in docs.columns], lists[cut])
+    names = docs.columns
+    schema = T.StructType([*docs.schema.fields, *([T.StructField(counted, T.IntegerType())] if counted else [])])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                texts, cuts = batch.column("text").to_pylist(), batch.column(cut)
+                columns = dict(zip(names, batch.columns, strict=False))
+                n = pa.compute.fill_null(pa.compute.list_value_length(cuts), 0).cast(pa.int32())
+                changed = np.flatnonzero(n.to_numpy(zero_copy_only=False))
+                for k in changed:
+                    gone = set(cuts[int(k)].as_py())
+                    texts[k] = "\n".join(x for i, x in enumerate(texts[k].split("\n")) if i not in gone)
+                columns["text"] = pa.array(texts, pa.string())
+                if "n_chars" in columns:
+                    kind = columns["n_chars"].type
+                    columns["n_chars"] = pa.compute.if_else(pa.compute.greater(n, 0), pa.compute.utf8_length(columns["text"]).cast(kind), columns["n_chars"])
+                if counted:
+                    columns[counted] = n
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    return joined.mapInArrow(run, schema)
+
+
+def dedup(docs: DataFrame, counted: str | None = "n_removed") -> DataFrame:
+    """docs without later similar lines, and the number of those that went."""
+    return remove_lines(docs, durable(later_lines(docs)), counted)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup(table(spark, sf_dir, "documents"), WHOLE)
+    out = dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_removed", "n_chars", F.size(F.split("text", "\n", -1)).alias("n_lines"), F.sha2(F.encode("text", "utf-8"), 256).alias("text_sha256"))

@@ -1,14 +1,24 @@
-"""An exact set-similarity self-join of word-shingle sets, for whole documents or single lines.
-
-The sets' shingles are put in one global order, rarest first (by a table of counts of fixed size, so
-the order needs no shuffle of shingles). Two sets of Jaccard similarity t or more then share one of
-the first n - ceil(t n) + 1 shingles of each (the prefix), have lengths in proportion (length
-filter), and share enough after their first common shingle (positional filter). Sets are known by a
-hash of their shingles, so equal sets are one key from the start.
-
-Prefix entries travel as packed arrays, sorted into slots by shingle; only shingles met in two
-different sets leave the slots as rows. A shingle so frequent that it would fill a task is spread
-over several slots; its entries are then all passed on.
+"""An exact set-similarity self-join, of documents as sets of word shingles or of lines as sets of words.
+
+A set's tokens (shingles or words) are put in one global order, rarest first, by a table of counts of
+fixed size that a first pass sums over the corpus, so the order needs no shuffle of tokens. Two sets of
+Jaccard similarity t or more, of n tokens and m, then share one of the first n - ceil(t n) + 1 tokens of
+each (the prefix), have sizes in proportion (length filter), and enough left behind their first common
+token (positional filter). What stands behind that token in both may differ by no more than the rest
+allows: the suffix filter bounds that difference from below by the bits in which parity sketches of the
+two suffixes differ. Each pair that passes is verified once, from the texts.
+
+Sets are known by a hash of 96 bits of their tokens, so equal sets are one class from the start, whose
+first member by (doc_id, hash of the text, line) stands for it. A task puts equal sets together before
+anything is shuffled, so a set that stands everywhere arrives once a task. Entries (key, class, size,
+place, sketch) travel as packed arrays, sorted into slots by key; pairs are made in numpy, slot by slot.
+
+Different sets of similarity 3/4 or more share three tokens at least. So a prefix token that is frequent
+in the corpus is no key by itself, for small sets: it is joined with the next tokens, two or three
+together, which are rarer. A key with more than `CROWD` classes even so (near copies of one text, for
+the most part) leaves its slot as rows, for a join of its own (`fitting`) that tries pivots first. A
+token so frequent that its entries would fill a task is spread over several slots; they are all passed
+on. Nothing is dropped.
 """
 
 from __future__ import annotations
@@ -26,28 +36,39 @@ from saltmarsh.llm import textarrays as ta
 from saltmarsh.llm.common import durable, slices
 
 BUCKETS, BLOCKS = 1 << 20, 64
-#: Entries (24 bytes) held by a task before it passes them on; entries aimed at per slot task.
-HELD, PER_TASK = 1_500_000, 2_000_000
-#: Occurrences, beyond twice the mean of all buckets, from which a shingle's entries are spread over several slots.
-HOT = 1_000_000
-#: Rows of ids (16 bytes each) up to which a list of ids is broadcast; beyond, a shuffled join is used.
-BROADCAST_IDS = 2_000_000
+#: Occurrences, beyond twice the mean of all buckets, from which a prefix token is joined with the next ones to make keys,
+#: and from which its entries are spread over several slots.
+FREQUENT, HOT = 50_000, 1_000_000
+#: Sets of this many tokens and more also have single keys for frequent tokens; those up to a third more have joined ones.
+LONG = 48
+#: Classes of one key up to which all its pairs are looked at in its task.
+CROWD = 256
+#: Entries (28 bytes) a task holds before passing them on; those aimed at per joining task; those a slot holds before it is thinned.
+HELD, PER_TASK, THIN = 1_000_000, 1_000_000, 2_000_000
+#: Pairs looked at together.
+AT_ONCE = 2_000_000
+#: Rows of a list of ids, and bytes of it in memory, up to which it is broadcast; beyond, a shuffled join is used.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32_000_000
+AT = ["doc_id", "doc_key", "line"]
+ENTRIES, SALTED, FIRST, SAME = range(4)
 U = np.uint64
+_ENTRY = (("gram", "<u4"), ("k1", "<u8"), ("k2", "<u4"), ("sig", "<u8"), ("n", "<u2"), ("place", "<u2"))
+_MEMBER = (("k1", "<u8"), ("k2", "<u4"), ("n", "<u4"), ("doc_id", "<i8"), ("doc_key", "<i8"), ("line", "<i4"))
+Columns = dict[str, np.ndarray]
 
 
 @dataclass(frozen=True)
 class Spec:
-    """What a set is made of: the unit, its words per shingle, and the similarity num/den to reach."""
+    """What a set is made of: whole texts or lines, words per token, and the similarity num/den (3/4 or more) to reach."""
 
     lines: bool = False
     words: int = 5
     num: int = 3
     den: int = 4
-    min_words: int = 1
 
 
 def needed(n: Column, m: Column, spec: Spec) -> Column:
-    """The least overlap of sets of n and m shingles that reaches the similarity: ceil(t / (1 + t) (n + m))."""
+    """The least overlap of sets of n and m tokens that reaches the similarity: ceil(t / (1 + t) (n + m))."""
     return F.ceil((n + m) * F.lit(spec.num) / F.lit(spec.num + spec.den))
 
 
@@ -56,63 +77,37 @@ def lengths_fit(n: Column, m: Column, spec: Spec) -> Column:
 
 
 def positions_fit(n: Column, i: Column, m: Column, j: Column, spec: Spec) -> Column:
-    """Holds at the first common shingle (i-th and j-th from 0) of every pair that is similar enough."""
+    """Holds at the first common token (i-th and j-th from 0) of every pair that is similar enough."""
     return (F.least(n - i, m - j)) * (spec.num + spec.den) >= (n + m) * spec.num
 
 
-def suffixes_fit(n: Column, a: Column, m: Column, b: Column, spec: Spec) -> Column:
-    """The suffix filter: cut by eight fixed pivots, two sets differ at least by the differences of
-    their parts' sizes. Sizes are kept modulo 256, and so compared on the circle, which is no more."""
-    apart = F.lit(0)
-    for k in range(8):
-        d = F.abs(F.shiftrightunsigned(a, 8 * k).bitwiseAND(F.lit(255)) - F.shiftrightunsigned(b, 8 * k).bitwiseAND(F.lit(255)))
-        apart = apart + F.least(d, F.lit(256) - d)
-    return apart <= n + m - 2 * needed(n, m, spec)
+def suffixes_fit(n: Column, i: Column, a: Column, m: Column, j: Column, b: Column, spec: Spec) -> Column:
+    """The suffix filter, at the first common token: the tokens before it all differ, and those behind it at least by
+    the bits in which the suffixes' sketches a and b differ."""
+    return i + j + F.bit_count(a.bitwiseXOR(b)) <= n + m - 2 * needed(n, m, spec)
 
 
-def unit_words(column: pa.Array, spec: Spec) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes, the unit of each word, and of each unit with enough words its row and line number."""
-    w = ta.words(column, lower=True)
-    if spec.lines:
-        breaks = np.concatenate([[0], np.cumsum(w.raw == 10)])
-        line = breaks[w.start] + w.row  # ascending, and different across rows and lines
-        own = breaks[w.start] - breaks[w.offsets[w.row]]
-    else:
-        line, own = w.row, np.zeros(len(w.row), dtype=np.int64)
-    if not len(line):
-        return w.hash, line, w.row, own
-    head = np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
-    size = np.diff(np.append(head, len(line)))
-    long_enough = size >= spec.min_words
-    keep = np.repeat(long_enough, size)
-    unit = np.repeat(np.cumsum(long_enough) - 1, size)[keep]
-    return w.hash[keep], unit, w.row[head[long_enough]], own[head[long_enough]]
+def prefix_size(n: np.ndarray, spec: Spec) -> np.ndarray:
+    return n + (-n * spec.num) // spec.den + 1
 
 
-def signed(x: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(x, dtype=U).view(np.int64)
+def bucket(token: np.ndarray) -> np.ndarray:
+    return (token >> U(64 - 20)).astype(np.int64)
 
 
-def describe(owner: np.ndarray, shingle: np.ndarray, units: int) -> tuple[np.ndarray, ...]:
-    """Of each unit: number of shingles, a 128-bit key of the set, the sizes of its eight parts."""
-    n = np.bincount(owner, minlength=units).astype(np.int64)
-    key1, key2 = np.zeros(units, dtype=U), np.zeros(units, dtype=U)
-    if len(owner):
-        head = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-        at = owner[head]
-        key1[at] = ta.mix(np.add.reduceat(ta.mix(shingle, 101), head) + n[at].astype(U))
-        key2[at] = ta.mix(np.add.reduceat(ta.mix(shingle, 202), head) ^ n[at].astype(U), 3)
-    part = np.bincount(owner * 8 + (shingle >> U(61)).astype(np.int64), minlength=units * 8).reshape(units, 8)
-    sig = (part.astype(U) % U(256)) << (np.arange(8, dtype=U) * U(8))
-    return n, signed(key1), signed(key2), signed(np.bitwise_or.reduce(sig, axis=1) if units else np.zeros(0, dtype=U))
+def rarity(counts: np.ndarray) -> np.ndarray:
+    """Counts on a logarithmic scale of eighths of a power of two, one byte each."""
+    return np.minimum(8 * np.log2(1 + counts.astype(np.float64)), 255).astype(np.uint8)
 
 
-UNITS = "doc_id long, doc_key long, line int, n int, k1 long, k2 long, sig long"
-_UNITS_ARROW = [("doc_id", pa.int64()), ("doc_key", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("sig", pa.int64())]
+def excess(counts: np.ndarray) -> np.ndarray:
+    """Counts beyond twice the mean: what a bucket holds by chance grows with the corpus, and makes no token frequent."""
+    return counts - 2 * counts.mean() if len(counts) else counts
 
 
-def bucket(shingle: np.ndarray) -> np.ndarray:
-    return (shingle >> U(64 - 20)).astype(np.int64)
+def salts(counts: np.ndarray) -> np.ndarray:
+    """Over how many slots the entries of a bucket's tokens go. Nearly all are 1, however large the corpus."""
+    return np.maximum(1, np.ceil(excess(counts) / HOT)).astype(np.uint32)
 
 
 def text_key(text: str = "text") -> Column:
@@ -120,182 +115,416 @@ def text_key(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def scan(docs: DataFrame, spec: Spec) -> tuple[DataFrame, np.ndarray]:
-    """All units of docs (columns of UNITS), stored, and the counts of shingles, in one pass over the texts.
+@dataclass
+class Sets:
+    """Sets with a token: of each its row, its line number, size and class key; their tokens in global order, rarest first."""
+
+    row: np.ndarray
+    line: np.ndarray
+    n: np.ndarray
+    k1: np.ndarray
+    k2: np.ndarray
+    owner: np.ndarray
+    token: np.ndarray
+    place: np.ndarray
+    suffix: np.ndarray  # of each token, the parity sketch of what follows it in its set
 
-    A document without words has a unit with n = 0; lines without enough words have none.
-    """
-    source = docs.select("doc_id", F.col("text").alias("_text"), text_key().alias("doc_key"))
+
+def unit_tokens(column: pa.Array, spec: Spec) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(unit, token) of all tokens, units ascending; row and line number of each unit. Every unit has a word."""
+    w = ta.words(column, lower=True)
+    if spec.lines:
+        breaks = np.concatenate([[0], np.cumsum(w.raw == 10)])
+        number = breaks[w.start] + w.row  # ascending, and different across rows and lines
+    else:
+        number = w.row
+    head = np.flatnonzero(np.r_[True, number[1:] != number[:-1]]) if len(number) else np.zeros(0, dtype=np.int64)
+    unit = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(number))))
+    line = breaks[w.start[head]] - breaks[w.offsets[w.row[head]]] if spec.lines else np.zeros(len(head), dtype=np.int64)
+    token = w.hash
+    if spec.words > 1:
+        unit, token = ta.shingles(w.hash, unit, spec.words)
+    return unit, token, w.row[head], line
+
+
+def sets_of(column: pa.Array, spec: Spec, rare: np.ndarray) -> Sets:
+    unit, token, row, line = unit_tokens(column, spec)
+    order = ta.grouped_order(unit, token, rare[bucket(token)])
+    owner, token = unit[order], token[order]
+    if len(owner):
+        new = np.r_[True, (owner[1:] != owner[:-1]) | (token[1:] != token[:-1])]
+        owner, token = owner[new], token[new]
+    n = np.bincount(owner, minlength=len(row))
+    first = np.cumsum(n) - n
+    k1, k2, suffix = (np.zeros(0, dtype=U) for _ in range(3))
+    if len(row):
+        with np.errstate(over="ignore"):
+            k1 = ta.mix(np.add.reduceat(token, first) + n.astype(U))
+            k2 = ta.mix(np.add.reduceat((token ^ (token >> U(31))) * (token | U(1)), first), 3) >> U(32)
+        upto = np.bitwise_xor.accumulate(U(1) << (token & U(63)))
+        suffix = upto ^ upto[first + n - 1][owner]
+    return Sets(row, line, n, k1, k2, owner, token, np.arange(len(owner)) - first[owner], suffix)
+
+
+def token_counts(docs: DataFrame, spec: Spec) -> np.ndarray:
+    """How often the tokens of each bucket of hashes stand in all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, dtype=np.int64)
         for whole in batches:
             for batch in slices(whole, "_text"):
-                h, unit, row, line = unit_words(batch.column("_text"), spec)
-                owner, shingle = ta.shingle_sets(h, unit, spec.words)
-                counts += np.bincount(bucket(shingle), minlength=BUCKETS)
-                described = describe(owner, shingle, len(row))
-                if not spec.lines:
-                    full = [np.zeros(batch.num_rows, dtype=np.int64) for _ in described]
-                    for f, d in zip(full, described, strict=True):
-                        f[row] = d
-                    described, row, line = tuple(full), np.arange(batch.num_rows), np.zeros(batch.num_rows, dtype=np.int64)
-                ids = [batch.column("doc_id").take(pa.array(row)), batch.column("doc_key").take(pa.array(row)), pa.array(line, pa.int64()).cast(pa.int32())]
-                rest = [pa.array(described[0]).cast(pa.int32()), *(pa.array(d) for d in described[1:])]
-                empty = [pa.nulls(len(row), t) for t in (pa.int32(), pa.int32(), pa.binary())]
-                yield pa.RecordBatch.from_arrays([*ids, *rest, *empty], names=[*(n for n, _ in _UNITS_ARROW), "block", "part", "sums"])
-        for b in blocks.emit(counts[:, None], BLOCKS):
-            nothing = [pa.nulls(1, t) for _, t in _UNITS_ARROW]
-            yield pa.RecordBatch.from_arrays([*nothing, *b.columns], names=[*(n for n, _ in _UNITS_ARROW), "block", "part", "sums"])
-
-    both = durable(source.mapInArrow(run, f"{UNITS}, {blocks.PARTIAL}"))
-    counts = blocks.gather(both.where("block is not null"), BUCKETS, 1, BLOCKS)[:, 0]
-    return both.where("block is null").drop("block", "part", "sums"), counts
+                token = unit_tokens(batch.column("_text"), spec)[1] if spec.words > 1 else ta.words(batch.column("_text"), lower=True).hash
+                counts += np.bincount(bucket(token), minlength=BUCKETS)
+        yield from blocks.emit(counts[:, None], BLOCKS)
 
+    return blocks.gather(docs.select(F.col("text").alias("_text")).mapInArrow(run, blocks.PARTIAL), BUCKETS, 1, BLOCKS)[:, 0]
 
-def rarity(counts: np.ndarray) -> np.ndarray:
-    """Counts on a logarithmic scale of eighths of a power of two, one byte each."""
-    return np.minimum(8 * np.log2(1 + counts.astype(np.float64)), 255).astype(np.uint8)
 
+def keys_of(sets: Sets, spec: Spec, counts: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(key, set, place and index of its last token, bucket or -1) of each join key of each set.
 
-def salts(counts: np.ndarray) -> np.ndarray:
-    """Over how many slots the entries of a bucket's shingles go. Nearly all are 1, however large the
-    corpus, as a bucket's count is set against what it would hold by chance."""
-    excess = counts - 2 * counts.mean() if len(counts) else counts
-    return np.maximum(1, np.ceil(excess / HOT)).astype(np.uint32)
+    counts: of each bucket; often: whether tokens of a bucket are frequent. A key of several tokens holds the place its
+    last token would have, were those before it neighbours that don't count: so the positional filter reads alike.
+    """
+    n, token, owner, place = sets.n, sets.token, sets.owner, sets.place
+    where, size, total = bucket(token), prefix_size(sets.n, spec), max(int(counts.sum()), 1)
+    # Sets of under three tokens are similar to equal ones only.
+    head = np.flatnonzero((place < size[owner]) & (n[owner] >= 3))
+    frequent = often[where[head]]
+    single = head[~frequent | (n[owner[head]] >= LONG)]
+    out = [(token[single], owner[single], place[single], single, where[single])]
+    start = head[frequent & (n[owner[head]] * spec.num <= LONG * spec.den)]
+    last = np.cumsum(n)[owner]  # behind the end of each token's set
+    made, at, expected = token[start], start, counts[where[start]].astype(np.float64)
+    for depth in (1, 2):
+        found, step, way = [], 1, np.arange(len(made))
+        while len(way):
+            follow = at[way] + step
+            inside = follow < last[at[way]]
+            way, follow = way[inside], follow[inside]
+            inside = place[follow] < size[owner[follow]] + depth
+            way, follow = way[inside], follow[inside]
+            found.append((way, follow))
+            step += 1
+        if not found:
+            break
+        way, follow = (np.concatenate(x) for x in zip(*found, strict=True))
+        joined = ta.mix(made[way] ^ ta.mix(token[follow], depth), depth)
+        both = expected[way] * counts[where[follow]] / total
+        deeper = (both > FREQUENT) & (depth == 1)
+        end = follow[~deeper]
+        out.append((joined[~deeper], owner[end], place[end] - depth, end, np.full(len(end), -1)))
+        made, at, expected = joined[deeper], follow[deeper], both[deeper]
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _blob(columns: Columns, kind: tuple[tuple[str, str], ...], a: int, z: int) -> bytes:
+    return b"".join(columns[name][a:z].astype(code).tobytes() for name, code in kind)
+
+
+def _unblob(raw: pa.Buffer, kind: tuple[tuple[str, str], ...]) -> Columns:
+    sizes = [np.dtype(code).itemsize for _, code in kind]
+    m, at, out = raw.size // sum(sizes), 0, {}
+    for (name, code), size in zip(kind, sizes, strict=True):
+        out[name] = np.frombuffer(raw, dtype=code, count=m, offset=at)
+        at += size * m
+    return out
+
+
+def _join(parts: list[Columns]) -> Columns:
+    return {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
+
+
+def _take(columns: Columns, at: np.ndarray) -> Columns:
+    return {name: v[at] for name, v in columns.items()}
+
+
+def firsts(members: Columns, spec: Spec) -> tuple[Columns, Columns]:
+    """Of each class the first member, and all others. A line met twice, as its row is repeated, is no other line."""
+    members = _take(members, np.lexsort((members["line"], members["doc_key"], members["doc_id"], members["k2"], members["k1"])))
+    new = np.r_[True, (members["k1"][1:] != members["k1"][:-1]) | (members["k2"][1:] != members["k2"][:-1])]
+    rest = ~new
+    if spec.lines:
+        lead = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+        rest &= np.logical_or.reduce([members[c] != members[c][lead] for c in AT])
+    return _take(members, new), _take(members, rest)
 
 
-def prefixes(owner: np.ndarray, shingle: np.ndarray, units: int, rare: np.ndarray, spec: Spec) -> tuple[np.ndarray, ...]:
-    """Of each prefix shingle: itself, its unit, its place from 0; shingles of a unit in global order."""
-    order = ta.grouped_order(owner, shingle, rare[bucket(shingle)])
-    owner, shingle = owner[order], shingle[order]
-    n = np.bincount(owner, minlength=units)
-    first = np.cumsum(n) - n
-    place = np.arange(len(owner)) - first[owner]
-    inside = place < (n + (-n * spec.num) // spec.den + 1)[owner]  # n - ceil(t n) + 1
-    return shingle[inside], owner[inside], place[inside]
-
-
-def _pack(gram: np.ndarray, key: np.ndarray, n: np.ndarray, place: np.ndarray, spread: np.ndarray, slots: int) -> Iterator[pa.RecordBatch]:
-    """Distinct (gram, key) entries, one row of packed arrays per slot."""
-    order = np.lexsort((key, gram))
-    gram, key, n, place = gram[order], key[order], n[order], place[order]
-    new = np.r_[True, (gram[1:] != gram[:-1]) | (key[1:] != key[:-1])]
-    gram, key, n, place = gram[new], key[new], n[new], place[new]
-    ways = spread[bucket(gram)].astype(U)
-    slot = ((ta.mix(gram, 9) + ta.mix(key.view(U), 9) % ways) % U(slots)).astype(np.int64)
-    place = place.astype(np.int64) | ((ways > U(1)).astype(np.int64) << 31)
-    order = np.argsort(slot, kind="stable")
-    gram, key, n, place, slot = gram[order], key[order], n[order], place[order], slot[order]
-    cut = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]])
+def _rows(kind: int, slot: np.ndarray, base: np.ndarray, columns: Columns, form: tuple[tuple[str, str], ...]) -> Iterator[pa.RecordBatch]:
+    """One row of packed columns per run of equal slot and base."""
+    cut = np.flatnonzero(np.r_[True, (slot[1:] != slot[:-1]) | (base[1:] != base[:-1])]) if len(slot) else np.zeros(0, dtype=np.int64)
     ends = np.append(cut[1:], len(slot))
     for k in range(0, len(cut), 64):
-        made = [b"".join((gram[a:z].astype("<u8").tobytes(), key[a:z].astype("<i8").tobytes(), n[a:z].astype("<u4").tobytes(), place[a:z].astype("<u4").tobytes())) for a, z in zip(cut[k : k + 64], ends[k : k + 64], strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(slot[cut[k : k + 64]].astype(np.int32)), pa.array(made, pa.binary())], names=["slot", "entries"])
-
-
-ENTRY = "gram long, key long, n int, place int"
-
-
-def shared_entries(docs: DataFrame, units: DataFrame, counts: np.ndarray, spec: Spec) -> DataFrame:
-    """Prefix entries (columns of ENTRY) of the shingles that at least two different sets have there."""
+        at = cut[k : k + 64]
+        made = [_blob(columns, form, a, z) for a, z in zip(at, ends[k : k + 64], strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(slot[at].astype(np.int32)), pa.array(np.full(len(at), kind, dtype=np.int8)), pa.array(base[at].astype(np.int32)), pa.array(made, pa.binary())], names=["slot", "kind", "base", "data"])
+
+
+def _send(entries: Columns, members: Columns, spec: Spec, spread: np.ndarray, slots: int) -> Iterator[pa.RecordBatch]:
+    """What a task has gathered, dealt to slots: entries by key, first members by class, others anywhere."""
+    gram = entries.pop("key")
+    entries["gram"] = gram & U(0xFFFFFFFF)
+    base = (ta.mix(gram, 9) % U(slots)).astype(np.int64)
+    # Equal sets of this task count once.
+    order = np.argsort(base.astype(U) << U(32) | ta.mix(gram ^ entries["k1"], 5) >> U(32))
+    if len(order):
+        alike = [x[order] for x in (gram, entries["k1"], entries["k2"], entries["place"])]
+        order = order[np.r_[True, np.logical_or.reduce([x[1:] != x[:-1] for x in alike])]]
+    base, entries = base[order], _take(entries, order)
+    ways = np.where(entries["bucket"] >= 0, spread[entries["bucket"]], 1).astype(U)
+    plain = np.flatnonzero(ways == U(1))
+    yield from _rows(ENTRIES, base[plain], base[plain], _take(entries, plain), _ENTRY)
+    if len(plain) < len(order):
+        salted = np.flatnonzero(ways > U(1))
+        slot = (base[salted] + (ta.mix(entries["k1"][salted], 9) % ways[salted]).astype(np.int64)) % slots
+        by_slot = np.lexsort((base[salted], slot))
+        salted, slot = salted[by_slot], slot[by_slot]
+        yield from _rows(SALTED, slot, base[salted], _take(entries, salted), _ENTRY)
+    first, rest = firsts(members, spec)
+    slot = (first["k1"] % U(slots)).astype(np.int64)
+    order = np.argsort(slot, kind="stable")
+    yield from _rows(FIRST, slot[order], slot[order], _take(first, order), _MEMBER)
+    if len(rest["k1"]):
+        anywhere = np.full(len(rest["k1"]), int(rest["k1"][0] % U(slots)))
+        yield from _rows(SAME, anywhere, anywhere, rest, _MEMBER)
+
+
+def close_pairs(e: Columns, spec: Spec) -> Columns:
+    """Pairs of different classes of one key that pass the filters. e: entries sorted by (gram, n), n up to 4095 counting."""
+    n = np.minimum(e["n"], 4095).astype(U)
+    gram = e["gram"].astype(U) << U(32)
+    low = np.searchsorted(gram | n << U(20), gram | (n * U(spec.num) + U(spec.den - 1)) // U(spec.den) << U(20))
+    count = np.maximum(np.arange(len(n)) - low, 0)
+    upto = np.concatenate([[0], np.cumsum(count)])
+    found, a = [], 0
+    full = e["n"] == 65535  # so large that the size isn't known
+    size, place = e["n"].astype(np.int64), e["place"].astype(np.int64)
+    while a < len(n):
+        z = max(a + 1, int(np.searchsorted(upto, upto[a] + AT_ONCE, side="right")) - 1)
+        k = count[a:z]
+        i = np.repeat(np.arange(a, z), k)
+        j = low[i] + np.arange(len(i)) - np.repeat(upto[a:z] - upto[a], k)
+        need = -(-(size[i] + size[j]) * spec.num // (spec.num + spec.den))
+        ok = np.minimum(size[i] - place[i], size[j] - place[j]) >= need
+        ok = (ok & (size[j] * spec.den >= size[i] * spec.num) & (size[i] * spec.den >= size[j] * spec.num)) | full[i] | full[j]
+        i, j, need = i[ok], j[ok], need[ok]
+        apart = place[i] + place[j] + np.bitwise_count(e["sig"][i] ^ e["sig"][j])
+        ok = ((apart <= size[i] + size[j] - 2 * need) | full[i] | full[j]) & ((e["k1"][i] != e["k1"][j]) | (e["k2"][i] != e["k2"][j]))
+        found.append((i[ok], j[ok]))
+        a = z
+    i, j = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, dtype=np.int64),) * 2
+    swap = (e["k1"][i] > e["k1"][j]) | (e["k1"][i] == e["k1"][j]) & (e["k2"][i] > e["k2"][j])
+    i, j = np.where(swap, j, i), np.where(swap, i, j)
+    pairs = {"k1": e["k1"][i], "k2": e["k2"][i], "j1": e["k1"][j], "j2": e["k2"][j]}
+    order = np.lexsort((pairs["j1"], pairs["k1"]))
+    pairs = _take(pairs, order)
+    if len(order):
+        pairs = _take(pairs, np.r_[True, np.logical_or.reduce([v[1:] != v[:-1] for v in pairs.values()])])
+    return pairs
+
+
+FOUND = "kind string, gram long, k1 long, k2 long, j1 long, j2 long, n int, place int, sig long, doc_id long, doc_key long, line int"
+_FOUND = [("kind", pa.string()), *((c, pa.int64()) for c in ("gram", "k1", "k2", "j1", "j2")), ("n", pa.int32()), ("place", pa.int32()), ("sig", pa.int64()), ("doc_id", pa.int64()), ("doc_key", pa.int64()), ("line", pa.int32())]
+
+
+def _found(kind: str, columns: Columns) -> Iterator[pa.RecordBatch]:
+    m = len(next(iter(columns.values())))
+    for a in range(0, m, 50_000):
+        size = min(50_000, m - a)
+        made = [pa.array([kind] * size)]
+        for name, t in _FOUND[1:]:
+            v = columns.get(name)
+            made.append(pa.nulls(size, t) if v is None else pa.array(v[a : a + size].view(np.int64) if v.dtype == np.uint64 else v[a : a + size].astype(np.int64)).cast(t))
+        yield pa.RecordBatch.from_arrays(made, names=[n for n, _ in _FOUND])
+
+
+class Slot:
+    """The entries of one slot. Keys with more than CROWD classes leave it, now and whenever they come again."""
+
+    def __init__(self, number: int):
+        self.number, self.parts, self.size, self.limit, self.crowded = number, [], 0, THIN, np.zeros(0, dtype=np.uint32)
+
+    def add(self, e: Columns) -> Iterator[pa.RecordBatch]:
+        self.parts.append(e)
+        self.size += len(e["gram"])
+        if self.size > self.limit:
+            yield from self.thin()
+
+    def thin(self) -> Iterator[pa.RecordBatch]:
+        e = _join(self.parts)
+        order = np.argsort(e["gram"].astype(U) << U(32) | np.minimum(e["n"], 4095).astype(U) << U(20) | e["k1"] >> U(44))
+        e = _take(e, order)
+        new = np.r_[True, np.logical_or.reduce([e[c][1:] != e[c][:-1] for c in ("gram", "k1", "k2", "place")])]
+        e = _take(e, new)
+        head = np.flatnonzero(np.r_[True, e["gram"][1:] != e["gram"][:-1]])
+        size = np.diff(np.append(head, len(e["gram"])))
+        many = np.repeat((size > CROWD) | np.isin(e["gram"][head], self.crowded), size)
+        if many.any():
+            out = _take(e, many)
+            yield from crowd(self.number, out)
+            self.crowded = np.union1d(self.crowded, out["gram"])
+            e = _take(e, ~many)
+        self.parts, self.size = [e], len(e["gram"])
+        self.limit = max(THIN, 2 * self.size)
+
+
+def crowd(base: int, e: Columns) -> Iterator[pa.RecordBatch]:
+    return _found("crowd", {**e, "gram": np.int64(base) << np.int64(32) | e["gram"].astype(np.int64)})
+
+
+def join_sets(docs: DataFrame, spec: Spec) -> DataFrame:
+    """Rows of FOUND, stored, from docs (doc_id, text; no null doc_id).
+
+    `pair`: classes that may be similar (k1, k2 and j1, j2). `crowd`: entries of crowded keys. `first`: the member that
+    stands for each class. `same`: all other members, and whole texts without a word, of size 0.
+    """
     spark = docs.sparkSession
-    entries = units.agg(F.coalesce(F.sum(F.col("n") * (spec.den - spec.num) / spec.den + 1), F.lit(0.0))).first()[0]
-    partitions = int(max(int(spark.conf.get("spark.sql.shuffle.partitions")), entries / PER_TASK + 1))
-    slots = partitions * 8
-    tables = spark.sparkContext.broadcast((rarity(counts), salts(counts)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rare, spread = tables.value
-        held: list[tuple[np.ndarray, ...]] = []
+    counts = token_counts(docs, spec)
+    partitions = int(max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(counts.sum()) / 4 / PER_TASK + 1))
+    slots = partitions * 4
+    tables = spark.sparkContext.broadcast((rarity(counts), salts(counts), counts, excess(counts) > FREQUENT))
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("_text"), text_key().alias("doc_key"))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rare, spread, counts, often = tables.value
+        held: list[tuple[Columns, Columns]] = []
         size = 0
         for whole in batches:
             for batch in slices(whole, "_text"):
-                h, unit, row, _ = unit_words(batch.column("_text"), spec)
-                owner, shingle = ta.shingle_sets(h, unit, spec.words)
-                if not len(owner):
+                sets = sets_of(batch.column("_text"), spec, rare)
+                if not spec.lines and len(sets.row) < batch.num_rows:
+                    wordless = np.setdiff1d(np.arange(batch.num_rows), sets.row)
+                    none = {c: np.zeros(len(wordless), dtype=U) for c in ("k1", "k2", "n", "line")} | {c: batch.column(c).to_numpy()[wordless] for c in ("doc_id", "doc_key")}
+                    anywhere = np.full(len(wordless), int(none["doc_key"][0]) % slots)
+                    yield from _rows(SAME, anywhere, anywhere, none, _MEMBER)
+                if not len(sets.row):
                     continue
-                n, k1, _, _ = describe(owner, shingle, len(row))
-                gram, owner, place = prefixes(owner, shingle, len(row), rare, spec)
-                held.append((gram, k1[owner], n[owner], place))
-                size += len(gram)
+                key, own, place, token, where = keys_of(sets, spec, counts, often)
+                entries = {"key": key, "bucket": where, "k1": sets.k1[own], "k2": sets.k2[own], "sig": sets.suffix[token], "n": np.minimum(sets.n[own], 65535), "place": np.minimum(place, 65535)}
+                ids, keys = (batch.column(c).to_numpy(zero_copy_only=False)[sets.row] for c in ("doc_id", "doc_key"))
+                held.append((entries, {"k1": sets.k1, "k2": sets.k2, "n": sets.n, "doc_id": ids, "doc_key": keys, "line": sets.line}))
+                size += len(key) + len(sets.row)
                 if size >= HELD:
-                    yield from _pack(*(np.concatenate(x) for x in zip(*held, strict=True)), spread, slots)
+                    yield from _send(_join([h[0] for h in held]), _join([h[1] for h in held]), spec, spread, slots)
                     held, size = [], 0
         if held:
-            yield from _pack(*(np.concatenate(x) for x in zip(*held, strict=True)), spread, slots)
+            yield from _send(_join([h[0] for h in held]), _join([h[1] for h in held]), spec, spread, slots)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[list[np.ndarray]] = [[], [], [], []]
+        at: dict[int, Slot] = {}
+        first: list[Columns] = []
         for batch in batches:
-            for data in batch.column("entries"):
-                raw = data.as_buffer()
-                m = raw.size // 24
-                for p, (kind, at) in zip(parts, (("<u8", 0), ("<i8", 8 * m), ("<u4", 16 * m), ("<u4", 20 * m)), strict=True):
-                    p.append(np.frombuffer(raw, dtype=kind, count=m, offset=at))
-        if not parts[0]:
-            return
-        gram, key, n, place = (np.concatenate(p) for p in parts)
-        order = np.lexsort((key, gram))
-        gram, key, n, place = gram[order], key[order], n[order], place[order]
-        new = np.r_[True, (gram[1:] != gram[:-1]) | (key[1:] != key[:-1])]
-        gram, key, n, place = gram[new], key[new], n[new], place[new]
-        same = gram[1:] == gram[:-1]
-        shared = (place >> np.uint32(31)).astype(bool)
-        shared[1:] |= same
-        shared[:-1] |= same
-        out = [signed(gram[shared]), key[shared], n[shared].astype(np.int32), (place[shared] & np.uint32(0x7FFFFFFF)).astype(np.int32)]
-        for k in range(0, len(out[0]), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 100_000]) for x in out], names=["gram", "key", "n", "place"])
-
-    source = docs.select(F.col("text").alias("_text"))
-    packed = source.mapInArrow(run, "slot int, entries binary")
-    return durable(packed.repartition(partitions, "slot").mapInArrow(meet, ENTRY))
+            for slot, kind, base, data in zip(*(batch.column(c).to_pylist() for c in ("slot", "kind", "base")), batch.column("data"), strict=True):
+                got = _unblob(data.as_buffer(), _ENTRY if kind in (ENTRIES, SALTED) else _MEMBER)
+                if kind == ENTRIES:
+                    yield from at.setdefault(slot, Slot(slot)).add(got)
+                elif kind == SALTED:
+                    yield from crowd(base, got)
+                elif kind == FIRST:
+                    first.append(got)
+                else:
+                    yield from _found("same", got)
+        for slot in at.values():
+            yield from slot.thin()
+            yield from _found("pair", close_pairs(slot.parts[0], spec))
+            slot.parts = []
+        if first:
+            kept, rest = firsts(_join(first), spec)
+            yield from _found("first", kept)
+            yield from _found("same", rest)
+
+    packed = source.mapInArrow(send, "slot int, kind tinyint, base int, data binary")
+    return durable(packed.repartition(partitions, "slot").mapInArrow(meet, FOUND))
+
+
+def classes_of(found: DataFrame) -> DataFrame:
+    """(k1, k2, at): each class and its first member."""
+    return found.where("kind = 'first'").select("k1", "k2", F.struct(*AT).alias("at"))
 
 
 def fitting(x: DataFrame, y: DataFrame, different: str, spec: Spec) -> DataFrame:
-    """Distinct pairs of keys (ka from x, kb from y; columns of ENTRY and more) that share a prefix
-    shingle, are different as `different` says (columns prefixed x_ and y_), and pass the filters."""
+    """Distinct pairs of classes (k1, k2 from x, j1, j2 from y; columns of crowded entries and more) that share a key, are
+    different, also as `different` says (columns prefixed x_ and y_), and pass the filters."""
     x, y = x.select([F.col(c).alias(f"x_{c}") for c in x.columns]), y.select([F.col(c).alias(f"y_{c}") for c in y.columns])
-    n, i, m, j = (F.col(c) for c in ("x_n", "x_place", "y_n", "y_place"))
-    fits = lengths_fit(n, m, spec) & positions_fit(n, i, m, j, spec)
-    joined = x.join(y, (F.col("x_gram") == F.col("y_gram")) & F.expr(different) & fits)
-    return joined.select(F.col("x_key").alias("ka"), F.col("y_key").alias("kb")).distinct()
+    n, i, a, m, j, b = (F.col(c) for c in ("x_n", "x_place", "x_sig", "y_n", "y_place", "y_sig"))
+    huge = (n == 65535) | (m == 65535)
+    fits = huge | (lengths_fit(n, m, spec) & positions_fit(n, i, m, j, spec) & suffixes_fit(n, i, a, m, j, b, spec))
+    joined = x.join(y, (F.col("x_gram") == F.col("y_gram")) & F.expr(f"(x_k1 <> y_k1 or x_k2 <> y_k2) and {different}") & fits)
+    return joined.select(F.col("x_k1").alias("k1"), F.col("x_k2").alias("k2"), F.col("y_k1").alias("j1"), F.col("y_k2").alias("j2")).distinct()
+
 
+def crowd_entries(found: DataFrame) -> DataFrame:
+    return found.where("kind = 'crowd'").select("gram", "k1", "k2", "n", "place", "sig").distinct()
 
-def overlaps(a: pa.Array, b: pa.Array, spec: Spec) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+
+def texts_of(docs: DataFrame, wanted: DataFrame, spec: Spec) -> DataFrame:
+    """(k1, k2, text) for wanted (k1, k2, doc_id, doc_key, line): those texts, or lines of texts, stored. A text is cut once."""
+    wanted = durable(wanted)
+    of_doc = wanted.groupBy("doc_id", "doc_key").agg(F.collect_list(F.struct("line", "k1", "k2")).alias("_want"))
+    of_doc = F.broadcast(of_doc) if few(wanted) else of_doc
+    keyed = docs.select("doc_id", F.col("text").alias("_text"), text_key().alias("doc_key")).join(of_doc, ["doc_id", "doc_key"]).select("_text", "_want")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "_text"):
+                out: tuple[list, list, list] = ([], [], [])
+                for text, want in zip(batch.column("_text").to_pylist(), batch.column("_want").to_pylist(), strict=True):
+                    lines = text.split("\n") if spec.lines else [text]
+                    for w in want:
+                        for held, v in zip(out, (w["k1"], w["k2"], lines[w["line"]]), strict=True):
+                            held.append(v)
+                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string())], names=["k1", "k2", "text"])
+
+    return durable(keyed.mapInArrow(run, "k1 long, k2 long, text string").dropDuplicates(["k1", "k2"]))
+
+
+def checked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, spec: Spec) -> DataFrame:
+    """(k1, k2, at, j1, j2, other): those of distinct pairs (k1, k2, j1, j2) that are similar enough."""
+    side = lambda a, b, at: classes.select(F.col("k1").alias(a), F.col("k2").alias(b), F.col("at").alias(at))
+    both = durable(pairs.join(side("k1", "k2", "at"), ["k1", "k2"]).join(side("j1", "j2", "other"), ["j1", "j2"]))
+    ends = both.select("k1", "k2", "at").union(both.select("j1", "j2", "other")).dropDuplicates(["k1", "k2"])
+    texts = texts_of(docs, ends.select("k1", "k2", "at.*"), spec)
+    side = lambda a, b, t: texts.select(F.col("k1").alias(a), F.col("k2").alias(b), F.col("text").alias(t))
+    whole = both.join(side("k1", "k2", "_a"), ["k1", "k2"]).join(side("j1", "j2", "_b"), ["j1", "j2"])
+    return similar_texts(whole, spec)
+
+
+def overlaps(a: pa.Array, b: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For rows of two texts: the sizes of both sets and of their intersection."""
     rows = len(a)
     sides = []
     for column in (a, b):
         w = ta.words(column, lower=True)
-        sides.append(ta.shingle_sets(w.hash, w.row, spec.words))
+        sides.append(ta.shingle_sets(w.hash, w.row, words))
     owner = np.concatenate([sides[0][0], sides[1][0]])
-    shingle = np.concatenate([sides[0][1], sides[1][1]])
-    order = np.lexsort((shingle, owner))
-    owner, shingle = owner[order], shingle[order]
-    twice = (owner[1:] == owner[:-1]) & (shingle[1:] == shingle[:-1])
+    token = np.concatenate([sides[0][1], sides[1][1]])
+    order = ta.grouped_order(owner, token)
+    owner, token = owner[order], token[order]
+    twice = (owner[1:] == owner[:-1]) & (token[1:] == token[:-1])
     return (*(np.bincount(s[0], minlength=rows) for s in sides), np.bincount(owner[1:][twice], minlength=rows))
 
 
+def few(rows: DataFrame) -> bool:
+    """Whether stored rows of fixed width are few enough, by number and by bytes in memory, to be broadcast."""
+    return rows.count() <= min(BROADCAST_ROWS, BROADCAST_BYTES // (24 + 8 * len(rows.columns)))
+
+
 def ids_side(ids: DataFrame) -> DataFrame:
-    """A stored list of ids, broadcast if its counted rows are few enough."""
+    """A list of ids of fixed width, stored, and broadcast if few enough; else it is joined by a shuffle."""
     ids = durable(ids)
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return F.broadcast(ids) if few(ids) else ids
 
 
-def verify(pairs: DataFrame, texts: DataFrame, spec: Spec) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough. texts: (id, text), stored, with all ids of pairs."""
-    left = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("_a")), "a")
-    both = left.join(texts.select(F.col("id").alias("b"), F.col("text").alias("_b")), "b").select("a", "b", "_a", "_b")
+def similar_texts(pairs: DataFrame, spec: Spec) -> DataFrame:
+    """The rows of pairs whose texts `_a` and `_b` are similar enough, without these two."""
+    kept = [c for c in pairs.columns if c not in ("_a", "_b")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for half in slices(whole, "_a"):
                 for batch in slices(half, "_b"):
-                    n, m, shared = overlaps(batch.column("_a"), batch.column("_b"), spec)
+                    n, m, shared = overlaps(batch.column("_a"), batch.column("_b"), spec.words)
                     holds = pa.array((shared > 0) & (spec.den * shared >= spec.num * (n + m - shared)))
-                    yield pa.RecordBatch.from_arrays([batch.column("a").filter(holds), batch.column("b").filter(holds)], names=["a", "b"])
-
-    return both.mapInArrow(run, "a long, b long")
+                    yield pa.RecordBatch.from_arrays([batch.column(c).filter(holds) for c in kept], names=kept)
 
+    return pairs.mapInArrow(run, pairs.select(*kept).schema)

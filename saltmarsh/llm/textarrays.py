@@ -136,8 +136,8 @@ def windows(hashes: np.ndarray, group: np.ndarray, size: int) -> tuple[np.ndarra
     return start, mix(total[start], size)
 
 
-def shingle_sets(hashes: np.ndarray, group: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of each group, as (group, shingle) sorted by both.
+def shingles(hashes: np.ndarray, group: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of each group, repeats included, as (group, shingle) with groups ascending.
 
     A group with 1 to size-1 words has one shingle, the whole sequence; one without words has none.
     """
@@ -159,6 +159,12 @@ def shingle_sets(hashes: np.ndarray, group: np.ndarray, size: int) -> tuple[np.n
     if len(owner) > len(start):
         by_owner = np.argsort(owner, kind="stable")
         owner, shingle = owner[by_owner], shingle[by_owner]
+    return owner, shingle
+
+
+def shingle_sets(hashes: np.ndarray, group: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles of each group, as (group, shingle) sorted by both."""
+    owner, shingle = shingles(hashes, group, size)
     order = grouped_order(owner, shingle)
     owner, shingle = owner[order], shingle[order]
     if len(owner):

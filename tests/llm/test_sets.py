@@ -88,12 +88,29 @@ def test_join_against_brute_force(spark):
     assert len(set(where.values())) < len(rows)
 
 
-def test_frequent_shingles_are_spread_over_slots(spark, monkeypatch):
+def test_frequent_tokens_are_spread_over_slots(spark, monkeypatch):
     monkeypatch.setattr(setjoin, "HOT", 5)
     counts = np.zeros(setjoin.BUCKETS, dtype=np.int64)
     counts[3] = 12
     assert setjoin.salts(counts)[3] == 3 and setjoin.salts(counts)[4] == 1
     test_join_of_one_large_group(spark)
+    test_lines_against_brute_force(spark)
+
+
+def test_crowded_keys_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(setjoin, "CROWD", 2)
+    monkeypatch.setattr(setjoin, "THIN", 50)
+    test_join_against_brute_force(spark)
+    test_join_of_one_large_group(spark)
+    test_lines_against_brute_force(spark)
+
+
+@pytest.mark.parametrize("long", [6, 10**6])
+def test_keys_of_several_tokens_lose_nothing(spark, monkeypatch, long):
+    monkeypatch.setattr(setjoin, "FREQUENT", 3)
+    monkeypatch.setattr(setjoin, "LONG", long)
+    test_join_against_brute_force(spark)
+    test_lines_against_brute_force(spark)
 
 
 def test_join_of_one_large_group(spark):
@@ -143,27 +160,70 @@ def brute_lines(rows):
     for i, t in sorted((x for x in rows if x[0] is not None and x[1] is not None)):
         kept = []
         for line in t.split("\n"):
-            s = shingles(line)
-            if len(WORD.findall(line)) < 5:
-                kept.append(line)
-                continue
+            s = frozenset(WORD.findall(lower(line)))
             if not any(similar(s, o) for o in seen):
                 kept.append(line)
-            seen.append(s)
+            if s:
+                seen.append(s)
         out[i] = "\n".join(kept)
     return out
 
 
-def test_lines_against_brute_force(spark):
-    r = random.Random(2)
+def line_corpus(seed=2):
+    r = random.Random(seed)
     lines = [t for _, t in near_corpus(120, 6)]
-    rows = [(i, "\n".join(r.choices([*lines, "", "short one"], k=r.randrange(1, 6)))) for i in range(70)]
+    lines += [" ".join(r.choices(["a", "b", "c", "d", "e"], k=r.randrange(1, 7))) for _ in range(60)]
+    lines += [" ".join(x if r.random() < 0.93 else f"v{r.randrange(99)}" for x in line.split(" ")) for line in lines]
+    return [(i, "\n".join(r.choices([*lines, "", "short one"], k=r.randrange(1, 6)))) for i in range(90)]
+
+
+def test_lines_against_brute_force(spark):
+    rows = line_corpus()
     got = op5.dedup(table(spark, rows)).collect()
     want = brute_lines(rows)
     assert {x.doc_id: x.text for x in got} == want
     assert all(x.n_chars == len(x.text) and x.n_removed == len(dict(rows)[x.doc_id].split("\n")) - len(want[x.doc_id].split("\n")) + (want[x.doc_id] == "" != dict(rows)[x.doc_id]) for x in got if x.text)
 
 
+def test_near_lines_that_no_shingle_finds(spark):
+    line = "one two three four five six seven eight nine ten"
+    rows = [(1, line), (2, line.replace("five", "FIFTH")), (3, "two one"), (4, "One Two\n" + line.replace("one", "1").replace("ten", "10"))]
+    assert {x.doc_id: x.text for x in op5.dedup(table(spark, rows)).collect()} == {1: line, 2: "", 3: "two one", 4: line.replace("one", "1").replace("ten", "10")}
+
+
+def test_lines_of_one_large_group(spark):
+    """Near copies of two lines in many documents, and one line in all."""
+    r = random.Random(3)
+    base = [[f"{c}{i}" for i in range(40)] for c in "xy"]
+    rows = []
+    for i in range(400):
+        text = ["the same line everywhere"]
+        for b in base:
+            w = list(b)
+            for _ in range(r.randrange(5)):
+                w[r.randrange(40)] = f"z{r.randrange(10**6)}"
+            text.append(" ".join(w))
+        rows.append((i, "\n".join(text)))
+    assert {x.doc_id: x.text for x in op5.dedup(table(spark, rows)).collect()} == brute_lines(rows)
+
+
+def test_a_long_text_takes_time_in_proportion(spark):
+    rows = [(1, "\n".join(f"line {i} has w{i} and v{i} x{i}" for i in range(100_000))), (2, "\n".join(f"line {i} has w{i} and v{i} x{i}" for i in range(0, 200_000, 2)))]
+    got = {x.doc_id: x.n_removed for x in op5.dedup(table(spark, rows)).collect()}
+    assert got == {1: 0, 2: 50_000}
+
+
+def test_clashing_names_of_lines(spark):
+    df = table(spark, [(1, "a line\na line"), (2, "a line")])
+    for name in ("n_removed", "own", "cut", "_doc", "_key", "k1", "at", "line"):
+        df = df.withColumn(name, F.lit(name))
+    got = op5.dedup(df)
+    assert got.columns == [*(c for c in df.columns if c != "n_removed"), "n_removed"]
+    assert {x.doc_id: (x.text, x.n_removed, x.own, x.cut, x._doc) for x in got.collect()} == {1: ("a line", 1, "own", "cut", "_doc"), 2: ("", 1, "own", "cut", "_doc")}
+    kept = op5.dedup(df, counted=None)
+    assert kept.columns == df.columns and {x.n_removed for x in kept.collect()} == {"n_removed"}
+
+
 def test_lines_of_odd_rows(spark):
     df = table(spark, ODD).withColumn("line", F.lit("clash")).withColumn("_cut_", F.lit(0))
     got = op5.dedup(df)
@@ -181,20 +241,34 @@ def test_query_and_pipeline_drop_repeats_of_short_lines(spark, tmp_path):
     rows = [(1, "Les.\none two\n\nONE two"), (2, "les.\n\nfour words stand here\none three"), (3, "Les."), (4, "two one\na longer line of six words\na longer line of six words")]
     docs = table(spark, rows)
     docs.write.parquet(f"{tmp_path}/documents.parquet")
-    want = {1: "Les.\none two\n", 2: "\nfour words stand here\none three", 3: "", 4: "two one\na longer line of six words"}
+    want = {1: "Les.\none two\n", 2: "\nfour words stand here\none three", 3: "", 4: "a longer line of six words"}
     assert {x.doc_id: x.text for x in corpus_pipeline.line_dedup(spark, docs, str(tmp_path)).collect()} == want
     got = {x.doc_id: (x.n_removed, x.n_chars) for x in op5.query(spark, str(tmp_path)).collect()}
-    assert got == {1: (1, len(want[1])), 2: (1, len(want[2])), 3: (1, 0), 4: (1, len(want[4]))}
+    assert got == {1: (1, len(want[1])), 2: (1, len(want[2])), 3: (1, 0), 4: (2, len(want[4]))}
 
 
-@pytest.mark.parametrize("spec", [setjoin.Spec(), setjoin.Spec(num=1, den=2), setjoin.Spec(num=9, den=10)])
-def test_prefixes_meet_where_sets_are_similar(spec):
+@pytest.mark.parametrize("spec", [setjoin.Spec(words=1), setjoin.Spec(words=1, num=4, den=5), setjoin.Spec(words=1, num=9, den=10)])
+@pytest.mark.parametrize("often", [0.0, 0.5, 1.0])
+def test_similar_sets_meet_and_pass_the_filters(spec, often):
+    """Of every similar pair, two entries of one key pass the filters; all of one task, so that nothing else decides."""
     rng = np.random.default_rng(5)
+    pool = [f"w{i}" for i in range(40)]
+    texts = [" ".join(rng.choice(pool, rng.integers(1, 38), replace=False)) for _ in range(40)]
+    texts += [" ".join(w for w in t.split(" ") if rng.random() < 0.95) + " w1" for t in texts]
     rare = rng.integers(0, 5, setjoin.BUCKETS).astype(np.uint8)
-    for _ in range(200):
-        pool = rng.integers(0, 2**63, 30, dtype=np.int64).astype(np.uint64)
-        a, b = (np.unique(rng.choice(pool, rng.integers(1, 30))) for _ in range(2))
-        both = len(np.intersect1d(a, b))
-        if spec.den * both >= spec.num * (len(a) + len(b) - both):
-            pa_, pb = (setjoin.prefixes(np.zeros(len(x), dtype=np.int64), x, 1, rare, spec)[0] for x in (a, b))
-            assert len(np.intersect1d(pa_, pb))
+    sets = setjoin.sets_of(pa.array(texts), spec, rare)
+    counts = np.full(setjoin.BUCKETS, 10**6, dtype=np.int64)
+    key, own, place, token, _ = setjoin.keys_of(sets, spec, counts, rng.random(setjoin.BUCKETS) < often)
+    entries = {"gram": key & np.uint64(0xFFFFFFFF), "k1": sets.k1[own], "k2": sets.k2[own], "sig": sets.suffix[token], "n": sets.n[own].astype(np.uint16), "place": place.astype(np.uint16)}
+    entries = {c: v[np.lexsort((entries["n"], entries["gram"]))] for c, v in entries.items()}
+    found = setjoin.close_pairs(entries, spec)
+    pairs = set(zip(found["k1"].tolist(), found["j1"].tolist(), strict=True))
+    words = [frozenset(t.split(" ")) - {""} for t in texts]
+    similar_ones = 0
+    for a in range(len(texts)):
+        for b in range(a):
+            both = len(words[a] & words[b])
+            if words[a] != words[b] and spec.den * both >= spec.num * (len(words[a]) + len(words[b]) - both):
+                similar_ones += 1
+                assert tuple(sorted((int(sets.k1[a]), int(sets.k1[b])))) in pairs
+    assert similar_ones > 10
