@@ -45,7 +45,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that an earlier line repeats."""
-    return op5_line_dedup.dedup(docs, op5_line_dedup.WHOLE).select(*docs.columns)
+    return op5_line_dedup.dedup(docs, counted=None)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
