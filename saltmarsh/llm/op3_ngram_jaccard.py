@@ -2,10 +2,10 @@
 
 Documents are sets of five-word shingles, joined on the rarest of them (`setjoin`): prefix, length,
 positional and suffix filters leave the pairs that are verified, each once. Equal sets are one class
-from the start. Of a crowded key the class in which it stands first is the pivot: all others that pass
-the filters are verified against it, and what links is one component. Then only pairs of different
-components that share such a key are left, and are verified too. So a group of near copies costs its
-size, not its square, and no link between components is lost.
+from the start. Of each key a class is first verified against the earliest other one that passes the
+filters, and what links is one component. Then only pairs of different components that share a key are
+left, and are verified too. So a group of near copies costs its size, not its square, and no link
+between components is lost.
 
 Defined results: texts that are null, empty or of white space have no shingles and are alone; so are
 rows without a doc_id, whose component is null. Rows sharing a doc_id are one document: what either
@@ -25,15 +25,14 @@ from pyspark.sql import functions as F
 from saltmarsh.llm import setjoin
 from saltmarsh.llm.common import durable, slices, table
 from saltmarsh.llm.components import components
-from saltmarsh.llm.setjoin import fitting
+from saltmarsh.llm.setjoin import PAIR, fitting
 
 SPEC = setjoin.Spec()
-_PAIR = ["k1", "k2", "j1", "j2"]
 
 
 def _unordered(pairs: DataFrame) -> DataFrame:
     swap = F.struct("k1", "k2") > F.struct(F.col("j1").alias("k1"), F.col("j2").alias("k2"))
-    return pairs.select(*[F.when(swap, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in zip(_PAIR, ("j1", "j2", "k1", "k2"), strict=True)]).distinct()
+    return pairs.select(*[F.when(swap, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in zip(PAIR, ("j1", "j2", "k1", "k2"), strict=True)]).distinct()
 
 
 def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, spec: setjoin.Spec) -> DataFrame:
@@ -41,18 +40,39 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, spec: setjoin.
     return durable(setjoin.checked(pairs, classes, docs, spec).select(F.col("at.doc_id").alias("a"), F.col("other.doc_id").alias("b")).where("a <> b"))
 
 
+def _labels(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """(k1, k2, c): the component of each class that is linked, stored."""
+    place = components(links)
+    return durable(classes.join(place, F.col("at.doc_id") == F.col("id")).select("k1", "k2", F.col("component").alias("c")))
+
+
+def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """Those pairs whose classes are in different components so far."""
+    side = setjoin.ids_side(label)
+    one = pairs.join(side, ["k1", "k2"], "left").withColumnRenamed("c", "c1")
+    two = one.join(side.select(F.col("k1").alias("j1"), F.col("k2").alias("j2"), F.col("c").alias("c2")), ["j1", "j2"], "left")
+    return two.where("c1 is null or c2 is null or c1 <> c2").select(*PAIR)
+
+
 def _crowded(found: DataFrame, classes: DataFrame, docs: DataFrame, links: DataFrame, spec: setjoin.Spec) -> DataFrame:
     """links and those that crowded keys add."""
-    entries = durable(setjoin.crowd_entries(found))
-    pivots = entries.groupBy("gram").agg(F.min(F.struct("place", "k1", "k2", "n", "sig")).alias("p")).select("gram", "p.*")
-    tried = durable(_unordered(fitting(entries, durable(pivots), "true", spec)))
+    whole = setjoin.crowd_entries(found)
+
+    def mixed(links: DataFrame) -> DataFrame:
+        """Entries of keys in which several components meet, with their components."""
+        own = classes.select("k1", "k2", F.col("at.doc_id").alias("own"))
+        named = durable(whole.join(_labels(links, classes), ["k1", "k2"], "left").join(own, ["k1", "k2"]).withColumn("c", F.coalesce("c", "own")).drop("own"))
+        grams = named.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("gram")
+        return durable(named.join(setjoin.ids_side(grams), "gram", "left_semi"))
+
+    rest = mixed(links)
+    if rest.isEmpty():
+        return links
+    pivots = durable(rest.groupBy("gram").agg(F.min(F.struct("place", "k1", "k2", "n", "sig", "c")).alias("p")).select("gram", "p.*"))
+    tried = durable(_unordered(fitting(rest, pivots, "x_c <> y_c", spec)))
     links = durable(links.union(_links(tried, classes, docs, spec)))
-    place = components(links)
-    label = durable(classes.join(place, F.col("at.doc_id") == F.col("id"), "left").select("k1", "k2", F.coalesce("component", "at.doc_id").alias("c")))
-    labelled = durable(entries.join(label, ["k1", "k2"]))
-    mixed = labelled.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("gram")
-    rest = durable(labelled.join(setjoin.ids_side(mixed), "gram", "left_semi"))
-    left = _unordered(fitting(rest, rest, "x_c < y_c", spec)).join(tried, _PAIR, "left_anti")
+    rest = mixed(links)
+    left = _unordered(fitting(rest, rest, "x_c < y_c", spec)).join(tried, PAIR, "left_anti")
     return links.union(_links(durable(left), classes, docs, spec))
 
 
@@ -77,7 +97,9 @@ def link_components(docs: DataFrame, spec: setjoin.Spec = SPEC) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = setjoin.join_sets(docs.where("doc_id is not null"), spec)
     classes = setjoin.classes_of(found)
-    links = _links(found.where("kind = 'pair'").select(*_PAIR).distinct(), classes, docs, spec)
+    links = _links(found.where("kind = 'pair'").select(*PAIR).distinct(), classes, docs, spec)
+    more = durable(_apart(found.where("kind = 'more'").select(*PAIR), _labels(links, classes)).distinct())
+    links = links.union(_links(more, classes, docs, spec))
     # Rows that share a doc_id but not a text make one node of several classes.
     members = found.where("kind in ('first', 'same') and n > 0").select("doc_id", "k1", "k2")
     same_id = members.groupBy("doc_id").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).where("lo <> hi").select("doc_id")

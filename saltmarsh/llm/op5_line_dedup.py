@@ -7,9 +7,9 @@ of work in it. Lines with a word all take part, however short.
 
 Tokens are ordered by rarity; prefix, length, positional and suffix filters (`setjoin`) leave the pairs
 whose Jaccard similarity is verified, once per pair. Lines of equal sets are one class, whose first line
-stands for it; the others go at once. Classes of a crowded key are first tried against the earliest
-class there and the one in which the key stands first, and only those that neither removes are joined
-with all earlier ones. So a large group of near copies costs its size, not its square, and no link is lost.
+stands for it; the others go at once. Of each key a class is first tried against the earliest class
+that passes the filters there, and only if that doesn't remove it against all others. So a large group
+of near copies costs its size, not its square, and no link is lost.
 
 Defined results: null and empty texts have no lines that take part and come back unchanged; so do
 rows without a doc_id. Rows sharing doc_id and text lose the same lines; rows sharing a doc_id but
@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from saltmarsh.llm import setjoin
 from saltmarsh.llm.common import durable, fresh, slices, table
-from saltmarsh.llm.setjoin import AT, fitting
+from saltmarsh.llm.setjoin import AT, PAIR, fitting
 
 SPEC = setjoin.Spec(lines=True, words=1)
 
@@ -48,24 +48,31 @@ def _later(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
 def _crowded(found: DataFrame, classes: DataFrame, docs: DataFrame, gone: DataFrame) -> DataFrame:
     """Classes that crowded keys remove, beside those gone already."""
     fields = ("at", "k1", "k2", "n", "place", "sig")
-    entries = durable(setjoin.crowd_entries(found).join(classes, ["k1", "k2"]))
+    entries = setjoin.crowd_entries(found)
+    left = durable(entries.join(gone.select("k1", "k2"), ["k1", "k2"], "left_anti").join(classes, ["k1", "k2"]))
+    if left.isEmpty():
+        return gone
+    entries = durable(entries.join(setjoin.ids_side(left.select("gram").distinct()), "gram", "left_semi").join(classes, ["k1", "k2"]))
     pivots = durable(entries.groupBy("gram").agg(F.min(F.struct(*fields)).alias("e"), F.min(F.struct("place", *(f for f in fields if f != "place"))).alias("c")))
     either = pivots.select("gram", F.explode(F.array_distinct(F.array(*[F.struct(*[F.col(f"{p}.{f}").alias(f) for f in fields]) for p in "ec"]))).alias("p")).select("gram", "p.*")
-    tried = durable(fitting(entries, either, "y_at < x_at", SPEC))
-    more = _later(tried, classes, docs)
-    left = entries.join(gone.select("k1", "k2").union(more.select("k1", "k2")), ["k1", "k2"], "left_anti")
-    rest = fitting(durable(left), entries, "y_at < x_at", SPEC).join(tried, ["k1", "k2", "j1", "j2"], "left_anti")
-    return more.union(_later(durable(rest), classes, docs))
+    tried = durable(fitting(left, either, "y_at < x_at", SPEC))
+    gone = durable(gone.union(_later(tried, classes, docs)))
+    left = durable(left.join(gone.select("k1", "k2"), ["k1", "k2"], "left_anti"))
+    rest = fitting(left, entries, "y_at < x_at", SPEC).join(tried, PAIR, "left_anti")
+    return gone.union(_later(durable(rest), classes, docs))
 
 
 def later_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, doc_key, line) of the lines to remove."""
-    docs = docs.select("doc_id", "text").where("doc_id is not null")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     found = setjoin.join_sets(docs, SPEC)
     classes = setjoin.classes_of(found)
-    gone = _later(found.where("kind = 'pair'").select("k1", "k2", "j1", "j2").distinct(), classes, docs)
+    pairs = lambda kind: found.where(F.col("kind") == kind).select(*PAIR)
+    gone = _later(pairs("pair").distinct(), classes, docs)
+    more = durable(pairs("more").join(gone.select("k1", "k2"), ["k1", "k2"], "left_anti").distinct())
+    gone = durable(gone.union(_later(more, classes, docs)))
     if not found.where("kind = 'crowd'").isEmpty():
-        gone = gone.union(_crowded(found, classes, docs, gone))
+        gone = _crowded(found, classes, docs, gone)
     return found.where("kind = 'same'").select(*AT).union(gone.select(*AT))
 
 

@@ -15,10 +15,12 @@ place, sketch) travel as packed arrays, sorted into slots by key; pairs are made
 
 Different sets of similarity 3/4 or more share three tokens at least. So a prefix token that is frequent
 in the corpus is no key by itself, for small sets: it is joined with the next tokens, two or three
-together, which are rarer. A key with more than `CROWD` classes even so (near copies of one text, for
-the most part) leaves its slot as rows, for a join of its own (`fitting`) that tries pivots first. A
-token so frequent that its entries would fill a task is spread over several slots; they are all passed
-on. Nothing is dropped.
+together, which are rarer. Of the pairs of a key that pass, each class's with the earliest other one comes
+first (`pair`); the `more` are looked at only where those leave something open. A key with more than
+`CROWD` classes, or with pairs out of proportion to its classes (near copies of one text), passes on
+its entries instead of more pairs, for a join of its own (`fitting`) of what is open. A token so
+frequent that its entries would fill a task is spread over several slots, and they are all passed on.
+Nothing is dropped.
 """
 
 from __future__ import annotations
@@ -38,21 +40,21 @@ from saltmarsh.llm.common import durable, slices
 BUCKETS, BLOCKS = 1 << 20, 64
 #: Occurrences, beyond twice the mean of all buckets, from which a prefix token is joined with the next ones to make keys,
 #: and from which its entries are spread over several slots.
-FREQUENT, HOT = 50_000, 1_000_000
+FREQUENT, HOT = 10_000, 1_000_000
 #: Sets of this many tokens and more also have single keys for frequent tokens; those up to a third more have joined ones.
 LONG = 48
-#: Classes of one key up to which all its pairs are looked at in its task.
-CROWD = 256
-#: Entries (28 bytes) a task holds before passing them on; those aimed at per joining task; those a slot holds before it is thinned.
+#: Classes of one key up to which all its pairs are looked at in its task, and passing pairs a class up to which they are passed on.
+CROWD, PAIRS = 4096, 16
+#: Entries (30 bytes) a task holds before passing them on; those aimed at per joining task; those a slot holds before it is thinned.
 HELD, PER_TASK, THIN = 1_000_000, 1_000_000, 2_000_000
 #: Pairs looked at together.
-AT_ONCE = 2_000_000
+AT_ONCE = 1_000_000
 #: Rows of a list of ids, and bytes of it in memory, up to which it is broadcast; beyond, a shuffled join is used.
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32_000_000
-AT = ["doc_id", "doc_key", "line"]
+AT, PAIR = ["doc_id", "doc_key", "line"], ["k1", "k2", "j1", "j2"]
 ENTRIES, SALTED, FIRST, SAME = range(4)
 U = np.uint64
-_ENTRY = (("gram", "<u4"), ("k1", "<u8"), ("k2", "<u4"), ("sig", "<u8"), ("n", "<u2"), ("place", "<u2"))
+_ENTRY = (("gram", "<u4"), ("k1", "<u8"), ("k2", "<u4"), ("sig", "<u4"), ("n", "<u2"), ("place", "<u2"), ("early", "<u4"), ("line", "<u2"))
 _MEMBER = (("k1", "<u8"), ("k2", "<u4"), ("n", "<u4"), ("doc_id", "<i8"), ("doc_key", "<i8"), ("line", "<i4"))
 Columns = dict[str, np.ndarray]
 
@@ -156,12 +158,12 @@ def sets_of(column: pa.Array, spec: Spec, rare: np.ndarray) -> Sets:
         owner, token = owner[new], token[new]
     n = np.bincount(owner, minlength=len(row))
     first = np.cumsum(n) - n
-    k1, k2, suffix = (np.zeros(0, dtype=U) for _ in range(3))
+    k1, k2, suffix = np.zeros(0, dtype=U), np.zeros(0, dtype=U), np.zeros(0, dtype=np.uint32)
     if len(row):
         with np.errstate(over="ignore"):
             k1 = ta.mix(np.add.reduceat(token, first) + n.astype(U))
             k2 = ta.mix(np.add.reduceat((token ^ (token >> U(31))) * (token | U(1)), first), 3) >> U(32)
-        upto = np.bitwise_xor.accumulate(U(1) << (token & U(63)))
+        upto = np.bitwise_xor.accumulate(np.uint32(1) << (token & U(31)).astype(np.uint32))
         suffix = upto ^ upto[first + n - 1][owner]
     return Sets(row, line, n, k1, k2, owner, token, np.arange(len(owner)) - first[owner], suffix)
 
@@ -289,40 +291,98 @@ def _send(entries: Columns, members: Columns, spec: Spec, spread: np.ndarray, sl
         yield from _rows(SAME, anywhere, anywhere, rest, _MEMBER)
 
 
-def close_pairs(e: Columns, spec: Spec) -> Columns:
-    """Pairs of different classes of one key that pass the filters. e: entries sorted by (gram, n), n up to 4095 counting."""
-    n = np.minimum(e["n"], 4095).astype(U)
-    gram = e["gram"].astype(U) << U(32)
-    low = np.searchsorted(gram | n << U(20), gram | (n * U(spec.num) + U(spec.den - 1)) // U(spec.den) << U(20))
-    count = np.maximum(np.arange(len(n)) - low, 0)
-    upto = np.concatenate([[0], np.cumsum(count)])
-    found, a = [], 0
-    full = e["n"] == 65535  # so large that the size isn't known
+def close_pairs(e: Columns, spec: Spec) -> tuple[Columns, Columns, np.ndarray]:
+    """Pairs of different classes of one key that pass the filters: of each class that with the earliest other one, and
+    the rest; and which entries are of crowded keys, whose rest isn't given. e: sorted by key and size (see `in_order`).
+
+    Of a pair, (k1, k2) is the class met later, by the document's number and the line, as far as these tell.
+    """
+    rows, t, u = len(e["gram"]), spec.num, spec.num + spec.den
     size, place = e["n"].astype(np.int64), e["place"].astype(np.int64)
-    while a < len(n):
-        z = max(a + 1, int(np.searchsorted(upto, upto[a] + AT_ONCE, side="right")) - 1)
-        k = count[a:z]
-        i = np.repeat(np.arange(a, z), k)
-        j = low[i] + np.arange(len(i)) - np.repeat(upto[a:z] - upto[a], k)
-        need = -(-(size[i] + size[j]) * spec.num // (spec.num + spec.den))
-        ok = np.minimum(size[i] - place[i], size[j] - place[j]) >= need
-        ok = (ok & (size[j] * spec.den >= size[i] * spec.num) & (size[i] * spec.den >= size[j] * spec.num)) | full[i] | full[j]
-        i, j, need = i[ok], j[ok], need[ok]
+    early = e["early"].astype(U) << U(16) | e["line"]
+    head = np.flatnonzero(np.r_[True, e["gram"][1:] != e["gram"][:-1]]) if rows else np.zeros(0, dtype=np.int64)
+    members = np.diff(np.append(head, rows))
+    group = np.repeat(np.arange(len(head)), members)
+    crowded, passed = members > CROWD, np.zeros(len(head), dtype=np.int64)
+    full = e["n"] == 65535  # so large that the size isn't known
+    best, others = np.full(rows, -1), []
+
+    def meet(i: np.ndarray, j: np.ndarray) -> None:
+        nonlocal passed, crowded
+        both = size[i] + size[j]
+        ok = np.minimum(size[i] - place[i], size[j] - place[j]) * u >= both * t
+        ok &= (size[j] * spec.den >= size[i] * t) & (size[i] * spec.den >= size[j] * t)
+        ok |= full[i] | full[j]
+        i, j, both = i[ok], j[ok], both[ok]
         apart = place[i] + place[j] + np.bitwise_count(e["sig"][i] ^ e["sig"][j])
-        ok = ((apart <= size[i] + size[j] - 2 * need) | full[i] | full[j]) & ((e["k1"][i] != e["k1"][j]) | (e["k2"][i] != e["k2"][j]))
-        found.append((i[ok], j[ok]))
+        ok = (apart <= both - 2 * (-(-both * t // u))) | full[i] | full[j]
+        ok &= (e["k1"][i] != e["k1"][j]) | (e["k2"][i] != e["k2"][j])
+        i, j = i[ok], j[ok]
+        swap = early[i] < early[j]
+        later, sooner = np.where(swap, j, i), np.where(swap, i, j)
+        order = np.lexsort((early[sooner], later))
+        later, sooner = later[order], sooner[order]
+        passed += np.bincount(group[later], minlength=len(head))
+        crowded |= passed > PAIRS * members
+        lead = np.r_[True, later[1:] != later[:-1]] if len(later) else np.zeros(0, dtype=bool)
+        x, y = later[lead], sooner[lead]
+        old = best[x]
+        better = (old < 0) | (early[y] < early[old])
+        best[x[better]] = y[better]
+        beaten = better & (old >= 0)
+        for a, b in ((later[~lead], sooner[~lead]), (x[~better], y[~better]), (x[beaten], old[beaten])):
+            keep = ~crowded[group[a]]
+            others.append((a[keep], b[keep]))
+
+    # Sorted by size, the partners of an entry that are no larger than it are a run, which its place shortens.
+    n = np.minimum(size, 4095)
+    where = group << 12
+    low = np.searchsorted(where | n, where | -(-n * t // spec.den))
+    most = np.where(size < 4095, np.clip((size - place) * u // t - size, 0, 4095), 4095)
+    high = np.minimum(np.searchsorted(where | n, where | most, side="right"), np.arange(rows))
+    count = np.where(crowded[group], 0, np.maximum(high - low, 0))
+    upto = np.concatenate([[0], np.cumsum(count)])
+    a = 0
+    while a < rows:
+        z = max(a + 1, int(np.searchsorted(upto, upto[a] + AT_ONCE, side="right")) - 1)
+        if upto[z] > upto[a]:
+            i = np.repeat(np.arange(a, z), count[a:z])
+            meet(i, low[i] + np.arange(len(i)) - (upto[i] - upto[a]))
         a = z
-    i, j = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, dtype=np.int64),) * 2
-    swap = (e["k1"][i] > e["k1"][j]) | (e["k1"][i] == e["k1"][j]) & (e["k2"][i] > e["k2"][j])
-    i, j = np.where(swap, j, i), np.where(swap, i, j)
+    # Of the largest keys each class is tried against two.
+    for k in np.flatnonzero(members > CROWD):
+        own = np.arange(head[k], head[k] + members[k])
+        for pivot in {int(own[np.argmin(early[own])]), int(own[np.argmin(place[own])])}:
+            meet(own, np.full(len(own), pivot))
+    later = np.flatnonzero(best >= 0)
+    first = (later, best[later])
+    rest = tuple(np.concatenate(x) for x in zip(*others, strict=True)) if others else (later[:0], later[:0])
+    keep = ~crowded[group[rest[0]]]
+    rest = (rest[0][keep], rest[1][keep])
+    # Where two can't be told apart in time, either may be the later one: such pairs don't wait.
+    same_time = early[rest[0]] == early[rest[1]]
+    first = tuple(np.concatenate([f, r[same_time]]) for f, r in zip(first, rest, strict=True))
+    rest = tuple(r[~same_time] for r in rest)
+    return _pairs(e, *first), _pairs(e, *rest), crowded[group]
+
+
+def _pairs(e: Columns, i: np.ndarray, j: np.ndarray) -> Columns:
+    """The distinct pairs of classes of entries i and j."""
     pairs = {"k1": e["k1"][i], "k2": e["k2"][i], "j1": e["k1"][j], "j2": e["k2"][j]}
-    order = np.lexsort((pairs["j1"], pairs["k1"]))
-    pairs = _take(pairs, order)
-    if len(order):
+    pairs = _take(pairs, np.lexsort((pairs["j1"], pairs["k1"])))
+    if len(i):
         pairs = _take(pairs, np.r_[True, np.logical_or.reduce([v[1:] != v[:-1] for v in pairs.values()])])
     return pairs
 
 
+def in_order(e: Columns) -> Columns:
+    """Entries by key and size (up to 4095), each class once a key."""
+    order = np.argsort(e["gram"].astype(U) << U(32) | np.minimum(e["n"], 4095).astype(U) << U(20) | e["k1"] >> U(44))
+    e = _take(e, order)
+    alike = [e[c] for c in ("gram", "k1", "k2", "place")]
+    return _take(e, np.r_[True, np.logical_or.reduce([x[1:] != x[:-1] for x in alike])]) if len(order) else e
+
+
 FOUND = "kind string, gram long, k1 long, k2 long, j1 long, j2 long, n int, place int, sig long, doc_id long, doc_key long, line int"
 _FOUND = [("kind", pa.string()), *((c, pa.int64()) for c in ("gram", "k1", "k2", "j1", "j2")), ("n", pa.int32()), ("place", pa.int32()), ("sig", pa.int64()), ("doc_id", pa.int64()), ("doc_key", pa.int64()), ("line", pa.int32())]
 
@@ -339,7 +399,7 @@ def _found(kind: str, columns: Columns) -> Iterator[pa.RecordBatch]:
 
 
 class Slot:
-    """The entries of one slot. Keys with more than CROWD classes leave it, now and whenever they come again."""
+    """The entries of one slot. Keys too large to be held leave it, now and whenever they come again."""
 
     def __init__(self, number: int):
         self.number, self.parts, self.size, self.limit, self.crowded = number, [], 0, THIN, np.zeros(0, dtype=np.uint32)
@@ -351,14 +411,11 @@ class Slot:
             yield from self.thin()
 
     def thin(self) -> Iterator[pa.RecordBatch]:
-        e = _join(self.parts)
-        order = np.argsort(e["gram"].astype(U) << U(32) | np.minimum(e["n"], 4095).astype(U) << U(20) | e["k1"] >> U(44))
-        e = _take(e, order)
-        new = np.r_[True, np.logical_or.reduce([e[c][1:] != e[c][:-1] for c in ("gram", "k1", "k2", "place")])]
-        e = _take(e, new)
+        """Puts classes together; keys that are too large to be held leave."""
+        e = in_order(_join(self.parts))
         head = np.flatnonzero(np.r_[True, e["gram"][1:] != e["gram"][:-1]])
         size = np.diff(np.append(head, len(e["gram"])))
-        many = np.repeat((size > CROWD) | np.isin(e["gram"][head], self.crowded), size)
+        many = np.repeat((size > self.limit // 8) | np.isin(e["gram"][head], self.crowded), size)
         if many.any():
             out = _take(e, many)
             yield from crowd(self.number, out)
@@ -367,6 +424,15 @@ class Slot:
         self.parts, self.size = [e], len(e["gram"])
         self.limit = max(THIN, 2 * self.size)
 
+    def close(self, spec: Spec) -> Iterator[pa.RecordBatch]:
+        yield from self.thin()
+        (e,), self.parts = self.parts, []
+        if len(e["gram"]):
+            first, more, crowded = close_pairs(e, spec)
+            yield from _found("pair", first)
+            yield from _found("more", more)
+            yield from crowd(self.number, _take(e, crowded))
+
 
 def crowd(base: int, e: Columns) -> Iterator[pa.RecordBatch]:
     return _found("crowd", {**e, "gram": np.int64(base) << np.int64(32) | e["gram"].astype(np.int64)})
@@ -375,11 +441,14 @@ def crowd(base: int, e: Columns) -> Iterator[pa.RecordBatch]:
 def join_sets(docs: DataFrame, spec: Spec) -> DataFrame:
     """Rows of FOUND, stored, from docs (doc_id, text; no null doc_id).
 
-    `pair`: classes that may be similar (k1, k2 and j1, j2). `crowd`: entries of crowded keys. `first`: the member that
+    `pair`: classes that may be similar (k1, k2 and j1, j2). `more`: others, of which (k1, k2) is the later one for certain.
+    `crowd`: entries of crowded keys, all of whose pairs count. `first`: the member that
     stands for each class. `same`: all other members, and whole texts without a word, of size 0.
     """
     spark = docs.sparkSession
     counts = token_counts(docs, spec)
+    least, most = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    coarse = max(0, ((most or 0) - (least or 0)).bit_length() - 32)
     partitions = int(max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(counts.sum()) / 4 / PER_TASK + 1))
     slots = partitions * 4
     tables = spark.sparkContext.broadcast((rarity(counts), salts(counts), counts, excess(counts) > FREQUENT))
@@ -401,6 +470,9 @@ def join_sets(docs: DataFrame, spec: Spec) -> DataFrame:
                     continue
                 key, own, place, token, where = keys_of(sets, spec, counts, often)
                 entries = {"key": key, "bucket": where, "k1": sets.k1[own], "k2": sets.k2[own], "sig": sets.suffix[token], "n": np.minimum(sets.n[own], 65535), "place": np.minimum(place, 65535)}
+                ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+                early = (ids.view(U) - U(least & 0xFFFFFFFFFFFFFFFF)) >> U(coarse)
+                entries |= {"early": early[sets.row[own]], "line": np.minimum(sets.line[own], 65535)}
                 ids, keys = (batch.column(c).to_numpy(zero_copy_only=False)[sets.row] for c in ("doc_id", "doc_key"))
                 held.append((entries, {"k1": sets.k1, "k2": sets.k2, "n": sets.n, "doc_id": ids, "doc_key": keys, "line": sets.line}))
                 size += len(key) + len(sets.row)
@@ -425,9 +497,7 @@ def join_sets(docs: DataFrame, spec: Spec) -> DataFrame:
                 else:
                     yield from _found("same", got)
         for slot in at.values():
-            yield from slot.thin()
-            yield from _found("pair", close_pairs(slot.parts[0], spec))
-            slot.parts = []
+            yield from slot.close(spec)
         if first:
             kept, rest = firsts(_join(first), spec)
             yield from _found("first", kept)

@@ -97,8 +97,10 @@ def test_frequent_tokens_are_spread_over_slots(spark, monkeypatch):
     test_lines_against_brute_force(spark)
 
 
-def test_crowded_keys_lose_nothing(spark, monkeypatch):
-    monkeypatch.setattr(setjoin, "CROWD", 2)
+@pytest.mark.parametrize("crowd", [2, 1000])
+def test_crowded_keys_lose_nothing(spark, monkeypatch, crowd):
+    monkeypatch.setattr(setjoin, "CROWD", crowd)
+    monkeypatch.setattr(setjoin, "PAIRS", 0)
     monkeypatch.setattr(setjoin, "THIN", 50)
     test_join_against_brute_force(spark)
     test_join_of_one_large_group(spark)
@@ -249,8 +251,9 @@ def test_query_and_pipeline_drop_repeats_of_short_lines(spark, tmp_path):
 
 @pytest.mark.parametrize("spec", [setjoin.Spec(words=1), setjoin.Spec(words=1, num=4, den=5), setjoin.Spec(words=1, num=9, den=10)])
 @pytest.mark.parametrize("often", [0.0, 0.5, 1.0])
-def test_similar_sets_meet_and_pass_the_filters(spec, often):
+def test_similar_sets_meet_and_pass_the_filters(spec, often, monkeypatch):
     """Of every similar pair, two entries of one key pass the filters; all of one task, so that nothing else decides."""
+    monkeypatch.setattr(setjoin, "PAIRS", 1000)
     rng = np.random.default_rng(5)
     pool = [f"w{i}" for i in range(40)]
     texts = [" ".join(rng.choice(pool, rng.integers(1, 38), replace=False)) for _ in range(40)]
@@ -259,10 +262,10 @@ def test_similar_sets_meet_and_pass_the_filters(spec, often):
     sets = setjoin.sets_of(pa.array(texts), spec, rare)
     counts = np.full(setjoin.BUCKETS, 10**6, dtype=np.int64)
     key, own, place, token, _ = setjoin.keys_of(sets, spec, counts, rng.random(setjoin.BUCKETS) < often)
-    entries = {"gram": key & np.uint64(0xFFFFFFFF), "k1": sets.k1[own], "k2": sets.k2[own], "sig": sets.suffix[token], "n": sets.n[own].astype(np.uint16), "place": place.astype(np.uint16)}
-    entries = {c: v[np.lexsort((entries["n"], entries["gram"]))] for c, v in entries.items()}
-    found = setjoin.close_pairs(entries, spec)
-    pairs = set(zip(found["k1"].tolist(), found["j1"].tolist(), strict=True))
+    entries = {"early": own.astype(np.uint32), "line": own.astype(np.uint16), "gram": key & np.uint64(0xFFFFFFFF), "k1": sets.k1[own], "k2": sets.k2[own], "sig": sets.suffix[token], "n": sets.n[own].astype(np.uint16), "place": place.astype(np.uint16)}
+    first, more, crowded = setjoin.close_pairs(setjoin.in_order(entries), spec)
+    pairs = {tuple(sorted(p)) for found in (first, more) for p in zip(found["k1"].tolist(), found["j1"].tolist(), strict=True)}
+    assert not crowded.any()
     words = [frozenset(t.split(" ")) - {""} for t in texts]
     similar_ones = 0
     for a in range(len(texts)):
