@@ -40,9 +40,19 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, spec: setjoin.
     return durable(setjoin.checked(pairs, classes, docs, spec).select(F.col("at.doc_id").alias("a"), F.col("other.doc_id").alias("b")).where("a <> b"))
 
 
-def _labels(links: DataFrame, classes: DataFrame) -> DataFrame:
+def _joined(place: DataFrame, links: DataFrame) -> DataFrame:
+    """place (id, component) after further links, of which there are few: only components move."""
+    if links.isEmpty():
+        return place
+    name = lambda c: place.select(F.col("id").alias(c), F.col("component").alias(f"{c}c"))
+    named = links.join(name("a"), "a", "left").join(name("b"), "b", "left").select(F.coalesce("ac", "a").alias("a"), F.coalesce("bc", "b").alias("b"))
+    moves = durable(components(named))
+    moved = place.join(moves.select(F.col("id").alias("component"), F.col("component").alias("to")), "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    return durable(moved.union(moves.join(place, "id", "left_anti").select("id", "component")))
+
+
+def _labels(place: DataFrame, classes: DataFrame) -> DataFrame:
     """(k1, k2, c): the component of each class that is linked, stored."""
-    place = components(links)
     return durable(classes.join(place, F.col("at.doc_id") == F.col("id")).select("k1", "k2", F.col("component").alias("c")))
 
 
@@ -54,26 +64,27 @@ def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
     return two.where("c1 is null or c2 is null or c1 <> c2").select(*PAIR)
 
 
-def _crowded(found: DataFrame, classes: DataFrame, docs: DataFrame, links: DataFrame, spec: setjoin.Spec) -> DataFrame:
-    """links and those that crowded keys add."""
-    whole = setjoin.crowd_entries(found)
+def _crowded(found: DataFrame, classes: DataFrame, docs: DataFrame, place: DataFrame, spec: setjoin.Spec) -> DataFrame:
+    """place after the links that crowded keys add."""
+    whole = setjoin.crowd_entries(found).join(classes.select("k1", "k2", F.col("at.doc_id").alias("own")), ["k1", "k2"])
 
-    def mixed(links: DataFrame) -> DataFrame:
+    def mixed(place: DataFrame) -> DataFrame:
         """Entries of keys in which several components meet, with their components."""
-        own = classes.select("k1", "k2", F.col("at.doc_id").alias("own"))
-        named = durable(whole.join(_labels(links, classes), ["k1", "k2"], "left").join(own, ["k1", "k2"]).withColumn("c", F.coalesce("c", "own")).drop("own"))
+        named = durable(whole.join(place, F.col("own") == F.col("id"), "left").select("gram", "k1", "k2", "n", "place", "sig", F.coalesce("component", "own").alias("c")))
         grams = named.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("gram")
         return durable(named.join(setjoin.ids_side(grams), "gram", "left_semi"))
 
-    rest = mixed(links)
+    rest = mixed(place)
     if rest.isEmpty():
-        return links
+        return place
     pivots = durable(rest.groupBy("gram").agg(F.min(F.struct("place", "k1", "k2", "n", "sig", "c")).alias("p")).select("gram", "p.*"))
     tried = durable(_unordered(fitting(rest, pivots, "x_c <> y_c", spec)))
-    links = durable(links.union(_links(tried, classes, docs, spec)))
-    rest = mixed(links)
-    left = _unordered(fitting(rest, rest, "x_c < y_c", spec)).join(tried, PAIR, "left_anti")
-    return links.union(_links(durable(left), classes, docs, spec))
+    links = _links(tried, classes, docs, spec)
+    if not links.isEmpty():
+        place = _joined(place, links)
+        rest = mixed(place)
+    left = durable(_unordered(fitting(rest, rest, "x_c < y_c", spec)).join(tried, PAIR, "left_anti"))
+    return _joined(place, _links(left, classes, docs, spec))
 
 
 def _alone(docs: DataFrame, spec: setjoin.Spec) -> DataFrame:
@@ -97,17 +108,17 @@ def link_components(docs: DataFrame, spec: setjoin.Spec = SPEC) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = setjoin.join_sets(docs.where("doc_id is not null"), spec)
     classes = setjoin.classes_of(found)
-    links = _links(found.where("kind = 'pair'").select(*PAIR).distinct(), classes, docs, spec)
-    more = durable(_apart(found.where("kind = 'more'").select(*PAIR), _labels(links, classes)).distinct())
-    links = links.union(_links(more, classes, docs, spec))
     # Rows that share a doc_id but not a text make one node of several classes.
     members = found.where("kind in ('first', 'same') and n > 0").select("doc_id", "k1", "k2")
     same_id = members.groupBy("doc_id").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).where("lo <> hi").select("doc_id")
     twice = members.join(setjoin.ids_side(same_id), "doc_id").join(classes, ["k1", "k2"]).select(F.col("doc_id").alias("a"), F.col("at.doc_id").alias("b")).where("a <> b")
-    links = durable(links.union(twice))
+    tried = setjoin.earliest(found)
+    place = durable(components(_links(tried, classes, docs, spec).union(twice)).select("id", "component"))
+    rest = found.where("kind in ('pair', 'more')").select(*PAIR).join(tried, PAIR, "left_anti")
+    more = durable(_unordered(_apart(rest, _labels(place, classes))))
+    place = _joined(place, _links(more, classes, docs, spec))
     if not found.where("kind = 'crowd'").isEmpty():
-        links = durable(_crowded(found, classes, docs, links, spec))
-    place = durable(components(links).select("id", "component"))
+        place = _crowded(found, classes, docs, place, spec)
 
     first = found.where("kind = 'first'").select("doc_id", "n").join(place, F.col("doc_id") == F.col("id"), "left").select("doc_id", "n", F.coalesce("component", "doc_id").alias("c"))
     same = found.where("kind = 'same' and n > 0").select("doc_id", "n", "k1", "k2")

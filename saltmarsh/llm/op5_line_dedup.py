@@ -67,9 +67,11 @@ def later_lines(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     found = setjoin.join_sets(docs, SPEC)
     classes = setjoin.classes_of(found)
-    pairs = lambda kind: found.where(F.col("kind") == kind).select(*PAIR)
-    gone = _later(pairs("pair").distinct(), classes, docs)
-    more = durable(pairs("more").join(gone.select("k1", "k2"), ["k1", "k2"], "left_anti").distinct())
+    tried = setjoin.earliest(found)
+    gone = _later(tried, classes, docs)
+    # Of two that can't be told apart in time, (k1, k2) may be the earlier one. So only the class that is gone counts.
+    rest = found.where("kind in ('pair', 'more')").select(*PAIR).join(gone.select("k1", "k2"), ["k1", "k2"], "left_anti")
+    more = durable(rest.join(tried, PAIR, "left_anti").distinct())
     gone = durable(gone.union(_later(more, classes, docs)))
     if not found.where("kind = 'crowd'").isEmpty():
         gone = _crowded(found, classes, docs, gone)

@@ -45,7 +45,7 @@ FREQUENT, HOT = 10_000, 1_000_000
 LONG = 48
 #: Classes of one key up to which all its pairs are looked at in its task, and passing pairs a class up to which they are passed on.
 CROWD, PAIRS = 4096, 16
-#: Entries (30 bytes) a task holds before passing them on; those aimed at per joining task; those a slot holds before it is thinned.
+#: Entries (34 bytes) a task holds before passing them on; those aimed at per joining task; those a slot holds before it is thinned.
 HELD, PER_TASK, THIN = 1_000_000, 1_000_000, 2_000_000
 #: Pairs looked at together.
 AT_ONCE = 1_000_000
@@ -54,7 +54,7 @@ BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32_000_000
 AT, PAIR = ["doc_id", "doc_key", "line"], ["k1", "k2", "j1", "j2"]
 ENTRIES, SALTED, FIRST, SAME = range(4)
 U = np.uint64
-_ENTRY = (("gram", "<u4"), ("k1", "<u8"), ("k2", "<u4"), ("sig", "<u4"), ("n", "<u2"), ("place", "<u2"), ("early", "<u4"), ("line", "<u2"))
+_ENTRY = (("gram", "<u4"), ("k1", "<u8"), ("k2", "<u4"), ("sig", "<u8"), ("n", "<u2"), ("place", "<u2"), ("early", "<u4"), ("line", "<u2"))
 _MEMBER = (("k1", "<u8"), ("k2", "<u4"), ("n", "<u4"), ("doc_id", "<i8"), ("doc_key", "<i8"), ("line", "<i4"))
 Columns = dict[str, np.ndarray]
 
@@ -158,12 +158,12 @@ def sets_of(column: pa.Array, spec: Spec, rare: np.ndarray) -> Sets:
         owner, token = owner[new], token[new]
     n = np.bincount(owner, minlength=len(row))
     first = np.cumsum(n) - n
-    k1, k2, suffix = np.zeros(0, dtype=U), np.zeros(0, dtype=U), np.zeros(0, dtype=np.uint32)
+    k1, k2, suffix = (np.zeros(0, dtype=U) for _ in range(3))
     if len(row):
         with np.errstate(over="ignore"):
             k1 = ta.mix(np.add.reduceat(token, first) + n.astype(U))
             k2 = ta.mix(np.add.reduceat((token ^ (token >> U(31))) * (token | U(1)), first), 3) >> U(32)
-        upto = np.bitwise_xor.accumulate(np.uint32(1) << (token & U(31)).astype(np.uint32))
+        upto = np.bitwise_xor.accumulate(U(1) << (token & U(63)))
         suffix = upto ^ upto[first + n - 1][owner]
     return Sets(row, line, n, k1, k2, owner, token, np.arange(len(owner)) - first[owner], suffix)
 
@@ -367,8 +367,8 @@ def close_pairs(e: Columns, spec: Spec) -> tuple[Columns, Columns, np.ndarray]:
 
 
 def _pairs(e: Columns, i: np.ndarray, j: np.ndarray) -> Columns:
-    """The distinct pairs of classes of entries i and j."""
-    pairs = {"k1": e["k1"][i], "k2": e["k2"][i], "j1": e["k1"][j], "j2": e["k2"][j]}
+    """The distinct pairs of classes of entries i and j; `gram` holds how early j's was met."""
+    pairs = {"k1": e["k1"][i], "k2": e["k2"][i], "j1": e["k1"][j], "j2": e["k2"][j], "gram": e["early"][j].astype(np.int64) << 16 | e["line"][j]}
     pairs = _take(pairs, np.lexsort((pairs["j1"], pairs["k1"])))
     if len(i):
         pairs = _take(pairs, np.r_[True, np.logical_or.reduce([v[1:] != v[:-1] for v in pairs.values()])])
@@ -523,40 +523,53 @@ def fitting(x: DataFrame, y: DataFrame, different: str, spec: Spec) -> DataFrame
     return joined.select(F.col("x_k1").alias("k1"), F.col("x_k2").alias("k2"), F.col("y_k1").alias("j1"), F.col("y_k2").alias("j2")).distinct()
 
 
+def earliest(found: DataFrame) -> DataFrame:
+    """Of each class one of its `pair`s: that with the earliest other class of all keys."""
+    one = found.where("kind = 'pair'").groupBy("k1", "k2").agg(F.min(F.struct("gram", "j1", "j2")).alias("p"))
+    return durable(one.select("k1", "k2", "p.j1", "p.j2"))
+
+
 def crowd_entries(found: DataFrame) -> DataFrame:
     return found.where("kind = 'crowd'").select("gram", "k1", "k2", "n", "place", "sig").distinct()
 
 
-def texts_of(docs: DataFrame, wanted: DataFrame, spec: Spec) -> DataFrame:
-    """(k1, k2, text) for wanted (k1, k2, doc_id, doc_key, line): those texts, or lines of texts, stored. A text is cut once."""
-    wanted = durable(wanted)
-    of_doc = wanted.groupBy("doc_id", "doc_key").agg(F.collect_list(F.struct("line", "k1", "k2")).alias("_want"))
-    of_doc = F.broadcast(of_doc) if few(wanted) else of_doc
+def checked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, spec: Spec) -> DataFrame:
+    """(k1, k2, at, j1, j2, other): those of distinct pairs (k1, k2, j1, j2) that are similar enough.
+
+    Each text is cut once, where it is read; what is cut out goes straight to the class it is compared with.
+    """
+    side = lambda a, b, at: classes.select(F.col("k1").alias(a), F.col("k2").alias(b), F.col("at").alias(at))
+    both = durable(pairs.join(side("k1", "k2", "at"), ["k1", "k2"]).join(side("j1", "j2", "other"), ["j1", "j2"]))
+    if both.isEmpty():
+        return both
+    nobody = [F.lit(None).cast("long").alias(c) for c in ("k1", "k2")]
+    asked = both.select("at.*", "k1", "k2", "j1", "j2").union(both.select("other.*", *nobody, "j1", "j2").distinct())
+    of_doc = asked.groupBy("doc_id", "doc_key").agg(F.collect_list(F.struct("line", *PAIR)).alias("_want"))
+    if few(both):
+        of_doc = F.broadcast(of_doc)
     keyed = docs.select("doc_id", F.col("text").alias("_text"), text_key().alias("doc_key")).join(of_doc, ["doc_id", "doc_key"]).select("_text", "_want")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "_text"):
-                out: tuple[list, list, list] = ([], [], [])
-                for text, want in zip(batch.column("_text").to_pylist(), batch.column("_want").to_pylist(), strict=True):
+                wants, texts = batch.column("_want"), []
+                where = pa.compute.list_parent_indices(wants).to_numpy()
+                line = wants.flatten().field("line").to_numpy()
+                ends = np.flatnonzero(np.r_[where[1:] != where[:-1], True])
+                start = 0
+                for k, end in zip(where[ends].tolist(), (ends + 1).tolist(), strict=True):
+                    text = batch.column("_text")[k].as_py()
                     lines = text.split("\n") if spec.lines else [text]
-                    for w in want:
-                        for held, v in zip(out, (w["k1"], w["k2"], lines[w["line"]]), strict=True):
-                            held.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string())], names=["k1", "k2", "text"])
-
-    return durable(keyed.mapInArrow(run, "k1 long, k2 long, text string").dropDuplicates(["k1", "k2"]))
-
-
-def checked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, spec: Spec) -> DataFrame:
-    """(k1, k2, at, j1, j2, other): those of distinct pairs (k1, k2, j1, j2) that are similar enough."""
-    side = lambda a, b, at: classes.select(F.col("k1").alias(a), F.col("k2").alias(b), F.col("at").alias(at))
-    both = durable(pairs.join(side("k1", "k2", "at"), ["k1", "k2"]).join(side("j1", "j2", "other"), ["j1", "j2"]))
-    ends = both.select("k1", "k2", "at").union(both.select("j1", "j2", "other")).dropDuplicates(["k1", "k2"])
-    texts = texts_of(docs, ends.select("k1", "k2", "at.*"), spec)
-    side = lambda a, b, t: texts.select(F.col("k1").alias(a), F.col("k2").alias(b), F.col("text").alias(t))
-    whole = both.join(side("k1", "k2", "_a"), ["k1", "k2"]).join(side("j1", "j2", "_b"), ["j1", "j2"])
-    return similar_texts(whole, spec)
+                    texts += [lines[i] for i in line[start:end].tolist()]
+                    start = end
+                yield pa.RecordBatch.from_arrays([*(wants.flatten().field(c) for c in PAIR), pa.array(texts, pa.string())], names=[*PAIR, "text"])
+
+    texts = durable(keyed.mapInArrow(cut, "k1 long, k2 long, j1 long, j2 long, text string"))
+    one = texts.where("k1 is not null").withColumnRenamed("text", "_a")
+    # A row that is repeated in the table gives its text twice.
+    other = texts.where("k1 is null").select("j1", "j2", F.col("text").alias("_b")).dropDuplicates(["j1", "j2"])
+    similar = similar_texts(one.join(other, ["j1", "j2"]).select(*PAIR, "_a", "_b"), spec).distinct()
+    return both.join(similar, PAIR).select("k1", "k2", "at", "j1", "j2", "other")
 
 
 def overlaps(a: pa.Array, b: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -2,8 +2,7 @@
 
 Everything works on the UTF-8 bytes of an Arrow string column, a run of rows at a time, so no
 Python object is made per word. Words are runs of bytes other than space and 0x09-0x0D, which in
-UTF-8 is the same as splitting the decoded text at these six characters. Hashes have 64 bits: a
-polynomial over random byte values, finished by a bijective mixer.
+UTF-8 is the same as splitting the decoded text at these six characters. Hashes have 64 bits.
 """
 
 from __future__ import annotations
@@ -16,8 +15,10 @@ import pyarrow as pa
 U = np.uint64
 _rng = np.random.default_rng(20240817)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.int64).astype(U) * U(2) + U(1)
-_LOWER = _BYTE.copy()
-_LOWER[65:91] = _BYTE[97:123]
+_AS_LOWER = np.arange(256, dtype=np.uint8)
+_AS_LOWER[65:91] += 32
+#: Masks of the first 0 to 8 bytes of eight.
+_FIRST = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=U)
 _BASE = U(0x9E3779B97F4A7C15)
 _STEP = _rng.integers(1, 2**63, 64, dtype=np.int64).astype(U) * U(2) + U(1)
 _SPACE = np.zeros(256, dtype=bool)
@@ -51,20 +52,37 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def hash_runs(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray, values: np.ndarray = _BYTE) -> np.ndarray:
-    """A hash of each run of bytes; runs are disjoint, ascending and not empty."""
-    first = np.cumsum(lengths) - lengths
-    return hash_bytes(raw[np.repeat(starts - first, lengths) + np.arange(int(lengths.sum()))], lengths, values)
-
+def hash_runs(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray, lower: bool = False) -> np.ndarray:
+    """A hash of each run of bytes; runs are disjoint, ascending and not empty. lower: A-Z count as a-z.
 
-def hash_bytes(data: np.ndarray, lengths: np.ndarray, values: np.ndarray = _BYTE) -> np.ndarray:
-    """The same for runs that follow each other in data without a gap."""
-    if not len(lengths):
+    Runs of up to 64 bytes are read eight bytes at a time; longer ones by a polynomial over all bytes.
+    """
+    if not len(starts):
         return np.zeros(0, dtype=U)
+    data = np.concatenate([_AS_LOWER[raw] if lower else raw, np.zeros(8, dtype=np.uint8)])
+    eight = np.ndarray((len(raw) + 1,), dtype="<u8", buffer=data, strides=(1,))
+    with np.errstate(over="ignore"):
+        h = mix((eight[starts] & _FIRST[np.minimum(lengths, 8)]) ^ (lengths.astype(U) * _BASE), 5)
+        more = np.flatnonzero((lengths > 8) & (lengths <= 64))
+        done = 8
+        while len(more):
+            left = lengths[more] - done
+            h[more] = mix(h[more] ^ (eight[starts[more] + done] & _FIRST[np.minimum(left, 8)]), 6)
+            more, done = more[left > 8], done + 8
+    long = np.flatnonzero(lengths > 64)
+    if len(long):
+        at, size = starts[long], lengths[long]
+        first = np.cumsum(size) - size
+        h[long] = hash_bytes(data[np.repeat(at - first, size) + np.arange(int(size.sum()))], size)
+    return h
+
+
+def hash_bytes(data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A hash of each of the runs that follow each other in data without a gap."""
     first = np.cumsum(lengths) - lengths
     within = np.arange(len(data)) - np.repeat(first, lengths)
     with np.errstate(over="ignore"):
-        terms = values[data] * _powers(int(lengths.max()))[within]
+        terms = _BYTE[data] * _powers(int(lengths.max()))[within]
         return mix(np.add.reduceat(terms, first) + lengths.astype(U))
 
 
@@ -120,7 +138,7 @@ def words_of(raw: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words
     start = np.flatnonzero(inside & (before | edge[:-1]))
     end = np.flatnonzero(inside & (after | edge[1:])) + 1
     row = np.searchsorted(offsets, start, side="right") - 1
-    return Words(raw, offsets, start, end, row, hash_bytes(raw[inside], end - start, _LOWER if lower else _BYTE))
+    return Words(raw, offsets, start, end, row, hash_runs(raw, start, end - start, lower))
 
 
 def windows(hashes: np.ndarray, group: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -93,7 +93,7 @@ def test_frequent_tokens_are_spread_over_slots(spark, monkeypatch):
     counts = np.zeros(setjoin.BUCKETS, dtype=np.int64)
     counts[3] = 12
     assert setjoin.salts(counts)[3] == 3 and setjoin.salts(counts)[4] == 1
-    test_join_of_one_large_group(spark)
+    test_join_of_one_large_group(spark, 40)
     test_lines_against_brute_force(spark)
 
 
@@ -103,7 +103,7 @@ def test_crowded_keys_lose_nothing(spark, monkeypatch, crowd):
     monkeypatch.setattr(setjoin, "PAIRS", 0)
     monkeypatch.setattr(setjoin, "THIN", 50)
     test_join_against_brute_force(spark)
-    test_join_of_one_large_group(spark)
+    test_join_of_one_large_group(spark, 40)
     test_lines_against_brute_force(spark)
 
 
@@ -115,12 +115,12 @@ def test_keys_of_several_tokens_lose_nothing(spark, monkeypatch, long):
     test_lines_against_brute_force(spark)
 
 
-def test_join_of_one_large_group(spark):
+def test_join_of_one_large_group(spark, n=150):
     """Near copies of one text, most of which are similar to the original but not to each other."""
     r = random.Random(9)
     base = [f"b{i}" for i in range(120)]
     rows = [(1000, " ".join(base))]
-    for i in range(150):
+    for i in range(n):
         w = list(base)
         for _ in range(r.choice([1, 2, 3, 5])):
             w[r.randrange(len(w))] = f"x{r.randrange(10**6)}"
