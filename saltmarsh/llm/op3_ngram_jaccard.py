@@ -58,7 +58,7 @@ def _labels(place: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
     """Those pairs whose classes are in different components so far."""
-    side = setjoin.ids_side(label)
+    side = setjoin.side_of(label)
     one = pairs.join(side, ["k1", "k2"], "left").withColumnRenamed("c", "c1")
     two = one.join(side.select(F.col("k1").alias("j1"), F.col("k2").alias("j2"), F.col("c").alias("c2")), ["j1", "j2"], "left")
     return two.where("c1 is null or c2 is null or c1 <> c2").select(*PAIR)
@@ -66,11 +66,11 @@ def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
 
 def _crowded(found: DataFrame, classes: DataFrame, docs: DataFrame, place: DataFrame, spec: setjoin.Spec) -> DataFrame:
     """place after the links that crowded keys add."""
-    whole = setjoin.crowd_entries(found).join(classes.select("k1", "k2", F.col("at.doc_id").alias("own")), ["k1", "k2"])
+    whole = durable(classes.select("k1", "k2", F.col("at.doc_id").alias("own")).join(setjoin.ids_side(setjoin.crowd_entries(found)), ["k1", "k2"]))
 
     def mixed(place: DataFrame) -> DataFrame:
         """Entries of keys in which several components meet, with their components."""
-        named = durable(whole.join(place, F.col("own") == F.col("id"), "left").select("gram", "k1", "k2", "n", "place", "sig", F.coalesce("component", "own").alias("c")))
+        named = durable(whole.join(setjoin.side_of(place), F.col("own") == F.col("id"), "left").select("gram", "k1", "k2", "n", "place", "sig", F.coalesce("component", "own").alias("c")))
         grams = named.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("gram")
         return durable(named.join(setjoin.ids_side(grams), "gram", "left_semi"))
 
@@ -83,7 +83,7 @@ def _crowded(found: DataFrame, classes: DataFrame, docs: DataFrame, place: DataF
     if not links.isEmpty():
         place = _joined(place, links)
         rest = mixed(place)
-    left = durable(_unordered(fitting(rest, rest, "x_c < y_c", spec)).join(tried, PAIR, "left_anti"))
+    left = durable(_unordered(fitting(rest, rest, "x_c < y_c", spec)).join(setjoin.side_of(tried), PAIR, "left_anti"))
     return _joined(place, _links(left, classes, docs, spec))
 
 
@@ -114,7 +114,7 @@ def link_components(docs: DataFrame, spec: setjoin.Spec = SPEC) -> DataFrame:
     twice = members.join(setjoin.ids_side(same_id), "doc_id").join(classes, ["k1", "k2"]).select(F.col("doc_id").alias("a"), F.col("at.doc_id").alias("b")).where("a <> b")
     tried = setjoin.earliest(found)
     place = durable(components(_links(tried, classes, docs, spec).union(twice)).select("id", "component"))
-    rest = found.where("kind in ('pair', 'more')").select(*PAIR).join(tried, PAIR, "left_anti")
+    rest = found.where("kind in ('pair', 'more')").select(*PAIR).join(setjoin.side_of(tried), PAIR, "left_anti")
     more = durable(_unordered(_apart(rest, _labels(place, classes))))
     place = _joined(place, _links(more, classes, docs, spec))
     if not found.where("kind = 'crowd'").isEmpty():

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from saltmarsh.llm import setjoin
 from saltmarsh.llm.common import durable, fresh, slices, table
-from saltmarsh.llm.setjoin import AT, PAIR, fitting
+from saltmarsh.llm.setjoin import AT, PAIR, fitting, side_of
 
 SPEC = setjoin.Spec(lines=True, words=1)
 
@@ -48,17 +48,19 @@ def _later(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
 def _crowded(found: DataFrame, classes: DataFrame, docs: DataFrame, gone: DataFrame) -> DataFrame:
     """Classes that crowded keys remove, beside those gone already."""
     fields = ("at", "k1", "k2", "n", "place", "sig")
-    entries = setjoin.crowd_entries(found)
-    left = durable(entries.join(gone.select("k1", "k2"), ["k1", "k2"], "left_anti").join(classes, ["k1", "k2"]))
+    entries = durable(setjoin.crowd_entries(found))
+    left = durable(entries.join(side_of(gone).select("k1", "k2"), ["k1", "k2"], "left_anti"))
     if left.isEmpty():
         return gone
-    entries = durable(entries.join(setjoin.ids_side(left.select("gram").distinct()), "gram", "left_semi").join(classes, ["k1", "k2"]))
+    entries = durable(entries.join(setjoin.ids_side(left.select("gram").distinct()), "gram", "left_semi"))
+    entries = durable(classes.join(side_of(entries), ["k1", "k2"]))
+    left = durable(classes.join(side_of(left), ["k1", "k2"]))
     pivots = durable(entries.groupBy("gram").agg(F.min(F.struct(*fields)).alias("e"), F.min(F.struct("place", *(f for f in fields if f != "place"))).alias("c")))
     either = pivots.select("gram", F.explode(F.array_distinct(F.array(*[F.struct(*[F.col(f"{p}.{f}").alias(f) for f in fields]) for p in "ec"]))).alias("p")).select("gram", "p.*")
     tried = durable(fitting(left, either, "y_at < x_at", SPEC))
     gone = durable(gone.union(_later(tried, classes, docs)))
-    left = durable(left.join(gone.select("k1", "k2"), ["k1", "k2"], "left_anti"))
-    rest = fitting(left, entries, "y_at < x_at", SPEC).join(tried, PAIR, "left_anti")
+    left = durable(left.join(side_of(gone).select("k1", "k2"), ["k1", "k2"], "left_anti"))
+    rest = fitting(left, entries, "y_at < x_at", SPEC).join(side_of(tried), PAIR, "left_anti")
     return gone.union(_later(durable(rest), classes, docs))
 
 
@@ -70,8 +72,8 @@ def later_lines(docs: DataFrame) -> DataFrame:
     tried = setjoin.earliest(found)
     gone = _later(tried, classes, docs)
     # Of two that can't be told apart in time, (k1, k2) may be the earlier one. So only the class that is gone counts.
-    rest = found.where("kind in ('pair', 'more')").select(*PAIR).join(gone.select("k1", "k2"), ["k1", "k2"], "left_anti")
-    more = durable(rest.join(tried, PAIR, "left_anti").distinct())
+    rest = found.where("kind in ('pair', 'more')").select(*PAIR).join(side_of(gone).select("k1", "k2"), ["k1", "k2"], "left_anti")
+    more = durable(rest.join(side_of(tried), PAIR, "left_anti").distinct())
     gone = durable(gone.union(_later(more, classes, docs)))
     if not found.where("kind = 'crowd'").isEmpty():
         gone = _crowded(found, classes, docs, gone)

@@ -534,12 +534,15 @@ def crowd_entries(found: DataFrame) -> DataFrame:
 
 
 def checked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, spec: Spec) -> DataFrame:
-    """(k1, k2, at, j1, j2, other): those of distinct pairs (k1, k2, j1, j2) that are similar enough.
+    """(k1, k2, at, j1, j2, other): those of distinct, stored pairs (k1, k2, j1, j2) that are similar enough.
 
     Each text is cut once, where it is read; what is cut out goes straight to the class it is compared with.
     """
     side = lambda a, b, at: classes.select(F.col("k1").alias(a), F.col("k2").alias(b), F.col("at").alias(at))
-    both = durable(pairs.join(side("k1", "k2", "at"), ["k1", "k2"]).join(side("j1", "j2", "other"), ["j1", "j2"]))
+    # Few pairs go to the classes; only many make the classes move.
+    light = F.broadcast if few(pairs) else lambda df: df
+    half = side("k1", "k2", "at").join(light(pairs), ["k1", "k2"])
+    both = durable(side("j1", "j2", "other").join(light(half), ["j1", "j2"]).select("k1", "k2", "at", "j1", "j2", "other"))
     if both.isEmpty():
         return both
     nobody = [F.lit(None).cast("long").alias(c) for c in ("k1", "k2")]
@@ -547,11 +550,16 @@ def checked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, spec: Spec) -
     of_doc = asked.groupBy("doc_id", "doc_key").agg(F.collect_list(F.struct("line", *PAIR)).alias("_want"))
     if few(both):
         of_doc = F.broadcast(of_doc)
-    keyed = docs.select("doc_id", F.col("text").alias("_text"), text_key().alias("doc_key")).join(of_doc, ["doc_id", "doc_key"]).select("_text", "_want")
+    keyed = docs.select("doc_id", F.col("text").alias("_text"), text_key().alias("doc_key")).join(of_doc, ["doc_id", "doc_key"]).select("doc_id", "doc_key", "_text", "_want")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()  # a row that is repeated in the table counts once a task
         for whole in batches:
             for batch in slices(whole, "_text"):
+                ids = list(zip(batch.column("doc_id").to_pylist(), batch.column("doc_key").to_pylist(), strict=True))
+                new = dict.fromkeys(ids, True) | dict.fromkeys(seen.intersection(ids), False)
+                batch = batch.filter(pa.array([new.pop(i, False) for i in ids]))
+                seen.update(ids)
                 wants, texts = batch.column("_want"), []
                 where = pa.compute.list_parent_indices(wants).to_numpy()
                 line = wants.flatten().field("line").to_numpy()
@@ -566,10 +574,9 @@ def checked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, spec: Spec) -
 
     texts = durable(keyed.mapInArrow(cut, "k1 long, k2 long, j1 long, j2 long, text string"))
     one = texts.where("k1 is not null").withColumnRenamed("text", "_a")
-    # A row that is repeated in the table gives its text twice.
-    other = texts.where("k1 is null").select("j1", "j2", F.col("text").alias("_b")).dropDuplicates(["j1", "j2"])
+    other = texts.where("k1 is null").select("j1", "j2", F.col("text").alias("_b"))
     similar = similar_texts(one.join(other, ["j1", "j2"]).select(*PAIR, "_a", "_b"), spec).distinct()
-    return both.join(similar, PAIR).select("k1", "k2", "at", "j1", "j2", "other")
+    return light(both).join(similar, PAIR).select("k1", "k2", "at", "j1", "j2", "other")
 
 
 def overlaps(a: pa.Array, b: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -592,10 +599,14 @@ def few(rows: DataFrame) -> bool:
     return rows.count() <= min(BROADCAST_ROWS, BROADCAST_BYTES // (24 + 8 * len(rows.columns)))
 
 
+def side_of(stored: DataFrame) -> DataFrame:
+    """A stored table of fixed width as a join's smaller side: broadcast if few enough, else joined by a shuffle."""
+    return F.broadcast(stored) if few(stored) else stored
+
+
 def ids_side(ids: DataFrame) -> DataFrame:
     """A list of ids of fixed width, stored, and broadcast if few enough; else it is joined by a shuffle."""
-    ids = durable(ids)
-    return F.broadcast(ids) if few(ids) else ids
+    return side_of(durable(ids))
 
 
 def similar_texts(pairs: DataFrame, spec: Spec) -> DataFrame:
