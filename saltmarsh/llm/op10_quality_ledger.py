@@ -113,7 +113,8 @@ def measure_texts(column: pa.Array) -> dict[str, np.ndarray]:
 
 def measure(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """One row per document: the columns in `keep` and the measurements."""
-    source = docs.select(*keep, F.col(text).alias("_text"))
+    keep = tuple(c for c in keep if c not in (*MEASURES, "_text"))
+    source = docs.select(*[f"`{c}`" for c in keep], F.col(text).alias("_text"))
     schema = source.drop("_text").schema
     for m in MEASURES:
         schema = schema.add(m, "long")
@@ -142,6 +143,12 @@ def rejected(version: int, failures: str = "failures") -> Column:
     return F.col(failures).bitwiseAND(F.lit(mask(POLICIES[version])).cast("long")) != 0
 
 
+def sole_rule(version: int, failures: str = "failures") -> Column:
+    """The rule without which the policy would keep the row: the only one of its rules that failed, else null."""
+    within = F.col(failures).bitwiseAND(F.lit(mask(POLICIES[version])).cast("long"))
+    return F.coalesce(*[F.when(within == 1 << r.bit, F.lit(r.name)) for r in RULES if r.bit in POLICIES[version]])
+
+
 def ablations(rows: DataFrame, version: int) -> DataFrame:
     """For each rule of a policy: documents failing it, and those only it rejects (kept without it).
 
@@ -164,11 +171,12 @@ def digest(docs: DataFrame) -> DataFrame:
     rows = ledger(measure(docs))
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        rejected(1).alias("base_failed"), (~rejected(IN_FORCE)).alias("kept"), "n_lines", "n_upper_words", "n_stutters", "failures",
+        rejected(1).alias("base_failed"), (~rejected(IN_FORCE)).alias("kept"), "n_lines", "n_upper_words", "n_stutters", "failures", sole_rule(IN_FORCE).alias("sole_rule"),
     )
 
 
 #: DuckDB: the same from the words and lines as lists.
+_SOLE = " ".join(f"WHEN {1 << r.bit} THEN '{r.name}'" for r in RULES if r.bit in POLICIES[IN_FORCE])
 ORACLE = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
@@ -206,6 +214,7 @@ f AS (
     + CASE WHEN 10 * n_stutters > 3 * n_words THEN 128 ELSE 0 END AS BIGINT) AS failures
   FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       (failures & 3) <> 0 AS base_failed, (failures & 239) = 0 AS kept, n_lines, n_upper_words, n_stutters, failures
+       (failures & BASE) <> 0 AS base_failed, (failures & FORCE) = 0 AS kept, n_lines, n_upper_words, n_stutters, failures,
+       CASE failures & FORCE SOLE ELSE NULL END AS sole_rule
 FROM f
-"""
+""".replace("BASE", str(mask(POLICIES[1]))).replace("FORCE", str(mask(POLICIES[IN_FORCE]))).replace("SOLE", _SOLE)

@@ -1,6 +1,6 @@
 """WARC archives: writing, and a reader that salvages what lies behind damage.
 
-Each record is a gzip member of its own. The reader checks a record's framing, its block digest and
+Each record is written as a gzip member of its own; members of several records are read too. The reader checks a record's framing, its block digest and
 its payload digest. Where a check fails it searches for the next place that opens a valid gzip
 member or version line, goes on from there, and logs the bytes between as a quarantined gap, so that
 records and gaps together cover each file without overlap.
@@ -94,36 +94,61 @@ def _parse(data: bytes, at: int) -> tuple[dict, int]:
     return out | {"payload": payload, "payload_bytes": length}, end + 4
 
 
-def _member(data: bytes, at: int) -> tuple[dict, int]:
-    """The record in the gzip member at `at` and the place after the member."""
+def _member(data: bytes) -> tuple[list[dict], int]:
+    """The records in the gzip member that data begins with, and the member's length. What of it isn't sound is a gap without length."""
     unpack = zlib.decompressobj(31)
     try:
-        plain = unpack.decompress(data[at:] if at else data)
+        plain = unpack.decompress(data)
     except zlib.error as e:
         raise Damage(f"gzip: {e}") from None
     if not unpack.eof:
         raise Damage("gzip member not ended")
-    got, end = _parse(plain, 0)
-    if end != len(plain):
-        raise Damage("more than one record in a member")
-    return got, len(data) - len(unpack.unused_data)
-
-
-def _at(data: bytes, at: int) -> tuple[dict, int]:
-    return _member(data, at) if data.startswith(GZIP, at) else _parse(data, at)
+    found, at = [], 0
+    while at < len(plain):
+        try:
+            got, at = _parse(plain, at)
+            found.append({"kind": "record", "error": None, **got})
+        except Damage as e:
+            if not found and at == 0 and not _VERSION.search(plain, 1):
+                raise
+            found.append({"kind": "gap", "error": f"in a member: {e}"})
+            version = _VERSION.search(plain, at + 1)
+            at = version.start() if version else len(plain)
+    if not any(f["kind"] == "record" for f in found):
+        raise Damage(found[0]["error"] if found else "empty member")
+    return found, len(data) - len(unpack.unused_data)
+
+
+def _at(data: bytes) -> tuple[list[dict], int]:
+    if data.startswith(GZIP):
+        return _member(data)
+    got, used = _parse(data, 0)
+    return [{"kind": "record", "error": None, **got}], used
 
 
 def salvage(data: bytes) -> Iterator[dict]:
-    """Records and gaps of one archive, in order; each has kind, offset and length."""
+    """Records and gaps of one archive, in order; each has kind, offset and length.
+
+    A member of several records gives each of them its own offset; its length stands with the first.
+    """
     at, gap, why = 0, None, ""
     # A member's input is handed to zlib in windows, so that one record's cost doesn't grow with the file.
     view, window = data, 1 << 16
+    following = {GZIP: 0, b"WARC/1.": 0}  # the next place of each opening, looked for once
+
+    def next_place(after: int) -> int:
+        for opening, place in following.items():
+            while 0 <= place <= after or place > after and opening != GZIP and not _VERSION.match(view, place):
+                place = view.find(opening, max(place, after) + 1)
+            following[opening] = place
+        return min((p for p in following.values() if p >= 0), default=len(view))
+
     while at < len(view):
         size = window
         while True:
             piece = view[at : at + size]
             try:
-                got, used = _at(piece, 0)
+                got, used = _at(piece)
                 break
             except Damage as e:
                 fault = str(e)
@@ -135,14 +160,13 @@ def salvage(data: bytes) -> Iterator[dict]:
             if gap is not None:
                 yield {"kind": "gap", "offset": gap, "length": at - gap, "error": why}
                 gap = None
-            yield {"kind": "record", "offset": at, "length": used, "error": None, **got}
+            for k, x in enumerate(got):
+                yield {"offset": at, "length": 0 if k else used, **x}
             at += used
             continue
         if gap is None:
             gap, why = at, fault
-        version = _VERSION.search(view, at + 1)
-        places = [view.find(GZIP, at + 1), version.start() if version else -1]
-        at = min((p for p in places if p >= 0), default=len(view))
+        at = next_place(at)
     if gap is not None:
         yield {"kind": "gap", "offset": gap, "length": len(view) - gap, "error": why}
 
@@ -153,6 +177,10 @@ RECORD = [
 ]
 
 
+def _rows(found: list[dict]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x.get(n) for x in found], t) for n, t in RECORD], names=[n for n, _ in RECORD])
+
+
 def read_archives(archives: DataFrame, name: str = "archive", content: str = "content", with_payload: bool = True) -> DataFrame:
     """Rows of RECORD: kind `record` or, for quarantined bytes, `gap`."""
     spark_type = {pa.string(): "string", pa.int64(): "long", pa.binary(): "binary"}
@@ -163,12 +191,15 @@ def read_archives(archives: DataFrame, name: str = "archive", content: str = "co
             for batch in slices(whole, "content", ARCHIVE_BYTES):
                 for label, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                     raw = data.as_py()
-                    found = [{"kind": "gap", "offset": 0, "length": 0, "error": "no content"}] if raw is None else list(salvage(raw))
-                    for x in found:
-                        x["archive"] = label
-                        if not with_payload:
-                            x["payload"] = None
-                    yield pa.RecordBatch.from_arrays([pa.array([x.get(n) for x in found], t) for n, t in RECORD], names=[n for n, _ in RECORD])
+                    held, size = [], 0
+                    for x in [{"kind": "gap", "offset": 0, "length": 0, "error": "no content"}] if raw is None else salvage(raw):
+                        held.append(x | {"archive": label} | ({} if with_payload else {"payload": None}))
+                        size += len(held[-1].get("payload") or b"") + 500
+                        if size >= ARCHIVE_BYTES:
+                            yield _rows(held)
+                            held, size = [], 0
+                    if held:
+                        yield _rows(held)
 
     return archives.select(F.col(name).alias("archive"), F.col(content).alias("content")).mapInArrow(run, schema)
 

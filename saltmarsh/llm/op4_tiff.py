@@ -2,8 +2,10 @@
 
 `read_pages` takes any DataFrame with a binary column (such as `spark.read.format("binaryFile")`)
 and decodes strips and tiles stored plain, as PackBits, LZW or deflate, in either byte order, with
-horizontal-differencing predictors undone. `write_files` stores bytes as TIFF files of up to three
-pages, so that every decoder carries a part of every text.
+horizontal-differencing predictors undone, for chunky samples of 8 or 16 bits (16 come back in
+little-endian order); planes apart and floating-point predictors aren't decoded, and say so. `write_files`
+stores bytes as TIFF files of up to three pages, whose decoders carry fixed shares of a text's rows of
+576 bytes (a text of one row is all LZW).
 
 Defined results: a null or broken file gives one row with page 0, no pixels and `error` filled; a
 page that can't be decoded gives its row with `error`, and the walk goes on to the next directory.
@@ -244,13 +246,15 @@ def _directory(data: bytes, at: int, order: str) -> tuple[dict[int, tuple[int, .
     return fields, following
 
 
-def decode_page(data: bytes, f: dict[int, tuple[int, ...]]) -> tuple[np.ndarray, dict]:
+def decode_page(data: bytes, f: dict[int, tuple[int, ...]], order: str = "<") -> tuple[np.ndarray, dict]:
     one = lambda tag, default=None: f[tag][0] if f.get(tag) else default
     width, height, compression, predictor, samples = one(WIDTH), one(LENGTH), one(COMPRESSION, 1), one(PREDICTOR, 1), one(SAMPLES, 1)
     if not width or not height:
         raise TiffError("no size")
-    if any(b != 8 for b in f.get(BITS, (1,))) or one(PLANAR, 1) != 1 or predictor not in (1, 2):
-        raise TiffError("only chunky 8-bit samples with predictor 1 or 2 are decoded")
+    bits = one(BITS, 1)
+    if bits not in (8, 16) or any(b != bits for b in f[BITS]) or one(PLANAR, 1) != 1 or predictor not in (1, 2):
+        raise TiffError("only chunky samples of 8 or 16 bits with predictor 1 or 2 are decoded")
+    stored = np.dtype(np.uint8 if bits == 8 else f"{order}u2")
     tiled = TILE_OFFSETS in f
     if tiled:
         step_down, step_across, places, sizes = one(TILE_LENGTH), one(TILE_WIDTH), f[TILE_OFFSETS], f[TILE_COUNTS]
@@ -262,23 +266,23 @@ def decode_page(data: bytes, f: dict[int, tuple[int, ...]]) -> tuple[np.ndarray,
     blocks = -(-height // step_down) * across
     if not len(places) == len(sizes) == blocks:
         raise TiffError("strips or tiles missing")
-    if blocks * step_down * step_across * samples > 1032 * max(len(data), 1) * 16:
+    if blocks * step_down * step_across * samples * stored.itemsize > 1032 * max(len(data), 1) * 16:
         raise TiffError("size out of proportion to the file")
-    pixels = np.zeros((height, width, samples), dtype=np.uint8)
+    pixels = np.zeros((height, width, samples), dtype=stored.newbyteorder("<"))
     for k, (at, n) in enumerate(zip(places, sizes, strict=True)):
         row, column = k // across * step_down, k % across * step_across
         rows = step_down if tiled else min(step_down, height - row)
-        raw = _unpack(data[at : at + n], compression, rows * step_across * samples)
-        if len(raw) != rows * step_across * samples:
+        raw = _unpack(data[at : at + n], compression, rows * step_across * samples * stored.itemsize)
+        if len(raw) != rows * step_across * samples * stored.itemsize:
             raise TiffError(f"strip or tile {k} is short")
-        block = np.frombuffer(raw, dtype=np.uint8).reshape(rows, step_across, samples)
+        block = np.frombuffer(raw, dtype=stored).reshape(rows, step_across, samples)
         if predictor == 2:
-            block = np.cumsum(block, axis=1, dtype=np.uint8)
+            block = np.cumsum(block, axis=1, dtype=stored.newbyteorder("="))
         pixels[row : row + rows, column : column + step_across] = block[: height - row, : width - column]
-    return pixels, {"width": width, "height": height, "samples": samples, "compression": NAMES[compression], "predictor": predictor, "layout": "tiles" if tiled else "strips"}
+    return pixels, {"width": width, "height": height, "samples": samples, "bits": bits, "compression": NAMES[compression], "predictor": predictor, "layout": "tiles" if tiled else "strips"}
 
 
-EMPTY = {"width": None, "height": None, "samples": None, "compression": None, "predictor": None, "layout": None}
+EMPTY = {"width": None, "height": None, "samples": None, "bits": None, "compression": None, "predictor": None, "layout": None}
 
 
 def walk(data: bytes | None) -> Iterator[dict]:
@@ -296,15 +300,15 @@ def walk(data: bytes | None) -> Iterator[dict]:
             yield {"page": page, **EMPTY, "pixels": None, "error": f"directory: {e}"}
             return
         try:
-            pixels, about = decode_page(data, fields)
+            pixels, about = decode_page(data, fields, order)
             yield {"page": page, **about, "pixels": pixels.tobytes(), "error": None}
         except (TiffError, KeyError, struct.error, zlib.error, MemoryError) as e:
             yield {"page": page, **EMPTY, "pixels": None, "error": f"{type(e).__name__}: {e}"}
         page += 1
 
 
-PAGE = "page integer, width long, height long, samples integer, compression string, predictor integer, layout string, pixels binary, error string"
-_PAGE_ARROW = [("page", pa.int32()), ("width", pa.int64()), ("height", pa.int64()), ("samples", pa.int32()), ("compression", pa.string()), ("predictor", pa.int32()), ("layout", pa.string()), ("pixels", pa.binary()), ("error", pa.string())]
+PAGE = "page integer, width long, height long, samples integer, bits integer, compression string, predictor integer, layout string, pixels binary, error string"
+_PAGE_ARROW = [("page", pa.int32()), ("width", pa.int64()), ("height", pa.int64()), ("samples", pa.int32()), ("bits", pa.int32()), ("compression", pa.string()), ("predictor", pa.int32()), ("layout", pa.string()), ("pixels", pa.binary()), ("error", pa.string())]
 
 
 def read_pages(files: DataFrame, keep: tuple[str, ...], content: str = "content") -> DataFrame:
@@ -334,9 +338,10 @@ def payload_of(text: bytes) -> bytes:
 
 
 def plan_pages(payload: bytes) -> list:
-    """First row LZW with differences, up to 16 rows PackBits in strips of 8, the rest deflate in tiles."""
+    """An eighth of the rows LZW with differences in strips of 16, three eighths PackBits in strips of 8, the rest deflate in tiles with differences."""
     pixels = np.frombuffer(payload, dtype=np.uint8).reshape(-1, UNIT)
-    plan = [(pixels[:1], LZW, 2, None, 1), (pixels[1:17], PACKBITS, 1, None, 8), (pixels[17:], DEFLATE, 1, (64, 192), 0)]
+    a, b = -(-len(pixels) // 8), -(-len(pixels) // 2)
+    plan = [(pixels[:a], LZW, 2, None, 16), (pixels[a:b], PACKBITS, 1, None, 8), (pixels[b:], DEFLATE, 2, (64, 192), 0)]
     return [p for p in plan if len(p[0])]
 
 

@@ -1,6 +1,6 @@
 """URL filter: a sort-merge range join of urls with nested host-and-path rules.
 
-A host is written with its labels reversed (`www.example.com` -> `com,example,www,`), so a rule's
+A host is written with its labels reversed (`www.example.com` -> `com/example/www/`; no host holds a `/`, as it ends there), so a rule's
 host and all its subdomains are one interval of keys, and the intervals of all rules nest or are
 disjoint. Urls are range-partitioned and sorted by that key; each task sweeps its sorted urls and
 the sorted rules together, pushing a rule where its interval opens and popping it where it closes.
@@ -14,7 +14,7 @@ no broadcast and gives the same rows.
 
 Defined results: a null url or one without `://` has an empty host and an empty path and fits no
 rule but those of an empty host, of which there are none; it gets the default verdict. Rules with a
-null or empty host or a null path are ignored; equal rules count once, and where such rules
+null or empty host, one that holds `/`, `?` or `#`, or a null path are ignored; equal rules count once, and where such rules
 disagree `allow` wins. Repeated urls and ids are judged row by row. Extra columns don't pass.
 """
 
@@ -36,6 +36,8 @@ RULES = (
     ("net", "/fr/", "block"),
 )
 DEFAULT = "allow"
+#: Ends each label of a key. Hosts are cut where it stands, so none holds it.
+END = "/"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -53,13 +55,13 @@ def url_path(url: Column) -> Column:
 
 
 def host_key(host: Column) -> Column:
-    """Labels reversed, each ended by a comma: a host's key begins the key of every subdomain."""
-    return F.when(host == "", F.lit("")).otherwise(F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(",")))
+    """Labels reversed, each ended by what no host holds: a host's key begins the key of every subdomain."""
+    return F.when(host == "", F.lit("")).otherwise(F.concat(F.array_join(F.reverse(F.split(host, r"\.", -1)), END), F.lit(END)))
 
 
 def _clean(rules: DataFrame) -> DataFrame:
     return (
-        rules.where("host is not null and host <> '' and path is not null and verdict is not null")
+        rules.where("host is not null and host <> '' and path is not null and verdict is not null and not host rlike '[/?#]'")
         .select(F.translate("host", UPPER, LOWER).alias("host"), "path", "verdict")
         .groupBy("host", "path").agg(F.min("verdict").alias("verdict"))
     )
@@ -94,7 +96,7 @@ def sweep(keys: list[bytes], paths: list[bytes], rules: list[tuple[bytes, bytes,
 
 def _swept(urls: DataFrame, rules: list[tuple[str, str, str]], id_col: str) -> DataFrame:
     def key_of(host: str) -> bytes:
-        return (",".join(reversed(host.split("."))) + ",").encode()
+        return (END.join(reversed(host.split("."))) + END).encode()
 
     sorted_rules = sorted((key_of(h), p.encode(), h + p, v) for h, p, v in rules)
     shared = urls.sparkSession.sparkContext.broadcast(sorted_rules)
@@ -115,7 +117,7 @@ def _swept(urls: DataFrame, rules: list[tuple[str, str, str]], id_col: str) -> D
 
 def _joined(urls: DataFrame, rules: DataFrame, id_col: str) -> DataFrame:
     """The same without a broadcast: each url meets the rules of its host and the host's parents."""
-    labels = F.split("host", r"\.")
+    labels = F.split("host", r"\.", -1)
     parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
     rows = urls.withColumn("_row", F.monotonically_increasing_id())
     spread = rows.select("_row", F.col("path").alias("_path"), F.explode(parents).alias("_parent"))

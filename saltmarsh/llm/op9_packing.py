@@ -24,6 +24,7 @@ table gives no pieces.
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 import zlib
@@ -43,6 +44,8 @@ TIERS = (256, 512, 1024, 2048)
 CLOSING_ID = 1
 GROUP_BYTES = 2_000_000
 STEP_TOKENS = 16_384
+#: Text bytes aimed at per packing task.
+TASK_BYTES = 64_000_000
 REMEMBERED = 600_000
 _LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ſ"
 PRETOKEN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[^\\s0-9{_LETTER}]+|\\s+(?!\\S)|\\s+")
@@ -65,6 +68,10 @@ class Encoder(dict):
         alphabet = byte_alphabet()
         special = {t["content"] for t in model["added_tokens"]}
         ranks = {bytes(alphabet[c] for c in t): i for t, i in model["model"]["vocab"].items() if t not in special}
+        # Merging by ids is merging by the list of merges, if each id follows that list.
+        made = [model["model"]["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["model"]["merges"]]
+        if any(a >= b for a, b in itertools.pairwise(made)):
+            raise ValueError("ids don't follow the order of merges")
         self.merge = tiktoken.Encoding("merges", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
         self.unit = np.dtype("<u2" if max(model["model"]["vocab"].values()) < 65536 else "<u4")
@@ -205,7 +212,8 @@ def pack_documents(docs: DataFrame, path_of: Callable[[], str] = byte_bpe_path,
                 offset += n
         return pa.table({n: pa.array(rows[n], t) for n, t in PIECES})
 
-    return tokens.groupBy("g").applyInArrow(run, ", ".join(f"{n} long" for n, _ in PIECES))
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_BYTES))
+    return tokens.repartition(tasks, "g").groupBy("g").applyInArrow(run, ", ".join(f"{n} long" for n, _ in PIECES))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

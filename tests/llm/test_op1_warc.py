@@ -74,3 +74,22 @@ def test_salvage_of_cut_and_plain_archives(spark):
     df = spark.createDataFrame([("a", whole), ("b", b""), ("c", None)], "archive string, content binary")
     got = op1.read_archives(df).collect()
     assert {(r.archive, r.kind) for r in got} == {("a", "record"), ("c", "gap")} and len(got) == 6
+
+
+def test_members_of_several_records():
+    import gzip
+
+    parts = archive(6)
+    plain = [gzip.decompress(p) for p in parts]
+    broken = plain[4].replace(b"Content-Length", b"Content_Length")
+    data = gzip.compress(b"".join(plain[:3])) + b"junk" + gzip.compress(plain[3] + broken + plain[5])
+    found = list(op1.salvage(data))
+    assert pages(found) == [0, 1, 2, 3, 5]
+    assert [x["kind"] for x in found] == ["record"] * 3 + ["gap", "record", "gap", "record"]
+    assert sum(x["length"] for x in found) == len(data)
+
+
+def test_false_openings_cost_one_search_each():
+    data = (op1.GZIP + b"WARC/1.x ") * 40_000 + archive(1)[0]
+    found = list(op1.salvage(data))
+    assert pages(found) == [0] and [x["kind"] for x in found] == ["gap", "record"]

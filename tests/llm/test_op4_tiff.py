@@ -76,3 +76,25 @@ def test_digest_of_odd_rows(spark):
         p = op4.payload_of((t or "").encode())
         assert any(r.doc_id == i and r.payload_sha256 == hashlib.sha256(p).hexdigest() and r.tail_crc32 == zlib.crc32(p[-32:]) and r.payload_bytes == len(p) and len(p) % 576 == 0 for r in got)
     assert op4.digest(table(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("order", ["<", ">"])
+def test_sixteen_bit_differences(order):
+    import struct
+
+    want = np.random.default_rng(2).integers(0, 65536, (5, 7), dtype=np.uint16)
+    moved = np.concatenate([want[:, :1], want[:, 1:] - want[:, :-1]], axis=1).astype(f"{order}u2").tobytes()
+    packed = op4.lzw_encode(moved)
+    fields = {op4.WIDTH: 7, op4.LENGTH: 5, op4.BITS: 16, op4.COMPRESSION: op4.LZW, op4.SAMPLES: 1, op4.ROWS_PER_STRIP: 5, op4.STRIP_OFFSETS: 8, op4.STRIP_COUNTS: len(packed), op4.PREDICTOR: 2}
+    entries = b"".join(struct.pack(f"{order}HHII", t, 4, 1, v) for t, v in sorted(fields.items()))
+    data = (b"II*\0" if order == "<" else b"MM\0*") + struct.pack(f"{order}I", 8 + len(packed)) + packed + struct.pack(f"{order}H", len(fields)) + entries + b"\0" * 4
+    (page,) = op4.walk(data)
+    assert page["error"] is None and page["bits"] == 16
+    assert (np.frombuffer(page["pixels"], "<u2").reshape(5, 7) == want).all()
+
+
+def test_every_decoder_has_its_share_of_a_long_text():
+    payload = op4.payload_of(bytes(np.random.default_rng(1).integers(0, 256, 576 * 200, dtype=np.uint8)))
+    pages = list(op4.walk(op4.encode_file(op4.plan_pages(payload))))
+    assert b"".join(p["pixels"] for p in pages) == payload
+    assert [(p["compression"], p["height"], p["predictor"]) for p in pages] == [("lzw", 25, 2), ("packbits", 75, 1), ("deflate", 100, 2)]

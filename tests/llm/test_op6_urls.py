@@ -21,17 +21,17 @@ def brute(url, rules):
 
 def test_rules_against_brute_force(spark):
     r = random.Random(5)
-    hosts = ["com", "a.com", "b.a.com", "c.b.a.com", "xa.com", "net", "a.net", "A.Net", "", "a", "com.", ".com", "a..com", "é.com"]
+    hosts = ["com", "a.com", "b.a.com", "c.b.a.com", "xa.com", "net", "a.net", "A.Net", "", "a", "com.", ".com", "a..com", "é.com", "a,com", "com,a.com", "u@a.com", "a.com:80", "example,a.com", "net,a"]
     paths = ["", "/", "/en", "/en/", "/en/x", "/fr/y?q=/en/", "#/en/", "?x://y", "/\n/en/"]
     rules = [(r.choice(hosts[:7]), r.choice(["/", "", "/en", "/en/", "/fr/"]), r.choice(["allow", "block"])) for _ in range(25)]
     unique = {}
     for h, p, v in rules:
         unique[h, p] = min(v, unique.get((h, p), v))
-    rows = [(i, f"{r.choice(['http', 'https', 'HTTP', ''])}://{r.choice(hosts)}{r.choice(paths)}", "") for i in range(400)]
-    rows += [(400, None, ""), (401, "", ""), (402, "no scheme", ""), (None, "http://a.com/en/", ""), (403, "http://a.com/en/", ""), (403, "http://a.com/en/", "")]
+    rows = [(i, f"{r.choice(['http', 'https', 'HTTP', ''])}://{r.choice(hosts)}{r.choice(paths)}", "") for i in range(900)]
+    rows += [(1400, None, ""), (1401, "", ""), (1402, "no scheme", ""), (None, "http://a.com/en/", ""), (1403, "http://a.com/en/", ""), (1403, "http://a.com/en/", "")]
     pages = table(spark, rows, PAGES)
     want = sorted([(i, *brute(u, [(h, p, v) for (h, p), v in unique.items()])) for i, u, _ in rows], key=repr)
-    rule_rows = [*rules, (None, "/", "block"), ("", "/", "block"), ("com", None, "block")]
+    rule_rows = [*rules, (None, "/", "block"), ("", "/", "block"), ("com", None, "block"), ("a.com/b", "/", "block")]
     rule_table = spark.createDataFrame(rule_rows, "host string, path string, verdict string")
     for kw in ({}, {"max_rules": 0}):
         got = op6.judge(pages, rule_table, **kw).collect()
