@@ -4,8 +4,8 @@ Each stage takes what the one before kept, as a table with the columns of `docum
 returns pieces of packed sequences. Training data and corpus statistics of the classifier come from
 the raw tables, so that it has seen the documents that earlier stages reject.
 
-Nulls, repeats and empty tables are handled as each operator's module says. Documents whose lines
-all go stay as empty texts. Of a group of near duplicates the smallest doc_id stays, once, even if
+Nulls, repeats and empty tables are handled as each operator's module says. A document all of whose
+lines stand in earlier ones goes with its last word; texts that had none from the start stay. Of a group of near duplicates the smallest doc_id stays, once, even if
 the table repeats it; documents without words or without a doc_id all stay.
 """
 
@@ -21,7 +21,7 @@ from saltmarsh.llm import (
     op9_packing,
     op10_quality_ledger,
 )
-from saltmarsh.llm.common import durable, table
+from saltmarsh.llm.common import durable, fresh, table
 from saltmarsh.llm.setjoin import ids_side
 
 #: The policy of the quality rules that is applied.
@@ -30,8 +30,10 @@ POLICY = op10_quality_ledger.IN_FORCE
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail no rule of the policy."""
-    measured = op10_quality_ledger.measure(docs, keep=tuple(docs.columns))
-    return op10_quality_ledger.ledger(measured).where(~op10_quality_ledger.rejected(POLICY)).select(*docs.columns)
+    # Whole rows are kept in one column, so that none of theirs meets one of the ledger's.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    measured = op10_quality_ledger.measure(rows, keep=("row",))
+    return op10_quality_ledger.ledger(measured).where(~op10_quality_ledger.rejected(POLICY)).select("row.*")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,24 +41,27 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     raw = table(spark, sf_dir, "documents")
     vectors = op7_quality_classifier.word_vectors(raw)
     net = op7_quality_classifier.train(raw, table(spark, sf_dir, "labels"), vectors)
-    scored = op7_quality_classifier.score(docs, vectors, net, name="_score")
-    return scored.where(F.col("_score") >= op7_quality_classifier.THRESHOLD).select(*docs.columns)
+    name = fresh(docs.columns, "_score")
+    scored = op7_quality_classifier.score(docs, vectors, net, name=name)
+    return scored.where(F.col(name) >= op7_quality_classifier.THRESHOLD).drop(name)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that an earlier line repeats."""
-    return op5_line_dedup.dedup(docs, counted=None)
+    """Documents without lines that an earlier line repeats; those of which no word is left go."""
+    name = fresh(docs.columns, "_removed")
+    cut = op5_line_dedup.dedup(docs, counted=name)
+    return cut.where((F.col(name) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")).drop(name)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     linked = durable(op3_ngram_jaccard.link_components(docs))
     later = linked.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(ids_side(later), "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(ids_side(later), "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
     twice = linked.where("doc_id = component_id and n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id")
     repeated = ids_side(twice)
     once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(once)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
