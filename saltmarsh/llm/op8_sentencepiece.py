@@ -1,36 +1,39 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-A text is the library's normal form cut into units: a run of word marks with the characters after it
-(no piece reaches over the start of one, nor over a line break). Distinct units are encoded once for
-the whole corpus, as relations: every substring of at most the longest piece's length is exploded
-and equi-joined to the piece table, which gives the lattice's edges; edges are grouped by unit; and
-a higher-order `aggregate` folds them into a path. For unigram vocabularies the fold is Viterbi. For
-byte-pair vocabularies, whose result is not the path of the largest score, the edges are folded in
-order of score, then place: one joins what it spans if that is two neighbours just then. Taking
-each edge once is merging exactly, if every piece comes out whole when it is encoded so on its own
-(as long as no merge crosses a span's ends, the span merges as it does alone); that is proven for
-the whole vocabulary when it is loaded, but for runs of marks. Characters without a piece become byte pieces. Ids equal
-the library's.
+A text is the library's normal form (spaces are marks, one stands before the text) cut into units,
+wherever no piece holds the two neighbouring characters side by side: before marks, at line breaks,
+mostly between letters and punctuation. No merge reaches over such a place. Distinct units are encoded
+once for the whole corpus, as relations: every substring of at most the longest piece's length is
+exploded and equi-joined to the piece table, which gives the lattice's edges; edges are grouped by
+unit, one long each; and a higher-order `aggregate` folds them into a path. For unigram vocabularies
+the fold is Viterbi. For byte-pair vocabularies, whose result is not the path of the largest score, the
+edges are folded in order of score, then place: one joins what it spans if that is two neighbours just
+then. Taking each edge once is merging exactly, if every piece comes out whole when it is encoded so on
+its own (as long as no merge crosses a span's ends, the span merges as it does alone); that is proven
+for the whole vocabulary when it is loaded, and units that hold a piece for which it fails (a run of
+16 marks) don't take this way. Characters without a piece become byte pieces. Ids equal the library's.
 
 Texts don't pass through that shuffle word by word. Tasks cut their rows into chunks; a chunk
 sends its distinct units, gets their ids back, and meets them once with its texts (packed and
-compressed). A unit of more than `MAX_UNIT` characters or with several marks (where a text has
-several spaces), or one missing from a chunk's answer, is merged where it is met, by the same rule, so a chunk cut otherwise on a second reading changes
-nothing but time.
+compressed). A unit of more than `MAX_UNIT` characters, one with a piece that isn't proven, or one missing
+from a chunk's answer is merged where it is met, by the same rule, so a chunk cut otherwise on a second
+reading changes nothing but time.
 
-Decoding joins ids to the bytes of their pieces and puts them together in order.
+Decoding joins ids to the bytes of their pieces and puts them together in order: `decode` as relations,
+`encode` for the texts it has met, document by document, from their ids alone.
 
 Defined results: null and empty texts have no pieces. Nulls and repeats of doc_id are kept row by
-row. Extra columns don't pass. An empty table gives no rows. Undecodable bytes become U+FFFD.
+row; doc_id is a long. Extra columns don't pass. An empty table gives no rows. Undecodable bytes become
+U+FFFD. A text takes time in proportion to its length; one text has to fit a task.
 """
 
 from __future__ import annotations
 
 import heapq
-import re
+import itertools
 import zlib
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
@@ -39,6 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from saltmarsh.llm import textarrays as ta
 from saltmarsh.llm.common import slices, table
 
 MARK = "▁"
@@ -49,10 +53,9 @@ COMMON = 0x250
 TASKS_PER_CHUNK, CHUNK_BYTES = 4, 32_000_000
 #: Compressed rows of a chunk's texts.
 BLOB_BYTES = 4_000_000
-#: Texts whose units are Python strings at a time.
-PART_BYTES = 1_000_000
+#: Text bytes aimed at per task of the lattice.
+TASK_BYTES = 8_000_000
 _BUNDLE = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
-_RUN = re.compile(f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
 
 
 def model_path() -> str:
@@ -69,6 +72,7 @@ class Model:
     first_byte: int
     longest: int
     unigram: bool = False
+    unproven: tuple[str, ...] = ()
 
 
 @lru_cache(maxsize=2)
@@ -83,9 +87,10 @@ def load(path: str, unigram: bool = False) -> Model:
         raise ValueError(f"pieces reach over the start of a unit: {crossing[:3]}")
     first = next((i for i in range(sp.vocab_size()) if sp.is_byte(i)), -1)
     model = Model(pieces, first, max(map(len, pieces)), unigram)
-    if not unigram and (bad := [p for p in pieces if not p.startswith(MARK * 2) and not one_pass_keeps(p, model)]):
+    unproven = () if unigram else tuple(p for p in pieces if not one_pass_keeps(p, model))
+    if bad := [p for p in unproven if p.strip(MARK)]:
         raise ValueError(f"pieces that taking edges once doesn't give whole: {bad[:3]}")
-    return model
+    return replace(model, unproven=unproven)
 
 
 def one_pass_keeps(piece: str, model: Model) -> bool:
@@ -100,13 +105,35 @@ def one_pass_keeps(piece: str, model: Model) -> bool:
     return bounds == {0, n} and merge_unit(piece, model) == [model.pieces[piece][0]]
 
 
-def units(text: str) -> list[str]:
-    """The units of a text, in order; put together they are its normal form."""
-    if not text:
-        return []
-    if "  " in text or text[0] in (" ", MARK) or MARK in text:
-        return _RUN.findall(MARK + text.replace(" ", MARK))
-    return [u for u in (MARK + text).replace(" ", " " + MARK).replace("\n", " \n ").split(" ") if u]
+@lru_cache(maxsize=2)
+def bridges(path: str) -> np.ndarray:
+    """256 x 256: whether a unit may go on from one byte to the next. A space stands for the mark.
+
+    Beside characters of several bytes units go on, but for marks and line breaks, which no piece has inside.
+    """
+    side_by_side = {(a, b) for p in load(path).pieces for a, b in itertools.pairwise(p.replace(MARK, " "))}
+    out = np.ones((256, 256), dtype=bool)
+    for a in range(128):
+        for b in range(128):
+            out[a, b] = (chr(a), chr(b)) in side_by_side
+    out[128:, [10, 32]] = False
+    out[10, 128:] = False
+    return out
+
+
+def cut_units(texts: pa.Array, path: str) -> tuple[pa.Array, np.ndarray]:
+    """The units of all texts one after the other, with spaces for marks, and how many each text has."""
+    marked = pa.compute.replace_substring(pa.compute.fill_null(texts, "").cast(pa.large_string()), MARK, " ")
+    empty = pa.compute.equal(pa.compute.binary_length(marked), 0)
+    raw, offsets = ta.utf8(pa.compute.if_else(empty, marked, pa.compute.binary_join_element_wise(pa.scalar(" ", pa.large_string()), marked, pa.scalar("", pa.large_string()))))
+    if not len(raw):
+        return pa.array([], pa.large_string()), np.zeros(len(texts), dtype=np.int64)
+    start = np.empty(len(raw), dtype=bool)
+    start[1:] = ~bridges(path)[raw[:-1], raw[1:]]
+    start[offsets[:-1][np.diff(offsets) > 0]] = True
+    at = np.flatnonzero(start)
+    units = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(np.append(at, len(raw)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw)))
+    return units, np.diff(np.searchsorted(at, offsets))
 
 
 def merge_unit(unit: str, model: Model) -> list[int]:
@@ -139,8 +166,9 @@ def merge_unit(unit: str, model: Model) -> list[int]:
 
 
 def piece_table(spark: SparkSession, model: Model) -> DataFrame:
-    """(piece, id, score): one row per piece, so its size is the vocabulary's."""
-    return spark.createDataFrame([(p, i, float(s)) for p, (i, s) in model.pieces.items()], "piece string, id int, score double")
+    """(piece, id, rank, score): one row per piece, so its size is the vocabulary's. Ranks number the scores, largest first."""
+    ranks = {s: k for k, s in enumerate(sorted({s for _, s in model.pieces.values()}, reverse=True))}
+    return spark.createDataFrame([(p, i, ranks[s], float(s)) for p, (i, s) in model.pieces.items()], "piece string, id int, rank int, score double")
 
 
 def _bytes_of(char: Column, first: int) -> Column:
@@ -163,6 +191,19 @@ def _fold_merges(n: Column, edges: Column) -> Column:
     return F.aggregate(edges, start, step)
 
 
+#: Bits of an edge in one long: rank, start, size and id of a piece; so edges in order are numbers in order.
+_ID, _SIZE, _START = 20, 6, 6
+
+
+def _opened(edge: Column) -> Column:
+    """struct(s, size, id, ends, inner) of a packed edge."""
+    one = F.lit(1).cast("long")
+    s = F.call_function("shiftright", edge, F.lit(_ID + _SIZE)).bitwiseAND(F.lit((1 << _START) - 1)).cast("int")
+    size = F.call_function("shiftright", edge, F.lit(_ID)).bitwiseAND(F.lit((1 << _SIZE) - 1)).cast("int")
+    end = _shifted(one, s + size)
+    return F.struct(s.alias("s"), size.alias("size"), edge.bitwiseAND(F.lit((1 << _ID) - 1)).cast("int").alias("id"), _shifted(one, s).bitwiseOR(end).alias("ends"), (end - _shifted(one, s + 1)).alias("inner"))
+
+
 def _fold_viterbi(n: Column, edges: Column, unknown: float) -> Column:
     """The bits of the boundaries of the path of the largest sum of scores; of equal ones the longest last edge.
 
@@ -197,24 +238,29 @@ def encode_units(distinct: DataFrame, pieces: DataFrame, model: Model, unit: str
     n, s, size = F.length(unit), F.col("s"), F.col("size")
     common = 0 if model.unigram else COMMON
     char = lambda at: F.substring(F.col(unit), at + 1, F.lit(1))
-    fit = F.length(unit).between(1, MAX_UNIT) & ~F.startswith(F.col(unit), F.lit(MARK * 2))
-    starts = distinct.where(fit).select(unit, *others, F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
+    starts = distinct.where(F.length(unit).between(1, MAX_UNIT)).select(unit, *others, F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
     least = F.when((s > 0) & (F.ascii(char(s)) < common), F.lit(2)).otherwise(F.lit(1))
     most = F.least(F.lit(model.longest), n - s)
     spans = starts.where(least <= most).select(unit, *others, "s", F.explode(F.sequence(least, most)).alias("size"))
     joined = spans.withColumn("piece", F.substring(F.col(unit), s + 1, size)).join(F.broadcast(pieces), "piece", "left").where("id is not null or size = 1")
-    one = F.lit(1).cast("long")
-    ends = _shifted(one, s).bitwiseOR(_shifted(one, s + size))
-    inner = _shifted(one, s + size) - _shifted(one, s + 1)
-    edge = F.struct((-F.col("score")).alias("order"), "s", "size", ends.alias("ends"), inner.alias("inner"), "id", "score")
-    grouped = joined.groupBy(unit).agg(*[F.first(c).alias(c) for c in others], F.collect_list(edge).alias("_edges"))
-    unknown = min(x for _, x in model.pieces.values()) - 10
-    bits = _fold_viterbi(n, F.col("_edges"), unknown) if model.unigram else _fold_merges(n, F.array_sort("_edges"))
+    first = [F.first(c).alias(c) for c in others]
+    if model.unigram:
+        one = F.lit(1).cast("long")
+        ends, inner = _shifted(one, s).bitwiseOR(_shifted(one, s + size)), _shifted(one, s + size) - _shifted(one, s + 1)
+        edge = F.struct("s", "size", "id", ends.alias("ends"), inner.alias("inner"), "score")
+        grouped = joined.groupBy(unit).agg(*first, F.collect_list(edge).alias("_edges"))
+        bits = _fold_viterbi(n, F.col("_edges"), min(x for _, x in model.pieces.values()) - 10)
+    else:
+        long = lambda c, by: _shifted(F.col(c).cast("long"), F.lit(by))
+        edge = long("rank", _ID + _SIZE + _START).bitwiseOR(long("s", _ID + _SIZE)).bitwiseOR(long("size", _ID)).bitwiseOR(F.col("id").cast("long"))
+        packed = joined.groupBy(unit).agg(*first, F.collect_list(edge).alias("_packed"))
+        grouped = packed.select(unit, *others, F.transform(F.array_sort("_packed"), _opened).alias("_edges"))
+        bits = _fold_merges(n, F.col("_edges"))
     b, edges = F.col("_bits"), F.col("_edges")
     literal = F.array(*[F.array(*[F.lit(i) for i in merge_unit(chr(c), model)]) for c in range(common)]) if common else F.array(F.array(F.lit(0)))
 
     def rare_char(at: Column) -> Column:
-        found = F.filter(edges, lambda e: (e["s"] == at) & (e["size"] == 1))[0]["id"]
+        found = F.get(F.filter(edges, lambda e: (e["s"] == at) & (e["size"] == 1)), F.lit(0))["id"]
         return F.when(found.isNotNull(), F.array(found)).otherwise(_bytes_of(char(at), model.first_byte))
 
     def ids_of_char(at: Column) -> Column:
@@ -228,12 +274,6 @@ def encode_units(distinct: DataFrame, pieces: DataFrame, model: Model, unit: str
     return grouped.withColumn("_bits", bits).select(unit, *others, ids.alias("ids"))
 
 
-def _flat(batch: pa.RecordBatch) -> tuple[pa.Array, list[int]]:
-    """The units of all texts one after the other, and how many each text has."""
-    texts = [units(t) for t in batch.column("text").to_pylist()]
-    return pa.array([u for t in texts for u in t], pa.string()), [len(t) for t in texts]
-
-
 def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[tuple[int, bool, pa.RecordBatch]]:
     """Runs of a task's rows with their chunk's number and whether the task's part of it ends there."""
     number, held = TaskContext.get().partitionId() // TASKS_PER_CHUNK << 20, 0
@@ -250,25 +290,56 @@ def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[tup
         yield number, True, last
 
 
+@lru_cache(maxsize=2)
+def piece_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all pieces by id, one after the other (spaces for marks), and where those of each id start and how many they are."""
+    model = load(path)
+    codes = {i: p.replace(MARK, " ").encode() for p, (i, _) in model.pieces.items()}
+    codes |= {model.first_byte + b: bytes([b]) for b in range(256)} if model.first_byte >= 0 else {}
+    size = np.zeros(max(codes) + 1, dtype=np.int64)
+    for i, c in codes.items():
+        size[i] = len(c)
+    return np.frombuffer(b"".join(codes.get(i, b"") for i in range(len(size))), dtype=np.uint8), np.cumsum(size) - size, size
+
+
+def decode_ids(ids: np.ndarray, edges: np.ndarray, path: str) -> list[bytes]:
+    """The texts of runs of ids, cut at edges: the bytes of their pieces, without the mark that stands before a text."""
+    data, start, size = piece_bytes(path)
+    n = size[ids]
+    first = np.cumsum(n) - n
+    text = data[np.repeat(start[ids] - first, n) + np.arange(int(n.sum()))]
+    at = np.append(first, len(text))[edges]
+    return [text[a + (a < z and text[a] == 32) : z].tobytes() for a, z in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+
 def encode(docs: DataFrame, path_of: Callable[[], str] = model_path, chunk_bytes: int = CHUNK_BYTES, with_ids: bool = True) -> DataFrame:
-    """doc_id, n_pieces, ids_crc32, and ids (packed little-endian, four bytes each) or NULL."""
+    """doc_id, n_pieces, ids_crc32, decoded_bytes and decoded_crc32 (of the UTF-8 that the ids decode to), round_trip
+    (whether that is the text; a mark in a text is a space), and ids (packed little-endian, four bytes each) or NULL."""
+    spark = docs.sparkSession
     model = load(path_of())
-    source = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    total = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_BYTES))
+    # A task holds so many units only that grouping their edges needs no sorting.
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "1000000")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: list[pa.Array] = []
+        path, met = path_of(), []
         for number, ends, batch in _chunks(batches, chunk_bytes):
-            met += [_flat(part)[0].unique() for part in slices(batch, "text", PART_BYTES)]
+            met.append(cut_units(batch.column("text"), path)[0].unique())
             if ends or len(met) > 16:
                 met = [pa.concat_arrays(met).unique()]
             if ends:
-                short = pa.compute.and_(pa.compute.less_equal(pa.compute.utf8_length(met[0]), MAX_UNIT), pa.compute.invert(pa.compute.starts_with(met[0], MARK * 2)))
-                for part in pa.table({"unit": met[0].filter(short)}).to_batches(50_000):
+                units = pa.compute.replace_substring(met[0], " ", MARK)
+                short = pa.compute.less_equal(pa.compute.utf8_length(units), MAX_UNIT)
+                for p in model.unproven:
+                    short = pa.compute.and_(short, pa.compute.invert(pa.compute.match_substring(units, p)))
+                for part in pa.table({"unit": units.filter(short).cast(pa.string())}).to_batches(50_000):
                     yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.full(part.num_rows, number, dtype=np.int64))], names=["unit", "chunk"])
                 met = []
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = pa.Codec("zstd")
+        codec = pa.Codec("zstd", compression_level=3)
         for number, _, batch in _chunks(batches, chunk_bytes):
             plain = [batch.column("doc_id").cast(pa.int64()), batch.column("text").cast(pa.string())]
             raw = pa.RecordBatch.from_arrays(plain, schema=_BUNDLE).serialize()
@@ -276,44 +347,47 @@ def encode(docs: DataFrame, path_of: Callable[[], str] = model_path, chunk_bytes
             yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([raw.size]), pa.array([packed.to_pybytes()], pa.binary())], names=["chunk", "size", "blob"])
 
     # Units are distinct within a task's part already, so they are dealt out before they are grouped.
-    distinct = source.mapInArrow(cut, "unit string, chunk long").repartition("unit").groupBy("unit").agg(F.collect_set("chunk").alias("chunks"))
-    coded = encode_units(distinct, piece_table(docs.sparkSession, model), model)
+    distinct = source.mapInArrow(cut, "unit string, chunk long").repartition(tasks, "unit").groupBy("unit").agg(F.collect_set("chunk").alias("chunks"))
+    coded = encode_units(distinct, piece_table(spark, model), model)
     answers = coded.select(F.explode("chunks").alias("chunk"), "unit", F.col("ids").cast("array<smallint>" if max(i for i, _ in model.pieces.values()) < 32768 else "array<int>").alias("ids"))
     bundles = source.mapInArrow(bundle, "chunk long, size long, blob binary")
 
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
-        model = load(path_of())
-        known = pa.concat_arrays([c.cast(pa.string()) for c in right.column("unit").chunks]) if right.num_rows else pa.array([], pa.string())
+        path = path_of()
+        model = load(path)
+        known = pa.compute.replace_substring(pa.concat_arrays([c.cast(pa.large_string()) for c in right.column("unit").chunks]), MARK, " ") if right.num_rows else pa.array([], pa.large_string())
         lists = [c for c in right.column("ids").chunks]
-        codes = [np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in lists] or [np.zeros(0, np.int32)]).astype("<u4")]
-        sizes = [np.concatenate([pa.compute.list_value_length(c).to_numpy(zero_copy_only=False) for c in lists] or [np.zeros(0, np.int64)]).astype(np.int64)]
+        codes = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in lists] or [np.zeros(0, np.int32)]).astype("<u4")
+        sizes = np.concatenate([pa.compute.list_value_length(c).to_numpy(zero_copy_only=False) for c in lists] or [np.zeros(0, np.int64)]).astype(np.int64)
         codec, out = pa.Codec("zstd"), []
         for size, blob in zip(left.column("size").to_pylist(), left.column("blob"), strict=True):
             whole = pa.ipc.read_record_batch(codec.decompress(blob.as_buffer(), size), _BUNDLE)
             for batch in slices(whole, "text", BLOB_BYTES):
-                parts = [_flat(part) for part in slices(batch, "text", PART_BYTES)]
-                met = pa.concat_arrays([m for m, _ in parts])
+                met, per_text = cut_units(batch.column("text"), path)
                 place = pa.compute.index_in(met, value_set=known)
                 if place.null_count:
                     new = met.filter(pa.compute.is_null(place)).unique()
-                    merged = [merge_unit(u, model) for u in new.to_pylist()]
+                    merged = [merge_unit(u.replace(" ", MARK), model) for u in new.to_pylist()]
                     known = pa.concat_arrays([known, new])
-                    codes.append(np.array([i for m in merged for i in m], dtype="<u4"))
-                    sizes.append(np.array([len(m) for m in merged], dtype=np.int64))
+                    codes = np.concatenate([codes, np.array([i for m in merged for i in m], dtype="<u4")])
+                    sizes = np.concatenate([sizes, np.array([len(m) for m in merged], dtype=np.int64)])
                     place = pa.compute.index_in(met, value_set=known)
-                    codes, sizes = [np.concatenate(codes)], [np.concatenate(sizes)]
-                first = np.cumsum(sizes[0]) - sizes[0]
+                first = np.cumsum(sizes) - sizes
                 at = place.to_numpy(zero_copy_only=False).astype(np.int64)
-                n = sizes[0][at]
+                n = sizes[at]
                 begin = np.cumsum(n) - n
-                flat = codes[0][np.arange(int(n.sum())) - np.repeat(begin - first[at], n)]
-                per_text = np.cumsum([0, *(n for _, c in parts for n in c)])
-                edge = np.append(begin, len(flat))[per_text]
-                ids = [flat[a:z].tobytes() for a, z in zip(edge[:-1], edge[1:], strict=True)]
-                out.append(pa.table({"doc_id": batch.column("doc_id"), "n_pieces": pa.array(np.diff(edge)), "ids_crc32": pa.array([zlib.crc32(x) for x in ids], pa.int64()), "ids": pa.array(ids if with_ids else [None] * len(ids), pa.binary())}))
+                flat = codes[np.arange(int(n.sum())) - np.repeat(begin - first[at], n)]
+                edge = np.append(begin, len(flat))[np.concatenate([[0], np.cumsum(per_text)])]
+                ids = [flat[a:z].tobytes() for a, z in itertools.pairwise(edge.tolist())]
+                texts = decode_ids(flat, edge, path)
+                same = [t == d.decode("utf-8", "replace") for t, d in zip(pa.compute.replace_substring(batch.column("text"), MARK, " ").to_pylist(), texts, strict=True)]
+                columns = {"doc_id": batch.column("doc_id"), "n_pieces": pa.array(np.diff(edge)), "ids_crc32": pa.array([zlib.crc32(x) for x in ids], pa.int64())}
+                columns |= {"decoded_bytes": pa.array([len(t) for t in texts], pa.int64()), "decoded_crc32": pa.array([zlib.crc32(t) for t in texts], pa.int64()), "round_trip": pa.array(same)}
+                out.append(pa.table(columns | {"ids": pa.array(ids if with_ids else [None] * len(ids), pa.binary())}))
         return pa.concat_tables(out)
 
-    return bundles.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(apply, "doc_id long, n_pieces long, ids_crc32 long, ids binary")
+    schema = "doc_id long, n_pieces long, ids_crc32 long, decoded_bytes long, decoded_crc32 long, round_trip boolean, ids binary"
+    return bundles.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(apply, schema)
 
 
 def decode(rows: DataFrame, model: Model, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -329,4 +403,4 @@ def decode(rows: DataFrame, model: Model, key: str = "doc_id", ids: str = "ids")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(table(spark, sf_dir, "documents"), with_ids=False).select("doc_id", "n_pieces", "ids_crc32")
+    return encode(table(spark, sf_dir, "documents"), with_ids=False).drop("ids")

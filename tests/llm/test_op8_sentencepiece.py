@@ -1,7 +1,9 @@
 import itertools
 import random
+import zlib
 
 import numpy as np
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import functions as F
 
@@ -14,15 +16,29 @@ MODEL = op8.load(op8.model_path())
 MORE = [" x", "  x", "\n\n x", "a\n b", "x " * 3, "<s> hi </s>", "w" * 200 + " x", "the " * 20, "     ", "a▁b▁▁c", "\x00", "aaaaaaaaaa aaa"]
 
 
+MORE += [f"{' ' * k}return x;\n{' ' * k}{w}" for k in range(1, 20) for w in ("if", "}", "é", "▁▁a")]
+
+
 def test_merging_on_the_spot_equals_the_library():
-    for t in [*strings(), *MORE]:
-        assert [i for u in op8.units(t) for i in op8.merge_unit(u, MODEL)] == SP.encode(t)
+    given = [*strings(), *MORE]
+    units, n = op8.cut_units(pa.array(given), op8.model_path())
+    ids = iter([op8.merge_unit(u.replace(" ", op8.MARK), MODEL) for u in units.to_pylist()])
+    for t, k in zip(given, n.tolist(), strict=True):
+        assert [i for _ in range(k) for i in next(ids)] == SP.encode(t)
+
+
+def test_indented_units_take_the_lattice():
+    assert MODEL.unproven == (op8.MARK * 16,)
 
 
 def test_lattice_equals_the_library(spark):
     given = [*strings(1500), *MORE]
     got = op8.encode(spark.createDataFrame(list(enumerate(given)), "doc_id long, text string"), chunk_bytes=10_000).collect()
     assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in got} == dict(enumerate(map(SP.encode, given)))
+    for r in got:
+        text = SP.decode(SP.encode(given[r.doc_id]))
+        assert r.round_trip and text == given[r.doc_id].replace(op8.MARK, " ")
+        assert (r.decoded_bytes, r.decoded_crc32) == (len(text.encode()), zlib.crc32(text.encode()))
 
 
 def test_odd_rows(spark):
