@@ -50,7 +50,7 @@ MAX_UNIT = 48
 #: Code points below this one have their ids in a literal (ASCII to Latin Extended-B).
 COMMON = 0x250
 #: Neighbouring tasks share chunks: fewer chunks ask for the same unit.
-TASKS_PER_CHUNK, CHUNK_BYTES = 4, 32_000_000
+TASKS_PER_CHUNK, CHUNK_BYTES = 2, 32_000_000
 #: Compressed rows of a chunk's texts.
 BLOB_BYTES = 4_000_000
 #: Text bytes aimed at per task of the lattice.
@@ -334,12 +334,14 @@ def encode(docs: DataFrame, path_of: Callable[[], str] = model_path, chunk_bytes
                 short = pa.compute.less_equal(pa.compute.utf8_length(units), MAX_UNIT)
                 for p in model.unproven:
                     short = pa.compute.and_(short, pa.compute.invert(pa.compute.match_substring(units, p)))
-                for part in pa.table({"unit": units.filter(short).cast(pa.string())}).to_batches(50_000):
+                units = units.filter(short)
+                units = units.take(pa.compute.sort_indices(units)).cast(pa.string())  # in order they travel in less space
+                for part in pa.table({"unit": units}).to_batches(50_000):
                     yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.full(part.num_rows, number, dtype=np.int64))], names=["unit", "chunk"])
                 met = []
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = pa.Codec("zstd", compression_level=3)
+        codec = pa.Codec("zstd", compression_level=9)
         for number, _, batch in _chunks(batches, chunk_bytes):
             plain = [batch.column("doc_id").cast(pa.int64()), batch.column("text").cast(pa.string())]
             raw = pa.RecordBatch.from_arrays(plain, schema=_BUNDLE).serialize()
@@ -383,6 +385,7 @@ def encode(docs: DataFrame, path_of: Callable[[], str] = model_path, chunk_bytes
                 same = [t == d.decode("utf-8", "replace") for t, d in zip(pa.compute.replace_substring(batch.column("text"), MARK, " ").to_pylist(), texts, strict=True)]
                 columns = {"doc_id": batch.column("doc_id"), "n_pieces": pa.array(np.diff(edge)), "ids_crc32": pa.array([zlib.crc32(x) for x in ids], pa.int64())}
                 columns |= {"decoded_bytes": pa.array([len(t) for t in texts], pa.int64()), "decoded_crc32": pa.array([zlib.crc32(t) for t in texts], pa.int64()), "round_trip": pa.array(same)}
+                pa.default_memory_pool().release_unused()
                 out.append(pa.table(columns | {"ids": pa.array(ids if with_ids else [None] * len(ids), pa.binary())}))
         return pa.concat_tables(out)
 
