@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Fixed value: the characters that stay; each other one becomes an underscore.
+OTHERS = "[^A-Za-z0-9_]"
+
+
 def clean(name: str) -> str:
-    return re.sub(r"[^A-Za-z0-9_]", "_", name)
+    return re.sub(OTHERS, "_", name)
 
 
 def clean_type(t: T.DataType) -> T.DataType:
@@ -27,13 +31,38 @@ def clean_type(t: T.DataType) -> T.DataType:
     return t
 
 
+def _clean_keys(c: Column, t: T.DataType) -> Column:
+    """c, of a type with clean names, with the keys of all its string maps cleaned, at every depth."""
+    if isinstance(t, T.StructType) and _has_map(t):
+        return F.when(c.isNotNull(), F.struct(*[_clean_keys(c[f.name], f.dataType).alias(f.name) for f in t.fields]))
+    if isinstance(t, T.ArrayType) and _has_map(t):
+        return F.transform(c, lambda x: _clean_keys(x, t.elementType))
+    if isinstance(t, T.MapType):
+        values = F.transform_values(c, lambda _, v: _clean_keys(v, t.valueType)) if _has_map(t.valueType) else c
+        return F.transform_keys(values, lambda k, _: F.regexp_replace(k, OTHERS, "_")) if isinstance(t.keyType, T.StringType) else values
+    return c
+
+
+def _has_map(t: T.DataType) -> bool:
+    if isinstance(t, T.StructType):
+        return any(_has_map(f.dataType) for f in t.fields)
+    return isinstance(t, T.MapType) or isinstance(t, T.ArrayType) and _has_map(t.elementType)
+
+
 def sanitize(df: DataFrame) -> DataFrame:
-    """df with clean names through structs, arrays and maps; keys of string maps are cleaned too."""
+    """df with clean names through structs, arrays and maps; keys of string maps are cleaned too, at every depth."""
     new = clean_type(df.schema)
-    out = []
-    for old, f in zip(df.schema.fields, new.fields, strict=True):
-        c = F.col(f"`{old.name}`").cast(f.dataType)
-        if isinstance(f.dataType, T.MapType) and isinstance(f.dataType.keyType, T.StringType):
-            c = F.transform_keys(c, lambda k, _: F.regexp_replace(k, "[^A-Za-z0-9_]", "_"))
-        out.append(c.alias(f.name))
-    return df.select(*out)
+    columns = [(F.col(f"`{old.name}`").cast(f.dataType), f) for old, f in zip(df.schema.fields, new.fields, strict=True)]
+    return df.select(*[_clean_keys(c, f.dataType).alias(f.name) for c, f in columns])
+
+
+def sanitize_json(c: Column) -> Column:
+    """JSON text with the keys of all its objects cleaned, whatever their depth; values stay. NULL stays NULL.
+
+    A key is a string that a colon follows. Strings are matched whole, so nothing inside one is taken for a key.
+    """
+    string = r'"(?:[^"\\]|\\.)*"'
+    parts = F.regexp_extract_all(c, F.lit(rf"({string}\s*:|{string}|[^\"]+)"), F.lit(1))
+    key = rf"^{string}\s*:$"
+    name = lambda x: F.regexp_extract(x, r'(?s)^"(.*)"\s*:$', 1)
+    return F.array_join(F.transform(parts, lambda x: F.when(x.rlike(key), F.concat(F.lit('"'), F.regexp_replace(name(x), OTHERS, "_"), F.lit('":'))).otherwise(x)), "")

@@ -16,6 +16,12 @@ def for_markets(df: DataFrame, markets: DataFrame, key: str, market_key: str) ->
 
 
 def _recent(clicks: DataFrame, markets: DataFrame, as_of: datetime.date | str) -> DataFrame:
+    # The longest window of any market bounds what is read; each market's own follows.
+    longest = markets.agg(F.max("months")).first()[0] or 0
+    today = datetime.date.fromisoformat(str(as_of))
+    since = F.add_months(F.lit(today), -int(longest)).cast("timestamp_ntz")
+    kind = clicks.schema["time"].dataType
+    clicks = clicks.where((F.col("time") >= since.cast(kind)) & (F.col("time") < F.date_add(F.lit(today), 1).cast("timestamp_ntz").cast(kind)))
     rows = for_markets(clicks.withColumn("day", F.to_date("time")), markets, "domain", "url")
     return rows.where(cal.window_to(F.col("day"), cal.day(as_of), F.col("months")))
 

@@ -6,11 +6,14 @@ updated. Several incoming rows of one key raise, as which of them wins would be
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saltmarsh.functions.coerce import coerce_col, coerce_to
+from saltmarsh.sources.tables import VersionedTable
 
 
 def append(target: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -23,29 +26,34 @@ def full_refresh(target: DataFrame, incoming: DataFrame) -> DataFrame:
     return coerce_to(incoming, target.schema)
 
 
-def _checked(incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """incoming, raising at run time where a key (all parts set) repeats."""
+def _whole(keys: list[str]) -> Column:
     whole = F.lit(True)
     for k in keys:
         whole = whole & F.col(k).isNotNull()
-    counted = incoming.where(whole).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.first(F.struct(*incoming.columns)).alias("_row")])
-    guard = F.when(F.col("_n") > 1, F.raise_error(F.lit("several incoming rows for one key"))).otherwise(F.col("_row"))
-    rows = counted.select(guard.alias("_row")).select("_row.*")
-    return rows.unionByName(incoming.where(~whole))
+    return whole
 
 
 def merge(target: DataFrame, incoming: DataFrame, keys: list[str], newer: Column | None = None) -> DataFrame:
-    """target with matched rows replaced (where `newer`, over t_ and i_ columns, is TRUE) and others added."""
-    source = _checked(coerce_to(incoming, target.schema, strict=tuple(keys)), keys)
-    t = target.select([F.col(c).alias(f"t_{c}") for c in target.columns]).withColumn("_t", F.lit(True))
-    i = source.select([F.col(c).alias(f"i_{c}") for c in target.columns]).withColumn("_i", F.lit(True))
+    """target with matched rows replaced (where `newer`, over t_ and i_ columns, is TRUE) and others added.
+
+    Rows with a NULL key match nothing, so they pass beside the join, where they would all meet in one task.
+    """
+    incoming = coerce_to(incoming, target.schema, strict=tuple(keys))
+    others = [c for c in target.columns if c not in keys]
+    counted = incoming.where(_whole(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(F.lit(1).alias("_one"), *others)).alias("_row"))
+    guard = F.when(F.col("_n") > 1, F.raise_error(F.lit("several incoming rows for one key"))).otherwise(F.col("_row"))
+    # Keys stay columns, so the join takes over how the aggregation has dealt them.
+    i = counted.select(*[F.col(k).alias(f"i_{k}") for k in keys], guard.alias("_i"))
+    i = i.select(*[f"i_{k}" for k in keys], F.lit(True).alias("_i"), *[F.col(f"_i.{c}").alias(f"i_{c}") for c in others])
+    t = target.where(_whole(keys)).select([F.col(c).alias(f"t_{c}") for c in target.columns]).withColumn("_t", F.lit(True))
     on = F.lit(True)
     for k in keys:
         on = on & (F.col(f"t_{k}") == F.col(f"i_{k}"))
     both = t.join(i, on, "full")
     take = F.col("_t").isNull() | (F.col("_i").isNotNull() & (F.lit(True) if newer is None else F.coalesce(newer, F.lit(False))))
-    kept = [F.when(F.col("_t").isNull(), F.col(f"i_{c}")).otherwise(F.col(f"t_{c}")) if c in keys else F.when(take, F.col(f"i_{c}")).otherwise(F.col(f"t_{c}")) for c in target.columns]
-    return both.select([k.alias(c) for k, c in zip(kept, target.columns, strict=True)])
+    kept = [F.coalesce(f"t_{c}", f"i_{c}") if c in keys else F.when(take, F.col(f"i_{c}")).otherwise(F.col(f"t_{c}")) for c in target.columns]
+    merged = both.select([k.alias(c) for k, c in zip(kept, target.columns, strict=True)])
+    return merged.unionByName(target.where(~_whole(keys))).unionByName(incoming.where(~_whole(keys)))
 
 
 def merge_newer(target: DataFrame, incoming: DataFrame, keys: list[str], filter_col: str, millis: bool = False) -> DataFrame:
@@ -81,6 +89,32 @@ def high_watermark(target: DataFrame, column: str) -> DataFrame:
     return target.agg(F.max(F.col(column).cast("timestamp")).alias("high_watermark"))
 
 
+WATERMARKS = "source_system string, schema_name string, table_name string, high_watermark timestamp"
+
+
+def watermark_row(spark: SparkSession, key: dict[str, str], latest: datetime.datetime | None) -> DataFrame:
+    return spark.createDataFrame([(*key.values(), latest)], WATERMARKS)
+
+
+def get_watermark(marks: VersionedTable, key: dict[str, str], target: DataFrame, column: str) -> datetime.datetime | None:
+    """The stored watermark of a key; where none is stored it is computed from the target, and stored."""
+    rows = marks.read()
+    for k, v in key.items():
+        rows = rows.where(F.col(k) == v)
+    found = rows.first()
+    return found.high_watermark if found else set_watermark(marks, key, target, column)
+
+
+def set_watermark(marks: VersionedTable, key: dict[str, str], target: DataFrame, column: str) -> datetime.datetime | None:
+    """Stores and returns the target's largest value."""
+    latest = high_watermark(target, column).first().high_watermark
+    own = F.lit(True)
+    for k, v in key.items():
+        own = own & F.col(k).eqNullSafe(F.lit(v))
+    marks.replace(delete_where(marks.read(), own).unionByName(watermark_row(target.sparkSession, key, latest)))
+    return latest
+
+
 def set_checkpoint(checkpoints: DataFrame, key: dict[str, str], stamp: Column) -> DataFrame:
     """Sets last_successful_run of one key. Adds no row."""
     match = F.lit(True)

@@ -17,16 +17,27 @@ HISTORY = T.StructType(
 )
 
 
-def volumes(vol: DataFrame, schedule: DataFrame, period: int, statuses: tuple[str, ...] = ("cp", "pn")) -> DataFrame:
-    """PV and BV per entity and volume type, all types in one pass and all market groups at once.
+def _measured(rows: DataFrame, kind: Column) -> DataFrame:
+    named = rows.withColumn("vol_type_cd", kind)
+    return named.groupBy(*KEYS, "vol_type_cd").agg(F.sum("pv_qty").cast("double").alias("pv"), F.sum("bns_vol_qty").cast("double").alias("bv"))
+
 
-    The transaction measure TX001 is counted from type 001 rows; the types differ, so no distinct is needed.
+def volumes(detail: DataFrame, customers: DataFrame, affiliates: DataFrame, headers: DataFrame, lines: DataFrame, schedule: DataFrame, period: int, statuses: tuple[str, ...] = ("cp", "pn")) -> DataFrame:
+    """PV and BV per entity and measure, from sources of their own, for all market groups at once.
+
+    001 and 017: period detail of customers. 086: period detail of the customers that stand for an affiliate. TX001: lines of
+    type 001 of transactions in one of the statuses. Filters come before the joins; masters are joined by their key.
     """
-    rows = vol.where((F.col("bns_per_no") == period) & F.col("proc_stat_cd").isin(*statuses) & F.col("vol_type_cd").isin("001", "017", "086"))
-    groups = schedule.select(F.col("affiliate").alias("aff_no"), "market_group").distinct()
-    kind = F.explode(F.when(F.col("vol_type_cd") == "001", F.array(F.lit("001"), F.lit("TX001"))).otherwise(F.array("vol_type_cd")))
-    named = rows.join(F.broadcast(groups), "aff_no").withColumn("vol_type_cd", kind)
-    return named.groupBy(*KEYS, "vol_type_cd").agg(F.sum("pv_qty").cast("double").alias("pv"), F.sum("bns_vol_qty").cast("double").alias("bv"))
+    groups = F.broadcast(schedule.select(F.col("affiliate").alias("aff_no"), "market_group").distinct().limit(10_000))
+    now = detail.where((F.col("bns_per_no") == period) & F.col("vol_type_cd").isin("001", "017", "086"))
+    of_customer = now.join(customers.select("bns_cust_id", "aff_no").join(groups, "aff_no"), "bns_cust_id")
+    alias = affiliates.select(F.col("alias_cust_id").alias("bns_cust_id"))
+    plain = of_customer.where("vol_type_cd in ('001', '017')")
+    of_alias = of_customer.where("vol_type_cd = '086'").join(alias, "bns_cust_id")
+    trades = headers.where((F.col("bns_per_no") == period) & F.col("proc_stat_cd").isin(*statuses)).join(groups, "aff_no")
+    trades = trades.join(lines.where("vol_type_cd = '001'").select("bns_trx_id", "pv_qty", "bns_vol_qty"), "bns_trx_id")
+    parts = [_measured(plain, F.col("vol_type_cd")), _measured(of_alias, F.lit("086")), _measured(trades, F.lit("TX001"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])  # the types differ, so no row is in two
 
 
 def _all_equal(columns: list[Column]) -> Column:

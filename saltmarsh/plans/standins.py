@@ -60,6 +60,28 @@ SELECT CAST(year(o_orderdate)*100+month(o_orderdate) AS INT) AS bns_per_no, c_na
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey
 CROSS JOIN (SELECT '001' AS vol_type_cd UNION ALL SELECT '017' UNION ALL SELECT '086') t
 WHERE NOT (t.vol_type_cd = '086' AND c_nationkey % 7 = 3)""",
+    # The four measures of the reconciliation, from sources of their own. Each country has a customer that stands for its
+    # affiliate (ids below 0); affiliates of countries 4, 14 and 24 have detail that their transactions lack.
+    "cust_mst": """
+SELECT c_custkey AS bns_cust_id, c_nationkey * 10 AS aff_no FROM {customer}
+UNION ALL SELECT -1 - n_nationkey AS bns_cust_id, n_nationkey * 10 AS aff_no FROM {nation}""",
+    "aff_mst": "SELECT n_nationkey * 10 AS aff_no, -1 - n_nationkey AS alias_cust_id FROM {nation} WHERE n_nationkey % 7 <> 3",
+    "vol_dtl": """
+SELECT bns_per_no, CASE WHEN vol_type_cd = '086' THEN -1 - bus_entty_no ELSE bns_cust_id END AS bns_cust_id, bus_entty_no, vol_type_cd, pv_qty, bns_vol_qty FROM (
+  SELECT CAST(year(o_orderdate)*100+month(o_orderdate) AS INT) AS bns_per_no, o_custkey AS bns_cust_id, c_nationkey AS bus_entty_no, t.vol_type_cd,
+    CAST(CASE WHEN t.vol_type_cd = '017' AND c_nationkey % 4 = 1 THEN o_totalprice + 1 ELSE o_totalprice END AS DECIMAL(14,2)) AS pv_qty,
+    CAST(o_totalprice*2 AS DECIMAL(14,2)) AS bns_vol_qty
+  FROM {orders} JOIN {customer} ON o_custkey = c_custkey
+  CROSS JOIN (SELECT '001' AS vol_type_cd UNION ALL SELECT '017' UNION ALL SELECT '086') t
+  WHERE o_orderstatus IN ('F', 'O') OR (c_nationkey % 10 = 4 AND o_orderkey % 3 = 0)) v""",
+    "trx_mst": """
+SELECT o_orderkey AS bns_trx_id, CAST(year(o_orderdate)*100+month(o_orderdate) AS INT) AS bns_per_no, c_nationkey*10 AS aff_no, c_nationkey AS bus_entty_no,
+  CASE o_orderstatus WHEN 'F' THEN 'cp' WHEN 'O' THEN 'pn' ELSE 'pk' END AS proc_stat_cd
+FROM {orders} JOIN {customer} ON o_custkey = c_custkey""",
+    "trx_dtl": """
+SELECT o_orderkey AS bns_trx_id, '001' AS vol_type_cd, CAST(CAST(o_totalprice AS DECIMAL(14,2)) - 1 AS DECIMAL(14,2)) AS pv_qty, CAST(o_totalprice*2 AS DECIMAL(14,2)) AS bns_vol_qty FROM {orders}
+UNION ALL SELECT o_orderkey AS bns_trx_id, '001' AS vol_type_cd, CAST(1 AS DECIMAL(14,2)) AS pv_qty, CAST(0 AS DECIMAL(14,2)) AS bns_vol_qty FROM {orders}
+UNION ALL SELECT o_orderkey AS bns_trx_id, '017' AS vol_type_cd, CAST(5 AS DECIMAL(14,2)) AS pv_qty, CAST(5 AS DECIMAL(14,2)) AS bns_vol_qty FROM {orders}""",
     "ord_accounts": "SELECT * FROM {account} WHERE account_id % 9 <> 0",
     "ship_accounts": """
 SELECT account_id, cntry_id, bus_natr_cd FROM {account}

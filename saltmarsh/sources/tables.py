@@ -30,13 +30,19 @@ def extract(source: DataFrame, mode: str = "full", filter_col: str | None = None
     raise ValueError(f"no mode {mode}")
 
 
-def write_day_partition(df: DataFrame, base: str, day: Column) -> None:
+def write_day_partitions(df: DataFrame, base: str, day: Column) -> None:
     """Overwrites the year=/month=/day= partitions that df has rows of, and only those."""
     parts = df.withColumn("year", F.date_format(day, "yyyy")).withColumn("month", F.date_format(day, "MM")).withColumn("day", F.date_format(day, "dd"))
     # One task per day at most would make one file of a large day; rows are spread over the tasks as they come.
     parts.write.partitionBy("year", "month", "day").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(base)
 
 
+def write_day_partition(df: DataFrame, base: str, day: datetime.date | str) -> None:
+    """Replaces the partition of one day by all rows of df. Without rows the day is cleared: a rerun leaves nothing stale."""
+    at = datetime.date.fromisoformat(str(day))
+    df.write.mode("overwrite").parquet(f"{base}/year={at:%Y}/month={at:%m}/day={at:%d}")
+
+
 def publish_partition(spark: SparkSession, incoming: str, final: str, fmt: str, partition: str) -> None:
     """Replaces one partition of the final table by the incoming files of one format, and no others."""
     rows = spark.read.format(fmt).option("pathGlobFilter", f"*.{fmt}").load(f"{incoming}/{partition}")
@@ -63,9 +69,9 @@ def load_csv_append(spark: SparkSession, path: str, schema: T.StructType, table_
 
 
 class VersionedTable:
-    """A table of whole versions: a new one is written beside the old, then named in the pointer.
+    """A table of whole versions: a new one is written beside the old, then named in a row added to the pointer.
 
-    Readers see the old version until the pointer, a one-row Parquet table of its own, is replaced.
+    Readers see the old version until that row is there. Old versions stay, for whoever still reads them.
     """
 
     def __init__(self, spark: SparkSession, base: str):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator
@@ -11,43 +12,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Lines handed on at a time, so that a large member is not held whole.
-LINES = 10_000
+#: Records handed on at a time, so that a large member is not held whole.
+RECORDS = 10_000
 
 
-def lines(archives: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
-    """(path, member, line) of members that have a record besides their header; headers are dropped.
+def records(archives: DataFrame, path: str = "path", content: str = "content", sep: str = ",") -> DataFrame:
+    """(path, member, fields) of all records but the first of each member, whatever the member's name.
 
-    archives: rows of `spark.read.format("binaryFile")` or any (path, binary) rows.
+    archives: rows of `spark.read.format("binaryFile")` or any (path, binary) rows. Fields may hold quoted line breaks.
+    Members with a header only give nothing; blank lines are no records. A null archive gives nothing.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for where, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if not data.is_valid:
+                    continue
                 with zipfile.ZipFile(io.BytesIO(data.as_py())) as z:
-                    for name in sorted(n for n in z.namelist() if n.lower().endswith(".csv")):
+                    for name in (i.filename for i in z.infolist() if not i.is_dir()):
                         with z.open(name) as member:
-                            text = io.TextIOWrapper(member, "utf-8", errors="replace", newline="\n")
-                            next(text, None)
-                            held: list[str] = []
-                            for line in text:
-                                if line.strip():
-                                    held.append(line.rstrip("\r\n"))
-                                if len(held) >= LINES:
+                            rows = csv.reader(io.TextIOWrapper(member, "utf-8", errors="replace", newline=""), delimiter=sep)
+                            next(rows, None)
+                            held: list[list[str]] = []
+                            for row in rows:
+                                if row:
+                                    held.append(row)
+                                if len(held) >= RECORDS:
                                     yield _rows(where, name, held)
                                     held = []
                             if held:
                                 yield _rows(where, name, held)
 
-    return archives.select(F.col(path).alias("path"), F.col(content).alias("content")).mapInArrow(run, "path string, member string, line string")
+    return archives.select(F.col(path).alias("path"), F.col(content).alias("content")).mapInArrow(run, "path string, member string, fields array<string>")
 
 
-def _rows(path: str, member: str, held: list[str]) -> pa.RecordBatch:
+def _rows(path: str, member: str, held: list[list[str]]) -> pa.RecordBatch:
     n = len(held)
-    return pa.RecordBatch.from_arrays([pa.array([path] * n), pa.array([member] * n), pa.array(held)], names=["path", "member", "line"])
+    return pa.RecordBatch.from_arrays([pa.array([path] * n), pa.array([member] * n), pa.array(held, pa.list_(pa.string()))], names=["path", "member", "fields"])
 
 
 def read_zipped_csv(archives: DataFrame, schema: T.StructType | str, sep: str = ",") -> DataFrame:
-    """path, member and the columns of the schema."""
-    text = schema if isinstance(schema, str) else schema.simpleString()[7:-1]
-    return lines(archives).select("path", "member", F.from_csv("line", text, {"sep": sep}).alias("r")).select("path", "member", "r.*")
+    """path, member and the columns of the schema, by place; what is missing, empty or doesn't fit is NULL."""
+    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    field = lambda k, t: F.nullif(F.get("fields", F.lit(k)), F.lit("")).try_cast(t)
+    return records(archives, sep=sep).select("path", "member", *[field(k, f.dataType).alias(f.name) for k, f in enumerate(kind.fields)])

@@ -35,10 +35,19 @@ def run_to_end(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, in
 
 
 def merge_stream(table: VersionedTable, incoming: DataFrame, keys: list[str], filter_col: str, checkpoint: str) -> None:
-    """Every micro-batch is merged into the table, newer rows winning. Merging a batch twice changes nothing."""
+    """Every micro-batch is merged into the table, newer rows winning.
+
+    Of several rows of a key in a batch the one with the latest filter value counts (a NULL one is earlier than all; ties
+    fall to the largest row). Rows with a NULL key match nothing and are all added. Merging a batch twice changes
+    nothing but for those.
+    """
 
     def each(batch: DataFrame, _: int) -> None:
-        latest = batch.groupBy(*keys).agg(F.max_by(F.struct(*batch.columns), F.col(filter_col)).alias("r")).select("r.*")
-        table.replace(merge_newer(table.read(), latest, keys, filter_col))
+        whole = F.lit(True)
+        for k in keys:
+            whole = whole & F.col(k).isNotNull()
+        order = F.struct(F.col(filter_col).isNotNull(), F.col(filter_col), *[c for c in batch.columns if c not in keys])
+        latest = batch.where(whole).groupBy(*keys).agg(F.max_by(F.struct(*batch.columns), order).alias("r")).select("r.*")
+        table.replace(merge_newer(table.read(), latest.unionByName(batch.where(~whole)), keys, filter_col))
 
     run_to_end(incoming, checkpoint, each, "append")

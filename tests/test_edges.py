@@ -1,5 +1,6 @@
 """Hand-made frames for the cases that tables don't show."""
 
+import json
 import datetime
 import io
 import zipfile
@@ -16,6 +17,7 @@ from saltmarsh.operators import gates, merge, metadata, orders, reconcile, value
 from saltmarsh.plans import dims
 from saltmarsh.plans.shared import scratch
 from saltmarsh.sources import tables, zipped
+from saltmarsh.streaming import clicks as stream
 
 
 def rows(df):
@@ -164,3 +166,57 @@ def test_snapshot_skips_working_datasets(spark):
 def test_market_lists(spark):
     assert dims.affiliates("RENEWAL") == [100, 130, 180, 200, 430, 500]
     assert {r.url: r.months for r in dims.markets(spark).collect()} == {"a.example": 6, "b.example": 2}
+
+
+def test_a_day_without_rows_is_cleared(spark, tmp_path):
+    rows = spark.createDataFrame([(1, datetime.date(2024, 1, 1)), (2, datetime.date(2024, 1, 2))], "k int, at date")
+    tables.write_day_partitions(rows, str(tmp_path), F.col("at"))
+    tables.write_day_partition(rows.where("k > 2"), str(tmp_path), "2024-01-01")
+    assert [r.k for r in spark.read.schema("k int, at date, year int, month int, day int").parquet(str(tmp_path)).collect()] == [2]
+
+
+def test_watermarks_are_stored_else_computed(spark, tmp_path):
+    target = spark.createDataFrame([(datetime.datetime(2024, 1, 5),), (None,)], "at timestamp")
+    marks, key = tables.VersionedTable(spark, str(tmp_path)), {"source_system": "s", "schema_name": "a", "table_name": "t"}
+    marks.replace(merge.watermark_row(spark, key | {"table_name": "other"}, None))
+    assert merge.get_watermark(marks, key, target, "at") == datetime.datetime(2024, 1, 5)
+    assert merge.get_watermark(marks, key, target.limit(0), "at") == datetime.datetime(2024, 1, 5)
+    assert merge.set_watermark(marks, key, target.where("at is null"), "at") is None
+    assert marks.read().count() == 2 and merge.get_watermark(marks, key, target, "at") is None
+
+
+def test_quoted_line_breaks_and_members_of_any_name(spark):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("in/data.txt", 'a,b\r\n1,"x\ny"\r\n\r\n2,\r\nbad,z')
+        z.writestr("empty", "a,b\n")
+    df = spark.createDataFrame([("f.zip", out.getvalue()), ("g.zip", None)], "path string, content binary")
+    assert sorted(map(tuple, zipped.read_zipped_csv(df, "a int, b string").collect()), key=repr) == sorted([("f.zip", "in/data.txt", 1, "x\ny"), ("f.zip", "in/data.txt", 2, None), ("f.zip", "in/data.txt", None, "z")], key=repr)
+
+
+def test_keys_of_nested_maps_and_json(spark):
+    row = spark.sql("SELECT named_struct('in ner', array(map('a b', map('c-d', 1)))) AS `out er`, map('k k', named_struct('m m', 2)) AS m")
+    got = names.sanitize(row).first()
+    assert got.out_er.in_ner == [{"a_b": {"c_d": 1}}] and got.m["k_k"].m_m == 2
+    text = '{"a b": {"c-d" : ["x-y: \\"q r\\":", {"e.f":null}]}, "ok":1, "": "a b"}'
+    df = spark.createDataFrame([(text,), (None,), ('["p q"]',)], "j string")
+    out = [r.j for r in df.select(names.sanitize_json(F.col("j")).alias("j")).collect()]
+    assert json.loads(out[0]) == {"a_b": {"c_d": ['x-y: "q r":', {"e_f": None}]}, "ok": 1, "": "a b"}
+    assert out[1:] == [None, '["p q"]']
+
+
+def test_merge_of_rows_without_keys(spark):
+    target = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
+    sent = spark.createDataFrame([(1, "c"), (None, "d"), (None, "d"), (2, None)], "k int, v string")
+    got = sorted(map(tuple, merge.merge_upsert(target, sent, ["k"]).collect()), key=repr)
+    assert got == sorted([(1, "c"), (None, "b"), (None, "d"), (None, "d"), (2, None)], key=repr)
+    assert sorted(map(tuple, merge.merge_upsert(target.select("k"), sent.select("k").distinct(), ["k"]).collect()), key=repr) == [(1,), (2,), (None,), (None,)]
+
+
+def test_stream_merge_of_null_keys_and_filters(spark, tmp_path):
+    kinds = "k int, at int, v string"
+    spark.createDataFrame([(1, 5, "old"), (1, None, "x"), (2, None, "y"), (None, 1, "p"), (None, 6, "q"), (3, 4, "a"), (3, 4, "b")], kinds).coalesce(1).write.parquet(f"{tmp_path}/in")
+    t = tables.VersionedTable(spark, f"{tmp_path}/t")
+    t.replace(spark.createDataFrame([(1, 3, "first")], kinds))
+    stream.merge_stream(t, stream.read_stream(spark, f"{tmp_path}/in", T.StructType.fromDDL(kinds)), ["k"], "at", f"{tmp_path}/c")
+    assert sorted(map(tuple, t.read().collect()), key=repr) == sorted([(1, 5, "old"), (2, None, "y"), (None, 1, "p"), (None, 6, "q"), (3, 4, "b")], key=repr)
