@@ -52,7 +52,7 @@ COMMON = 0x250
 #: Neighbouring tasks share chunks: fewer chunks ask for the same unit.
 TASKS_PER_CHUNK, CHUNK_BYTES = 2, 32_000_000
 #: Compressed rows of a chunk's texts.
-BLOB_BYTES = 4_000_000
+BLOB_BYTES = 2_000_000
 #: Text bytes aimed at per task of the lattice.
 TASK_BYTES = 8_000_000
 _BUNDLE = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
@@ -361,6 +361,8 @@ def encode(docs: DataFrame, path_of: Callable[[], str] = model_path, chunk_bytes
         lists = [c for c in right.column("ids").chunks]
         codes = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in lists] or [np.zeros(0, np.int32)]).astype("<u4")
         sizes = np.concatenate([pa.compute.list_value_length(c).to_numpy(zero_copy_only=False) for c in lists] or [np.zeros(0, np.int64)]).astype(np.int64)
+        del right, lists
+        pa.default_memory_pool().release_unused()
         codec, out = pa.Codec("zstd"), []
         for size, blob in zip(left.column("size").to_pylist(), left.column("blob"), strict=True):
             whole = pa.ipc.read_record_batch(codec.decompress(blob.as_buffer(), size), _BUNDLE)
