@@ -319,7 +319,8 @@ def encode(docs: DataFrame, path_of: Callable[[], str] = model_path, chunk_bytes
     model = load(path_of())
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_BYTES))
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks, meetings = max(width, -(-total // TASK_BYTES)), max(width, -(-total // chunk_bytes))
     # A task holds so many units only that grouping their edges needs no sorting.
     spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "1000000")
 
@@ -392,7 +393,9 @@ def encode(docs: DataFrame, path_of: Callable[[], str] = model_path, chunk_bytes
         return pa.concat_tables(out)
 
     schema = "doc_id long, n_pieces long, ids_crc32 long, decoded_bytes long, decoded_crc32 long, round_trip boolean, ids binary"
-    return bundles.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(apply, schema)
+    # Both sides are dealt alike, into as many tasks as there are chunks about, so a task's share stays as the input grows.
+    left, right = (side.repartition(meetings, "chunk").groupBy("chunk") for side in (bundles, answers))
+    return left.cogroup(right).applyInArrow(apply, schema)
 
 
 def decode(rows: DataFrame, model: Model, key: str = "doc_id", ids: str = "ids") -> DataFrame:
