@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saltmarsh.functions import calendar as cal
+from saltmarsh.functions.bounded import small
 
 
 def for_markets(df: DataFrame, markets: DataFrame, key: str, market_key: str) -> DataFrame:
     """df's rows with their market's settings: one broadcast join in place of one query per market."""
-    return df.join(F.broadcast(markets.withColumnRenamed(market_key, key)), key)
+    return df.join(small(markets.withColumnRenamed(market_key, key)), key)
 
 
 def _recent(clicks: DataFrame, markets: DataFrame, as_of: datetime.date | str) -> DataFrame:

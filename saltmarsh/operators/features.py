@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saltmarsh.functions import calendar as cal
+from saltmarsh.functions.bounded import small
 
 
 def of_affiliates(df: DataFrame, market_affiliates: DataFrame, which: str, column: str) -> DataFrame:
     """Rows whose affiliate is in a market list, or in any list for ALL. The list is a small dimension."""
     wanted = market_affiliates if which == "ALL" else market_affiliates.where(F.col("market_list") == which)
-    return df.join(F.broadcast(wanted.select(F.col("affiliate").alias(column)).distinct()), column, "left_semi")
+    return df.join(small(wanted.select(F.col("affiliate").alias(column)).distinct()), column, "left_semi")
 
 
 def rfm_monthly(demand: DataFrame, market_affiliates: DataFrame, start_month: int, which: str = "ALL") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saltmarsh.functions import calendar as cal
+from saltmarsh.functions.bounded import small
 
 
 def order_base(demand: DataFrame, order_accounts: DataFrame, ship_accounts: DataFrame, countries: DataFrame, as_of: datetime.date | str, months: int = 6, strict_country: bool = False) -> DataFrame:
@@ -24,7 +25,7 @@ def order_base(demand: DataFrame, order_accounts: DataFrame, ship_accounts: Data
     joined = d.join(ordering, (F.col("oper_cntry_id") == F.col("o_cntry")) & (F.col("ord_account_id") == F.col("o_account")), "left")
     country = F.col("s_cntry") if strict_country else F.col("o_cntry")
     joined = joined.join(shipping, (F.col("shp_account_id") == F.col("s_account")) & (F.col("oper_cntry_id") == country), "left")
-    return joined.join(F.broadcast(place), "oper_cntry_id").select(
+    return joined.join(small(place), "oper_cntry_id").select(
         "ord_dt_key_no", "ord_id", "global_account_id", "oper_cntry_id", F.col("ord_account_id").alias("demand_ord_account_id"), "ord_bus_natr_cd", "ship_bus_natr_cd",
         "ord_item_cd", "ord_item_base_cd", "ord_qty", "country_name", "ord_mo_yr_id", "catalog_ln_usd_net", "adj_ln_usd_net", "account_type_ord",
     )

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from saltmarsh.functions.bounded import small
+
 KEYS = ["bns_per_no", "market_group", "aff_no", "bus_entty_no"]
 TYPES = {"001": "v001", "017": "v017", "086": "v086", "TX001": "tx001"}
 #: The history's columns and types.
@@ -28,7 +30,7 @@ def volumes(detail: DataFrame, customers: DataFrame, affiliates: DataFrame, head
     001 and 017: period detail of customers. 086: period detail of the customers that stand for an affiliate. TX001: lines of
     type 001 of transactions in one of the statuses. Filters come before the joins; masters are joined by their key.
     """
-    groups = F.broadcast(schedule.select(F.col("affiliate").alias("aff_no"), "market_group").distinct().limit(10_000))
+    groups = small(schedule.select(F.col("affiliate").alias("aff_no"), "market_group").distinct())
     now = detail.where((F.col("bns_per_no") == period) & F.col("vol_type_cd").isin("001", "017", "086"))
     of_customer = now.join(customers.select("bns_cust_id", "aff_no").join(groups, "aff_no"), "bns_cust_id")
     alias = affiliates.select(F.col("alias_cust_id").alias("bns_cust_id"))

@@ -41,9 +41,9 @@ def plan_stage(plan: DataFrame, affiliate: int | None = None, from_month: int =
 
 def early_active(orders: DataFrame, first_from: int, first_to: int, min_orders: int = 8, days: int = 90) -> DataFrame:
     """Accounts whose first month lies in the range and that ordered often enough soon after the first day."""
-    new = orders.groupBy(ACCOUNT).agg(F.min(MONTH).alias("m")).where(F.col("m").between(first_from, first_to))
-    rows = orders.join(new, ACCOUNT, "left_semi").withColumn("first", F.min("ord_dt").over(Window.partitionBy(ACCOUNT)))
-    soon = rows.where(F.col("ord_dt") <= F.date_add("first", days))
+    w = Window.partitionBy(ACCOUNT)
+    rows = orders.withColumn("first_month", F.min(MONTH).over(w)).withColumn("first", F.min("ord_dt").over(w))
+    soon = rows.where(F.col("first_month").between(first_from, first_to) & (F.col("ord_dt") <= F.date_add("first", days)))
     return soon.groupBy(ACCOUNT).agg(F.countDistinct("ord_id").alias("n")).where(F.col("n") >= min_orders).select(ACCOUNT)
 
 
@@ -86,8 +86,9 @@ def minmax_scaled(metrics: DataFrame, column: str = "demand_pv", top: int = 1000
 
 
 def metrics_joined(scaled: DataFrame, plan: DataFrame) -> DataFrame:
+    """Distinct, as scaled has one row per account and month and plan distinct rows (demand_metrics, plan_stage)."""
     p = plan.withColumnRenamed("global_account_id", ACCOUNT).withColumnRenamed("year_month", MONTH)
-    return scaled.join(p, [ACCOUNT, MONTH]).distinct()
+    return scaled.join(p, [ACCOUNT, MONTH])
 
 
 def cohort(joined: DataFrame, until: int | None = None, at: int | None = None) -> DataFrame:

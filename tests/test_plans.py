@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from saltmarsh.functions.bounded import small
 from saltmarsh.operators import clicks, features, value
 from saltmarsh.plans import catalog, dims
 from saltmarsh.plans.shared import scratch
@@ -27,6 +28,18 @@ def test_markets_are_one_broadcast_join(spark):
     assert text.count("FileScan") == 1 and "BroadcastHashJoin" in text and "CartesianProduct" not in text
 
 
+def test_only_small_sides_are_broadcast_and_none_is_cut(spark):
+    side, rows = spark.range(50), spark.range(1000).withColumn("id", F.col("id") % 100)
+    assert "hint" in small(side, 50)._jdf.queryExecution().logical().toString().lower()
+    assert "hint" not in small(side, 49)._jdf.queryExecution().logical().toString().lower()
+    assert rows.join(small(side, 49), "id").count() == rows.join(small(side, 50), "id").count() == 500
+
+
+def test_early_accounts_read_orders_once(spark):
+    orders = value.order_stage(view(spark, DATA, "demand"))
+    assert plan(value.early_active(orders, 199601, 199712)).count("FileScan") == plan(orders).count("FileScan")
+
+
 def test_metrics_have_one_window_sort_per_account(spark):
     text = plan(value.demand_metrics(value.order_stage(view(spark, DATA, "demand"))))
     assert "CartesianProduct" not in text and "SinglePartition" not in text
