@@ -17,6 +17,7 @@ from saltmarsh.llm import (
     op8_sentencepiece,
     op9_packing,
     op10_quality_ledger,
+    op11_filter_audit,
 )
 from saltmarsh.llm.common import table
 
@@ -35,8 +36,9 @@ def queries() -> dict[str, Query]:
         "op8_sentencepiece": op8_sentencepiece.query,
         "op9_packing": op9_packing.query,
         "op10_quality_ledger": lambda spark, d: op10_quality_ledger.digest(table(spark, d, "documents")),
+        "op11_filter_audit": op11_filter_audit.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_rules": op6_url_rules.ORACLE, "op10_quality_ledger": op10_quality_ledger.ORACLE}
+    return {"op6_url_rules": op6_url_rules.ORACLE, "op10_quality_ledger": op10_quality_ledger.ORACLE, "op11_filter_audit": op11_filter_audit.ORACLE}
