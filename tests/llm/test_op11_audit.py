@@ -19,7 +19,7 @@ def brute(docs, labels):
     ids_of = {}
     for i, t, _ in docs:
         ids_of.setdefault(t or "", []).extend([] if i is None else [i])
-    judged = [(lang or "", failing(t, i, ids_of), (i, 1, None) in {(a, q, None) for a, q, _ in labels}, any(a == i and x == 1 for a, _, x in labels) and i is not None) for i, t, lang in docs]
+    judged = [(lang or "", failing(t, i, ids_of), *(i is not None and any(m[0] == i and m[k] == 1 for m in labels) for k in (1, 2))) for i, t, lang in docs]
     out = {}
     for part in {j[0] for j in judged}:
         rows = {}
