@@ -18,6 +18,7 @@ from saltmarsh.llm import (
     op9_packing,
     op10_quality_ledger,
     op11_filter_audit,
+    op12_alignment,
 )
 from saltmarsh.llm.common import table
 
@@ -37,6 +38,7 @@ def queries() -> dict[str, Query]:
         "op9_packing": op9_packing.query,
         "op10_quality_ledger": lambda spark, d: op10_quality_ledger.digest(table(spark, d, "documents")),
         "op11_filter_audit": op11_filter_audit.query,
+        "op12_alignment": op12_alignment.query,
     }
 
 
