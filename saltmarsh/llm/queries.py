@@ -19,6 +19,7 @@ from saltmarsh.llm import (
     op10_quality_ledger,
     op11_filter_audit,
     op12_alignment,
+    op13_edit_fingerprint,
 )
 from saltmarsh.llm.common import table
 
@@ -39,6 +40,7 @@ def queries() -> dict[str, Query]:
         "op10_quality_ledger": lambda spark, d: op10_quality_ledger.digest(table(spark, d, "documents")),
         "op11_filter_audit": op11_filter_audit.query,
         "op12_alignment": op12_alignment.query,
+        "op13_edit_fingerprint": op13_edit_fingerprint.query,
     }
 
 
