@@ -16,6 +16,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Square root of the tasks up to which one level does.
+FEW = 4
 PARTIAL = "block int, part int, sums binary"
 _NAMES = ["block", "part", "sums"]
 
@@ -39,7 +41,7 @@ def gather(partial: DataFrame, rows: int, width: int, blocks: int) -> np.ndarray
     """The summed rows x width table of what tasks emitted (columns of PARTIAL)."""
     fan = math.isqrt(max(1, partial.rdd.getNumPartitions() - 1)) + 1
     partial = partial.select("block", "part", "sums")
-    once = partial.withColumn("part", F.pmod("part", F.lit(fan))).groupBy("block", "part").applyInArrow(_sum, PARTIAL)
+    once = partial if fan <= FEW else partial.withColumn("part", F.pmod("part", F.lit(fan))).groupBy("block", "part").applyInArrow(_sum, PARTIAL)
     twice = once.withColumn("part", F.lit(0)).groupBy("block", "part").applyInArrow(_sum, PARTIAL)
     shape = [len(x) for x in np.array_split(np.empty(rows), blocks)]
     pieces = [np.zeros((n, width), dtype=np.int64) for n in shape]

@@ -5,30 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saltmarsh.llm.common import durable
+from saltmarsh.llm.common import durable, seen, side_of
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(id, component) for every id in links (a, b); component is the smallest id of its component.
+    """(id, component) for every id in links (a, b: of any type with an order), stored; component is the smallest id of its component.
 
-    Contraction: in each round every node moves to the neighbour (or itself) with the smallest hash
-    of that round, links are renamed, and loops and repeats vanish. A star takes two rounds and a
-    chain shrinks by a constant factor a round, whatever the order of its ids.
+    Contraction: in each round every node moves to a neighbour or stays, links are renamed, and loops and
+    repeats vanish. First it is the smallest neighbour, which takes a star around its smallest id in one round;
+    then that with the smallest hash of the round, so that a chain shrinks by a constant factor whatever
+    the order of its ids. The moves are put together at the end.
     """
     spark = links.sparkSession
-    edges = durable(links.select("a", "b").where("a <> b").distinct())
-    ids = edges.select(F.col("a").alias("id")).union(edges.select(F.col("b").alias("id"))).distinct()
-    place = durable(ids.select("id", F.col("id").alias("root")))
-    turn = 0
-    while not edges.isEmpty():
-        rank = lambda c, turn=turn: F.struct(F.xxhash64(F.lit(turn), c).alias("h"), c.alias("v"))
+    edges = durable(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    moves: list[DataFrame] = []
+    while seen(edges):
+        turn = len(moves)
+        rank = lambda c, turn=turn: F.struct((F.xxhash64(F.lit(turn), c) if turn else c).alias("h"), c.alias("v"))
         ways = edges.union(edges.select("b", "a"))
-        moves = durable(ways.groupBy("a").agg(F.least(F.min(rank(F.col("b"))), F.first(rank(F.col("a")))).alias("m")).select("a", F.col("m.v").alias("to")))
-        place = durable(
-            place.join(moves.select(F.col("a").alias("root"), "to"), "root", "left").select("id", F.coalesce("to", "root").alias("root"))
-        )
-        renamed = edges.join(moves.select("a", F.col("to").alias("ta")), "a").select("ta", "b").join(moves.select(F.col("a").alias("b"), F.col("to").alias("tb")), "b")
+        to = F.least(F.min(rank(F.col("b"))), F.first(rank(F.col("a"))))
+        moves.append(durable(ways.groupBy("a").agg(to.alias("m")).select("a", F.col("m.v").alias("to"))))
+        side = side_of(moves[-1])
+        renamed = edges.join(side.select("a", F.col("to").alias("ta")), "a").join(side.select(F.col("a").alias("b"), F.col("to").alias("tb")), "b")
         edges = durable(renamed.select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).where("a <> b").distinct())
-        turn += 1
-    least = durable(place.groupBy("root").agg(F.min("id").alias("component"))) if turn else spark.createDataFrame([], "root long, component long")
-    return place.join(least, "root").select("id", "component")
+    if not moves:
+        return durable(spark.createDataFrame([], edges.select(F.col("a").alias("id"), F.col("a").alias("component")).schema))
+    place = moves[0].select(F.col("a").alias("id"), F.col("to").alias("root"))
+    for later in moves[1:]:
+        place = place.join(side_of(later).withColumnRenamed("a", "root"), "root", "left").select("id", F.coalesce("to", "root").alias("root"))
+    place = durable(place)
+    least = place.groupBy("root").agg(F.min("id").alias("component"))
+    return durable(place.join(least, "root").select("id", "component"))

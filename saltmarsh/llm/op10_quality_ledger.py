@@ -111,20 +111,23 @@ def measure_texts(column: pa.Array) -> dict[str, np.ndarray]:
     return out
 
 
-def measure(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """One row per document: the columns in `keep` and the measurements."""
+def measure(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", text_as: str | None = None) -> DataFrame:
+    """One row per document: the columns in `keep`, the measurements and, if a name is given for it, the text."""
     keep = tuple(c for c in keep if c not in (*MEASURES, "_text"))
     source = docs.select(*[f"`{c}`" for c in keep], F.col(text).alias("_text"))
     schema = source.drop("_text").schema
     for m in MEASURES:
         schema = schema.add(m, "long")
+    if text_as:
+        schema = schema.add(text_as, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "_text"):
                 got = measure_texts(batch.column("_text"))
                 kept = [batch.column(c) for c in keep]
-                yield pa.RecordBatch.from_arrays([*kept, *(pa.array(got[m]) for m in MEASURES)], names=[*keep, *MEASURES])
+                passed = [batch.column("_text")] if text_as else []
+                yield pa.RecordBatch.from_arrays([*kept, *(pa.array(got[m]) for m in MEASURES), *passed], names=schema.names)
 
     return source.mapInArrow(run, schema)
 

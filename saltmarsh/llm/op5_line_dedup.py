@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saltmarsh.llm import setjoin
-from saltmarsh.llm.common import durable, fresh, slices, table
-from saltmarsh.llm.setjoin import AT, PAIR, fitting, side_of
+from saltmarsh.llm.common import durable, fresh, ids_side, seen, side_of, slices, table
+from saltmarsh.llm.setjoin import AT, PAIR, fitting
 
 SPEC = setjoin.Spec(lines=True, words=1)
 
@@ -50,9 +50,9 @@ def _crowded(found: DataFrame, classes: DataFrame, docs: DataFrame, gone: DataFr
     fields = ("at", "k1", "k2", "n", "place", "sig")
     entries = durable(setjoin.crowd_entries(found))
     left = durable(entries.join(side_of(gone).select("k1", "k2"), ["k1", "k2"], "left_anti"))
-    if left.isEmpty():
+    if not seen(left):
         return gone
-    entries = durable(entries.join(setjoin.ids_side(left.select("gram").distinct()), "gram", "left_semi"))
+    entries = durable(entries.join(ids_side(left.select("gram").distinct()), "gram", "left_semi"))
     entries = durable(classes.join(side_of(entries), ["k1", "k2"]))
     left = durable(classes.join(side_of(left), ["k1", "k2"]))
     pivots = durable(entries.groupBy("gram").agg(F.min(F.struct(*fields)).alias("e"), F.min(F.struct("place", *(f for f in fields if f != "place"))).alias("c")))
@@ -74,8 +74,9 @@ def later_lines(docs: DataFrame) -> DataFrame:
     # Of two that can't be told apart in time, (k1, k2) may be the earlier one. So only the class that is gone counts.
     rest = found.where("kind in ('pair', 'more')").select(*PAIR).join(side_of(gone).select("k1", "k2"), ["k1", "k2"], "left_anti")
     more = durable(rest.join(side_of(tried), PAIR, "left_anti").distinct())
-    gone = durable(gone.union(_later(more, classes, docs)))
-    if not found.where("kind = 'crowd'").isEmpty():
+    if seen(more):
+        gone = durable(gone.union(_later(more, classes, docs)))
+    if seen(found, "crowd"):
         gone = _crowded(found, classes, docs, gone)
     return found.where("kind = 'same'").select(*AT).union(gone.select(*AT))
 

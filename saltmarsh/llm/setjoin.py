@@ -25,17 +25,18 @@ Nothing is dropped.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from saltmarsh.llm import blocks
 from saltmarsh.llm import textarrays as ta
-from saltmarsh.llm.common import durable, slices
+from saltmarsh.llm.common import durable, few, seen, slices
 
 BUCKETS, BLOCKS = 1 << 20, 64
 #: Occurrences, beyond twice the mean of all buckets, from which a prefix token is joined with the next ones to make keys,
@@ -47,15 +48,17 @@ LONG = 48
 CROWD, PAIRS = 4096, 16
 #: Entries (34 bytes) a task holds before passing them on; those aimed at per joining task; those a slot holds before it is thinned.
 HELD, PER_TASK, THIN = 1_000_000, 1_000_000, 2_000_000
+#: Slots that a task packs rows for; where there are more, rows are dealt in two steps.
+MOST_SLOTS = 4096
 #: Pairs looked at together.
 AT_ONCE = 1_000_000
-#: Rows of a list of ids, and bytes of it in memory, up to which it is broadcast; beyond, a shuffled join is used.
-BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32_000_000
 AT, PAIR = ["doc_id", "doc_key", "line"], ["k1", "k2", "j1", "j2"]
 ENTRIES, SALTED, FIRST, SAME = range(4)
 U = np.uint64
 _ENTRY = (("gram", "<u4"), ("k1", "<u8"), ("k2", "<u4"), ("sig", "<u8"), ("n", "<u2"), ("place", "<u2"), ("early", "<u4"), ("line", "<u2"))
 _MEMBER = (("k1", "<u8"), ("k2", "<u4"), ("n", "<u4"), ("doc_id", "<i8"), ("doc_key", "<i8"), ("line", "<i4"))
+_FORM = {ENTRIES: _ENTRY, SALTED: _ENTRY, FIRST: _MEMBER, SAME: _MEMBER}
+_WAY = (("slot", "<i4"), ("base", "<i4"))
 Columns = dict[str, np.ndarray]
 
 
@@ -168,8 +171,8 @@ def sets_of(column: pa.Array, spec: Spec, rare: np.ndarray) -> Sets:
     return Sets(row, line, n, k1, k2, owner, token, np.arange(len(owner)) - first[owner], suffix)
 
 
-def token_counts(docs: DataFrame, spec: Spec) -> np.ndarray:
-    """How often the tokens of each bucket of hashes stand in all texts."""
+def token_counts(docs: DataFrame, spec: Spec) -> tuple[np.ndarray, int, int]:
+    """How often the tokens of each bucket of hashes stand in all texts; the least and the largest doc_id (0 without rows)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, dtype=np.int64)
@@ -179,7 +182,10 @@ def token_counts(docs: DataFrame, spec: Spec) -> np.ndarray:
                 counts += np.bincount(bucket(token), minlength=BUCKETS)
         yield from blocks.emit(counts[:, None], BLOCKS)
 
-    return blocks.gather(docs.select(F.col("text").alias("_text")).mapInArrow(run, blocks.PARTIAL), BUCKETS, 1, BLOCKS)[:, 0]
+    watch = Observation()
+    watched = docs.observe(watch, F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    counts = blocks.gather(watched.select(F.col("text").alias("_text")).mapInArrow(run, blocks.PARTIAL), BUCKETS, 1, BLOCKS)[:, 0]
+    return counts, watch.get["least"] or 0, watch.get["most"] or 0
 
 
 def keys_of(sets: Sets, spec: Spec, counts: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -252,8 +258,11 @@ def firsts(members: Columns, spec: Spec) -> tuple[Columns, Columns]:
     return _take(members, new), _take(members, rest)
 
 
-def _rows(kind: int, slot: np.ndarray, base: np.ndarray, columns: Columns, form: tuple[tuple[str, str], ...]) -> Iterator[pa.RecordBatch]:
-    """One row of packed columns per run of equal slot and base."""
+def _rows(kind: int, slot: np.ndarray, base: np.ndarray, columns: Columns, form: tuple[tuple[str, str], ...], run: int = 0) -> Iterator[pa.RecordBatch]:
+    """One row of packed columns per run of equal slot and base, or per `run` slots, whose slot and base are packed too."""
+    if run:
+        columns, form = columns | {"slot": slot, "base": base}, (*form, *_WAY)
+        slot = base = slot // run
     cut = np.flatnonzero(np.r_[True, (slot[1:] != slot[:-1]) | (base[1:] != base[:-1])]) if len(slot) else np.zeros(0, dtype=np.int64)
     ends = np.append(cut[1:], len(slot))
     for k in range(0, len(cut), 64):
@@ -262,33 +271,37 @@ def _rows(kind: int, slot: np.ndarray, base: np.ndarray, columns: Columns, form:
         yield pa.RecordBatch.from_arrays([pa.array(slot[at].astype(np.int32)), pa.array(np.full(len(at), kind, dtype=np.int8)), pa.array(base[at].astype(np.int32)), pa.array(made, pa.binary())], names=["slot", "kind", "base", "data"])
 
 
-def _send(entries: Columns, members: Columns, spec: Spec, spread: np.ndarray, slots: int) -> Iterator[pa.RecordBatch]:
+def slot_and_gram(key: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two parts in which a key of 64 bits travels: the slot comes from its upper half, what tells keys of a slot apart is the lower one."""
+    return (ta.mix(key >> U(32), 9) % U(slots)).astype(np.int64), key & U(0xFFFFFFFF)
+
+
+def _send(entries: Columns, members: Columns, spec: Spec, spread: np.ndarray, slots: int, run: int) -> Iterator[pa.RecordBatch]:
     """What a task has gathered, dealt to slots: entries by key, first members by class, others anywhere."""
-    gram = entries.pop("key")
-    entries["gram"] = gram & U(0xFFFFFFFF)
-    base = (ta.mix(gram, 9) % U(slots)).astype(np.int64)
+    key = entries.pop("key")
+    base, entries["gram"] = slot_and_gram(key, slots)
     # Equal sets of this task count once.
-    order = np.argsort(base.astype(U) << U(32) | ta.mix(gram ^ entries["k1"], 5) >> U(32))
+    order = np.argsort(base.astype(U) << U(32) | ta.mix(key ^ entries["k1"], 5) >> U(32))
     if len(order):
-        alike = [x[order] for x in (gram, entries["k1"], entries["k2"], entries["place"])]
+        alike = [x[order] for x in (key, entries["k1"], entries["k2"], entries["place"])]
         order = order[np.r_[True, np.logical_or.reduce([x[1:] != x[:-1] for x in alike])]]
     base, entries = base[order], _take(entries, order)
     ways = np.where(entries["bucket"] >= 0, spread[entries["bucket"]], 1).astype(U)
     plain = np.flatnonzero(ways == U(1))
-    yield from _rows(ENTRIES, base[plain], base[plain], _take(entries, plain), _ENTRY)
+    yield from _rows(ENTRIES, base[plain], base[plain], _take(entries, plain), _ENTRY, run)
     if len(plain) < len(order):
         salted = np.flatnonzero(ways > U(1))
         slot = (base[salted] + (ta.mix(entries["k1"][salted], 9) % ways[salted]).astype(np.int64)) % slots
         by_slot = np.lexsort((base[salted], slot))
         salted, slot = salted[by_slot], slot[by_slot]
-        yield from _rows(SALTED, slot, base[salted], _take(entries, salted), _ENTRY)
+        yield from _rows(SALTED, slot, base[salted], _take(entries, salted), _ENTRY, run)
     first, rest = firsts(members, spec)
     slot = (first["k1"] % U(slots)).astype(np.int64)
     order = np.argsort(slot, kind="stable")
-    yield from _rows(FIRST, slot[order], slot[order], _take(first, order), _MEMBER)
+    yield from _rows(FIRST, slot[order], slot[order], _take(first, order), _MEMBER, run)
     if len(rest["k1"]):
         anywhere = np.full(len(rest["k1"]), int(rest["k1"][0] % U(slots)))
-        yield from _rows(SAME, anywhere, anywhere, rest, _MEMBER)
+        yield from _rows(SAME, anywhere, anywhere, rest, _MEMBER, run)
 
 
 def close_pairs(e: Columns, spec: Spec) -> tuple[Columns, Columns, np.ndarray]:
@@ -438,7 +451,7 @@ def crowd(base: int, e: Columns) -> Iterator[pa.RecordBatch]:
     return _found("crowd", {**e, "gram": np.int64(base) << np.int64(32) | e["gram"].astype(np.int64)})
 
 
-def join_sets(docs: DataFrame, spec: Spec) -> DataFrame:
+def join_sets(docs: DataFrame, spec: Spec, most_slots: int = MOST_SLOTS) -> DataFrame:
     """Rows of FOUND, stored, from docs (doc_id, text; no null doc_id).
 
     `pair`: classes that may be similar (k1, k2 and j1, j2). `more`: others, of which (k1, k2) is the later one for certain.
@@ -446,11 +459,12 @@ def join_sets(docs: DataFrame, spec: Spec) -> DataFrame:
     stands for each class. `same`: all other members, and whole texts without a word, of size 0.
     """
     spark = docs.sparkSession
-    counts = token_counts(docs, spec)
-    least, most = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    coarse = max(0, ((most or 0) - (least or 0)).bit_length() - 32)
+    counts, least, most = token_counts(docs, spec)
+    coarse = max(0, (most - least).bit_length() - 32)
     partitions = int(max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(counts.sum()) / 4 / PER_TASK + 1))
     slots = partitions * 4
+    # A task's rows go to so many slots at most; beyond, to runs of slots, whose tasks deal them on.
+    runs = 0 if slots <= most_slots else math.ceil(slots / most_slots)
     tables = spark.sparkContext.broadcast((rarity(counts), salts(counts), counts, excess(counts) > FREQUENT))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("_text"), text_key().alias("doc_key"))
 
@@ -465,7 +479,7 @@ def join_sets(docs: DataFrame, spec: Spec) -> DataFrame:
                     wordless = np.setdiff1d(np.arange(batch.num_rows), sets.row)
                     none = {c: np.zeros(len(wordless), dtype=U) for c in ("k1", "k2", "n", "line")} | {c: batch.column(c).to_numpy()[wordless] for c in ("doc_id", "doc_key")}
                     anywhere = np.full(len(wordless), int(none["doc_key"][0]) % slots)
-                    yield from _rows(SAME, anywhere, anywhere, none, _MEMBER)
+                    yield from _rows(SAME, anywhere, anywhere, none, _MEMBER, runs)
                 if not len(sets.row):
                     continue
                 key, own, place, token, where = keys_of(sets, spec, counts, often)
@@ -477,17 +491,17 @@ def join_sets(docs: DataFrame, spec: Spec) -> DataFrame:
                 held.append((entries, {"k1": sets.k1, "k2": sets.k2, "n": sets.n, "doc_id": ids, "doc_key": keys, "line": sets.line}))
                 size += len(key) + len(sets.row)
                 if size >= HELD:
-                    yield from _send(_join([h[0] for h in held]), _join([h[1] for h in held]), spec, spread, slots)
+                    yield from _send(_join([h[0] for h in held]), _join([h[1] for h in held]), spec, spread, slots, runs)
                     held, size = [], 0
         if held:
-            yield from _send(_join([h[0] for h in held]), _join([h[1] for h in held]), spec, spread, slots)
+            yield from _send(_join([h[0] for h in held]), _join([h[1] for h in held]), spec, spread, slots, runs)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at: dict[int, Slot] = {}
         first: list[Columns] = []
         for batch in batches:
             for slot, kind, base, data in zip(*(batch.column(c).to_pylist() for c in ("slot", "kind", "base")), batch.column("data"), strict=True):
-                got = _unblob(data.as_buffer(), _ENTRY if kind in (ENTRIES, SALTED) else _MEMBER)
+                got = _unblob(data.as_buffer(), _FORM[kind])
                 if kind == ENTRIES:
                     yield from at.setdefault(slot, Slot(slot)).add(got)
                 elif kind == SALTED:
@@ -503,8 +517,34 @@ def join_sets(docs: DataFrame, spec: Spec) -> DataFrame:
             yield from _found("first", kept)
             yield from _found("same", rest)
 
-    packed = source.mapInArrow(send, "slot int, kind tinyint, base int, data binary")
-    return durable(packed.repartition(partitions, "slot").mapInArrow(meet, FOUND))
+    def regroup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Runs of slots, dealt on to their slots."""
+        held: dict[int, list[tuple[Columns, np.ndarray, np.ndarray]]] = {}
+        size = 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for kind, parts in held.items():
+                slot, base = (np.concatenate([p[k] for p in parts]) for k in (1, 2))
+                order = np.lexsort((base, slot))
+                yield from _rows(kind, slot[order], base[order], _take(_join([p[0] for p in parts]), order), _FORM[kind])
+
+        for batch in batches:
+            for kind, data in zip(batch.column("kind").to_pylist(), batch.column("data"), strict=True):
+                got = _unblob(data.as_buffer(), (*_FORM[kind], *_WAY))
+                slot, base = (got.pop(c).astype(np.int64) for c in ("slot", "base"))
+                held.setdefault(kind, []).append((got, slot, base))
+                size += len(slot)
+                if size >= HELD:
+                    yield from out()
+                    held, size = {}, 0
+        yield from out()
+
+    form = "slot int, kind tinyint, base int, data binary"
+    packed = source.mapInArrow(send, form)
+    if runs:
+        # Any number of tasks may share a run: each gathers what many tasks have of it.
+        packed = packed.repartition(partitions, "slot", F.pmod(F.spark_partition_id(), F.lit(math.ceil(partitions / most_slots)))).mapInArrow(regroup, form)
+    return durable(packed.repartition(partitions, "slot").mapInArrow(meet, FOUND), crowd=F.count_if(F.col("kind") == "crowd"))
 
 
 def classes_of(found: DataFrame) -> DataFrame:
@@ -533,6 +573,9 @@ def crowd_entries(found: DataFrame) -> DataFrame:
     return found.where("kind = 'crowd'").select("gram", "k1", "k2", "n", "place", "sig").distinct()
 
 
+CHECKED = "k1 long, k2 long, at struct<doc_id:long,doc_key:long,line:int>, j1 long, j2 long, other struct<doc_id:long,doc_key:long,line:int>"
+
+
 def checked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, spec: Spec) -> DataFrame:
     """(k1, k2, at, j1, j2, other): those of distinct, stored pairs (k1, k2, j1, j2) that are similar enough.
 
@@ -540,15 +583,17 @@ def checked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, spec: Spec) -
     """
     side = lambda a, b, at: classes.select(F.col("k1").alias(a), F.col("k2").alias(b), F.col("at").alias(at))
     # Few pairs go to the classes; only many make the classes move.
+    if not seen(pairs):
+        return docs.sparkSession.createDataFrame([], CHECKED)
     light = F.broadcast if few(pairs) else lambda df: df
     half = side("k1", "k2", "at").join(light(pairs), ["k1", "k2"])
     both = durable(side("j1", "j2", "other").join(light(half), ["j1", "j2"]).select("k1", "k2", "at", "j1", "j2", "other"))
-    if both.isEmpty():
+    if not seen(both):
         return both
     nobody = [F.lit(None).cast("long").alias(c) for c in ("k1", "k2")]
     asked = both.select("at.*", "k1", "k2", "j1", "j2").union(both.select("other.*", *nobody, "j1", "j2").distinct())
     of_doc = asked.groupBy("doc_id", "doc_key").agg(F.collect_list(F.struct("line", *PAIR)).alias("_want"))
-    if few(both):
+    if few(both, times=2):  # both members of a pair ask
         of_doc = F.broadcast(of_doc)
     keyed = docs.select("doc_id", F.col("text").alias("_text"), text_key().alias("doc_key")).join(of_doc, ["doc_id", "doc_key"]).select("doc_id", "doc_key", "_text", "_want")
 
@@ -594,21 +639,6 @@ def overlaps(a: pa.Array, b: pa.Array, words: int) -> tuple[np.ndarray, np.ndarr
     return (*(np.bincount(s[0], minlength=rows) for s in sides), np.bincount(owner[1:][twice], minlength=rows))
 
 
-def few(rows: DataFrame) -> bool:
-    """Whether stored rows of fixed width are few enough, by number and by bytes in memory, to be broadcast."""
-    return rows.count() <= min(BROADCAST_ROWS, BROADCAST_BYTES // (24 + 8 * len(rows.columns)))
-
-
-def side_of(stored: DataFrame) -> DataFrame:
-    """A stored table of fixed width as a join's smaller side: broadcast if few enough, else joined by a shuffle."""
-    return F.broadcast(stored) if few(stored) else stored
-
-
-def ids_side(ids: DataFrame) -> DataFrame:
-    """A list of ids of fixed width, stored, and broadcast if few enough; else it is joined by a shuffle."""
-    return side_of(durable(ids))
-
-
 def similar_texts(pairs: DataFrame, spec: Spec) -> DataFrame:
     """The rows of pairs whose texts `_a` and `_b` are similar enough, without these two."""
     kept = [c for c in pairs.columns if c not in ("_a", "_b")]
