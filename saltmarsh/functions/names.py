@@ -56,13 +56,36 @@ def sanitize(df: DataFrame) -> DataFrame:
     return df.select(*[_clean_keys(c, f.dataType).alias(f.name) for c, f in columns])
 
 
-def sanitize_json(c: Column) -> Column:
-    """JSON text with the keys of all its objects cleaned, whatever their depth; values stay. NULL stays NULL.
+# A JSON string, without going back: a value of any length takes no stack.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 
-    A key is a string that a colon follows. Strings are matched whole, so nothing inside one is taken for a key.
+
+def _clean_keys_of(c: Column) -> Column:
+    """JSON text with its keys cleaned. A key is a string that a colon follows; strings are matched whole, so nothing inside one is taken for a key."""
+    parts = F.regexp_extract_all(c, F.lit(rf'(?s)({_STRING}\s*+:|{_STRING}|[^"]++)'), F.lit(1))
+    quoted = lambda x: F.regexp_replace(x, r"\s*+:$", "")
+    # What is escaped in a key counts as what it stands for.
+    plain = lambda x: F.when(x.contains("\\"), F.get_json_object(F.concat(F.lit("["), quoted(x), F.lit("]")), "$[0]")).otherwise(F.regexp_replace(quoted(x), '^"|"$', ""))
+    key = lambda x: F.concat(F.lit('"'), F.regexp_replace(plain(x), OTHERS, "_"), F.lit('":'))
+    return F.array_join(F.transform(parts, lambda x: F.when(x.endswith(":") & x.startswith('"'), key(x)).otherwise(x)), "")
+
+
+def _whole_json(c: Column) -> Column:
+    """Whether the parser takes the text; single quotes, which it would also take for strings, aren't JSON."""
+    return F.get_json_object(c, "$").isNotNull() & ~F.regexp_replace(c, _STRING, "").contains("'")
+
+
+def sanitize_variant(c: Column) -> Column:
+    """JSON text as VARIANT with the keys of all its objects cleaned. Raises if two keys of an object become one, or for text that isn't JSON."""
+    return F.parse_json(_clean_keys_of(c))
+
+
+def sanitize_json(c: Column, strict: bool = False) -> Column:
+    """JSON text with the keys of all its objects cleaned, whatever their depth (up to 1,000); values stay as they are written.
+
+    NULL stays NULL. Text that isn't JSON (a string that doesn't end, a bracket too few) is NULL, or raises where strict.
+    Two keys of an object that are equal, or become so, raise. What stands behind the end of the value isn't looked at.
     """
-    string = r'"(?:[^"\\]|\\.)*"'
-    parts = F.regexp_extract_all(c, F.lit(rf"({string}\s*:|{string}|[^\"]+)"), F.lit(1))
-    key = rf"^{string}\s*:$"
-    name = lambda x: F.regexp_extract(x, r'(?s)^"(.*)"\s*:$', 1)
-    return F.array_join(F.transform(parts, lambda x: F.when(x.rlike(key), F.concat(F.lit('"'), F.regexp_replace(name(x), OTHERS, "_"), F.lit('":'))).otherwise(x)), "")
+    cleaned = _clean_keys_of(c)
+    broken = F.raise_error(F.concat(F.lit("not JSON: "), F.substring(c, 1, 100))).cast("string") if strict else F.lit(None).cast("string")
+    return F.when(~_whole_json(c), broken).when(F.parse_json(cleaned).isNotNull(), cleaned)

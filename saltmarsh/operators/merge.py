@@ -86,7 +86,7 @@ def delete_since(target: DataFrame, column: str, since: Column) -> DataFrame:
 
 def high_watermark(target: DataFrame, column: str) -> DataFrame:
     """The largest timestamp of a column; NULL for an empty table."""
-    return target.agg(F.max(F.col(column).cast("timestamp")).alias("high_watermark"))
+    return target.agg(latest(column).alias("high_watermark"))
 
 
 WATERMARKS = "source_system string, schema_name string, table_name string, high_watermark timestamp"
@@ -96,23 +96,38 @@ def watermark_row(spark: SparkSession, key: dict[str, str], latest: datetime.dat
     return spark.createDataFrame([(*key.values(), latest)], WATERMARKS)
 
 
-def get_watermark(marks: VersionedTable, key: dict[str, str], target: DataFrame, column: str) -> datetime.datetime | None:
-    """The stored watermark of a key; where none is stored it is computed from the target, and stored."""
-    rows = marks.read()
+def _of_key(key: dict[str, str]) -> Column:
+    own = F.lit(True)
     for k, v in key.items():
-        rows = rows.where(F.col(k) == v)
-    found = rows.first()
+        own = own & F.col(k).eqNullSafe(F.lit(v))
+    return own
+
+
+def get_watermark(marks: VersionedTable, key: dict[str, str], target: DataFrame, column: str) -> datetime.datetime | None:
+    """The stored watermark of a key; where none is stored it is computed from the target, and stored.
+
+    None for an empty target: the next load takes all rows. A stored NULL is none.
+    """
+    found = marks.read().where(_of_key(key)).where("high_watermark is not null").first()
     return found.high_watermark if found else set_watermark(marks, key, target, column)
 
 
 def set_watermark(marks: VersionedTable, key: dict[str, str], target: DataFrame, column: str) -> datetime.datetime | None:
     """Stores and returns the target's largest value."""
-    latest = high_watermark(target, column).first().high_watermark
-    own = F.lit(True)
-    for k, v in key.items():
-        own = own & F.col(k).eqNullSafe(F.lit(v))
-    marks.replace(delete_where(marks.read(), own).unionByName(watermark_row(target.sparkSession, key, latest)))
-    return latest
+    return store_watermark(marks, key, high_watermark(target, column).first().high_watermark)
+
+
+def latest(column: str) -> Column:
+    """The aggregate a watermark is, to be observed while a table is written."""
+    return F.max(F.col(column).cast("timestamp"))
+
+
+def store_watermark(marks: VersionedTable, key: dict[str, str], stamp: datetime.datetime | None) -> datetime.datetime | None:
+    """Stores and returns a watermark. None isn't stored, and leaves what is."""
+    if stamp is not None:
+        before = marks.read()
+        marks.replace(delete_where(before, _of_key(key)).unionByName(watermark_row(before.sparkSession, key, stamp)))
+    return stamp
 
 
 def set_checkpoint(checkpoints: DataFrame, key: dict[str, str], stamp: Column) -> DataFrame:

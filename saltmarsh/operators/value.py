@@ -41,10 +41,13 @@ def plan_stage(plan: DataFrame, affiliate: int | None = None, from_month: int =
 
 def early_active(orders: DataFrame, first_from: int, first_to: int, min_orders: int = 8, days: int = 90) -> DataFrame:
     """Accounts whose first month lies in the range and that ordered often enough soon after the first day."""
+    # An order counts from its first day on. Days of an account are few, however many orders it has.
+    each = orders.groupBy(ACCOUNT, "ord_id").agg(F.min("ord_dt").alias("day"), F.min(MONTH).alias("month"))
+    by_day = each.groupBy(ACCOUNT, "day").agg(F.count(F.lit(1)).alias("n"), F.min("month").alias("month"))
     w = Window.partitionBy(ACCOUNT)
-    rows = orders.withColumn("first_month", F.min(MONTH).over(w)).withColumn("first", F.min("ord_dt").over(w))
-    soon = rows.where(F.col("first_month").between(first_from, first_to) & (F.col("ord_dt") <= F.date_add("first", days)))
-    return soon.groupBy(ACCOUNT).agg(F.countDistinct("ord_id").alias("n")).where(F.col("n") >= min_orders).select(ACCOUNT)
+    rows = by_day.withColumn("first_month", F.min("month").over(w)).withColumn("first", F.min("day").over(w))
+    soon = rows.where(F.col("first_month").between(first_from, first_to) & (F.col("day") <= F.date_add("first", days)))
+    return soon.groupBy(ACCOUNT).agg(F.sum("n").alias("n")).where(F.col("n") >= min_orders).select(ACCOUNT)
 
 
 def daily(orders: DataFrame) -> DataFrame:
@@ -91,6 +94,12 @@ def metrics_joined(scaled: DataFrame, plan: DataFrame) -> DataFrame:
     return scaled.join(p, [ACCOUNT, MONTH])
 
 
+def spend_of(orders: DataFrame, members: DataFrame, first: int, last: int) -> DataFrame:
+    """Orders and spend per account that is a member, in the months from first to last."""
+    rows = orders.where(F.col(MONTH).between(first, last)).join(members, ACCOUNT, "left_semi")
+    return rows.groupBy(ACCOUNT).agg(F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("adj_paid").cast("double"), 6).alias("adj_paid"))
+
+
 def cohort(joined: DataFrame, until: int | None = None, at: int | None = None) -> DataFrame:
     """Accounts with a month up to `until`, or exactly `at`."""
     return joined.where(F.col(MONTH) <= until if until is not None else F.col(MONTH) == at).select(ACCOUNT).distinct()

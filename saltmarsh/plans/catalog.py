@@ -29,7 +29,7 @@ from saltmarsh.operators import (
 from saltmarsh.plans import dims
 from saltmarsh.plans.shared import scratch
 from saltmarsh.plans.standins import view, with_views
-from saltmarsh.sources import tables, zipped
+from saltmarsh.sources import layout, schemas, tables, zipped
 from saltmarsh.streaming import clicks as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -309,6 +309,21 @@ def metrics_opt(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(value.metrics_opt(joined, value.cohort(joined, until=TRAIN_UNTIL), value.cohort(joined, at=PREDICT_AT), _early(_stage(spark, d))))
 
 
+LAID_OUT_FROM, LAID_OUT_TO, BUCKETS = 199701, 199806, 4
+
+
+@register("laid_out_spend", _chain_sql("award_class")[: -len(" SELECT * FROM award_class")] + f"""
+SELECT global_vol_account_id, count(*) AS n_orders, round(CAST(sum(adj_paid) AS DOUBLE), 6) AS adj_paid FROM order_stage
+WHERE ord_mo_yr_id BETWEEN {LAID_OUT_FROM} AND {LAID_OUT_TO} AND global_vol_account_id IN (SELECT global_account_id FROM award_class WHERE legs_with_volume > 0) GROUP BY 1""")
+def laid_out_spend(spark: SparkSession, d: str) -> DataFrame:
+    """Orders and spend of accounts with active legs in some months, from tables partitioned by month and bucketed by account."""
+    path = scratch(spark)
+    stage = layout.lay_out(_stage(spark, d), f"{path}/orders", "global_vol_account_id", BUCKETS, "ord_mo_yr_id")
+    plan = value.plan_stage(view(spark, d, "plan_info")).withColumnRenamed("global_account_id", "global_vol_account_id")
+    legs = layout.lay_out(plan, f"{path}/plan", "global_vol_account_id", BUCKETS)
+    return value.spend_of(spark.table(stage), spark.table(legs).where("legs_with_volume > 0"), LAID_OUT_FROM, LAID_OUT_TO)
+
+
 # Reconciliation
 
 _PERIOD_VOLUMES = f"""
@@ -364,6 +379,14 @@ SELECT * FROM (SELECT count(*) FILTER (last_order < DATE '{month}') = 0 AS all_l
 
 register("gate_demand_complete", _gate_sql("2001-07-01"))(lambda spark, d: gates.demand_complete(view(spark, d, "demand"), GATE_AFFILIATES, 200107, "2001-07-01"))
 register("gate_demand_incomplete", _gate_sql("2001-08-01"))(lambda spark, d: gates.demand_complete(view(spark, d, "demand"), GATE_AFFILIATES, 200107, "2001-08-01"))
+@register("gate_demand_observed", _gate_sql("2001-07-01"))
+def gate_demand_observed(spark: SparkSession, d: str) -> DataFrame:
+    """The same gate, from what was observed while demand was written: no row is read for it."""
+    seen = tables.write_observed(view(spark, d, "demand"), scratch(spark), **gates.last_orders(GATE_AFFILIATES, 200107))
+    passes = gates.demand_complete_of(seen, GATE_AFFILIATES, "2001-07-01")
+    return spark.sql("SELECT TRUE AS all_last_orders_today_or_later").where(F.lit(passes))
+
+
 register("gate_country_count", f"SELECT countries FROM (SELECT count(DISTINCT cntry_key_no) AS countries FROM ({_REVENUE}) WHERE mo_yr_key_no = '200105') WHERE countries >= 10")(
     lambda spark, d: gates.enough_countries(revenue_restated(spark, d), "200105", 10)
 )
@@ -498,13 +521,13 @@ def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 @register("publish_partition", f"SELECT {_SOURCE}, day(o_orderdate) AS day FROM orders")
 def publish_partition(spark: SparkSession, d: str) -> DataFrame:
-    """All orders, in a partition for each day of the month, published one by one."""
+    """All orders, in a partition for each day of the month, published in one job; then one partition again, by itself."""
     path = scratch(spark)
     rows = _as_date(_source(spark, d)).withColumn("day", F.dayofmonth("o_orderdate"))
     rows.write.partitionBy("day").parquet(f"{path}/incoming")
     rows.select("o_orderstatus", "day").write.partitionBy("day").mode("append").text(f"{path}/incoming")  # other files stay behind
-    for r in rows.select("day").distinct().collect():  # 31 at most
-        tables.publish_partition(spark, f"{path}/incoming", f"{path}/final", "parquet", f"day={'__HIVE_DEFAULT_PARTITION__' if r.day is None else r.day}")
+    tables.publish_partitions(spark, f"{path}/incoming", f"{path}/final", "parquet", "day", rows.schema)
+    tables.publish_partition(spark, f"{path}/incoming", f"{path}/final", ("avro", "parquet", "csv"), "day=5", rows.drop("day").schema)
     return spark.read.schema(rows.schema).parquet(f"{path}/final")
 
 
@@ -517,11 +540,6 @@ def replace_table(spark: SparkSession, d: str) -> DataFrame:
     return t.read()
 
 
-# All three take all of orders; these are their former names.
-for _name in ("write_day_partition", "publish_partition", "replace_table"):
-    QUERIES[f"{_name}_all"], ORACLES[f"{_name}_all"] = QUERIES[_name], ORACLES[_name]
-
-
 @register("conform_schema", "SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders")
 def conform_schema(spark: SparkSession, d: str) -> DataFrame:
     stored = T.StructType.fromDDL("o_orderkey long, o_custkey string, o_orderstatus string, o_totalprice double, o_orderdate date")
@@ -549,11 +567,57 @@ def ingest_roundtrip(spark: SparkSession, d: str) -> DataFrame:
         tables.write_day_partition(new, f"{path}/incoming", f"2024-01-0{day}")
         tables.publish_partition(spark, f"{path}/incoming", f"{path}/final", "parquet", f"year=2024/month=01/day=0{day}")
         loaded = spark.read.schema(sent.schema).parquet(f"{path}/final/year=2024/month=01/day=0{day}")
-        t.replace(merge.merge_newer(t.read(), loaded, _KEYS, "o_orderdate"))
-        merge.set_watermark(marks, key, t.read(), "o_orderdate")
+        seen = t.replace(merge.merge_newer(t.read(), loaded, _KEYS, "o_orderdate"), latest=merge.latest("o_orderdate"))
+        merge.store_watermark(marks, key, seen["latest"])
+    return t.read()
+
+
+@register("ingest_first_load", _merge_sql("i.o_orderdate > t.o_orderdate").replace("{incoming} i", "(SELECT * FROM {incoming} WHERE o_orderdate > (SELECT max(o_orderdate) FROM {target})) i"))
+def ingest_first_load(spark: SparkSession, d: str) -> DataFrame:
+    """Append loads into a table that is empty at first, with no watermark and no schema stored: the first takes all, the second what is later."""
+    path, key = scratch(spark), {"source_system": "shop", "schema_name": "sales", "table_name": "orders"}
+    t, marks, store = tables.VersionedTable(spark, f"{path}/table"), tables.VersionedTable(spark, f"{path}/watermarks"), schemas.SchemaStore(spark, f"{path}/schemas").create()
+    marks.replace(spark.createDataFrame([], merge.WATERMARKS))
+    for n, name in enumerate(("target", "incoming")):
+        sent = _other_case(view(spark, d, name)).withColumn("O_TOTALPRICE", F.col("O_TOTALPRICE").cast("decimal(14,2)")).withColumn("O_CUSTKEY", F.col("O_CUSTKEY").cast("long"))
+        loaded = store.enforce(key, sent if n == 0 else _other_case(view(spark, d, name)))
+        if n == 0:
+            t.replace(spark.createDataFrame([], loaded.schema))
+        after = merge.get_watermark(marks, key, t.read(), "o_orderdate")
+        new = tables.extract(loaded, "append", "o_orderdate", after and F.lit(after))
+        seen = t.replace(merge.merge_newer(t.read(), new, _KEYS, "o_orderdate"), latest=merge.latest("o_orderdate"))
+        merge.store_watermark(marks, key, seen["latest"])
     return t.read()
 
 
+# The second load sends the customer as text, some of it no number, a note that is new, and no status.
+_SECOND = "SELECT o_orderkey AS O_ORDERKEY, CASE WHEN o_orderkey % 4 = 0 THEN concat('C', CAST(o_custkey AS VARCHAR(20))) ELSE CAST(o_custkey AS VARCHAR(20)) END AS O_CUSTKEY, o_totalprice AS O_TOTALPRICE, CAST(o_orderdate AS TIMESTAMP) AS O_ORDERDATE, 'late' AS NOTE FROM {incoming}"
+_ORDERS_KEY = {"source_system": "shop", "schema_name": "sales", "table_name": "orders"}
+
+
+def _loads(spark: SparkSession, d: str) -> tuple[schemas.SchemaStore, DataFrame, DataFrame]:
+    store = schemas.SchemaStore(spark, scratch(spark)).create()
+    first = view(spark, d, "target").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus")
+    second = spark.sql(_SECOND, incoming=view(spark, d, "incoming"))
+    return store, store.enforce(_ORDERS_KEY, first), second
+
+
+@register("schema_store_loads", f"""SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderstatus FROM {{target}}
+UNION ALL SELECT O_ORDERKEY, TRY_CAST(O_CUSTKEY AS BIGINT), O_TOTALPRICE, CAST(O_ORDERDATE AS DATE), NULL FROM ({_SECOND})""")
+def schema_store_loads(spark: SparkSession, d: str) -> DataFrame:
+    """Two loads of one source, the second in other types: both in the schema that the first one stored."""
+    store, first, second = _loads(spark, d)
+    return first.unionByName(store.enforce(_ORDERS_KEY, second))
+
+
+@register("schema_drift", f"""SELECT * FROM (VALUES ('o_orderstatus', 'lost', 'string', NULL), ('o_custkey', 'retyped', 'bigint', 'string'), ('o_orderdate', 'retyped', 'date', 'timestamp'), ('note', 'new', NULL, 'string')) v(column_name, change, stored_type, sent_type),
+  (SELECT count(*) AS n_rows, count(*) FILTER (TRY_CAST(O_CUSTKEY AS BIGINT) IS NULL AND O_CUSTKEY IS NOT NULL) AS bad FROM ({_SECOND}))""".replace("SELECT * FROM (VALUES", "SELECT column_name, change, stored_type, sent_type, n_rows, CASE WHEN column_name = 'o_custkey' THEN bad ELSE 0 END AS n_unfit FROM (VALUES"))
+def schema_drift(spark: SparkSession, d: str) -> DataFrame:
+    """What the second load changed against the stored schema, and how many of its values don't fit."""
+    store, _, second = _loads(spark, d)
+    return schemas.drift(store.get(_ORDERS_KEY), second)
+
+
 @register("zipped_csv", "SELECT c_custkey, c_mktsegment || chr(10) || 'segment' AS c_mktsegment, c_nationkey FROM customer")
 def zipped_csv(spark: SparkSession, d: str) -> DataFrame:
     """One archive per nation and slice of customers, each with a header-only member besides."""
@@ -620,6 +684,22 @@ def sanitize_names(spark: SparkSession, d: str) -> DataFrame:
     return clean.select("cust_key", F.col("in_fo.na_me").alias("in_fo__na_me"), F.col("in_fo.t_gs")[0]["seg_ment"].alias("tags_0"))
 
 
+@register(
+    "sanitize_json",
+    r"""SELECT o_orderkey, concat('{"order_key": ', o_orderkey, ', "cust_info":{"cust_key":', o_custkey, ', "st_tus":["', o_orderstatus, '", {"to_tal":"a-b: \"q r\":"}]}, "ok":null}') AS doc,
+  'pri_ority' AS map_key, o_orderpriority AS inner_value, CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE concat('{"a_b":', o_custkey, '}') END AS whole FROM orders""",
+)
+def sanitize_json(spark: SparkSession, d: str) -> DataFrame:
+    """JSON text and maps, nested, of every order; every other text lacks its last bracket."""
+    rows = view(spark, d, "orders")
+    text = F.concat(F.lit('{"order key": '), "o_orderkey", F.lit(', "cust.info" :{"cust-key":'), "o_custkey", F.lit(', "st@tus":["'), "o_orderstatus", F.lit('", {"to\\u0020tal":"a-b: \\"q r\\":"}]}, "ok":null}'))
+    maps = F.create_map(F.lit("pri ority"), F.create_map(F.lit("o-p"), F.col("o_orderpriority")))
+    half = F.concat(F.lit('{"a b":'), "o_custkey", F.when(F.col("o_orderkey") % 2 == 1, F.lit("}")).otherwise(F.lit("")))
+    clean = names.sanitize(rows.select("o_orderkey", text.alias("doc"), maps.alias("ma p"), half.alias("whole")))
+    key = F.map_keys("ma_p")[0]
+    return clean.select("o_orderkey", names.sanitize_json(F.col("doc")).alias("doc"), key.alias("map_key"), F.col("ma_p")[key]["o_p"].alias("inner_value"), names.sanitize_json(F.col("whole")).alias("whole"))
+
+
 _OPTIONS = """
 SELECT CASE p_partkey % 5 WHEN 0 THEN 'incoming_a' WHEN 1 THEN 'staging_b' WHEN 2 THEN 'curated' WHEN 3 THEN 'temp' ELSE 'sales' END AS table_schema, CAST(p_partkey AS VARCHAR(20)) AS table_name,
   CASE WHEN p_size % 2 = 0 THEN 'description' ELSE 'labels' END AS option_name, p_name AS option_value FROM {part}"""

@@ -44,13 +44,19 @@ def affiliates(which: str) -> list[int]:
     return sorted({a for m in markets for a in MARKETS[m]})
 
 
+def local(spark: SparkSession, rows: list[tuple], columns: list[str]) -> DataFrame:
+    """Rows as a local relation: Spark knows its size, and broadcasts it without counting."""
+    cell = lambda v: "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(v, str) else str(v)
+    return spark.sql(f"SELECT * FROM VALUES {', '.join('(' + ', '.join(map(cell, r)) + ')' for r in rows)} AS t({', '.join(columns)})")
+
+
 def market_affiliates(spark: SparkSession) -> DataFrame:
     rows = [(name, m, a) for name, ms in LISTS.items() for m in ms for a in MARKETS[m]]
-    return spark.createDataFrame(rows, "market_list string, market string, affiliate int")
+    return local(spark, rows, ["market_list", "market", "affiliate"])
 
 
 def schedule_groups(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(s, g, a) for s, g, members in SCHEDULE for a in members], "slot string, market_group string, affiliate int")
+    return local(spark, [(s, g, a) for s, g, members in SCHEDULE for a in members], ["slot", "market_group", "affiliate"])
 
 
 def markets(spark: SparkSession, text: str = CLICK_MARKETS_CSV) -> DataFrame:
@@ -58,5 +64,5 @@ def markets(spark: SparkSession, text: str = CLICK_MARKETS_CSV) -> DataFrame:
     head, *lines = text.strip().split("\n")
     names = [n.strip() for n in head.split(",")]
     schema = ", ".join(f"{n} {'int' if n == 'months' else 'string'}" for n in names)
-    df = spark.createDataFrame([(line,) for line in lines], "line string")
+    df = local(spark, [(line,) for line in lines], ["line"])
     return df.select(F.from_csv("line", schema).alias("m")).select("m.*")

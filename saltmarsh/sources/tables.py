@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime
 import uuid
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,23 +19,36 @@ def jdbc(spark: SparkSession, url: str, table: str, column: str, lower: int, upp
 
 
 def extract(source: DataFrame, mode: str = "full", filter_col: str | None = None, watermark: Column | None = None, day: datetime.date | str | None = None) -> DataFrame:
-    """full: all rows; append: rows after the watermark; incremental: rows of one day. Filters reach the source."""
+    """full: all rows; append: rows after the watermark (all while there is none); incremental: rows of one day. Filters reach the source."""
     if mode == "full":
         return source
     c = F.col(filter_col)
     if mode == "append":
-        return source.where(c > watermark)
+        return source if watermark is None else source.where((c > watermark) | watermark.isNull())
     if mode == "incremental":
         start = F.to_timestamp_ntz(F.lit(f"{day} 00:00:00")) if isinstance(source.schema[filter_col].dataType, T.TimestampNTZType) else F.to_timestamp(F.lit(f"{day} 00:00:00"))
         return source.where((c >= start) & (c < start + F.expr("INTERVAL '1' DAY")))
     raise ValueError(f"no mode {mode}")
 
 
+def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
+    """df dealt by the columns it is to be partitioned by, so that a value makes one file, and as many more as its size asks for.
+
+    Adaptive execution splits the rows of a large value over several tasks and puts small ones together
+    (`spark.sql.adaptive.advisoryPartitionSizeInBytes`), so files don't grow with the number of tasks.
+    """
+    return df.hint("rebalance", *columns)
+
+
+def by_day(df: DataFrame, day: Column) -> DataFrame:
+    """df with columns year, month and day, and dealt by them."""
+    parts = df.withColumn("year", F.date_format(day, "yyyy")).withColumn("month", F.date_format(day, "MM")).withColumn("day", F.date_format(day, "dd"))
+    return rebalanced(parts, "year", "month", "day")
+
+
 def write_day_partitions(df: DataFrame, base: str, day: Column) -> None:
     """Overwrites the year=/month=/day= partitions that df has rows of, and only those."""
-    parts = df.withColumn("year", F.date_format(day, "yyyy")).withColumn("month", F.date_format(day, "MM")).withColumn("day", F.date_format(day, "dd"))
-    # One task per day at most would make one file of a large day; rows are spread over the tasks as they come.
-    parts.write.partitionBy("year", "month", "day").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(base)
+    by_day(df, day).write.partitionBy("year", "month", "day").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(base)
 
 
 def write_day_partition(df: DataFrame, base: str, day: datetime.date | str) -> None:
@@ -43,10 +57,61 @@ def write_day_partition(df: DataFrame, base: str, day: datetime.date | str) -> N
     df.write.mode("overwrite").parquet(f"{base}/year={at:%Y}/month={at:%m}/day={at:%d}")
 
 
-def publish_partition(spark: SparkSession, incoming: str, final: str, fmt: str, partition: str) -> None:
-    """Replaces one partition of the final table by the incoming files of one format, and no others."""
-    rows = spark.read.format(fmt).option("pathGlobFilter", f"*.{fmt}").load(f"{incoming}/{partition}")
-    rows.write.format(fmt).mode("overwrite").save(f"{final}/{partition}")
+def _files(spark: SparkSession, path: str, fmt: str) -> bool:
+    """Whether a folder has files of a format, at any depth. A folder that isn't there has none."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        return False
+    found = fs.listFiles(where, True)
+    while found.hasNext():
+        if found.next().getPath().getName().endswith(f".{fmt}"):
+            return True
+    return False
+
+
+def _clear(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _incoming(spark: SparkSession, path: str, fmt: str, schema: T.StructType | None) -> DataFrame:
+    reader = spark.read.format(fmt).option("pathGlobFilter", f"*.{fmt}")
+    return (reader if schema is None else reader.schema(schema)).load(path)
+
+
+def publish_partition(spark: SparkSession, incoming: str, final: str, fmt: str | tuple[str, ...], partition: str, schema: T.StructType | None = None) -> None:
+    """Replaces one partition of the final table by the incoming files of the given formats, and no others.
+
+    A day on which nothing came leaves its partition empty. The schema is the stored one (`schemas.SchemaStore`); without it
+    the files' own counts, which for CSV is text only. Several formats stay files of their own, side by side.
+    """
+    there = [f for f in ((fmt,) if isinstance(fmt, str) else fmt) if _files(spark, f"{incoming}/{partition}", f)]
+    if not there:
+        _clear(spark, f"{final}/{partition}")
+    for n, f in enumerate(there):
+        rows = _incoming(spark, f"{incoming}/{partition}", f, schema)
+        rows.write.format(f).mode("append" if n else "overwrite").save(f"{final}/{partition}")
+
+
+def publish_partitions(spark: SparkSession, incoming: str, final: str, fmt: str, by: str, schema: T.StructType | None = None, cleared: tuple[str, ...] = ()) -> None:
+    """Replaces all partitions `by=...` that came by their incoming files of one format, in one job; those in `cleared` of which nothing came are emptied."""
+    for value in cleared:
+        if not _files(spark, f"{incoming}/{by}={value}", fmt):
+            _clear(spark, f"{final}/{by}={value}")
+    if _files(spark, incoming, fmt):
+        rows = rebalanced(_incoming(spark, incoming, fmt, schema), by)
+        rows.write.format(fmt).partitionBy(by).mode("overwrite").option("partitionOverwriteMode", "dynamic").save(final)
+
+
+def write_observed(df: DataFrame, path: str, mode: str = "error", **observed: Column) -> dict[str, Any]:
+    """Writes df as Parquet and returns aggregates of its rows, taken in the pass that writes; `rows` is their number.
+
+    The table isn't read for them, neither before nor after. Redone tasks count once.
+    """
+    watch = Observation()
+    df.observe(watch, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in observed.items()]).write.mode(mode).parquet(path)
+    return watch.get
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True, quote_all: bool = True, partition_by: str | None = None) -> None:
@@ -59,8 +124,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, sep: st
 
 
 def export_market_csv(df: DataFrame, base: str, market_col: str) -> None:
-    """One folder of semicolon-separated files per market, written in one job."""
-    write_csv(df, base, sep=";", quote_all=False, partition_by=market_col)
+    """One folder of semicolon-separated files per market, written in one job, a large market as several files."""
+    write_csv(rebalanced(df, market_col), base, sep=";", quote_all=False, partition_by=market_col)
 
 
 def load_csv_append(spark: SparkSession, path: str, schema: T.StructType, table_path: str) -> None:
@@ -81,7 +146,9 @@ class VersionedTable:
         version = self.spark.read.parquet(f"{self.base}/pointer").orderBy(F.desc("at")).first().version
         return self.spark.read.parquet(f"{self.base}/{version}")
 
-    def replace(self, df: DataFrame) -> None:
+    def replace(self, df: DataFrame, **observed: Column) -> dict[str, Any]:
+        """Makes df the new version; returns the number of its `rows` and the aggregates asked for, taken as it is written."""
         version = f"v-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.base}/{version}")
+        seen = write_observed(df, f"{self.base}/{version}", **observed)
         self.spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("at")).coalesce(1).write.mode("append").parquet(f"{self.base}/pointer")
+        return seen
