@@ -11,7 +11,8 @@ Archives are rows (archive, content): those of `spark.read.format("binaryFile")`
 Defined results: a null payload is empty; a null url is an empty target; a null page_id gives a
 record without a page number. Of equal payloads the largest page_id is the response (rows repeating
 that id are responses too; a group of null ids only is all response). An empty archive gives no
-rows, a null one a gap of no bytes. Extra columns don't pass.
+rows, a null one a gap of no bytes. A record of over `MOST_RECORD` bytes, or a gzip member that swells by over `STRAY` bytes
+beyond its records, is a gap, however small it is packed. Extra columns don't pass.
 """
 
 from __future__ import annotations
@@ -35,6 +36,9 @@ ARCHIVE_BYTES = 4_000_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 GZIP = b"\x1f\x8b\x08"
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+_LENGTH = re.compile(rb"(?im)^content-length: *(\d{1,18})\s*$")
+#: Bytes inflated at a time; the largest record that is taken; bytes of a member beyond its records from which it is left.
+STEP, MOST_RECORD, STRAY = 1 << 20, 1 << 30, 1 << 24
 _PAGE = re.compile(r"<urn:saltmarsh:page:(-?\d+)>")
 
 
@@ -94,15 +98,38 @@ def _parse(data: bytes, at: int) -> tuple[dict, int]:
     return out | {"payload": payload, "payload_bytes": length}, end + 4
 
 
+def _inflate(data: bytes) -> tuple[bytes, int, bool]:
+    """What a gzip member holds, how much of data it takes, and whether it was left before its end.
+
+    It is inflated step by step, and no further than its records go by their own Content-Length, each up to
+    `MOST_RECORD`, and `STRAY` bytes beyond: a small member that swells without end takes no more memory than that.
+    """
+    unpack, plain, left = zlib.decompressobj(31), bytearray(), data
+    at = known = 0  # where the next record may begin, and where the last one ends by its own word
+    while not unpack.eof:
+        try:
+            piece = unpack.decompress(left, STEP)
+        except zlib.error as e:
+            raise Damage(f"gzip: {e}") from None
+        left = unpack.unconsumed_tail
+        plain += piece
+        if not piece and not left and not unpack.eof:
+            raise Damage("gzip member not ended")
+        while version := _VERSION.search(plain, at):
+            head = plain.find(b"\r\n\r\n", version.start())
+            if head < 0:
+                break
+            length = _LENGTH.search(plain[version.start() : head])
+            size = int(length[1]) if length else 0
+            at = known = head + 8 + (size if size <= MOST_RECORD else 0)
+        if len(plain) > known + STRAY:
+            return bytes(plain), len(data) - len(left), True
+    return bytes(plain), len(data) - len(unpack.unused_data), False
+
+
 def _member(data: bytes) -> tuple[list[dict], int]:
     """The records in the gzip member that data begins with, and the member's length. What of it isn't sound is a gap without length."""
-    unpack = zlib.decompressobj(31)
-    try:
-        plain = unpack.decompress(data)
-    except zlib.error as e:
-        raise Damage(f"gzip: {e}") from None
-    if not unpack.eof:
-        raise Damage("gzip member not ended")
+    plain, used, cut = _inflate(data)
     found, at = [], 0
     while at < len(plain):
         try:
@@ -110,13 +137,13 @@ def _member(data: bytes) -> tuple[list[dict], int]:
             found.append({"kind": "record", "error": None, **got})
         except Damage as e:
             if not found and at == 0 and not _VERSION.search(plain, 1):
-                raise
-            found.append({"kind": "gap", "error": f"in a member: {e}"})
+                raise Damage(f"gzip member swells without a record: {e}" if cut else str(e)) from None
+            found.append({"kind": "gap", "error": f"in a member{' that swells beyond its records' if cut else ''}: {e}"})
             version = _VERSION.search(plain, at + 1)
             at = version.start() if version else len(plain)
     if not any(f["kind"] == "record" for f in found):
         raise Damage(found[0]["error"] if found else "empty member")
-    return found, len(data) - len(unpack.unused_data)
+    return found, used
 
 
 def _at(data: bytes) -> tuple[list[dict], int]:

@@ -93,3 +93,30 @@ def test_false_openings_cost_one_search_each():
     data = (op1.GZIP + b"WARC/1.x ") * 40_000 + archive(1)[0]
     found = list(op1.salvage(data))
     assert pages(found) == [0] and [x["kind"] for x in found] == ["gap", "record"]
+
+
+def test_members_that_swell_are_gaps_and_take_little_memory():
+    import tracemalloc
+    import zlib
+
+    def packed(*parts):
+        packer = zlib.compressobj(9, zlib.DEFLATED, 31)
+        return b"".join(packer.compress(p) for p in parts) + packer.flush()
+
+    good = op1.record("response", 1, "http://x", b"payload", op1.sha1(b"payload"), None)
+    plain = zlib.decompress(good, 31)
+    zeros = [bytes(1 << 20)] * 300
+    liar = b"WARC/1.1\r\nContent-Length: 99999999999\r\n\r\n"
+    for bomb, records in ((packed(*zeros), 0), (packed(plain, *zeros), 1), (packed(liar, *zeros), 0)):
+        assert len(bomb) < 400_000
+        tracemalloc.start()
+        rows = list(op1.salvage(good + bomb + good))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        kinds = [r["kind"] for r in rows]
+        assert kinds.count("record") == 2 + records and "gap" in kinds and rows[-1]["kind"] == "record"
+        assert most < 120_000_000
+    # A large record that is as long as it says is read whole.
+    large = bytes(40_000_000)
+    (row,) = op1.salvage(op1.record("response", 2, "http://y", large, op1.sha1(large), None))
+    assert row["kind"] == "record" and row["payload_bytes"] == len(large)
