@@ -20,7 +20,9 @@ disagree `allow` wins. Repeated urls and ids are judged row by row. Extra column
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,39 +69,64 @@ def _clean(rules: DataFrame) -> DataFrame:
     )
 
 
-def sweep(keys: list[bytes], paths: list[bytes], rules: list[tuple[bytes, bytes, str, str]], state: list) -> Iterator[tuple[str | None, str | None]]:
-    """Judge urls in key order. rules: (key, path, shown, verdict) by key; state: [next rule, stack].
-
-    The stack holds lists of the rules of one host each, outermost first.
-    """
+@dataclass
+class HostRules:
+    """The rules of one host, by path; of each the longest other one that its path begins with, or -1."""
+
+    key: bytes
+    paths: list[bytes]
+    outer: list[int]
+    shown: list[tuple[str, str]]  # host and path, verdict
+
+    @classmethod
+    def of(cls, key: bytes, rules: list[tuple[bytes, str, str]]) -> HostRules:
+        rules = sorted(rules)
+        outer, nest = [], []
+        for n, (path, *_) in enumerate(rules):
+            while nest and not path.startswith(rules[nest[-1]][0]):
+                nest.pop()
+            outer.append(nest[-1] if nest else -1)
+            nest.append(n)
+        return cls(key, [r[0] for r in rules], outer, [(r[1], r[2]) for r in rules])
+
+    def longest(self, path: bytes) -> int:
+        """The longest rule that the path begins with, or -1: all that begin it stand around the last one not behind it."""
+        at = bisect_right(self.paths, path) - 1
+        while at >= 0 and not path.startswith(self.paths[at]):
+            at = self.outer[at]
+        return at
+
+
+def by_host(rules: list[tuple[str, str, str]]) -> list[HostRules]:
+    """Rules (host, path, verdict), by the host's key."""
+    found: dict[bytes, list[tuple[bytes, str, str]]] = {}
+    for host, path, verdict in rules:
+        found.setdefault((END.join(reversed(host.split("."))) + END).encode(), []).append((path.encode(), host + path, verdict))
+    return [HostRules.of(key, found[key]) for key in sorted(found)]
+
+
+def sweep(keys: list[bytes], paths: list[bytes], rules: list[HostRules], state: list) -> Iterator[tuple[str | None, str | None]]:
+    """Judge urls in key order. rules: by key; state: [next host, stack]. The stack holds the hosts whose intervals are open, outermost first."""
     for key, path in zip(keys, paths, strict=True):
         at, stack = state
-        while at < len(rules) and rules[at][0] <= key:
-            opening = rules[at][0]
-            while stack and not opening.startswith(stack[-1][0][0]):
+        while at < len(rules) and rules[at].key <= key:
+            while stack and not rules[at].key.startswith(stack[-1].key):
                 stack.pop()
-            group = []
-            while at < len(rules) and rules[at][0] == opening:
-                group.append(rules[at])
-                at += 1
-            stack.append(group)
+            stack.append(rules[at])
+            at += 1
         state[0] = at
-        while stack and not key.startswith(stack[-1][0][0]):
+        while stack and not key.startswith(stack[-1].key):
             stack.pop()
         best = None
-        for group in stack:
-            for r in group:
-                if path.startswith(r[1]) and (best is None or (len(r[2]), len(r[0])) > (len(best[2]), len(best[0]))):
-                    best = r
-        yield (best[2], best[3]) if best else (None, None)
+        for host in stack:  # one for each label of the url's host at most
+            n = host.longest(path)
+            if n >= 0 and (best is None or (len(host.shown[n][0]), len(host.key)) > best[0]):
+                best = ((len(host.shown[n][0]), len(host.key)), host.shown[n])
+        yield best[1] if best else (None, None)
 
 
 def _swept(urls: DataFrame, rules: list[tuple[str, str, str]], id_col: str) -> DataFrame:
-    def key_of(host: str) -> bytes:
-        return (END.join(reversed(host.split("."))) + END).encode()
-
-    sorted_rules = sorted((key_of(h), p.encode(), h + p, v) for h, p, v in rules)
-    shared = urls.sparkSession.sparkContext.broadcast(sorted_rules)
+    shared = urls.sparkSession.sparkContext.broadcast(by_host(rules))
     schema = urls.select(id_col, "host", "path").schema.add("rule", "string").add("found", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,14 +143,17 @@ def _swept(urls: DataFrame, rules: list[tuple[str, str, str]], id_col: str) -> D
 
 
 def _joined(urls: DataFrame, rules: DataFrame, id_col: str) -> DataFrame:
-    """The same without a broadcast: each url meets the rules of its host and the host's parents."""
+    """The same without a broadcast: each url meets the rules of its host and the host's parents, by the beginnings of its
+    path of just those lengths that rules of that host have. So a url has a row for each length, not for each rule."""
     labels = F.split("host", r"\.", -1)
     parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
     rows = urls.withColumn("_row", F.monotonically_increasing_id())
-    spread = rows.select("_row", F.col("path").alias("_path"), F.explode(parents).alias("_parent"))
+    lengths = rules.groupBy(F.col("host").alias("_parent")).agg(F.collect_set(F.length("path")).alias("_lengths"))
+    spread = rows.select("_row", F.col("path").alias("_path"), F.explode(parents).alias("_parent")).join(lengths, "_parent")
+    begun = spread.select("_row", "_parent", "_path", F.explode("_lengths").alias("_n")).where(F.col("_n") <= F.length("_path"))
+    begun = begun.select("_row", "_parent", F.expr("left(_path, _n)").alias("_start"))
     fits = (
-        spread.join(rules.select(F.col("host").alias("_parent"), F.col("path").alias("_start"), F.col("verdict").alias("_verdict")), "_parent")
-        .where("startswith(_path, _start)")
+        begun.join(rules.select(F.col("host").alias("_parent"), F.col("path").alias("_start"), F.col("verdict").alias("_verdict")), ["_parent", "_start"])
         .groupBy("_row")
         .agg(F.max(F.struct(F.length(F.concat("_parent", "_start")).alias("n"), F.length("_parent").alias("h"), F.concat("_parent", "_start").alias("rule"), F.col("_verdict").alias("found"))).alias("b"))
         .select("_row", "b.rule", "b.found")

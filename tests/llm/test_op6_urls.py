@@ -38,3 +38,31 @@ def test_rules_against_brute_force(spark):
         assert sorted(map(tuple, got), key=repr) == want
     assert op6.judge(table(spark, [], PAGES), rule_table).count() == 0
     assert op6.judge(pages, rule_table.limit(0)).where("verdict = 'block'").count() == 0
+
+
+def test_many_rules_of_one_host_take_time_in_proportion():
+    import time
+
+    def took(n):
+        paths = [f"/{i // 100}/{i % 100}/" for i in range(n)] + ["/", "/5/", "/5/5", "/5/5/5/5/"]
+        rules = op6.by_host([("a.com", p, "block") for p in paths])
+        urls = sorted(f"/{i // 100}/{i % 100}/x" for i in range(0, n, 2)) + ["/5/5/5/5/y", "/5/6", "nothing"]
+        start = time.perf_counter()
+        got = list(op6.sweep([b"com/a/b/"] * len(urls), [u.encode() for u in urls], rules, [0, []]))
+        took = time.perf_counter() - start
+        assert got[0] == ("a.com/0/0/", "block") and [g[0] for g in got[-3:]] == ["a.com/5/5/5/5/", "a.com/5/", None]
+        return took
+
+    took(2000)
+    assert took(200_000) < 20 * 20 * max(took(10_000), 0.01) / 10
+
+
+def test_longest_rule_of_a_host_against_all_of_them():
+    r = random.Random(9)
+    paths = list({"".join(r.choice("ab/") for _ in range(r.randrange(6))) for _ in range(60)})
+    host = op6.HostRules.of(b"com/", [(p.encode(), p, "block") for p in paths])
+    for _ in range(500):
+        path = "".join(r.choice("ab/") for _ in range(r.randrange(8)))
+        want = max((p for p in paths if path.startswith(p)), key=len, default=None)
+        n = host.longest(path.encode())
+        assert (host.shown[n][0] if n >= 0 else None) == want
