@@ -33,6 +33,7 @@ import heapq
 import itertools
 import zlib
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from functools import lru_cache
 
@@ -43,7 +44,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saltmarsh.llm import textarrays as ta
-from saltmarsh.llm.common import slices, table
+from saltmarsh.llm.common import durable, slices, table
 
 MARK = "▁"
 MAX_UNIT = 48
@@ -312,17 +313,29 @@ def decode_ids(ids: np.ndarray, edges: np.ndarray, path: str) -> list[bytes]:
     return [text[a + (a < z and text[a] == 32) : z].tobytes() for a, z in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
+@contextmanager
+def roomy(spark: SparkSession) -> Iterator[None]:
+    """While `encode` runs, grouping holds up to a million keys before it sorts, as a task has fewer units; afterwards the session is as it was."""
+    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1000000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def encode(docs: DataFrame, path_of: Callable[[], str] = model_path, chunk_bytes: int = CHUNK_BYTES, with_ids: bool = True) -> DataFrame:
     """doc_id, n_pieces, ids_crc32, decoded_bytes and decoded_crc32 (of the UTF-8 that the ids decode to), round_trip
-    (whether that is the text; a mark in a text is a space), and ids (packed little-endian, four bytes each) or NULL."""
+    (whether that is the text; a mark in a text is a space), and ids (packed little-endian, four bytes each) or NULL.
+
+    It is quicker where its result is written or counted inside `roomy`."""
     spark = docs.sparkSession
     model = load(path_of())
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tasks, meetings = max(width, -(-total // TASK_BYTES)), max(width, -(-total // chunk_bytes))
-    # A task holds so many units only that grouping their edges needs no sorting.
-    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "1000000")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path, met = path_of(), []
@@ -411,4 +424,5 @@ def decode(rows: DataFrame, model: Model, key: str = "doc_id", ids: str = "ids")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
+    with roomy(spark):
+        return durable(encode(table(spark, sf_dir, "documents"), with_ids=False).drop("ids"))

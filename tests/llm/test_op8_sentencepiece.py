@@ -82,3 +82,10 @@ def test_viterbi_finds_the_best_sum(spark):
     for row in got:
         assert abs(sum(score.get(i, unknown) for i in row.ids) - best_path(row.unit, pieces, unknown)) < 1e-9
         assert "".join(text.get(i, chr(i) if i < 256 else "") for i in row.ids) == row.unit
+
+
+def test_query_leaves_the_session_as_it_was(spark, tmp_path):
+    table(spark, [(1, "some text"), (2, None)]).write.parquet(f"{tmp_path}/documents.parquet")
+    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(name)
+    assert op8.query(spark, str(tmp_path)).count() == 2 and spark.conf.get(name) == before
