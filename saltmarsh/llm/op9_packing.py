@@ -93,7 +93,8 @@ _encoders: dict[str, Encoder] = {}
 def tokenise(docs: DataFrame, path_of: Callable[[], str], closing_id: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, ids (packed little-endian, closing id included), width (bytes of an id), and the row's hash and salt.
 
-    The salt is 0, but for rows that an Arrow batch has had before: these have one each.
+    The salt is 0, but for rows that the task has had before: these have one each. A row counts as had, too, where
+    another one of the same place in a table of hashes was; that only chooses its group.
     """
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("_text"), F.xxhash64(id_col, text).alias("row_hash"))
     schema = source.drop("_text", "row_hash").schema.add("ids", "binary").add("width", "integer").add("row_hash", "long").add("salt", "long")
@@ -105,9 +106,12 @@ def tokenise(docs: DataFrame, path_of: Callable[[], str], closing_id: int, id_co
         encoder = _encoders[path]
         close = np.array([closing_id], dtype=encoder.unit).tobytes()
         seen = (TaskContext.get().partitionId() << 40) + 1
+        had = np.zeros(1 << 22, dtype=bool)
         for whole in batches:
             salt = np.arange(seen, seen + whole.num_rows)
-            salt[np.unique(whole.column("row_hash").to_numpy(), return_index=True)[1]] = 0
+            place, first = np.unique(whole.column("row_hash").to_numpy() & (len(had) - 1), return_index=True)
+            salt[first[~had[place]]] = 0
+            had[place] = True
             seen += whole.num_rows
             whole = pa.RecordBatch.from_arrays([*whole.columns, pa.array(salt, pa.int64())], names=[*whole.schema.names, "salt"])
             for batch in slices(whole, "_text"):

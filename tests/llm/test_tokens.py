@@ -96,3 +96,14 @@ def test_no_key_fills_a_group(spark):
     for key in (None, 7):
         sizes = [r.n for r in got if r.doc_id == key]
         assert sum(sizes) == 400 and max(sizes) < 120
+
+
+def test_repeated_rows_are_salted_over_small_batches(spark):
+    docs = table(spark, [(1, "same text")] * 3000).coalesce(1)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        rows = op9.tokenise(docs, op9.byte_bpe_path, 1).groupBy("row_hash", "salt").count().collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert len(rows) == 3000 and max(r["count"] for r in rows) == 1
