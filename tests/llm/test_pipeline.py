@@ -72,3 +72,31 @@ def test_equal_documents_give_one_and_names_may_clash(spark, tmp_path):
     rows = docs.collect()
     assert {r.doc_id for r in rows} == {i for i, _ in clean}
     assert all(r[c] == f"own {c}" for r in rows for c in ("n_words", "failures", "_score", "n_removed"))
+
+
+def test_different_texts_of_one_id_stay_and_the_winner_is_the_same(spark):
+    words = [f"w{i}" for i in range(60)]
+    a, b, c = " ".join(words), " ".join(reversed(words)), " ".join(words[:58] + ["x", "y"])
+    rows = [(1, a, "en"), (1, b, "de"), (1, a, "fr"), (2, c, "en"), (3, b, "en"), (None, a, "en"), (None, a, "en"), (4, "", "en"), (4, "", "de")]
+    keys = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {tuple(sorted((r.doc_id, r.text, r.lang) for r in corpus_pipeline.near_duplicates(spark, keys.repartition(n), "").collect() if r.doc_id)) for n in (1, 3, 5)}
+    assert len(got) == 1
+    (kept,) = got
+    assert [(i, t) for i, t, _ in kept] == sorted([(1, a), (1, b), (4, ""), (4, "")])
+    assert corpus_pipeline.near_duplicates(spark, keys, "").where("doc_id is null").count() == 2
+
+
+def test_stored_tables_of_a_query_can_be_cleared(spark):
+    import os
+
+    from saltmarsh.llm import common
+
+    with common.work("a"):
+        one = common.durable(spark.range(5), most=F.max("id"))
+    with common.work("b"):
+        two = common.durable(spark.range(0))
+    assert common.seen(one) == 5 and common.seen(one, "most") == 4 and common.seen(two) == 0
+    paths = [d.inputFiles()[0].removeprefix("file://").removeprefix("file:") for d in (one, two)]
+    assert common.clear(spark, "a") and [os.path.exists(p) for p in paths] == [False, True]
+    assert not common.clear(spark, "a")
+    assert common.durable(spark.range(3)).count() == 3
