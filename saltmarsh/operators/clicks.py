@@ -16,7 +16,8 @@ def for_markets(df: DataFrame, markets: DataFrame, key: str, market_key: str) ->
     return df.join(small(markets.withColumnRenamed(market_key, key)), key)
 
 
-def _recent(clicks: DataFrame, markets: DataFrame, as_of: datetime.date | str) -> DataFrame:
+def recent(clicks: DataFrame, markets: DataFrame, as_of: datetime.date | str) -> DataFrame:
+    """Clicks of the markets, each within its window up to a day; of a stream as of a table."""
     # The longest window of any market bounds what is read; each market's own follows.
     longest = markets.agg(F.max("months")).first()[0] or 0
     today = datetime.date.fromisoformat(str(as_of))
@@ -33,11 +34,11 @@ def daily_identity(clicks: DataFrame, users: DataFrame, markets: DataFrame, even
     Clicks are counted before identities are joined; a user of several identities counts under each.
     """
     keys = ["country", "user_id", "session_id", "day", "product_id"]
-    counted = _recent(clicks.where(F.col("event") == event), markets, as_of).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    counted = recent(clicks.where(F.col("event") == event), markets, as_of).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     joined = counted.join(users.select("user_id", "identity").distinct(), "user_id", "left")
     return joined.groupBy("country", "day", "user_id", "identity", "product_id", "session_id").agg(F.sum("n").alias(event))
 
 
 def search_terms(clicks: DataFrame, markets: DataFrame, as_of: datetime.date | str, event: str = "search_view") -> DataFrame:
-    rows = _recent(clicks.where((F.col("event") == event) & F.col("searchkeyword").isNotNull()), markets, as_of)
+    rows = recent(clicks.where((F.col("event") == event) & F.col("searchkeyword").isNotNull()), markets, as_of)
     return rows.select("country", "user_id", "session_id", "day", "searchkeyword").distinct()

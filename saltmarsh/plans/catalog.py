@@ -26,10 +26,10 @@ from saltmarsh.operators import (
     revenue,
     value,
 )
-from saltmarsh.plans import dims
+from saltmarsh.plans import dims, standins
 from saltmarsh.plans.shared import scratch
 from saltmarsh.plans.standins import view, with_views
-from saltmarsh.sources import layout, schemas, tables, zipped
+from saltmarsh.sources import buckets, layout, schemas, tables, zipped
 from saltmarsh.streaming import clicks as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -752,13 +752,27 @@ def stream_daily_counts(spark: SparkSession, d: str) -> DataFrame:
     return updates.groupBy("day", "user_id", "event_type").agg(F.max_by("n", "_batch").alias("n"))
 
 
+@register("stream_daily_identity", _click_sql("product_view_pdp"))
+def stream_daily_identity(spark: SparkSession, d: str) -> DataFrame:
+    """The daily identity counts as a stream over all events, each of which is delivered twice."""
+    path = scratch(spark)
+    for n in (1, 2):
+        view(spark, d, "events").write.mode("append").parquet(f"{path}/events")
+    sent = spark.sql(standins.CLICKS_WITH_ID, events=stream.read_stream(spark, f"{path}/events", view(spark, d, "events").schema, 1))
+    # The watermark spans the table: its files come by modification time, not by ts.
+    counts = stream.daily_identity(sent, view(spark, d, "users"), dims.markets(spark), "product_view_pdp", CLICK_DAY, late="400 days")
+    updates = stream.MarketUpdates(spark, f"{path}/updates")
+    stream.run_to_end(counts, f"{path}/checkpoint", updates.each)
+    return updates.latest(counts.schema, "product_view_pdp")
+
+
 @register("stream_merge_newer", f"SELECT {_shape()} FROM ({_merge_sql('i.o_orderdate > t.o_orderdate')})")
 def stream_merge_newer(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark)
     sent = view(spark, d, "incoming")
     sent.write.parquet(f"{path}/incoming")
-    t = tables.VersionedTable(spark, f"{path}/table")
-    t.replace(view(spark, d, "target"))
+    t = buckets.BucketTable(spark, f"{path}/table", sent.schema, _KEYS, 8).create()
+    t.update(view(spark, d, "target"), lambda _, rows: rows)
     stream.merge_stream(t, stream.read_stream(spark, f"{path}/incoming", sent.schema), _KEYS, "o_orderdate", f"{path}/checkpoint")
     return t.read()
 

@@ -134,6 +134,10 @@ FROM {part} CROSS JOIN (SELECT 1 AS k UNION ALL SELECT 2 UNION ALL SELECT 3 UNIO
 }
 
 
+#: The clicks with the id by which an event that is delivered again is known.
+CLICKS_WITH_ID = VIEWS["clicks"].replace("SELECT user_id,", "SELECT event_id, user_id,", 1)
+
+
 def names(text: str) -> list[str]:
     return sorted(set(re.findall(r"\{(\w+)\}", text)))
 

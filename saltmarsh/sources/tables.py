@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import uuid
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -152,3 +153,7 @@ class VersionedTable:
         seen = write_observed(df, f"{self.base}/{version}", **observed)
         self.spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("at")).coalesce(1).write.mode("append").parquet(f"{self.base}/pointer")
         return seen
+
+    def update(self, incoming: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        """Makes what `change` makes of all rows and the incoming ones the new version."""
+        self.replace(change(self.read(), incoming))
