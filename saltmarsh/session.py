@@ -11,6 +11,8 @@ def session(master: str = "local[*]", shuffle_partitions: int = 8, **conf: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # A file or a task costs more than the bytes it saves only below this; Spark's own bound of 1 MB leaves small tables to one task.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.ui.enabled", "false")
     )
     for key, value in conf.items():

@@ -19,6 +19,33 @@ def jdbc(spark: SparkSession, url: str, table: str, column: str, lower: int, upp
     return reader.load()
 
 
+def date_ranges(column: str, first: datetime.date, last: datetime.date, days: int, literal: str = "TIMESTAMP '{} 00:00:00'") -> list[str]:
+    """Predicates that cut a table into ranges of days, one a task; the first also takes what is earlier or NULL, the last what is later.
+
+    literal: how the source writes the beginning of a day."""
+    cuts = [first + datetime.timedelta(n) for n in range(days, (last - first).days + 1, days)]
+    stamp = literal.format
+    if not cuts:
+        return [f"{column} IS NULL OR {column} IS NOT NULL"]
+    middle = [f"{column} >= {stamp(a)} AND {column} < {stamp(z)}" for a, z in zip(cuts, cuts[1:], strict=False)]
+    return [f"{column} < {stamp(cuts[0])} OR {column} IS NULL", *middle, f"{column} >= {stamp(cuts[-1])}"]
+
+
+def key_shares(number: str, parts: int) -> list[str]:
+    """Predicates that cut a table into shares by the remainder of a number that the source computes, for keys that aren't numbers: a hash
+    in the source's own words (`ORA_HASH(k)`, `hashtext(k)`), or a length. NULL goes to the first."""
+    return [f"MOD(ABS({number}), {parts}) = {n}" + (f" OR {number} IS NULL" if n == 0 else "") for n in range(parts)]
+
+
+def jdbc_shares(spark: SparkSession, url: str, table: str, predicates: list[str], **options: str) -> DataFrame:
+    """A relational table without a numeric key, read in parallel shares, each by a predicate of its own that the source applies.
+
+    Predicates have to be disjoint and to hold for every row of the table together, as those of `date_ranges` and `key_shares` do.
+    Further filters are pushed beside each.
+    """
+    return spark.read.jdbc(url, table, predicates=[f"({p})" for p in predicates], properties=options)
+
+
 def extract(source: DataFrame, mode: str = "full", filter_col: str | None = None, watermark: Column | None = None, day: datetime.date | str | None = None) -> DataFrame:
     """full: all rows; append: rows after the watermark (all while there is none); incremental: rows of one day. Filters reach the source."""
     if mode == "full":
