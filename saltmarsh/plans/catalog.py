@@ -189,11 +189,12 @@ JOIN {{countries}} c ON d.oper_cntry_id = c.country_no
 WHERE d.ord_mo_yr_id >= CAST(strftime(DATE '{ORDER_DAY}' - INTERVAL 6 MONTH, '%Y%m') AS INT)"""
 
 
-def _order_base(spark: SparkSession, d: str, strict: bool = False) -> DataFrame:
-    return orders.order_base(*(view(spark, d, n) for n in ("demand", "ord_accounts", "ship_accounts", "countries")), ORDER_DAY, strict_country=strict)
+def _order_base(spark: SparkSession, d: str, strict: bool = False, spread: int | None = None) -> DataFrame:
+    return orders.order_base(*(view(spark, d, n) for n in ("demand", "ord_accounts", "ship_accounts", "countries")), ORDER_DAY, strict_country=strict, spread_above=spread)
 
 
 register("order_base", _orders_sql(False))(lambda spark, d: _order_base(spark, d))
+register("order_base_spread", _orders_sql(False))(lambda spark, d: _order_base(spark, d, spread=20))
 register("order_base_strict", _orders_sql(True))(lambda spark, d: _order_base(spark, d, True))
 register("orders_by_country", f"SELECT * EXCLUDE (oper_cntry_id, ord_mo_yr_id, demand_ord_account_id), demand_ord_account_id AS ord_account_id FROM ({_orders_sql(False)})")(lambda spark, d: orders.by_country(_order_base(spark, d)))
 
