@@ -180,6 +180,7 @@ def digest(docs: DataFrame) -> DataFrame:
 
 #: DuckDB: the same from the words and lines as lists.
 _SOLE = " ".join(f"WHEN {1 << r.bit} THEN '{r.name}'" for r in RULES if r.bit in POLICIES[IN_FORCE])
+_BITS = " + ".join(f"CASE WHEN {r.failed} THEN {1 << r.bit} ELSE 0 END" for r in RULES)
 ORACLE = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
@@ -207,17 +208,10 @@ m AS (
          CAST(len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS BIGINT) AS n_stutters
   FROM d LEFT JOIN line_counts USING (r) LEFT JOIN repeats USING (r)),
 f AS (
-  SELECT *, CAST(CASE WHEN n_words < 10 THEN 1 ELSE 0 END
-    + CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END
-    + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END
-    + CASE WHEN 10 * n_upper_words > 3 * n_words THEN 8 ELSE 0 END
-    + CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 16 ELSE 0 END
-    + CASE WHEN word_chars < 2 * n_words OR word_chars > 15 * n_words THEN 32 ELSE 0 END
-    + CASE WHEN n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines THEN 64 ELSE 0 END
-    + CASE WHEN 10 * n_stutters > 3 * n_words THEN 128 ELSE 0 END AS BIGINT) AS failures
+  SELECT *, CAST(BITS AS BIGINT) AS failures
   FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (failures & BASE) <> 0 AS base_failed, (failures & FORCE) = 0 AS kept, n_lines, n_upper_words, n_stutters, failures,
        CASE failures & FORCE SOLE ELSE NULL END AS sole_rule
 FROM f
-""".replace("BASE", str(mask(POLICIES[1]))).replace("FORCE", str(mask(POLICIES[IN_FORCE]))).replace("SOLE", _SOLE)
+""".replace("BASE", str(mask(POLICIES[1]))).replace("FORCE", str(mask(POLICIES[IN_FORCE]))).replace("SOLE", _SOLE).replace("BITS", _BITS)

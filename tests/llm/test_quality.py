@@ -46,7 +46,7 @@ def test_ablations_add_up(spark):
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_queries_match_their_sql(spark, name):
     c = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "labels"):
         c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     df = queries()[name](spark, DATA)
     want = c.sql(oracle_sql()[name])
