@@ -203,7 +203,9 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, max_rows: int
                 x = pool(batch.column("_text"), shared.value).astype("<f4")
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_quality"), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "quality", "x"])
 
-    got = sorted({(r.doc_id, bytes(r.x), r.quality) for r in rows.mapInArrow(run, "doc_id long, quality int, x binary").toLocalIterator()})
+    # One row of a doc_id, so that repeats of it don't add to what reaches the driver: max_rows vectors at most.
+    one = rows.mapInArrow(run, "doc_id long, quality int, x binary").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("x").alias("x"))
+    got = sorted((r.doc_id, bytes(r.x), r.quality) for r in one.toLocalIterator())
     x = np.array([np.frombuffer(r[1], dtype="<f4") for r in got], dtype=np.float64).reshape(len(got), FEATURES)
     return fit(x, np.array([r[2] for r in got], dtype=np.int64))
 

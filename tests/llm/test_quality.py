@@ -93,3 +93,15 @@ def test_temperature_and_gradient():
     assert ((net.score(x) > 0.5) == y).mean() > 0.9
     logit = rng.normal(size=5000) * 2
     assert abs(op7.temperature(logit * 3, (rng.random(5000) < 1 / (1 + np.exp(-logit))).astype(int)) - 3) < 0.4
+
+
+def test_repeats_of_a_labelled_id_do_not_reach_the_driver(spark):
+    rows = [(k, f"good words number {k}" if k % 2 else f"bad junk {k} junk") for k in range(1, 30)]
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, quality int")
+    docs = table(spark, rows)
+    vectors = op7.word_vectors(docs)
+    plain = op7.train(docs, labels, vectors)
+    again = op7.train(docs.union(docs).union(docs.where("doc_id = 3")), labels, vectors)
+    x = op7.score(docs, vectors, plain).orderBy("doc_id").collect()
+    y = op7.score(docs, vectors, again).orderBy("doc_id").collect()
+    assert [r.score for r in x] == [r.score for r in y]
