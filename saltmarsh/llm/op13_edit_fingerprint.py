@@ -12,13 +12,15 @@ sampled at the same steps. Of n steps it is the last record of a sequence of rec
 else and are drawn once (`records`). The likeness of two fingerprints is 2 * equal bits / 512 - 1, 0 at the
 least: the share of steps at which the walks look at the same character.
 
-Near documents are found by bands: the bits are dealt into 16 bands of 32. Documents that agree in a band
-are candidates, and links where their whole fingerprints are at least `NEAR` alike. Equal fingerprints are
-one class. In a band's bucket each class is held against the smallest one. Those that it doesn't link, as
-chance or another group fills the bucket, are dealt anew by that band and the next one, and once more by four
-bands, each time against the smallest class there. So a bucket costs its size, whatever is in it. Groups
-(`groups`) are connected components of links. At likeness 0.9 a pair shares a band with probability 0.97,
-at 0.95 with 0.9999; like any banding this may miss a link, never make one.
+Documents are linked where their whole fingerprints are at least `NEAR` alike, and groups (`groups`) are the
+connected components of all links. Equal fingerprints are one class. Two passes find the components. The first one
+puts crowds together at the cost of their size: the bits are dealt into 16 bands of 32, and in a band's bucket
+each class is held against the smallest one; those that it doesn't link are dealt anew by that band and the
+next one, and once more by four bands. That misses links, so a second pass finds every one between two components
+of the first (`between`): two fingerprints that differ in 25 bits at most, cut into 13 stretches, differ in one bit at most
+of some stretch, so one half of it is equal and the other one bit off at most. Classes meet by half stretches,
+pairs of one component aren't made, and what a stretch allows is held against the whole fingerprints. A bucket of the second
+pass costs the pairs of classes of different components in it, in a task's arrays; what is stored and shuffled is its size.
 
 `chained` also fingerprints an edited text of each document: its last floor(n / 2) characters are replaced by the
 first as many (or all) of the next document in the order of (doc_id, hash of text), the first following the
@@ -34,8 +36,9 @@ Rows have to come in the same order if a task is redone, as from files.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -267,7 +270,7 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     return source.mapInArrow(run, "doc_id long, fp binary")
 
 
-#: Neighbouring bands taken together: first each alone, then for what a bucket's smallest class doesn't link.
+#: Neighbouring bands of the first pass taken together: first each alone, then for what a bucket's smallest class doesn't link.
 LEVELS = (1, 2, 4)
 
 
@@ -289,6 +292,118 @@ def _judged_pairs(tried: DataFrame, classes: DataFrame, near: float) -> DataFram
     return durable(both.mapInArrow(run, "id long, pivot long, band int, near boolean"), far=F.count_if(~F.col("near")))
 
 
+#: Bits of half a stretch at most, and pairs held against each other at once.
+HALF, AT_ONCE = 20, 2_000_000
+
+
+def stretches(near: float) -> int:
+    """Into how many stretches fingerprints are cut, so that two that are near differ in one bit at most of one of them."""
+    if near <= 0:
+        raise ValueError("near has to be above 0")
+    apart = max((a for a in range(BITS // 2) if 1 - 2 * a / BITS >= near), default=0)
+    return max(apart // 2 + 1, -(-BITS // (2 * HALF)))
+
+
+def half_stretches(fp: np.ndarray, n: int) -> np.ndarray:
+    """Of each fingerprint 2 * n numbers: which half of which stretch, its bits, and those of the other half (`HALF` bits each)."""
+    bits = np.unpackbits(fp, axis=1)
+    ends = np.arange(2 * n + 1) * BITS // (2 * n)
+    halves = np.stack([bits[:, a:z] @ (1 << np.arange(z - a, dtype=np.int64)) for a, z in pairwise(ends.tolist())], axis=1)
+    other = halves.reshape(-1, n, 2)[:, :, ::-1].reshape(halves.shape)
+    return np.arange(2 * n) << 2 * HALF | halves << HALF | other
+
+
+def met(bucket: np.ndarray, part: np.ndarray, other: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs of one bucket and different parts whose other halves are one bit off at most; rows in order of (bucket, part)."""
+    place = np.arange(len(bucket))
+    ends = lambda new: np.append(np.flatnonzero(new), len(bucket))[np.cumsum(np.append(0, new[1:])) + 1] if len(bucket) else place
+    first = np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)]
+    start = ends(first | np.append(True, part[1:] != part[:-1])[: len(bucket)])
+    many = ends(first) - start
+    upto = np.cumsum(many)
+    at = 0
+    while at < len(bucket):
+        stop = max(at + 1, int(np.searchsorted(upto, upto[at] - many[at] + AT_ONCE, side="right")))
+        a = np.repeat(place[at:stop], many[at:stop])
+        b = _within(many[at:stop]) + np.repeat(start[at:stop], many[at:stop])
+        some = np.bitwise_count(other[a] ^ other[b]) <= 1
+        if some.any():
+            yield a[some], b[some]
+        at = stop
+
+
+def _buckets(batches: Iterator[pa.RecordBatch], columns: Callable[[pa.RecordBatch], list[np.ndarray]]) -> Iterator[list[np.ndarray]]:
+    """The columns of rows that come in order of the first one, cut only where that changes."""
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        rows = columns(batch)
+        if not len(rows[0]):
+            continue
+        last = int(np.searchsorted(rows[0], rows[0][-1]))
+        if held and (last or held[-1][0][-1] != rows[0][0]):
+            held.append([x[:last] for x in rows])
+            yield [np.concatenate(x) for x in zip(*held, strict=True)]
+            held, last, rows = [], 0, [x[last:] for x in rows]
+        held.append(rows)
+    if held:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
+
+
+def _forest(a: np.ndarray, b: np.ndarray, over: dict[int, int]) -> Iterator[tuple[int, int]]:
+    """Of links those that join what others before them, kept in `over`, haven't."""
+    for x, y in np.unique(np.stack([a, b], axis=1), axis=0).tolist():
+        roots = []
+        for at in (x, y):
+            while (up := over.get(at, at)) != at:
+                over[at] = over.get(up, up)
+                at = up
+            roots.append(at)
+        if roots[0] != roots[1]:
+            over[roots[0]] = roots[1]
+            yield x, y
+
+
+def between(placed: DataFrame, near: float) -> DataFrame:
+    """(a, b): links of parts of which classes are near, enough to join all parts that are so joined by any; stored.
+
+    placed: id, part, fp. First only half stretches meet, and those that could be of a pair stay; they meet
+    again with their fingerprints. Each time a row is one half stretch of a class, however many pairs it is in.
+    """
+    n, low = stretches(near), (1 << HALF) - 1
+    prints = lambda batch: np.frombuffer(b"".join(batch.column("fp").to_pylist()), dtype=np.uint8).reshape(-1, BITS // 8)
+    numbers = lambda batch: [batch.column(c).to_numpy() for c in ("bucket", "id", "part", "other")]
+    entry = "bucket long, id long, part long, other int"
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "fp", BITS // 8 * 4096):
+                keys = half_stretches(prints(batch), n).ravel()
+                ids, parts = (np.repeat(batch.column(c).to_numpy(), 2 * n) for c in ("id", "part"))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys >> HALF, ids, parts, (keys & low).astype(np.int32))], names=["bucket", "id", "part", "other"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _buckets(batches, numbers):
+            some = np.zeros(len(rows[0]), dtype=bool)
+            for a, b in met(rows[0], rows[2], rows[3]):
+                some[a] = some[b] = True
+            yield pa.RecordBatch.from_arrays([pa.array(x[some]) for x in rows], names=["bucket", "id", "part", "other"])
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        over: dict[int, int] = {}
+        for bucket, _, parts, other, fp in _buckets(batches, lambda b: [*numbers(b), prints(b)]):
+            for a, b in met(bucket, parts, other):
+                for at in range(0, len(a), AT_ONCE // 8):
+                    x, y = a[at : at + AT_ONCE // 8], b[at : at + AT_ONCE // 8]
+                    good = alike(fp[x], fp[y]) >= near
+                    found = list(_forest(parts[x[good]], parts[y[good]], over))
+                    yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    dealt = lambda df: df.repartition("bucket").sortWithinPartitions("bucket", "part")
+    entries = durable(dealt(placed.select("id", "part", "fp").mapInArrow(cut, entry)).mapInArrow(meet, entry))
+    known = entries.join(placed.select("id", "fp"), "id").select("bucket", "id", "part", "other", "fp")
+    return durable(dealt(known).mapInArrow(link, "a long, b long"))
+
+
 def groups(prints: DataFrame, near: float = NEAR) -> DataFrame:
     """(fp, group): of each fingerprint that another document is near to, or equal, the smallest doc_id of its group.
 
@@ -309,7 +424,12 @@ def groups(prints: DataFrame, near: float = NEAR) -> DataFrame:
             break
         at = judged.where("not near").select("id", "band").join(classes.select("id", "fp"), "id")
     placed = components(links)
-    own = classes.join(side_of(placed), "id", "left")
+    own = classes.join(side_of(placed), "id", "left").withColumn("part", F.coalesce("component", "id"))
+    further = between(own, near)
+    if seen(further):
+        more = components(further)
+        whole = side_of(more).select(F.col("id").alias("part"), F.col("component").alias("whole"))
+        own = own.join(whole, "part", "left").withColumn("component", F.coalesce("whole", "component"))
     return own.where("component is not null or id < most").select("fp", F.coalesce("component", "id").alias("group"))
 
 

@@ -86,6 +86,47 @@ def test_groups_equal_all_pairs(spark):
     assert op.groups(op.fingerprints(table(spark, []))).collect() == []
 
 
+def test_no_link_is_left_out(spark, monkeypatch):
+    """Fingerprints that share no band of the first pass, up to 25 bits apart, and one bit beyond."""
+    rng = random.Random(9)
+    flip = lambda fp, at: bytes(b ^ sum(1 << 7 - k % 8 for k in at if k // 8 == i) for i, b in enumerate(fp))
+    rows, want = [], {}
+    for k in range(60):
+        base, bits = rng.randbytes(64), [32 * w + rng.randrange(32) for w in range(16)]
+        apart = 16 + k % 11
+        far = flip(base, bits + rng.sample([b for b in range(512) if b not in bits], apart - 16))
+        rows += [(10 * k, base), (10 * k + 1, far), (10 * k + 2, far)]
+        want |= {base: 10 * k, far: 10 * k} if apart <= 25 else {far: 10 * k + 1}
+    # A crowd around one fingerprint, each one bit off it, and one that is near to a single one of the crowd.
+    base = rng.randbytes(64)
+    crowd = [flip(base, [i]) for i in range(0, 500, 5)]
+    near = flip(crowd[7], [32 * w + 31 for w in range(16)] + [32 * w + 30 for w in range(9)])
+    rows += [(1000 + i, fp) for i, fp in enumerate([*crowd, near])]
+    want |= dict.fromkeys([*crowd, near], 1000)
+    prints = spark.createDataFrame(rows, "doc_id long, fp binary")
+    for at_once in (op.AT_ONCE, 16):
+        monkeypatch.setattr(op, "AT_ONCE", at_once)
+        assert {bytes(r.fp): r.group for r in op.groups(prints.repartition(5)).collect()} == want
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        assert {bytes(r.fp): r.group for r in op.groups(prints).collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("near", [1.0, 0.9, 0.75, 0.5])
+def test_stretches_hold_every_near_pair(near):
+    rng, n = random.Random(3), op.stretches(near)
+    apart = max(a for a in range(512) if 1 - 2 * a / 512 >= near)
+    for _ in range(200):
+        bits = np.array([rng.randrange(2) for _ in range(512)], dtype=np.uint8)
+        other = bits.copy()
+        other[rng.sample(range(512), apart)] ^= 1
+        a, b = op.half_stretches(np.packbits(np.stack([bits, other]), axis=1), n)
+        low = (1 << op.HALF) - 1
+        assert ((a >> op.HALF == b >> op.HALF) & (np.bitwise_count((a & low) ^ (b & low)) <= 1)).any()
+
+
 def test_edits_and_query(spark, tmp_path):
     rng = random.Random(1)
     texts = ["".join(rng.choices("abcdefghij  ", k=2000)) for _ in range(40)]
