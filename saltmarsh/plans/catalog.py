@@ -753,15 +753,22 @@ def stream_daily_counts(spark: SparkSession, d: str) -> DataFrame:
     return updates.groupBy("day", "user_id", "event_type").agg(F.max_by("n", "_batch").alias("n"))
 
 
+#: Batches in which all events come twice.
+IDENTITY_BATCHES = 6
+
+
 @register("stream_daily_identity", _click_sql("product_view_pdp"))
 def stream_daily_identity(spark: SparkSession, d: str) -> DataFrame:
     """The daily identity counts as a stream over all events, each of which is delivered twice."""
     path = scratch(spark)
     for n in (1, 2):
         view(spark, d, "events").write.mode("append").parquet(f"{path}/events")
-    sent = spark.sql(standins.CLICKS_WITH_ID, events=stream.read_stream(spark, f"{path}/events", view(spark, d, "events").schema, 1))
+    # As many batches for a large table as for a small one: each sends its tasks' reports, and the identities if they are few, to the driver.
+    files = len(spark.read.parquet(f"{path}/events").inputFiles())
+    sent = spark.sql(standins.CLICKS_WITH_ID, events=stream.read_stream(spark, f"{path}/events", view(spark, d, "events").schema, -(-files // IDENTITY_BATCHES)))
+    users = _stored(view(spark, d, "users").distinct())  # read in each batch
     # The watermark spans the table: its files come by modification time, not by ts.
-    counts = stream.daily_identity(sent, view(spark, d, "users"), dims.markets(spark), "product_view_pdp", CLICK_DAY, late="400 days")
+    counts = stream.daily_identity(sent, users, dims.markets(spark), "product_view_pdp", CLICK_DAY, late="400 days")
     updates = stream.MarketUpdates(spark, f"{path}/updates")
     stream.run_to_end(counts, f"{path}/checkpoint", updates.each)
     return updates.latest(counts.schema, "product_view_pdp")

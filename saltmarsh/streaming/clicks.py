@@ -42,10 +42,11 @@ def daily_identity(clicks: DataFrame, users: DataFrame, markets: DataFrame, even
 
     An event that comes again within the watermark, known by its id, counts once; its state goes when the watermark has passed
     it. Markets and identities are static tables, read anew in each batch: a user of several identities counts under each.
+    Identities are as many as users, so they are joined by a shuffle: no batch collects them.
     """
     rows = clicks.where(F.col("event") == event).withColumn("_at", F.col("time").cast("timestamp")).withWatermark("_at", late)
     once = rows.dropDuplicatesWithinWatermark([id_col])
-    named = recent(once, markets, as_of).join(users.select("user_id", "identity").distinct(), "user_id", "left")
+    named = recent(once, markets, as_of).join(users.select("user_id", "identity").distinct().hint("merge"), "user_id", "left")
     return named.groupBy("country", "day", "user_id", "identity", "product_id", "session_id").agg(F.count(F.lit(1)).alias(event))
 
 

@@ -89,3 +89,15 @@ def test_stream_counts_all_rows_of_many_files(spark):
     got = catalog.queries()["stream_daily_counts"](spark, path)
     want = events.groupBy(F.to_date("ts").alias("day"), "user_id", "event_type").agg(F.count("*").alias("n"))
     assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_identities_take_few_batches_of_many_files(spark, tmp_path, monkeypatch):
+    """Each batch sends something to the driver, so there are no more of them as the table grows."""
+    rows = spark.read.parquet(f"{DATA}/events.parquet")
+    rows.repartition(40).write.parquet(f"{tmp_path}/events.parquet")
+    batches, plain = [], stream.MarketUpdates.each
+    monkeypatch.setattr(stream.MarketUpdates, "each", lambda self, batch, n: batches.append(n) or plain(self, batch, n))
+    got = catalog.queries()["stream_daily_identity"](spark, str(tmp_path))
+    want = catalog.queries()["click_daily_identity"](spark, DATA)
+    assert sorted(map(tuple, got.select(want.columns).collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    assert 1 < len(batches) <= catalog.IDENTITY_BATCHES
