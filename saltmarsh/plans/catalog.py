@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from saltmarsh.functions import calendar as cal
 from saltmarsh.functions import names, typemap
 from saltmarsh.functions.coerce import coerce_col, conform, infer_schema
+from saltmarsh.functions.sized import file_bytes, sized_session
 from saltmarsh.operators import (
     clicks,
     features,
@@ -28,7 +29,7 @@ from saltmarsh.operators import (
 )
 from saltmarsh.plans import dims, standins
 from saltmarsh.plans.shared import scratch
-from saltmarsh.plans.standins import view, with_views
+from saltmarsh.plans.standins import tables_of, view, with_views
 from saltmarsh.sources import buckets, layout, schemas, tables, zipped
 from saltmarsh.streaming import clicks as stream
 
@@ -46,9 +47,19 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+def _input_bytes(spark: SparkSession, d: str) -> int:
+    """Bytes of what the order lines are made of."""
+    return file_bytes(view(spark, d, n) for n in ("lineitem", "orders", "customer"))
+
+
+def _over_lines(f: Query) -> Query:
+    """A query over order lines: its shuffles follow the lines."""
+    return lambda spark, d: f(sized_session(spark, _input_bytes(spark, d)), d)
+
+
 def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def keep(f: Query) -> Query:
-        QUERIES[name] = f
+        QUERIES[name] = _over_lines(f) if sql is not None and "lineitem" in tables_of(sql) else f
         if sql is not None:
             ORACLES[name] = with_views(sql)
         return f

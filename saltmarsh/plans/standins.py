@@ -142,6 +142,11 @@ def names(text: str) -> list[str]:
     return sorted(set(re.findall(r"\{(\w+)\}", text)))
 
 
+def tables_of(text: str) -> set[str]:
+    """The driver's tables that a text with {names} is made of."""
+    return {t for n in names(text) for t in (tables_of(VIEWS[n]) if n in VIEWS else {n})}
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A stand-in or a driver's table as a DataFrame."""
     if name in BASE:

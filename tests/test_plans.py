@@ -1,8 +1,11 @@
 """What the plans look like, and the sources that need a running partner."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from saltmarsh.functions import sized
 from saltmarsh.functions.bounded import small
 from saltmarsh.operators import clicks, features, value
 from saltmarsh.plans import catalog, dims
@@ -101,3 +104,12 @@ def test_identities_take_few_batches_of_many_files(spark, tmp_path, monkeypatch)
     want = catalog.queries()["click_daily_identity"](spark, DATA)
     assert sorted(map(tuple, got.select(want.columns).collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
     assert 1 < len(batches) <= catalog.IDENTITY_BATCHES
+
+
+@pytest.mark.parametrize("name", ["award_class", "demand_daily", "demand_metrics", "minmax_scaled", "metrics_joined", "order_base"])
+def test_shuffles_follow_the_order_lines(spark, monkeypatch, name):
+    monkeypatch.setattr(sized, "FILE_BYTES", 10_000)
+    before = dict(spark.conf.getAll)
+    text = plan(catalog.queries()[name](spark, DATA))
+    assert int(re.search(r"hashpartitioning\([^)]*, (\d+)\)", text).group(1)) > 10
+    assert dict(spark.conf.getAll) == before
