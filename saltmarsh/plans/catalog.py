@@ -322,6 +322,8 @@ def metrics_opt(spark: SparkSession, d: str) -> DataFrame:
 
 
 LAID_OUT_FROM, LAID_OUT_TO, BUCKETS = 199701, 199806, 4
+#: Bytes of the input's files for each bucket, of which there are `BUCKETS` at least.
+BUCKET_BYTES = 32_000_000
 
 
 @register("laid_out_spend", _chain_sql("award_class")[: -len(" SELECT * FROM award_class")] + f"""
@@ -330,9 +332,11 @@ WHERE ord_mo_yr_id BETWEEN {LAID_OUT_FROM} AND {LAID_OUT_TO} AND global_vol_acco
 def laid_out_spend(spark: SparkSession, d: str) -> DataFrame:
     """Orders and spend of accounts with active legs in some months, from tables partitioned by month and bucketed by account."""
     path = scratch(spark)
-    stage = layout.lay_out(_stage(spark, d), f"{path}/orders", "global_vol_account_id", BUCKETS, "ord_mo_yr_id")
+    # A bucket is written by one task, so their number follows the input.
+    n = max(BUCKETS, -(-_input_bytes(spark, d) // BUCKET_BYTES))
+    stage = layout.lay_out(_stage(spark, d), f"{path}/orders", "global_vol_account_id", n, "ord_mo_yr_id")
     plan = value.plan_stage(view(spark, d, "plan_info")).withColumnRenamed("global_account_id", "global_vol_account_id")
-    legs = layout.lay_out(plan, f"{path}/plan", "global_vol_account_id", BUCKETS)
+    legs = layout.lay_out(plan, f"{path}/plan", "global_vol_account_id", n)
     return value.spend_of(spark.table(stage), spark.table(legs).where("legs_with_volume > 0"), LAID_OUT_FROM, LAID_OUT_TO)
 
 

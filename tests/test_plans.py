@@ -11,7 +11,7 @@ from saltmarsh.operators import clicks, features, value
 from saltmarsh.plans import catalog, dims
 from saltmarsh.plans.shared import scratch
 from saltmarsh.plans.standins import view
-from saltmarsh.sources import tables
+from saltmarsh.sources import layout, tables
 from saltmarsh.streaming import clicks as stream
 
 DATA = "/root/testdata/sf0.001"
@@ -113,3 +113,13 @@ def test_shuffles_follow_the_order_lines(spark, monkeypatch, name):
     text = plan(catalog.queries()[name](spark, DATA))
     assert int(re.search(r"hashpartitioning\([^)]*, (\d+)\)", text).group(1)) > 10
     assert dict(spark.conf.getAll) == before
+
+
+def test_buckets_follow_the_order_lines(spark, monkeypatch):
+    made, plain = [], layout.lay_out
+    monkeypatch.setattr(catalog, "BUCKET_BYTES", 20_000)
+    monkeypatch.setattr(layout, "lay_out", lambda df, path, by, n, *a: made.append(n) or plain(df, path, by, n, *a))
+    rows = catalog.queries()["laid_out_spend"](spark, DATA).collect()
+    assert len(made) == 2 and made[0] == made[1] > catalog.BUCKETS
+    monkeypatch.undo()
+    assert sorted(rows) == sorted(catalog.queries()["laid_out_spend"](spark, DATA).collect())
