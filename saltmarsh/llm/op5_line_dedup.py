@@ -45,19 +45,20 @@ def _later(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     return durable(rows.dropDuplicates(["k1", "k2"]).select("k1", "k2", "at.*"))
 
 
-def _crowded(found: DataFrame, classes: DataFrame, docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Classes that crowded keys remove, beside those gone already."""
+def _crowded(found: DataFrame, classes: DataFrame, docs: DataFrame, gone: DataFrame, more: DataFrame) -> DataFrame:
+    """Classes that crowded keys or `more` pairs remove, beside those gone already."""
     fields = ("at", "k1", "k2", "n", "place", "sig")
     entries = durable(setjoin.crowd_entries(found))
     left = durable(entries.join(side_of(gone).select("k1", "k2"), ["k1", "k2"], "left_anti"))
     if not seen(left):
-        return gone
+        return gone.union(_later(more, classes, docs))
     entries = durable(entries.join(ids_side(left.select("gram").distinct()), "gram", "left_semi"))
     entries = durable(classes.join(side_of(entries), ["k1", "k2"]))
-    left = durable(classes.join(side_of(left), ["k1", "k2"]))
+    left = durable(entries.join(side_of(gone).select("k1", "k2"), ["k1", "k2"], "left_anti"))
     pivots = durable(entries.groupBy("gram").agg(F.min(F.struct(*fields)).alias("e"), F.min(F.struct("place", *(f for f in fields if f != "place"))).alias("c")))
     either = pivots.select("gram", F.explode(F.array_distinct(F.array(*[F.struct(*[F.col(f"{p}.{f}").alias(f) for f in fields]) for p in "ec"]))).alias("p")).select("gram", "p.*")
-    tried = durable(fitting(left, either, "y_at < x_at", SPEC))
+    # The `more` go with them: each round reads the texts.
+    tried = durable(fitting(left, either, "y_at < x_at", SPEC).union(more).distinct())
     gone = durable(gone.union(_later(tried, classes, docs)))
     left = durable(left.join(side_of(gone).select("k1", "k2"), ["k1", "k2"], "left_anti"))
     rest = fitting(left, entries, "y_at < x_at", SPEC).join(side_of(tried), PAIR, "left_anti")
@@ -74,10 +75,10 @@ def later_lines(docs: DataFrame) -> DataFrame:
     # Of two that can't be told apart in time, (k1, k2) may be the earlier one. So only the class that is gone counts.
     rest = found.where("kind in ('pair', 'more')").select(*PAIR).join(side_of(gone).select("k1", "k2"), ["k1", "k2"], "left_anti")
     more = durable(rest.join(side_of(tried), PAIR, "left_anti").distinct())
-    if seen(more):
-        gone = durable(gone.union(_later(more, classes, docs)))
     if seen(found, "crowd"):
-        gone = _crowded(found, classes, docs, gone)
+        gone = _crowded(found, classes, docs, gone, more)
+    elif seen(more):
+        gone = gone.union(_later(more, classes, docs))
     return found.where("kind = 'same'").select(*AT).union(gone.select(*AT))
 
 
@@ -87,13 +88,14 @@ def remove_lines(docs: DataFrame, lines: DataFrame, counted: str | None = "n_rem
     own, cut = fresh(docs.columns, "own"), fresh(docs.columns, "cut")
     lists = lines.groupBy(F.col("doc_id").alias("_doc"), F.col("doc_key").alias("_key")).agg(F.collect_set("line").alias(cut))
     keyed = docs.withColumn(own, setjoin.text_key())
-    joined = keyed.join(lists, (keyed["doc_id"] == lists["_doc"]) & (keyed[own] == lists["_key"]), "left").select(*[keyed[f"`{c}`"] for c in docs.columns], lists[cut])
+    # The lists are small beside the texts: a hash of them spares sorting the texts.
+    joined = keyed.join(lists.hint("shuffle_hash"), (keyed["doc_id"] == lists["_doc"]) & (keyed[own] == lists["_key"]), "left").select(*[keyed[f"`{c}`"] for c in docs.columns], lists[cut])
     names = docs.columns
     schema = T.StructType([*docs.schema.fields, *([T.StructField(counted, T.IntegerType())] if counted else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", setjoin.TEXT):
                 texts, cuts = batch.column("text").to_pylist(), batch.column(cut)
                 columns = dict(zip(names, batch.columns, strict=False))
                 n = pa.compute.fill_null(pa.compute.list_value_length(cuts), 0).cast(pa.int32())

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from saltmarsh.llm import blocks
 from saltmarsh.llm import textarrays as ta
-from saltmarsh.llm.common import durable, few, seen, slices
+from saltmarsh.llm.common import durable, few, seen, side_of, slices
 
 BUCKETS, BLOCKS = 1 << 20, 64
 #: Occurrences, beyond twice the mean of all buckets, from which a prefix token is joined with the next ones to make keys,
@@ -47,11 +47,13 @@ LONG = 48
 #: Classes of one key up to which all its pairs are looked at in its task, and passing pairs a class up to which they are passed on.
 CROWD, PAIRS = 4096, 16
 #: Entries (34 bytes) a task holds before passing them on; those aimed at per joining task; those a slot holds before it is thinned.
-HELD, PER_TASK, THIN = 1_000_000, 1_000_000, 2_000_000
+HELD, PER_TASK, THIN = 500_000, 1_000_000, 2_000_000
+#: Bytes of text looked at together: their arrays of words, several times as large, stay in a core's cache.
+TEXT = 500_000
 #: Slots that a task packs rows for; where there are more, rows are dealt in two steps.
 MOST_SLOTS = 4096
 #: Pairs looked at together.
-AT_ONCE = 1_000_000
+AT_ONCE = 250_000
 AT, PAIR = ["doc_id", "doc_key", "line"], ["k1", "k2", "j1", "j2"]
 ENTRIES, SALTED, FIRST, SAME = range(4)
 U = np.uint64
@@ -138,14 +140,15 @@ class Sets:
 def unit_tokens(column: pa.Array, spec: Spec) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(unit, token) of all tokens, units ascending; row and line number of each unit. Every unit has a word."""
     w = ta.words(column, lower=True)
+    head = np.searchsorted(w.start, w.offsets[:-1])
     if spec.lines:
-        breaks = np.concatenate([[0], np.cumsum(w.raw == 10)])
-        number = breaks[w.start] + w.row  # ascending, and different across rows and lines
-    else:
-        number = w.row
-    head = np.flatnonzero(np.r_[True, number[1:] != number[:-1]]) if len(number) else np.zeros(0, dtype=np.int64)
-    unit = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(number))))
-    line = breaks[w.start[head]] - breaks[w.offsets[w.row[head]]] if spec.lines else np.zeros(len(head), dtype=np.int64)
+        breaks = np.flatnonzero(w.raw == 10)
+        head = np.concatenate([head, np.searchsorted(w.start, breaks)])
+    head = np.unique(head[head < len(w.start)])
+    unit = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(w.start))))
+    line = np.zeros(len(head), dtype=np.int64)
+    if spec.lines:
+        line = np.searchsorted(breaks, w.start[head]) - np.searchsorted(breaks, w.offsets[w.row[head]])
     token = w.hash
     if spec.words > 1:
         unit, token = ta.shingles(w.hash, unit, spec.words)
@@ -177,7 +180,7 @@ def token_counts(docs: DataFrame, spec: Spec) -> tuple[np.ndarray, int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, dtype=np.int64)
         for whole in batches:
-            for batch in slices(whole, "_text"):
+            for batch in slices(whole, "_text", TEXT):
                 token = unit_tokens(batch.column("_text"), spec)[1] if spec.words > 1 else ta.words(batch.column("_text"), lower=True).hash
                 counts += np.bincount(bucket(token), minlength=BUCKETS)
         yield from blocks.emit(counts[:, None], BLOCKS)
@@ -227,7 +230,7 @@ def keys_of(sets: Sets, spec: Spec, counts: np.ndarray, often: np.ndarray) -> tu
 
 
 def _blob(columns: Columns, kind: tuple[tuple[str, str], ...], a: int, z: int) -> bytes:
-    return b"".join(columns[name][a:z].astype(code).tobytes() for name, code in kind)
+    return b"".join(columns[name][a:z].astype(code, copy=False).tobytes() for name, code in kind)
 
 
 def _unblob(raw: pa.Buffer, kind: tuple[tuple[str, str], ...]) -> Columns:
@@ -243,6 +246,11 @@ def _join(parts: list[Columns]) -> Columns:
     return {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
 
 
+def _small(columns: Columns, kind: tuple[tuple[str, str], ...]) -> Columns:
+    """Columns as wide as they travel; others as they are."""
+    return columns | {name: columns[name].astype(code, copy=False) for name, code in kind if name in columns}
+
+
 def _take(columns: Columns, at: np.ndarray) -> Columns:
     return {name: v[at] for name, v in columns.items()}
 
@@ -276,20 +284,43 @@ def slot_and_gram(key: np.ndarray, slots: int) -> tuple[np.ndarray, np.ndarray]:
     return (ta.mix(key >> U(32), 9) % U(slots)).astype(np.int64), key & U(0xFFFFFFFF)
 
 
-def _send(entries: Columns, members: Columns, spec: Spec, spread: np.ndarray, slots: int, run: int) -> Iterator[pa.RecordBatch]:
-    """What a task has gathered, dealt to slots: entries by key, first members by class, others anywhere."""
+def _once(e: Columns, by: np.ndarray, base: np.ndarray | None = None) -> Columns:
+    """Entries in the order of `by`, each class once a key, with the time of the earliest of its members."""
+    names = ["gram", "k1", "k2", "place"]
+    if base is not None:
+        e, names = e | {"base": base}, ["base", *names]
+
+    def sort(order: np.ndarray) -> tuple[Columns, np.ndarray]:
+        out = _take(e, order)
+        return out, np.logical_or.reduce([out[c][1:] != out[c][:-1] for c in names])
+
+    if not len(by):
+        return e
+    order = np.argsort(by)
+    out, new = sort(order)
+    if np.any(new & (by[order][1:] == by[order][:-1])):  # members of a class may lie apart
+        out, new = sort(np.lexsort((*(e[c] for c in names), by)))
+    head = np.flatnonzero(np.r_[True, new])
+    time = np.minimum.reduceat(out["early"].astype(U) << U(16) | out["line"], head)
+    return _take(out, head) | {"early": (time >> U(16)).astype(np.uint32), "line": (time & U(65535)).astype(np.uint16)}
+
+
+def _send(held: list[tuple[Columns, Columns]], spec: Spec, spread: np.ndarray, slots: int, run: int) -> Iterator[pa.RecordBatch]:
+    """What a task has gathered (which is emptied), dealt to slots: entries by key, first members by class, others anywhere."""
+    entries, members = _join([h[0] for h in held]), _join([h[1] for h in held])
+    held.clear()
     key = entries.pop("key")
     base, entries["gram"] = slot_and_gram(key, slots)
     # Equal sets of this task count once.
-    order = np.argsort(base.astype(U) << U(32) | ta.mix(key ^ entries["k1"], 5) >> U(32))
-    if len(order):
-        alike = [x[order] for x in (key, entries["k1"], entries["k2"], entries["place"])]
-        order = order[np.r_[True, np.logical_or.reduce([x[1:] != x[:-1] for x in alike])]]
-    base, entries = base[order], _take(entries, order)
+    entries = _once(entries, base.astype(U) << U(32) | ta.mix(key ^ entries["k1"], 5) >> U(32), base)
+    base = entries.pop("base")
     ways = np.where(entries["bucket"] >= 0, spread[entries["bucket"]], 1).astype(U)
+    del key
     plain = np.flatnonzero(ways == U(1))
-    yield from _rows(ENTRIES, base[plain], base[plain], _take(entries, plain), _ENTRY, run)
-    if len(plain) < len(order):
+    if len(plain) == len(ways):
+        yield from _rows(ENTRIES, base, base, entries, _ENTRY, run)
+    else:
+        yield from _rows(ENTRIES, base[plain], base[plain], _take(entries, plain), _ENTRY, run)
         salted = np.flatnonzero(ways > U(1))
         slot = (base[salted] + (ta.mix(entries["k1"][salted], 9) % ways[salted]).astype(np.int64)) % slots
         by_slot = np.lexsort((base[salted], slot))
@@ -372,8 +403,8 @@ def close_pairs(e: Columns, spec: Spec) -> tuple[Columns, Columns, np.ndarray]:
     rest = tuple(np.concatenate(x) for x in zip(*others, strict=True)) if others else (later[:0], later[:0])
     keep = ~crowded[group[rest[0]]]
     rest = (rest[0][keep], rest[1][keep])
-    # Where two can't be told apart in time, either may be the later one: such pairs don't wait.
-    same_time = early[rest[0]] == early[rest[1]]
+    # Of documents not told apart, either may have the later line: such pairs don't wait.
+    same_time = e["early"][rest[0]] == e["early"][rest[1]]
     first = tuple(np.concatenate([f, r[same_time]]) for f, r in zip(first, rest, strict=True))
     rest = tuple(r[~same_time] for r in rest)
     return _pairs(e, *first), _pairs(e, *rest), crowded[group]
@@ -390,10 +421,7 @@ def _pairs(e: Columns, i: np.ndarray, j: np.ndarray) -> Columns:
 
 def in_order(e: Columns) -> Columns:
     """Entries by key and size (up to 4095), each class once a key."""
-    order = np.argsort(e["gram"].astype(U) << U(32) | np.minimum(e["n"], 4095).astype(U) << U(20) | e["k1"] >> U(44))
-    e = _take(e, order)
-    alike = [e[c] for c in ("gram", "k1", "k2", "place")]
-    return _take(e, np.r_[True, np.logical_or.reduce([x[1:] != x[:-1] for x in alike])]) if len(order) else e
+    return _once(e, e["gram"].astype(U) << U(32) | np.minimum(e["n"], 4095).astype(U) << U(20) | e["k1"] >> U(44))
 
 
 FOUND = "kind string, gram long, k1 long, k2 long, j1 long, j2 long, n int, place int, sig long, doc_id long, doc_key long, line int"
@@ -451,6 +479,37 @@ def crowd(base: int, e: Columns) -> Iterator[pa.RecordBatch]:
     return _found("crowd", {**e, "gram": np.int64(base) << np.int64(32) | e["gram"].astype(np.int64)})
 
 
+def dealt(batches: Iterator[pa.RecordBatch], spec: Spec, tables: tuple[np.ndarray, ...], least: int, coarse: int, slots: int, runs: int) -> Iterator[pa.RecordBatch]:
+    """Packed rows of the sets of a task's texts (doc_id, _text, doc_key), gathered until `HELD`. tables: rarity, salts,
+    counts and frequency of each bucket. doc_ids are told apart beyond the least one, without their `coarse` lowest bits."""
+    rare, spread, counts, often = tables
+    held: list[tuple[Columns, Columns]] = []
+    size = 0
+    for whole in batches:
+        for batch in slices(whole, "_text", TEXT):
+            sets = sets_of(batch.column("_text"), spec, rare)
+            if not spec.lines and len(sets.row) < batch.num_rows:
+                wordless = np.setdiff1d(np.arange(batch.num_rows), sets.row)
+                none = {c: np.zeros(len(wordless), dtype=U) for c in ("k1", "k2", "n", "line")} | {c: batch.column(c).to_numpy()[wordless] for c in ("doc_id", "doc_key")}
+                anywhere = np.full(len(wordless), int(none["doc_key"][0]) % slots)
+                yield from _rows(SAME, anywhere, anywhere, none, _MEMBER, runs)
+            if not len(sets.row):
+                continue
+            key, own, place, token, where = keys_of(sets, spec, counts, often)
+            entries = {"key": key, "bucket": where.astype(np.int32), "k1": sets.k1[own], "k2": sets.k2[own], "sig": sets.suffix[token], "n": np.minimum(sets.n[own], 65535), "place": np.minimum(place, 65535)}
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            early = (ids.view(U) - U(least & 0xFFFFFFFFFFFFFFFF)) >> U(coarse)
+            entries |= {"early": early[sets.row[own]], "line": np.minimum(sets.line[own], 65535)}
+            ids, keys = (batch.column(c).to_numpy(zero_copy_only=False)[sets.row] for c in ("doc_id", "doc_key"))
+            held.append((_small(entries, _ENTRY), _small({"k1": sets.k1, "k2": sets.k2, "n": sets.n, "doc_id": ids, "doc_key": keys, "line": sets.line}, _MEMBER)))
+            size += len(key) + len(sets.row)
+            if size >= HELD:
+                yield from _send(held, spec, spread, slots, runs)
+                held, size = [], 0
+    if held:
+        yield from _send(held, spec, spread, slots, runs)
+
+
 def join_sets(docs: DataFrame, spec: Spec, most_slots: int = MOST_SLOTS) -> DataFrame:
     """Rows of FOUND, stored, from docs (doc_id, text; no null doc_id).
 
@@ -469,32 +528,7 @@ def join_sets(docs: DataFrame, spec: Spec, most_slots: int = MOST_SLOTS) -> Data
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("_text"), text_key().alias("doc_key"))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rare, spread, counts, often = tables.value
-        held: list[tuple[Columns, Columns]] = []
-        size = 0
-        for whole in batches:
-            for batch in slices(whole, "_text"):
-                sets = sets_of(batch.column("_text"), spec, rare)
-                if not spec.lines and len(sets.row) < batch.num_rows:
-                    wordless = np.setdiff1d(np.arange(batch.num_rows), sets.row)
-                    none = {c: np.zeros(len(wordless), dtype=U) for c in ("k1", "k2", "n", "line")} | {c: batch.column(c).to_numpy()[wordless] for c in ("doc_id", "doc_key")}
-                    anywhere = np.full(len(wordless), int(none["doc_key"][0]) % slots)
-                    yield from _rows(SAME, anywhere, anywhere, none, _MEMBER, runs)
-                if not len(sets.row):
-                    continue
-                key, own, place, token, where = keys_of(sets, spec, counts, often)
-                entries = {"key": key, "bucket": where, "k1": sets.k1[own], "k2": sets.k2[own], "sig": sets.suffix[token], "n": np.minimum(sets.n[own], 65535), "place": np.minimum(place, 65535)}
-                ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-                early = (ids.view(U) - U(least & 0xFFFFFFFFFFFFFFFF)) >> U(coarse)
-                entries |= {"early": early[sets.row[own]], "line": np.minimum(sets.line[own], 65535)}
-                ids, keys = (batch.column(c).to_numpy(zero_copy_only=False)[sets.row] for c in ("doc_id", "doc_key"))
-                held.append((entries, {"k1": sets.k1, "k2": sets.k2, "n": sets.n, "doc_id": ids, "doc_key": keys, "line": sets.line}))
-                size += len(key) + len(sets.row)
-                if size >= HELD:
-                    yield from _send(_join([h[0] for h in held]), _join([h[1] for h in held]), spec, spread, slots, runs)
-                    held, size = [], 0
-        if held:
-            yield from _send(_join([h[0] for h in held]), _join([h[1] for h in held]), spec, spread, slots, runs)
+        return dealt(batches, spec, tables.value, least, coarse, slots, runs)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at: dict[int, Slot] = {}
@@ -581,13 +615,14 @@ def checked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, spec: Spec) -
 
     Each text is cut once, where it is read; what is cut out goes straight to the class it is compared with.
     """
-    side = lambda a, b, at: classes.select(F.col("k1").alias(a), F.col("k2").alias(b), F.col("at").alias(at))
-    # Few pairs go to the classes; only many make the classes move.
+    # Few pairs go to the classes, which are read once for both members; only many make the classes move.
     if not seen(pairs):
         return docs.sparkSession.createDataFrame([], CHECKED)
     light = F.broadcast if few(pairs) else lambda df: df
-    half = side("k1", "k2", "at").join(light(pairs), ["k1", "k2"])
-    both = durable(side("j1", "j2", "other").join(light(half), ["j1", "j2"]).select("k1", "k2", "at", "j1", "j2", "other"))
+    ends = pairs.select("k1", "k2").union(pairs.select("j1", "j2"))
+    met = durable(classes.join(F.broadcast(ends) if few(pairs, times=2) else ends, ["k1", "k2"], "left_semi").select("k1", "k2", "at"))
+    side = lambda a, b, at: side_of(met).select(F.col("k1").alias(a), F.col("k2").alias(b), F.col("at").alias(at))
+    both = durable(pairs.join(side("k1", "k2", "at"), ["k1", "k2"]).join(side("j1", "j2", "other"), ["j1", "j2"]).select("k1", "k2", "at", "j1", "j2", "other"))
     if not seen(both):
         return both
     nobody = [F.lit(None).cast("long").alias(c) for c in ("k1", "k2")]
@@ -645,8 +680,8 @@ def similar_texts(pairs: DataFrame, spec: Spec) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for half in slices(whole, "_a"):
-                for batch in slices(half, "_b"):
+            for half in slices(whole, "_a", TEXT):
+                for batch in slices(half, "_b", TEXT):
                     n, m, shared = overlaps(batch.column("_a"), batch.column("_b"), spec.words)
                     holds = pa.array((shared > 0) & (spec.den * shared >= spec.num * (n + m - shared)))
                     yield pa.RecordBatch.from_arrays([batch.column(c).filter(holds) for c in kept], names=kept)

@@ -1,6 +1,7 @@
 """Shingle sets, the n-gram Jaccard join and the line deduplication against brute force."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -304,3 +305,31 @@ def test_few_jobs(spark, tmp_path):
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     print(len(jobs))
     assert len(jobs) < 40
+
+
+def test_a_sending_task_holds_little():
+    """Its arrays stay below 90 MB (172 MB before) on 10 MB of lines, of which about a million entries are made."""
+    rng = np.random.default_rng(1)
+    words = np.array([f"w{i:05}" for i in range(20_000)])
+    texts = ["\n".join(" ".join(line) for line in words[rng.integers(0, len(words), (40, 9))]) for _ in range(4000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4000)), pa.array(texts), pa.array(range(4000))], names=["doc_id", "_text", "doc_key"])
+    counts = np.full(setjoin.BUCKETS, 100)
+    tables = (setjoin.rarity(counts), setjoin.salts(counts), counts, setjoin.excess(counts) > setjoin.FREQUENT)
+    tracemalloc.start()
+    sent = [x.nbytes for x in setjoin.dealt(iter([batch]), op5.SPEC, tables, 0, 0, 204, 0)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(sent) > 15_000_000 and peak < 90_000_000
+
+
+def test_a_class_has_the_time_of_its_first_member():
+    """Whichever of its entries is met first, and where other classes of its key lie between them."""
+    rng = np.random.default_rng(2)
+    k1 = rng.integers(0, 9, 4000).astype(np.uint64)  # all alike in the bits that are sorted by
+    e = {"gram": rng.integers(0, 3, 4000).astype(np.uint32), "k1": k1, "k2": k1.astype(np.uint32), "sig": k1, "n": np.full(4000, 7, dtype=np.uint16), "place": np.zeros(4000, dtype=np.uint16)}
+    e |= {"early": rng.integers(0, 2**32, 4000).astype(np.uint32), "line": rng.integers(0, 2**16, 4000).astype(np.uint16)}
+    got = setjoin.in_order(e)
+    assert len(got["k1"]) == 27
+    for gram, k, early, line in zip(*(got[c].tolist() for c in ("gram", "k1", "early", "line")), strict=True):
+        at = (e["gram"] == gram) & (e["k1"] == k)
+        assert (early, line) == min(zip(e["early"][at].tolist(), e["line"][at].tolist(), strict=True))
