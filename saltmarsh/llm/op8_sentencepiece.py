@@ -54,8 +54,12 @@ COMMON = 0x250
 TASKS_PER_CHUNK, CHUNK_BYTES = 2, 32_000_000
 #: Compressed rows of a chunk's texts.
 BLOB_BYTES = 2_000_000
+#: Text bytes that meet the units of their chunk at a time.
+MEET_BYTES = 1_000_000
 #: Text bytes aimed at per task of the lattice.
 TASK_BYTES = 8_000_000
+#: Pieces that `runs` puts together at a time: the indices of what is in them take eight bytes each.
+BLOCK = 1 << 16
 _BUNDLE = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
 
 
@@ -133,7 +137,7 @@ def cut_units(texts: pa.Array, path: str) -> tuple[pa.Array, np.ndarray]:
     start[1:] = ~bridges(path)[raw[:-1], raw[1:]]
     start[offsets[:-1][np.diff(offsets) > 0]] = True
     at = np.flatnonzero(start)
-    units = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(np.append(at, len(raw)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw)))
+    units = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(np.append(at, len(raw)).astype(np.int64, copy=False)), pa.py_buffer(np.ascontiguousarray(raw)))
     return units, np.diff(np.searchsorted(at, offsets))
 
 
@@ -303,26 +307,85 @@ def piece_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(codes.get(i, b"") for i in range(len(size))), dtype=np.uint8), np.cumsum(size) - size, size
 
 
+def runs(values: np.ndarray, start: np.ndarray, size: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """values[start:start + size] of each of the places `of`, one after the other."""
+    out, done = np.empty(int(size[of].sum()), dtype=values.dtype), 0
+    for k in range(0, len(of), BLOCK):
+        part = of[k : k + BLOCK]
+        n = size[part]
+        first = np.cumsum(n) - n
+        m = int(n.sum())
+        out[done : done + m] = values[np.repeat(start[part] - first, n) + np.arange(m)]
+        done += m
+    return out
+
+
 def decode_ids(ids: np.ndarray, edges: np.ndarray, path: str) -> list[bytes]:
     """The texts of runs of ids, cut at edges: the bytes of their pieces, without the mark that stands before a text."""
     data, start, size = piece_bytes(path)
-    n = size[ids]
-    first = np.cumsum(n) - n
-    text = data[np.repeat(start[ids] - first, n) + np.arange(int(n.sum()))]
-    at = np.append(first, len(text))[edges]
+    text = runs(data, start, size, ids)
+    at = np.concatenate([[0], np.cumsum(size[ids])])[edges]
     return [text[a + (a < z and text[a] == 32) : z].tobytes() for a, z in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
+def meet(left: pa.Table, right: pa.Table, path: str, with_ids: bool = True) -> pa.Table:
+    """The rows of `encode` for a chunk: its texts (size, blob) and its units with their ids.
+
+    A worker holds little more than what it is given: the units are looked up in those of some texts, not
+    the other way round, so hash tables and arrays are of the size of `MEET_BYTES` and `BLOCK`.
+    """
+    model = load(path)
+    known = pa.chunked_array(right.column("unit").chunks, pa.string())
+    lists = right.column("ids").chunks
+    codes = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in lists] or [np.zeros(0, np.int32)])
+    sizes = np.concatenate([pa.compute.list_value_length(c).to_numpy(zero_copy_only=False) for c in lists] or [np.zeros(0, np.int32)])
+    first = np.cumsum(sizes, dtype=np.int64) - sizes
+    codec, out = pa.Codec("zstd"), []
+    for size, blob in zip(left.column("size").to_pylist(), left.column("blob"), strict=True):
+        whole = pa.ipc.read_record_batch(codec.decompress(blob.as_buffer(), size), _BUNDLE)
+        for batch in slices(whole, "text", MEET_BYTES):
+            met, per_text = cut_units(batch.column("text"), path)
+            coded = met.dictionary_encode()
+            units = pa.compute.replace_substring(coded.dictionary, " ", MARK).cast(pa.string())
+            which = pa.compute.fill_null(pa.compute.index_in(known, value_set=units), -1).to_numpy()
+            found = np.flatnonzero(which >= 0)
+            place = np.full(len(units), -1, dtype=np.int64)
+            place[which[found]] = found
+            if len(new := np.flatnonzero(place < 0)):
+                added = units.take(pa.array(new))
+                merged = [merge_unit(u, model) for u in added.to_pylist()]
+                place[new] = len(sizes) + np.arange(len(new))
+                known = pa.chunked_array([*known.chunks, added], pa.string())
+                codes = np.concatenate([codes, np.array([i for m in merged for i in m], dtype=codes.dtype)])
+                sizes = np.concatenate([sizes, np.array([len(m) for m in merged], dtype=np.int32)])
+                first = np.cumsum(sizes, dtype=np.int64) - sizes
+            at = place[coded.indices.to_numpy()]
+            flat = runs(codes, first, sizes, at).astype("<u4")
+            edge = np.concatenate([[0], np.cumsum(sizes[at], dtype=np.int64)])[np.concatenate([[0], np.cumsum(per_text)])]
+            ids = [flat[a:z].tobytes() for a, z in itertools.pairwise(edge.tolist())]
+            texts = decode_ids(flat, edge, path)
+            same = [t == d.decode("utf-8", "replace") for t, d in zip(pa.compute.replace_substring(batch.column("text"), MARK, " ").to_pylist(), texts, strict=True)]
+            doc_id = pa.array(batch.column("doc_id").to_pylist(), pa.int64())  # a slice would keep the texts beside it
+            columns = {"doc_id": doc_id, "n_pieces": pa.array(np.diff(edge)), "ids_crc32": pa.array([zlib.crc32(x) for x in ids], pa.int64())}
+            columns |= {"decoded_bytes": pa.array([len(t) for t in texts], pa.int64()), "decoded_crc32": pa.array([zlib.crc32(t) for t in texts], pa.int64()), "round_trip": pa.array(same)}
+            out.append(pa.table(columns | {"ids": pa.array(ids if with_ids else [None] * len(ids), pa.binary())}))
+            pa.default_memory_pool().release_unused()
+    return pa.concat_tables(out)
+
+
 @contextmanager
 def roomy(spark: SparkSession) -> Iterator[None]:
-    """While `encode` runs, grouping holds up to a million keys before it sorts, as a task has fewer units; afterwards the session is as it was."""
-    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "1000000")
+    """While `encode` runs, grouping holds up to a million keys before it sorts, as a task has fewer units, and batches
+    for Python hold some MB whatever their rows are; afterwards the session is as it was."""
+    wanted = {"spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "1000000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def encode(docs: DataFrame, path_of: Callable[[], str] = model_path, chunk_bytes: int = CHUNK_BYTES, with_ids: bool = True) -> DataFrame:
@@ -335,14 +398,15 @@ def encode(docs: DataFrame, path_of: Callable[[], str] = model_path, chunk_bytes
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tasks, meetings = max(width, -(-total // TASK_BYTES)), max(width, -(-total // chunk_bytes))
+    tasks, meetings = max(width, -(-total // TASK_BYTES)), max(width, -(-4 * total // chunk_bytes))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path, met = path_of(), []
         for number, ends, batch in _chunks(batches, chunk_bytes):
             met.append(cut_units(batch.column("text"), path)[0].unique())
-            if ends or len(met) > 16:
+            if ends or len(met) > 4:
                 met = [pa.concat_arrays(met).unique()]
+                pa.default_memory_pool().release_unused()
             if ends:
                 units = pa.compute.replace_substring(met[0], " ", MARK)
                 short = pa.compute.less_equal(pa.compute.utf8_length(units), MAX_UNIT)
@@ -352,7 +416,8 @@ def encode(docs: DataFrame, path_of: Callable[[], str] = model_path, chunk_bytes
                 units = units.take(pa.compute.sort_indices(units)).cast(pa.string())  # in order they travel in less space
                 for part in pa.table({"unit": units}).to_batches(50_000):
                     yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.full(part.num_rows, number, dtype=np.int64))], names=["unit", "chunk"])
-                met = []
+                met, units, short = [], None, None
+                pa.default_memory_pool().release_unused()
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd", compression_level=9)
@@ -369,44 +434,10 @@ def encode(docs: DataFrame, path_of: Callable[[], str] = model_path, chunk_bytes
     bundles = source.mapInArrow(bundle, "chunk long, size long, blob binary")
 
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
-        path = path_of()
-        model = load(path)
-        known = pa.compute.replace_substring(pa.concat_arrays([c.cast(pa.large_string()) for c in right.column("unit").chunks]), MARK, " ") if right.num_rows else pa.array([], pa.large_string())
-        lists = [c for c in right.column("ids").chunks]
-        codes = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in lists] or [np.zeros(0, np.int32)]).astype("<u4")
-        sizes = np.concatenate([pa.compute.list_value_length(c).to_numpy(zero_copy_only=False) for c in lists] or [np.zeros(0, np.int64)]).astype(np.int64)
-        del right, lists
-        pa.default_memory_pool().release_unused()
-        codec, out = pa.Codec("zstd"), []
-        for size, blob in zip(left.column("size").to_pylist(), left.column("blob"), strict=True):
-            whole = pa.ipc.read_record_batch(codec.decompress(blob.as_buffer(), size), _BUNDLE)
-            for batch in slices(whole, "text", BLOB_BYTES):
-                met, per_text = cut_units(batch.column("text"), path)
-                place = pa.compute.index_in(met, value_set=known)
-                if place.null_count:
-                    new = met.filter(pa.compute.is_null(place)).unique()
-                    merged = [merge_unit(u.replace(" ", MARK), model) for u in new.to_pylist()]
-                    known = pa.concat_arrays([known, new])
-                    codes = np.concatenate([codes, np.array([i for m in merged for i in m], dtype="<u4")])
-                    sizes = np.concatenate([sizes, np.array([len(m) for m in merged], dtype=np.int64)])
-                    place = pa.compute.index_in(met, value_set=known)
-                first = np.cumsum(sizes) - sizes
-                at = place.to_numpy(zero_copy_only=False).astype(np.int64)
-                n = sizes[at]
-                begin = np.cumsum(n) - n
-                flat = codes[np.arange(int(n.sum())) - np.repeat(begin - first[at], n)]
-                edge = np.append(begin, len(flat))[np.concatenate([[0], np.cumsum(per_text)])]
-                ids = [flat[a:z].tobytes() for a, z in itertools.pairwise(edge.tolist())]
-                texts = decode_ids(flat, edge, path)
-                same = [t == d.decode("utf-8", "replace") for t, d in zip(pa.compute.replace_substring(batch.column("text"), MARK, " ").to_pylist(), texts, strict=True)]
-                columns = {"doc_id": batch.column("doc_id"), "n_pieces": pa.array(np.diff(edge)), "ids_crc32": pa.array([zlib.crc32(x) for x in ids], pa.int64())}
-                columns |= {"decoded_bytes": pa.array([len(t) for t in texts], pa.int64()), "decoded_crc32": pa.array([zlib.crc32(t) for t in texts], pa.int64()), "round_trip": pa.array(same)}
-                pa.default_memory_pool().release_unused()
-                out.append(pa.table(columns | {"ids": pa.array(ids if with_ids else [None] * len(ids), pa.binary())}))
-        return pa.concat_tables(out)
+        return meet(left, right, path_of(), with_ids)
 
     schema = "doc_id long, n_pieces long, ids_crc32 long, decoded_bytes long, decoded_crc32 long, round_trip boolean, ids binary"
-    # Both sides are dealt alike, into as many tasks as there are chunks about, so a task's share stays as the input grows.
+    # Both sides are dealt alike, into some more tasks than there are chunks, so a task's share stays as the input grows and few sort two chunks.
     left, right = (side.repartition(meetings, "chunk").groupBy("chunk") for side in (bundles, answers))
     return left.cogroup(right).applyInArrow(apply, schema)
 

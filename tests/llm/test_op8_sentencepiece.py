@@ -1,5 +1,6 @@
 import itertools
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -89,3 +90,46 @@ def test_query_leaves_the_session_as_it_was(spark, tmp_path):
     name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
     before = spark.conf.get(name)
     assert op8.query(spark, str(tmp_path)).count() == 2 and spark.conf.get(name) == before
+
+
+def test_cutting_and_decoding_take_little_beside_a_text():
+    text = "the quick brown fox, and 12 more " * 30_000
+    ids = np.tile(np.array(SP.encode(text), "<u4"), 4)
+    op8.cut_units(pa.array(["imports and tables"]), op8.model_path())
+    op8.decode_ids(ids[:1], np.array([0, 1]), op8.model_path())
+    tracemalloc.start()
+    try:
+        units, n = op8.cut_units(pa.array([text] * 4), op8.model_path())
+        assert tracemalloc.get_traced_memory()[1] < 7 * 4 * len(text)
+        assert len(set(n.tolist())) == 1 and "".join(units.to_pylist()) == f" {text}" * 4
+        del units, n
+        tracemalloc.reset_peak()
+        assert op8.decode_ids(ids, np.arange(5) * (len(ids) // 4), op8.model_path()) == [text.encode()] * 4
+        assert tracemalloc.get_traced_memory()[1] < 10 * 4 * len(text)
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_chunk_meets_its_units_and_keeps_no_text():
+    given = [(i, t) for i, t in enumerate([*strings(3000), *MORE, "some words " * 200_000])] + [(None, "no id"), (0, ""), (0, "again")]
+    codec, path = pa.Codec("zstd"), op8.model_path()
+    raw = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*given, strict=True)], schema=op8._BUNDLE).serialize()
+    left = pa.table({"size": [raw.size], "blob": pa.array([codec.compress(raw).to_pybytes()], pa.binary())})
+    units = [u.replace(" ", op8.MARK) for u in op8.cut_units(pa.array([t for _, t in given]), path)[0].unique().to_pylist()]
+    want = [(i, np.array(SP.encode(t), "<u4").tobytes()) for i, t in given]
+    for told in (units[::2], []):  # the others are merged where they are met
+        ids = pa.array([op8.merge_unit(u, MODEL) for u in told], pa.list_(pa.int16()))
+        right = pa.Table.from_batches(pa.table({"unit": pa.array(told, pa.string()), "ids": ids}).to_batches(500), pa.schema([("unit", pa.string()), ("ids", ids.type)]))
+        before = pa.total_allocated_bytes()
+        got = op8.meet(left, right, path)
+        assert list(zip(got["doc_id"].to_pylist(), got["ids"].to_pylist(), strict=True)) == want
+        bare = op8.meet(left, right, path, with_ids=False)
+        del got
+        assert bare.num_rows == len(given) and pa.total_allocated_bytes() - before < raw.size // 4
+
+
+def test_batches_are_of_some_megabytes_whatever_the_rows(spark):
+    long = spark.range(0, 300, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+    with op8.roomy(spark):
+        got = [r.n for r in long.mapInArrow(lambda batches: (pa.record_batch({"n": [b.nbytes]}) for b in batches), "n long").collect()]
+    assert sum(got) >= 30_000_000 and max(got) < 6_000_000
